@@ -16,6 +16,11 @@ _LONE_HIGH = r"(?<!\\)(?:\\\\)*\\u[dD][89abAB][0-9a-fA-F]{2}(?!\\u[dD][c-fC-F])"
 _LONE_LOW = (
     r"(?<!\\u[dD][89abAB][0-9a-fA-F]{2})(?<!\\)(?:\\\\)*\\u[dD][c-fC-F][0-9a-fA-F]{2}"
 )
+# Texts of a member that do not say which type it had, where that decides how it
+# is spelled: containers, booleans, numbers a float would print differently.
+_TYPE_MATTERS = (
+    r"^([\[{]|true$|false$|-0|-?\d+\.\d+0$|-?0\.000|-?\d+(\.\d*)?[eE]|[-\d.]{17,}$)"
+)
 # A decimal without digits after the point that would have fitted a BIGINT was
 # written with a point ("7.0"); a genuine integer of that size is a BIGINT.
 _WHOLE_DECIMAL = r"^DECIMAL\((\d|1[0-8]),0\)$"
@@ -39,8 +44,10 @@ def strip_line_end(text: Column) -> Column:
 def utf8_text(value: Column) -> Column:
     """Text of the bytes, without a byte-order mark; NULL if not UTF-8."""
     text = value.cast("string")
-    text = F.when(text.startswith("\ufeff"), F.substring(text, 2, 2_147_483_647)).otherwise(text)
-    return F.when(F.is_valid_utf8(text), text)
+    return F.when(
+        F.is_valid_utf8(text),
+        F.when(text.startswith("\ufeff"), F.substring(text, 2, 2_147_483_647)).otherwise(text),
+    )
 
 
 def replace_nul(text: Column) -> Column:
@@ -64,18 +71,19 @@ def parse_document(text: Column) -> Column:
     return F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
 
 
-def is_single_value(document: Column) -> Column:
-    """True if the parsed wrapper holds exactly one JSON value."""
+def is_single_value(document: Column, text: Column) -> Column:
+    """True if the parsed wrapper around text holds exactly one JSON value."""
     return F.coalesce(
-        F.try_variant_get(document, "$[0]", "variant").isNotNull()
-        & F.try_variant_get(document, "$[1]", "variant").isNull(),
+        document.isNotNull()
+        & F.try_variant_get(document, "$[1]", "variant").isNull()
+        & text.rlike(r"[^ \t\r\n]"),
         F.lit(False),
     )
 
 
 def is_json(text: Column) -> Column:
     """Strict JSON test of a text column: one value and nothing after it."""
-    return is_single_value(parse_document(text))
+    return is_single_value(parse_document(text), text)
 
 
 def opens_object(text: Column) -> Column:
@@ -83,22 +91,38 @@ def opens_object(text: Column) -> Column:
     return F.coalesce(text.rlike(r"^[ \t\r\n]*\{"), F.lit(False))
 
 
-def member(document: Column, path: str) -> Column:
-    """Member of the wrapped document as VARIANT; NULL where a step is missing
-    or is not an object."""
-    return F.try_variant_get(document, f"$[0]{path}", "variant")
+def strict_members(text: Column, schema: str) -> Column:
+    """Members of a JSON object as a struct; NULL if the text is anything else.
+
+    A member whose value does not fit its type is NULL and leaves its neighbours
+    alone. String members keep the text the value was written with, whatever its
+    type; see typed_scalar.
+    """
+    allow_duplicate_keys()
+    rows = F.from_json(
+        F.concat(F.lit("["), text, F.lit("]")),
+        f"array<struct<{schema}>>",
+        {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"},
+    )
+    return F.when((F.size(rows) == 1) & opens_object(text), rows[0])
+
+
+def type_matters(members: list[Column]) -> Column:
+    """Whether some member's text reads differently depending on the type it had
+    (true, 1.50, [1] and so on). Members may be strings or string arrays."""
+    return F.concat_ws("\n", *members).rlike(rf"(?m){_TYPE_MATTERS}")
+
 
+# The next three take the parsed document only for rows where types matter and
+# NULL otherwise; then the text of the member is already the answer.
 
-def kind_of(leaf: Column) -> Column:
-    """Type name of a VARIANT leaf."""
-    return F.schema_of_variant(leaf)
 
+def _kind(document: Column, path: str) -> Column:
+    return F.schema_of_variant(F.try_variant_get(document, f"$[0]{path}", "variant"))
 
-def scalar_text(leaf: Column) -> Column:
-    """Scalar to text, keeping how booleans and whole floats are spelled;
-    NULL for null, arrays and objects."""
-    kind = kind_of(leaf)
-    text = F.try_variant_get(leaf, "$", "string")
+
+def _spelled(text: Column, kind: Column) -> Column:
+    """Scalar text of a known type, as booleans and whole floats are spelled."""
     return (
         F.when(kind.isin("STRING", "BIGINT"), text)
         .when(kind == "BOOLEAN", F.initcap(text))
@@ -107,42 +131,61 @@ def scalar_text(leaf: Column) -> Column:
     )
 
 
-def string_only(leaf: Column) -> Column:
-    """Text of a JSON string; NULL for every other type."""
-    return F.when(kind_of(leaf) == "STRING", F.try_variant_get(leaf, "$", "string"))
+def typed_scalar(text: Column, document: Column, path: str) -> Column:
+    """Scalar member as text; NULL for null, arrays and objects."""
+    return F.when(document.isNull(), text).otherwise(
+        _spelled(F.try_variant_get(document, f"$[0]{path}", "string"), _kind(document, path))
+    )
 
 
-def text_list(leaf: Column) -> Column:
+def typed_list(texts: Column, document: Column, path: str) -> Column:
     """A string as a one-element list, a list as its scalars, anything else empty."""
-    items = F.try_variant_get(leaf, "$", "array<variant>")
-    texts = F.filter(F.transform(items, scalar_text), lambda text: text.isNotNull())
+    empty = F.array().cast("array<string>")
+    items = F.try_variant_get(document, f"$[0]{path}", "array<variant>")
+    spelled = F.filter(
+        F.transform(
+            items,
+            lambda item: _spelled(
+                F.try_variant_get(item, "$", "string"), F.schema_of_variant(item)
+            ),
+        ),
+        lambda text: text.isNotNull(),
+    )
+    whole = F.try_variant_get(document, f"$[0]{path}", "string")
     return (
-        F.when(items.isNotNull(), texts)
-        .when(kind_of(leaf) == "STRING", F.array(F.try_variant_get(leaf, "$", "string")))
-        .otherwise(F.array().cast("array<string>"))
+        F.when(document.isNull(), F.coalesce(texts, empty))
+        .when(items.isNotNull(), spelled)
+        .when(_kind(document, path) == "STRING", F.array(whole))
+        .otherwise(empty)
     )
 
 
-def small_int(leaf: Column, highest: int = 32767) -> Column:
+def typed_small_int(text: Column, document: Column, path: str, highest: int = 32767) -> Column:
     """Whole number in 0..highest from an int, float, boolean or digit string."""
-    kind = kind_of(leaf)
-    text = F.try_variant_get(leaf, "$", "string")
+    kind = _kind(document, path)
     digits = F.regexp_replace(F.regexp_replace(text, r"^\s+|\s+$", ""), "_", "")
     number = (
-        F.when(kind == "BIGINT", F.try_variant_get(leaf, "$", "bigint"))
-        .when(
-            (kind == "STRING") & text.rlike(r"^\s*[+-]?\d+(_\d+)*\s*$"),
-            digits.try_cast("bigint"),
-        )
-        .when(kind == "BOOLEAN", F.try_variant_get(leaf, "$", "int").cast("bigint"))
+        F.when(text.rlike(r"^\d{1,9}$"), text.try_cast("bigint"))
+        .when(text.rlike(r"^\s*[+-]?\d+(_\d+)*\s*$"), digits.try_cast("bigint"))
+        .when(kind == "BOOLEAN", F.when(text == "true", 1).otherwise(0))
         .when(
             kind.startswith("DECIMAL") | (kind == "DOUBLE"),
-            F.try_variant_get(leaf, "$", "double").try_cast("bigint"),
+            F.try_variant_get(document, f"$[0]{path}", "double").try_cast("bigint"),
         )
     )
     return F.when(number.between(0, highest), number.cast("smallint"))
 
 
+def string_of(quoted: Column, leaf: Column) -> Column:
+    """Text of a VARIANT string given its JSON form; NULL for every other type."""
+    return F.when(
+        quoted.startswith('"'),
+        F.when(
+            F.contains(quoted, F.lit("\\")), F.try_variant_get(leaf, "$", "string")
+        ).otherwise(F.substring(quoted, F.lit(2), F.length(quoted) - 2)),
+    )
+
+
 def member_int(raw: Column, name: str) -> Column:
     """Top-level member cast to int; a repeated key means its last value."""
     return F.from_json(raw, f"`{name}` string")[name].cast("int")

@@ -4,14 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidewatch.functions.json_text import (
-    computed_once,
-    is_single_value,
-    kind_of,
-    member,
-    parse_document,
-    utf8_text,
-)
+from tidewatch.functions.json_text import computed_once, strict_members, utf8_text
 from tidewatch.operators.shuffles import first_copy
 
 POSITION = ("topic", "partition", "offset")
@@ -27,13 +20,10 @@ def sequence_numbers(records: DataFrame, name: str = "demo_seq") -> DataFrame:
 
     Records that are not JSON or whose member is not a JSON integer are left out.
     """
-    parsed = computed_once(records, _doc=parse_document(utf8_text(F.col("value"))))
-    leaf = computed_once(
-        parsed.filter(is_single_value(F.col("_doc"))), _leaf=member(F.col("_doc"), f".{name}")
-    )
-    return leaf.filter(kind_of(F.col("_leaf")) == "BIGINT").select(
-        *POSITION, F.try_variant_get("_leaf", "$", "bigint").alias("seq")
+    numbered = computed_once(
+        records, seq=strict_members(utf8_text(F.col("value")), f"`{name}` bigint")[name]
     )
+    return numbered.filter(F.col("seq").isNotNull()).select(*POSITION, "seq")
 
 
 def _missing_runs(spans: DataFrame, block: int) -> DataFrame:

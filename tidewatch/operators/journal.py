@@ -4,14 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidewatch.functions.json_text import (
-    computed_once,
-    is_single_value,
-    member,
-    opens_object,
-    parse_document,
-    string_only,
-)
+from tidewatch.functions.json_text import computed_once, strict_members, string_of
 from tidewatch.functions.labels import stable_uuid
 from tidewatch.functions.times import epoch_micros
 
@@ -52,16 +45,18 @@ def classify_entries(lines: DataFrame) -> DataFrame:
     present = computed_once(lines, _text=text).filter(
         F.length(F.trim(F.regexp_replace("_text", r"[\t\r\n]", " "))) > 0
     )
-    parsed = computed_once(present, _doc=parse_document(F.col("_text")))
     names = ["__CURSOR", "__REALTIME_TIMESTAMP", *PAYLOAD_FIELDS]
-    leaves = parsed.select(
-        "*", *[member(F.col("_doc"), f".{name}").alias(f"_leaf_{name}") for name in names]
+    schema = ", ".join(f"`{name}` variant" for name in names)
+    parsed = computed_once(present, _row=strict_members(F.col("_text"), schema))
+    quoted = computed_once(
+        parsed, **{f"_json_{name}": F.to_json(F.col("_row")[name]) for name in names}
     )
-    fields = leaves.select(
-        *lines.columns,
-        "_text",
-        is_single_value(F.col("_doc")).alias("_valid"),
-        *[string_only(F.col(f"_leaf_{name}")).alias(f"_field_{name}") for name in names],
+    fields = computed_once(
+        quoted,
+        **{
+            f"_field_{name}": string_of(F.col(f"_json_{name}"), F.col("_row")[name])
+            for name in names
+        },
     )
     event_time = epoch_micros(F.col("_field___REALTIME_TIMESTAMP"))
     cursor = F.col("_field___CURSOR")
@@ -69,7 +64,7 @@ def classify_entries(lines: DataFrame) -> DataFrame:
     judged = computed_once(
         timed,
         reject_reason=F.when(F.octet_length("_text") > MAX_LINE_BYTES, "too_long")
-        .when(~F.col("_valid") | ~opens_object(F.col("_text")), "not_json")
+        .when(F.col("_row").isNull(), "not_json")
         .when(F.coalesce(cursor, F.lit("")) == "", "missing_cursor")
         .when(F.col("timestamp").isNull(), "bad_timestamp"),
     )

@@ -8,14 +8,13 @@ from tidewatch.functions.json_text import (
     computed_once,
     has_lone_surrogate,
     is_single_value,
-    member,
-    opens_object,
     parse_document,
     replace_nul,
-    scalar_text,
-    small_int,
-    string_only,
-    text_list,
+    strict_members,
+    type_matters,
+    typed_list,
+    typed_scalar,
+    typed_small_int,
     utf8_text,
 )
 from tidewatch.functions.labels import content_id
@@ -24,51 +23,85 @@ from tidewatch.schemas import FINDING
 
 PREVIEW_CHARS = 200
 
+_MEMBERS = (
+    "id string, timestamp string, location string, manager struct<name string>, "
+    "rule struct<id string, level string, description string, groups array<string>, "
+    "mitre struct<id array<string>, tactic array<string>>>, "
+    "agent struct<id string, name string, ip string>, decoder struct<name string>, "
+    "data struct<srcip string, srcuser string>"
+)
+
+
+def _zoned(text, document, path):
+    return zoned_timestamp(text)
+
+
 # Finding column, where it sits in the document, how it is typed.
 _FIELDS = {
-    "manager": (".manager.name", scalar_text),
-    "alert_id": (".id", scalar_text),
-    "ts": (".timestamp", lambda leaf: zoned_timestamp(string_only(leaf))),
-    "rule_id": (".rule.id", scalar_text),
-    "rule_level": (".rule.level", small_int),
-    "rule_description": (".rule.description", scalar_text),
-    "rule_groups": (".rule.groups", text_list),
-    "mitre_ids": (".rule.mitre.id", text_list),
-    "mitre_tactics": (".rule.mitre.tactic", text_list),
-    "agent_id": (".agent.id", scalar_text),
-    "agent_name": (".agent.name", scalar_text),
-    "agent_ip": (".agent.ip", scalar_text),
-    "decoder": (".decoder.name", scalar_text),
-    "location": (".location", scalar_text),
-    "src_ip": (".data.srcip", scalar_text),
-    "src_user": (".data.srcuser", scalar_text),
+    "manager": (".manager.name", typed_scalar),
+    "alert_id": (".id", typed_scalar),
+    "ts": (".timestamp", _zoned),
+    "rule_id": (".rule.id", typed_scalar),
+    "rule_level": (".rule.level", typed_small_int),
+    "rule_description": (".rule.description", typed_scalar),
+    "rule_groups": (".rule.groups", typed_list),
+    "mitre_ids": (".rule.mitre.id", typed_list),
+    "mitre_tactics": (".rule.mitre.tactic", typed_list),
+    "agent_id": (".agent.id", typed_scalar),
+    "agent_name": (".agent.name", typed_scalar),
+    "agent_ip": (".agent.ip", typed_scalar),
+    "decoder": (".decoder.name", typed_scalar),
+    "location": (".location", typed_scalar),
+    "src_ip": (".data.srcip", typed_scalar),
+    "src_user": (".data.srcuser", typed_scalar),
 }
 
 
+def _types_needed(text, members: dict):
+    """Rows whose members' texts alone do not settle the finding columns."""
+    level = F.coalesce(members["rule_level"].rlike(r"^\d{1,9}$"), F.lit(True))
+    lists = [name for name, (_, to_type) in _FIELDS.items() if to_type is typed_list]
+    unread = F.lit(False)
+    for name, key in zip(lists, ("groups", "mitre", "mitre"), strict=True):
+        unread = unread | (members[name].isNull() & F.contains(text, F.lit(f'"{key}"')))
+    texts = [members[name] for name in _FIELDS if name not in ("ts", "rule_level")]
+    return type_matters(texts) | F.contains(text, F.lit("null")) | ~level | unread
+
+
 def classify(records: DataFrame) -> DataFrame:
     """Every record with its finding columns and a reject_reason.
 
     reject_reason is NULL for an alert; otherwise the finding columns carry no
-    meaning and `preview` shows how the message began.
+    meaning and `preview` shows how the message began. One strict read gives the
+    members as text; only where types matter is the document parsed with them.
     """
+    text = F.col("_text")
     decoded = computed_once(records, _text=replace_nul(utf8_text(F.col("value"))))
-    parsed = computed_once(decoded, _doc=parse_document(F.col("_text")))
+    read = computed_once(decoded, _row=strict_members(text, _MEMBERS))
+    members = {name: F.col(f"_row{path}") for name, (path, _) in _FIELDS.items()}
     judged = computed_once(
-        parsed,
-        reject_reason=F.when(F.col("value").isNull(), "null_value")
-        .when(F.col("_text").isNull(), "invalid_utf8")
-        .when(~is_single_value(F.col("_doc")), "not_json")
-        .when(~opens_object(F.col("_text")), "not_object")
-        .when(has_lone_surrogate(F.col("_text")), "unencodable"),
+        read,
+        _doc=F.when(
+            F.col("_row").isNull() | _types_needed(text, members), parse_document(text)
+        ),
     )
-    leaves = judged.select(
-        "*",
-        *[member(F.col("_doc"), path).alias(f"_leaf_{name}") for name, (path, _) in _FIELDS.items()],
+    judged = computed_once(
+        judged,
+        reject_reason=F.when(F.col("value").isNull(), "null_value")
+        .when(text.isNull(), "invalid_utf8")
+        .when(
+            F.col("_row").isNull(),
+            F.when(is_single_value(F.col("_doc"), text), "not_object").otherwise("not_json"),
+        )
+        .when(has_lone_surrogate(text), "unencodable"),
     )
-    typed = {name: to_type(F.col(f"_leaf_{name}")) for name, (_, to_type) in _FIELDS.items()}
+    typed = {
+        name: to_type(members[name], F.col("_doc"), path)
+        for name, (path, to_type) in _FIELDS.items()
+    }
     typed["manager"] = F.coalesce(typed["manager"], F.lit(""))
     typed["alert_id"] = F.coalesce(typed["alert_id"], content_id(F.col("value")))
-    return leaves.select(
+    return judged.select(
         *[column.alias(name) for name, column in typed.items()],
         F.col("_text").alias("raw"),
         F.col("topic").alias("source_topic"),
@@ -104,11 +137,12 @@ def check_lines(lines: DataFrame) -> DataFrame:
     trimmed = F.regexp_replace(
         F.make_valid_utf8(F.col("value").cast("string")), r"^[ \t\r\n\x0b\x0c]+|[ \t\r\n\x0b\x0c]+$", ""
     )
-    parsed = computed_once(lines, _doc=parse_document(utf8_text(F.col("value"))))
+    decoded = computed_once(lines, _text=utf8_text(F.col("value")))
+    parsed = computed_once(decoded, _doc=parse_document(F.col("_text")))
     judged = computed_once(
         parsed,
         status=F.when(F.length(trimmed) == 0, "blank")
-        .when(is_single_value(F.col("_doc")), "valid")
+        .when(is_single_value(F.col("_doc"), F.col("_text")), "valid")
         .otherwise("malformed"),
     )
     return judged.select(

@@ -16,7 +16,7 @@ def split_corrupt(queue: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(readable, dead): a body that is no JSON object cannot be delivered, so it
     never takes a place in a batch."""
     parsed = computed_once(queue, _doc=parse_document(F.col("body")))
-    readable = is_single_value(F.col("_doc")) & opens_object(F.col("body"))
+    readable = is_single_value(F.col("_doc"), F.col("body")) & opens_object(F.col("body"))
     return (
         parsed.filter(readable).select(*queue.columns),
         parsed.filter(~readable).select(*queue.columns),
