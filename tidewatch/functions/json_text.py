@@ -91,8 +91,8 @@ def opens_object(text: Column) -> Column:
     return F.coalesce(text.rlike(r"^[ \t\r\n]*\{"), F.lit(False))
 
 
-def strict_members(text: Column, schema: str) -> Column:
-    """Members of a JSON object as a struct; NULL if the text is anything else.
+def with_members(df: DataFrame, text: Column, schema: str, name: str = "_row") -> DataFrame:
+    """Add the members of a JSON object as a struct; NULL if the text is anything else.
 
     A member whose value does not fit its type is NULL and leaves its neighbours
     alone. String members keep the text the value was written with, whatever its
@@ -104,7 +104,9 @@ def strict_members(text: Column, schema: str) -> Column:
         f"array<struct<{schema}>>",
         {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"},
     )
-    return F.when((F.size(rows) == 1) & opens_object(text), rows[0])
+    read = computed_once(df, _rows=rows)
+    only = F.when((F.size("_rows") == 1) & opens_object(text), F.col("_rows")[0])
+    return computed_once(read, **{name: only}).drop("_rows")
 
 
 def type_matters(members: list[Column]) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidewatch.functions.json_text import computed_once, strict_members, utf8_text
+from tidewatch.functions.json_text import computed_once, utf8_text, with_members
 from tidewatch.operators.shuffles import first_copy
 
 POSITION = ("topic", "partition", "offset")
@@ -20,10 +20,10 @@ def sequence_numbers(records: DataFrame, name: str = "demo_seq") -> DataFrame:
 
     Records that are not JSON or whose member is not a JSON integer are left out.
     """
-    numbered = computed_once(
-        records, seq=strict_members(utf8_text(F.col("value")), f"`{name}` bigint")[name]
-    )
-    return numbered.filter(F.col("seq").isNotNull()).select(*POSITION, "seq")
+    decoded = computed_once(records, _text=utf8_text(F.col("value")))
+    read = with_members(decoded, F.col("_text"), f"`{name}` bigint")
+    seq = F.col("_row")[name]
+    return read.filter(seq.isNotNull()).select(*POSITION, seq.alias("seq"))
 
 
 def _missing_runs(spans: DataFrame, block: int) -> DataFrame:

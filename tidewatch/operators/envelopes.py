@@ -9,6 +9,7 @@ from tidewatch.operators.shuffles import first_copy, lookup_join, running_totals
 from tidewatch.schemas import ENVELOPE
 
 SCHEMA_VERSION = 1
+TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
 def drop_revoked(envelopes: DataFrame, revoked: DataFrame, identity: str = "agent_id") -> DataFrame:
@@ -85,5 +86,8 @@ def pack_envelopes(
 def envelope_json(envelopes: DataFrame) -> DataFrame:
     """Envelopes as one compact JSON text each."""
     return envelopes.select(
-        F.to_json(F.struct("agent_id", "sent_at", "schema_version", "events")).alias("value")
+        F.to_json(
+            F.struct("agent_id", "sent_at", "schema_version", "events"),
+            {"timestampFormat": TIME_FORMAT},
+        ).alias("value")
     )

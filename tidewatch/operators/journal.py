@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidewatch.functions.json_text import computed_once, strict_members, string_of
+from tidewatch.functions.json_text import computed_once, string_of, with_members
 from tidewatch.functions.labels import stable_uuid
 from tidewatch.functions.times import epoch_micros
 
@@ -47,7 +47,7 @@ def classify_entries(lines: DataFrame) -> DataFrame:
     )
     names = ["__CURSOR", "__REALTIME_TIMESTAMP", *PAYLOAD_FIELDS]
     schema = ", ".join(f"`{name}` variant" for name in names)
-    parsed = computed_once(present, _row=strict_members(F.col("_text"), schema))
+    parsed = with_members(present, F.col("_text"), schema)
     quoted = computed_once(
         parsed, **{f"_json_{name}": F.to_json(F.col("_row")[name]) for name in names}
     )

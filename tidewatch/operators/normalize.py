@@ -10,12 +10,12 @@ from tidewatch.functions.json_text import (
     is_single_value,
     parse_document,
     replace_nul,
-    strict_members,
     type_matters,
     typed_list,
     typed_scalar,
     typed_small_int,
     utf8_text,
+    with_members,
 )
 from tidewatch.functions.labels import content_id
 from tidewatch.functions.times import zoned_timestamp
@@ -77,7 +77,7 @@ def classify(records: DataFrame) -> DataFrame:
     """
     text = F.col("_text")
     decoded = computed_once(records, _text=replace_nul(utf8_text(F.col("value"))))
-    read = computed_once(decoded, _row=strict_members(text, _MEMBERS))
+    read = with_members(decoded, text, _MEMBERS)
     members = {name: F.col(f"_row{path}") for name, (path, _) in _FIELDS.items()}
     judged = computed_once(
         read,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidewatch.operators.envelopes import envelope_json
+from tidewatch.operators.envelopes import TIME_FORMAT, envelope_json
 
 # Delivery settings a broker writer needs for at-least-once without reordering.
 PRODUCER_OPTIONS = {
@@ -34,7 +34,8 @@ def write_topic(routed: DataFrame, servers: str, checkpoint: str | None = None,
 
 def write_ndjson(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
     """One JSON object per line and row."""
-    rows.select(F.to_json(F.struct("*")).alias("value")).write.mode(mode).text(path)
+    text = F.to_json(F.struct("*"), {"timestampFormat": TIME_FORMAT})
+    rows.select(text.alias("value")).write.mode(mode).text(path)
 
 
 def write_envelopes(envelopes: DataFrame, path: str, mode: str = "overwrite") -> None:
