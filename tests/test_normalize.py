@@ -1,6 +1,5 @@
 from datetime import datetime
 
-import pytest
 from conftest import alert
 
 from tidewatch.functions.json_text import is_json
@@ -75,39 +74,41 @@ def test_surrogate_pairs_and_escaped_backslashes_are_kept(records):
         assert one(records, text).reject_reason is None
 
 
-@pytest.mark.parametrize(
-    ("level", "expected"),
-    [("7", 7), ('"7"', 7), ('" 7 "', 7), ('"1_0"', 10), ("7.9", 7), ("true", 1), ("false", 0),
+LEVELS = [("7", 7), ('"7"', 7), ('" 7 "', 7), ('"1_0"', 10), ("7.9", 7), ("true", 1), ("false", 0),
      ('"7.9"', None), ('"high"', None), ("99999", None), ("-1", None), ("-0.5", 0), ("1e999", None),
-     ("null", None), ("[7]", None), ('"true"', None), ("32767", 32767), ("12e0", 12), ('"+7"', 7)],
-)
-def test_level(records, level, expected):
-    assert one(records, '{"id":"1","rule":{"level":%s}}' % level).rule_level == expected
+     ("null", None), ("[7]", None), ('"true"', None), ("32767", 32767), ("12e0", 12), ('"+7"', 7)]
 
 
-@pytest.mark.parametrize(
-    ("value", "expected"),
-    [('"a"', "a"), ("5", "5"), ("5.0", "5.0"), ("1.50", "1.5"), ('"1.50"', "1.50"), ("true", "True"),
+def test_level(records):
+    values = ['{"id":"1","rule":{"level":%s}}' % value for value, _ in LEVELS]
+    rows = classify(records(values)).orderBy("source_offset").collect()
+    assert [row.rule_level for row in rows] == [expected for _, expected in LEVELS]
+
+
+SCALARS = [('"a"', "a"), ("5", "5"), ("5.0", "5.0"), ("1.50", "1.5"), ('"1.50"', "1.50"), ("true", "True"),
      ('"true"', "true"), ('"[1]"', "[1]"), ("12345678901234567890123", "12345678901234567890123"),
-     ('"1741064767.10"', "1741064767.10"), ('"a\\nb"', "a\nb"), ("-0", "0")],
-)
-def test_scalars_keep_their_spelling(records, value, expected):
-    assert one(records, '{"id":%s}' % value).alert_id == expected
+     ('"1741064767.10"', "1741064767.10"), ('"a\\nb"', "a\nb"), ("-0", "0")]
+
+
+def test_scalars_keep_their_spelling(records):
+    values = ['{"id":%s}' % value for value, _ in SCALARS]
+    rows = classify(records(values)).orderBy("source_offset").collect()
+    assert [row.alert_id for row in rows] == [expected for _, expected in SCALARS]
 
 
-@pytest.mark.parametrize("value", ["null", "[1]", '{"k":1}'])
-def test_no_scalar_counts_as_missing(records, value):
-    assert one(records, '{"id":"1","location":%s}' % value).location is None
+def test_no_scalar_counts_as_missing(records):
+    values = ['{"id":"1","location":%s}' % value for value in ("null", "[1]", '{"k":1}')]
+    assert [row.location for row in classify(records(values)).collect()] == [None] * 3
 
 
-@pytest.mark.parametrize(
-    ("value", "expected"),
-    [('"x"', ["x"]), ('["x","y"]', ["x", "y"]), ('["x",null,["z"],{"k":1},2,true,1.0]', ["x", "2", "True", "1.0"]),
-     ("7", []), ("null", []), ('{"k":1}', []), ("[]", []), ('["[1]"]', ["[1]"]), ('["null"]', ["null"])],
-)
-def test_lists(records, value, expected):
-    row = one(records, '{"id":"1","rule":{"mitre":{"id":%s}}}' % value)
-    assert row.mitre_ids == expected
+LISTS = [('"x"', ["x"]), ('["x","y"]', ["x", "y"]), ('["x",null,["z"],{"k":1},2,true,1.0]', ["x", "2", "True", "1.0"]),
+     ("7", []), ("null", []), ('{"k":1}', []), ("[]", []), ('["[1]"]', ["[1]"]), ('["null"]', ["null"])]
+
+
+def test_lists(records):
+    values = ['{"id":"1","rule":{"mitre":{"id":%s}}}' % value for value, _ in LISTS]
+    rows = classify(records(values)).orderBy("source_offset").collect()
+    assert [row.mitre_ids for row in rows] == [expected for _, expected in LISTS]
 
 
 def test_nested_values_of_the_wrong_type_leave_the_rest_alone(records):
@@ -130,19 +131,19 @@ def test_byte_order_mark_is_ignored(records):
     assert one(records, b'\xef\xbb\xbf{"id":"1"}').alert_id == "1"
 
 
-@pytest.mark.parametrize(
-    ("text", "expected"),
-    [("2025-03-04T05:06:07.123+0000", datetime(2025, 3, 4, 5, 6, 7, 123000)),
+TIMES = [("2025-03-04T05:06:07.123+0000", datetime(2025, 3, 4, 5, 6, 7, 123000)),
      ("2025-03-04T05:06:07+0000", datetime(2025, 3, 4, 5, 6, 7)),
      ("2025-03-04T05:06:07Z", datetime(2025, 3, 4, 5, 6, 7)),
      ("2025-03-04T05:06+02:00", datetime(2025, 3, 4, 3, 6)),
      ("2025-03-04 05:06:07,5-0130", datetime(2025, 3, 4, 6, 36, 7, 500000)),
      ("2025-03-04T05:06:07", None), ("2025-03-04", None), ("yesterday", None),
-     ("2025-13-04T05:06:07Z", None), ("1741064767", None), ("", None)],
-)
-def test_times_need_a_zone(spark, text, expected):
-    frame = spark.createDataFrame([(text,)], "t string").select(zoned_timestamp(F.col("t")).alias("t"))
-    assert frame.first().t == expected
+     ("2025-13-04T05:06:07Z", None), ("1741064767", None), ("", None)]
+
+
+def test_times_need_a_zone(spark):
+    frame = spark.createDataFrame([(text,) for text, _ in TIMES], "t string").coalesce(1)
+    found = frame.select(zoned_timestamp(F.col("t")).alias("t")).collect()
+    assert [row.t for row in found] == [expected for _, expected in TIMES]
 
 
 def test_line_checks(records):
