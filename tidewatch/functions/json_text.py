@@ -109,83 +109,72 @@ def with_members(df: DataFrame, text: Column, schema: str, name: str = "_row") -
     return computed_once(read, **{name: only}).drop("_rows")
 
 
-def type_matters(members: list[Column]) -> Column:
+def type_matters(members: list[str]) -> Column:
     """Whether some member's text reads differently depending on the type it had
     (true, 1.50, [1] and so on). Members may be strings or string arrays."""
-    return F.concat_ws("\n", *members).rlike(rf"(?m){_TYPE_MATTERS}")
+    return F.expr(f"concat_ws('\\n', {', '.join(members)}) RLIKE r'(?m){_TYPE_MATTERS}'")
 
 
-# The next three take the parsed document only for rows where types matter and
-# NULL otherwise; then the text of the member is already the answer.
+# The expressions below are written as SQL text: one of them is a single call to
+# the JVM, where building it from column functions would be dozens.
+#
+# `document` names a parsed document for rows where types matter and NULL for all
+# others, where the member's own text (`text`) is already the answer.
 
 
-def _kind(document: Column, path: str) -> Column:
-    return F.schema_of_variant(F.try_variant_get(document, f"$[0]{path}", "variant"))
+def _at(document: str, path: str, kind: str) -> str:
+    return f"try_variant_get({document}, '$[0]{path}', '{kind}')"
 
 
-def _spelled(text: Column, kind: Column) -> Column:
+def _kind(document: str, path: str) -> str:
+    return f"schema_of_variant({_at(document, path, 'variant')})"
+
+
+def _spelled(text: str, kind: str) -> str:
     """Scalar text of a known type, as booleans and whole floats are spelled."""
-    return (
-        F.when(kind.isin("STRING", "BIGINT"), text)
-        .when(kind == "BOOLEAN", F.initcap(text))
-        .when(kind.rlike(_WHOLE_DECIMAL), F.concat(text, F.lit(".0")))
-        .when(kind.startswith("DECIMAL") | (kind == "DOUBLE"), text)
-    )
+    return f"""CASE WHEN {kind} IN ('STRING', 'BIGINT') THEN {text}
+        WHEN {kind} = 'BOOLEAN' THEN initcap({text})
+        WHEN {kind} RLIKE r'{_WHOLE_DECIMAL}' THEN {text} || '.0'
+        WHEN {kind} LIKE 'DECIMAL%' OR {kind} = 'DOUBLE' THEN {text} END"""
 
 
-def typed_scalar(text: Column, document: Column, path: str) -> Column:
+def typed_scalar(text: str, document: str, path: str) -> Column:
     """Scalar member as text; NULL for null, arrays and objects."""
-    return F.when(document.isNull(), text).otherwise(
-        _spelled(F.try_variant_get(document, f"$[0]{path}", "string"), _kind(document, path))
-    )
+    spelled = _spelled(_at(document, path, "string"), _kind(document, path))
+    return F.expr(f"CASE WHEN {document} IS NULL THEN {text} ELSE {spelled} END")
 
 
-def typed_list(texts: Column, document: Column, path: str) -> Column:
+def typed_list(texts: str, document: str, path: str) -> Column:
     """A string as a one-element list, a list as its scalars, anything else empty."""
-    empty = F.array().cast("array<string>")
-    items = F.try_variant_get(document, f"$[0]{path}", "array<variant>")
-    spelled = F.filter(
-        F.transform(
-            items,
-            lambda item: _spelled(
-                F.try_variant_get(item, "$", "string"), F.schema_of_variant(item)
-            ),
-        ),
-        lambda text: text.isNotNull(),
-    )
-    whole = F.try_variant_get(document, f"$[0]{path}", "string")
-    return (
-        F.when(document.isNull(), F.coalesce(texts, empty))
-        .when(items.isNotNull(), spelled)
-        .when(_kind(document, path) == "STRING", F.array(whole))
-        .otherwise(empty)
-    )
+    items = _at(document, path, "array<variant>")
+    spelled = _spelled("try_variant_get(item, '$', 'string')", "schema_of_variant(item)")
+    return F.expr(f"""
+        CASE WHEN {document} IS NULL THEN coalesce({texts}, cast(array() AS array<string>))
+             WHEN {items} IS NOT NULL
+             THEN filter(transform({items}, item -> {spelled}), text -> text IS NOT NULL)
+             WHEN {_kind(document, path)} = 'STRING' THEN array({_at(document, path, 'string')})
+             ELSE cast(array() AS array<string>) END""")
 
 
-def typed_small_int(text: Column, document: Column, path: str, highest: int = 32767) -> Column:
+def typed_small_int(text: str, document: str, path: str, highest: int = 32767) -> Column:
     """Whole number in 0..highest from an int, float, boolean or digit string."""
     kind = _kind(document, path)
-    digits = F.regexp_replace(F.regexp_replace(text, r"^\s+|\s+$", ""), "_", "")
-    number = (
-        F.when(text.rlike(r"^\d{1,9}$"), text.try_cast("bigint"))
-        .when(text.rlike(r"^\s*[+-]?\d+(_\d+)*\s*$"), digits.try_cast("bigint"))
-        .when(kind == "BOOLEAN", F.when(text == "true", 1).otherwise(0))
-        .when(
-            kind.startswith("DECIMAL") | (kind == "DOUBLE"),
-            F.try_variant_get(document, f"$[0]{path}", "double").try_cast("bigint"),
-        )
-    )
-    return F.when(number.between(0, highest), number.cast("smallint"))
+    number = rf"""
+        CASE WHEN {text} RLIKE r'^\d{{1,9}}$' THEN try_cast({text} AS bigint)
+             WHEN {text} RLIKE r'^\s*[+-]?\d+(_\d+)*\s*$'
+             THEN try_cast(replace(regexp_replace({text}, r'^\s+|\s+$', ''), '_', '') AS bigint)
+             WHEN {kind} = 'BOOLEAN' THEN if({text} = 'true', 1, 0)
+             WHEN {kind} LIKE 'DECIMAL%' OR {kind} = 'DOUBLE'
+             THEN try_cast({_at(document, path, 'double')} AS bigint) END"""
+    return F.expr(f"CASE WHEN {number} BETWEEN 0 AND {highest} THEN cast({number} AS smallint) END")
 
 
-def string_of(quoted: Column, leaf: Column) -> Column:
+def string_of(quoted: str, leaf: str) -> Column:
     """Text of a VARIANT string given its JSON form; NULL for every other type."""
-    return F.when(
-        quoted.startswith('"'),
-        F.when(
-            F.contains(quoted, F.lit("\\")), F.try_variant_get(leaf, "$", "string")
-        ).otherwise(F.substring(quoted, F.lit(2), F.length(quoted) - 2)),
-    )
+    return F.expr(f"""
+        CASE WHEN startswith({quoted}, '"') THEN
+             CASE WHEN contains({quoted}, r'\') THEN try_variant_get({leaf}, '$', 'string')
+                  ELSE substring({quoted}, 2, length({quoted}) - 2) END END""")
 
 
 def member_int(raw: Column, name: str) -> Column:

@@ -49,12 +49,12 @@ def classify_entries(lines: DataFrame) -> DataFrame:
     schema = ", ".join(f"`{name}` variant" for name in names)
     parsed = with_members(present, F.col("_text"), schema)
     quoted = computed_once(
-        parsed, **{f"_json_{name}": F.to_json(F.col("_row")[name]) for name in names}
+        parsed, **{f"_json_{name}": F.expr(f"to_json(_row.{name})") for name in names}
     )
     fields = computed_once(
         quoted,
         **{
-            f"_field_{name}": string_of(F.col(f"_json_{name}"), F.col("_row")[name])
+            f"_field_{name}": string_of(f"_json_{name}", f"_row.{name}")
             for name in names
         },
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewatch.functions.json_text import (
     computed_once,
@@ -32,8 +32,8 @@ _MEMBERS = (
 )
 
 
-def _zoned(text, document, path):
-    return zoned_timestamp(text)
+def _zoned(text: str, document: str, path: str) -> Column:
+    return zoned_timestamp(F.col(text))
 
 
 # Finding column, where it sits in the document, how it is typed.
@@ -57,15 +57,18 @@ _FIELDS = {
 }
 
 
-def _types_needed(text, members: dict):
+def _types_needed() -> Column:
     """Rows whose members' texts alone do not settle the finding columns."""
-    level = F.coalesce(members["rule_level"].rlike(r"^\d{1,9}$"), F.lit(True))
-    lists = [name for name, (_, to_type) in _FIELDS.items() if to_type is typed_list]
-    unread = F.lit(False)
-    for name, key in zip(lists, ("groups", "mitre", "mitre"), strict=True):
-        unread = unread | (members[name].isNull() & F.contains(text, F.lit(f'"{key}"')))
-    texts = [members[name] for name in _FIELDS if name not in ("ts", "rule_level")]
-    return type_matters(texts) | F.contains(text, F.lit("null")) | ~level | unread
+    lists = [f"_row{path}" for path, to_type in _FIELDS.values() if to_type is typed_list]
+    unread = " OR ".join(
+        f"({name} IS NULL AND contains(_text, '\"{key}\"'))"
+        for name, key in zip(lists, ("groups", "mitre", "mitre"), strict=True)
+    )
+    texts = [f"_row{_FIELDS[name][0]}" for name in _FIELDS if name not in ("ts", "rule_level")]
+    return type_matters(texts) | F.expr(
+        f"contains(_text, 'null') OR {unread} OR "
+        r"NOT coalesce(_row.rule.level RLIKE r'^\d{1,9}$', true)"
+    )
 
 
 def classify(records: DataFrame) -> DataFrame:
@@ -78,11 +81,10 @@ def classify(records: DataFrame) -> DataFrame:
     text = F.col("_text")
     decoded = computed_once(records, _text=replace_nul(utf8_text(F.col("value"))))
     read = with_members(decoded, text, _MEMBERS)
-    members = {name: F.col(f"_row{path}") for name, (path, _) in _FIELDS.items()}
     judged = computed_once(
         read,
         _doc=F.when(
-            F.col("_row").isNull() | _types_needed(text, members), parse_document(text)
+            F.col("_row").isNull() | _types_needed(), parse_document(text)
         ),
     )
     judged = computed_once(
@@ -96,7 +98,7 @@ def classify(records: DataFrame) -> DataFrame:
         .when(has_lone_surrogate(text), "unencodable"),
     )
     typed = {
-        name: to_type(members[name], F.col("_doc"), path)
+        name: to_type(f"_row{path}", "_doc", path)
         for name, (path, to_type) in _FIELDS.items()
     }
     typed["manager"] = F.coalesce(typed["manager"], F.lit(""))
