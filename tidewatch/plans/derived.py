@@ -107,11 +107,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give an input of fewer splits than cores to all cores, because reading
+    documents costs far more than moving such a small input. A large input has
+    splits enough and is left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
+def _input(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    df = table(spark, sf_dir, name)
+    return spread(df, "event_id") if name == "events" else df
+
+
 def _query(spark: SparkSession, sf_dir: str, sql: str, *names: str) -> DataFrame:
     """Run SQL with the named tables in its FROM clauses."""
     return spark.sql(
         "WITH " + ", ".join(f"{name} AS (SELECT * FROM {{{name}}})" for name in names) + " " + sql,
-        **{name: table(spark, sf_dir, name) for name in names},
+        **{name: _input(spark, sf_dir, name) for name in names},
     )
 
 
