@@ -66,8 +66,7 @@ def _findings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger of one batch over everything, without writing it."""
-    nothing = spark.createDataFrame([], "manager string, alert_id string")
-    return lg.dispose(_classified(spark, sf_dir), nothing)
+    return lg.dispose(_classified(spark, sf_dir), None)
 
 
 def _sequences(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidewatch.operators.normalize import classify
-from tidewatch.operators.shuffles import first_copy, lookup_join
+from tidewatch.operators.shuffles import first_copy, is_small
 from tidewatch.schemas import FINDING, LEDGER
 
 KEYS = ("manager", "alert_id")
@@ -64,12 +64,20 @@ def create_tables(spark: SparkSession, path: str, table: str = "findings_ledger"
 
 
 def new_rows(batch: DataFrame, history: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
-    """Rows of the batch whose key is not in the history; the existing row wins."""
-    return batch.join(history.select(*keys), list(keys), "left_anti")
+    """Rows of the batch whose key is not in the history; the existing row wins.
+
+    If the batch's keys fit a broadcast, the history is scanned for them where it
+    lies and only the matches move; a larger batch is worth shuffling it.
+    """
+    known = history.select(*keys)
+    wanted = batch.select(*keys)
+    if is_small(wanted):
+        known = known.join(F.broadcast(wanted), list(keys), "left_semi")
+    return batch.join(known, list(keys), "left_anti")
 
 
-def dispose(classified: DataFrame, history: DataFrame) -> DataFrame:
-    """Add the disposition of every classified message.
+def dispose(classified: DataFrame, history: DataFrame | None) -> DataFrame:
+    """Add the disposition of every classified message; history may be None.
 
     Winners are chosen on keys and positions alone: first copies are reduced in
     each map task, compared with the stored keys, and joined back on the
@@ -77,9 +85,10 @@ def dispose(classified: DataFrame, history: DataFrame) -> DataFrame:
     messages in one task, and the documents are shuffled once.
     """
     alerts = classified.filter(F.col("reject_reason").isNull()).select(*KEYS, *POSITION)
-    winners = new_rows(first_copy(alerts, KEYS, POSITION), history).select(
-        *POSITION, F.lit(True).alias("_new")
-    )
+    winners = first_copy(alerts, KEYS, POSITION)
+    if history is not None:
+        winners = new_rows(winners, history)
+    winners = winners.select(*POSITION, F.lit(True).alias("_new"))
     return classified.join(winners, list(POSITION), "left").select(
         *classified.columns,
         F.when(F.col("reject_reason").isNotNull(), REJECTED)
@@ -98,9 +107,11 @@ def commit_batch(path: str) -> Callable[[DataFrame, int], None]:
 
     def commit(records: DataFrame, batch_id: int) -> None:
         spark = records.sparkSession
-        history = read_ledger(spark, path, below=batch_id).filter(
-            F.col("disposition") == INSERTED
-        )
+        history = None
+        if _exists(spark, _folder(path)):
+            history = read_ledger(spark, path, below=batch_id).filter(
+                F.col("disposition") == INSERTED
+            )
         classified = classify(records).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             rejected = F.col("disposition") == REJECTED
