@@ -7,9 +7,6 @@ from pyspark.sql import SparkSession
 HERE = os.path.dirname(os.path.abspath(__file__))
 for folder in (os.path.dirname(HERE), HERE):
     sys.path.insert(0, folder)
-os.environ["PYTHONPATH"] = os.pathsep.join(
-    [os.path.dirname(HERE), os.environ.get("PYTHONPATH", "")]
-)
 
 from tidewatch.session import configure  # noqa: E402
 

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators.generations import drain_order, owed_generations
 from tidewatch.sources.files import read_manifest
-from tidewatch.sources.rotating_ndjson import RotatingNdjson
+from tidewatch.sources import rotating_ndjson
 from tidewatch.streaming.ingest import start
 
 
 @pytest.fixture(scope="module", autouse=True)
 def registered(spark):
-    spark.dataSource.register(RotatingNdjson)
+    rotating_ndjson.register(spark)
 
 
 def write(path, *numbers, end="\n"):

@@ -27,7 +27,7 @@ from tidewatch.plans import derived as d
 from tidewatch.session import checkpoint_dir, configure, use_rocksdb_state
 from tidewatch.sinks import ledger as lg
 from tidewatch.sinks.files import write_envelopes
-from tidewatch.sources.rotating_ndjson import RotatingNdjson
+from tidewatch.sources import rotating_ndjson
 from tidewatch.sources.topics import topic_partitions
 from tidewatch.streaming import ingest as streams
 
@@ -435,7 +435,7 @@ def rotating_ndjson_scan(spark, sf_dir):
     import os
 
     configure(spark)
-    spark.dataSource.register(RotatingNdjson)
+    rotating_ndjson.register(spark)
     folder = _scratch(spark, "lines").removeprefix("file:")
     events = d.table(spark, sf_dir, "events")
     events.select(F.to_json(F.struct("event_id", "user_id")).alias("value")).write.text(folder)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
 
+_shipped: set[str] = set()
+
 ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 )
@@ -54,3 +58,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
         shared = tempfile.mkdtemp(prefix="tidewatch-checkpoint-")
     context.setCheckpointDir(shared)
     return context.getCheckpointDir()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Only what runs Python in tasks needs it, and only where the package is not
+    installed on the cluster already.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.join(tempfile.mkdtemp(prefix="tidewatch-"), "tidewatch")
+    archive = shutil.make_archive(
+        base, "zip", root_dir=os.path.dirname(package), base_dir=os.path.basename(package)
+    )
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)

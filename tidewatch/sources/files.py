@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewatch.operators.generations import at_line_boundary
 from tidewatch.schemas import MANIFEST
+from tidewatch.session import ship_package
 
 
 def read_journal(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
@@ -85,6 +86,7 @@ def read_manifest(routes: DataFrame, checkpoint: DataFrame) -> DataFrame:
     each task lists the folders of its own routes. routes: name, path,
     rotated_glob. checkpoint: source, file_id, offset.
     """
+    ship_package(routes.sparkSession)
     wanted = routes.select(F.col("name").alias("source"), "path", "rotated_glob").join(
         checkpoint.select("source", F.col("offset").cast("double").alias("offset")), "source", "left"
     )

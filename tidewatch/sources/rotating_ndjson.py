@@ -1,6 +1,6 @@
 """Data source for line files that grow, rotate and get truncated.
 
-    spark.dataSource.register(RotatingNdjson)
+    register(spark)
     spark.readStream.format("rotating_ndjson").option("path", "/logs/alerts.json").load()
 
 The offset of a stream is, per source, how far each generation has been read,
@@ -21,10 +21,13 @@ import glob
 import json
 import logging
 import os
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import SparkSession
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceReader,
@@ -372,3 +375,13 @@ class RotatingNdjson(DataSource):
 
     def streamReader(self, schema: StructType) -> DataSourceStreamReader:
         return _StreamReader(_Options(self.options))
+
+
+def register(spark: SparkSession) -> None:
+    """Make the format known to a session.
+
+    The workers that plan a stream do not see files added to the session, so the
+    source is sent to them by value.
+    """
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    spark.dataSource.register(RotatingNdjson)
