@@ -29,10 +29,9 @@ def keyed(docs: DataFrame, *more: str) -> DataFrame:
     Rows that agree in both have the same text, so that repeated rows, rows
     without an id and ids used twice need no number of their own.
     """
-    out = texts_of(docs, *more)
-    return out.withColumns({
-        "key_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")),
-        "key_text": F.xxhash64("text"),
+    return texts_of(docs, *more).withColumns({
+        "key_id": F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")),
+        "key_text": F.hash("text"),
     })
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import packing, sharding
+from tidewatch.llm import packing, quality_rules, repeated_phrases, sharding, suffix_arrays, url_rules
 
 SHARDS = [f"shard-{i:02d}" for i in range(64)]
 
@@ -27,14 +27,38 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op2_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_phrases.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
+
+
+def op5_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge(table(spark, sf_dir, "documents"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "failed_rates",
+    )
+
+
+def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
+def op9_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_arrays.remove_repeats(table(spark, sf_dir, "documents"), with_bytes=False)
+
+
 def op6_shard_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.place(table(spark, sf_dir, "documents").select("doc_id"), "doc_id", SHARDS)
     return placed.select("doc_id", "slot", "shard_no", "shard")
 
 
 QUERIES: dict[str, Query] = {
+    "op2_repeated_phrases": op2_repeated_phrases,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op5_adaptive_quality": op5_adaptive_quality,
     "op6_shard_lookup": op6_shard_lookup,
+    "op8_url_rules": op8_url_rules,
+    "op9_suffix_arrays": op9_suffix_arrays,
 }
 
 ORACLES: dict[str, str] = {}
