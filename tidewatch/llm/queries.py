@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import packing, quality_rules, repeated_phrases, sharding, suffix_arrays, url_rules
+from tidewatch.llm import near_duplicates, packing, quality_rules, repeated_phrases, sharding, suffix_arrays, url_rules
 
 SHARDS = [f"shard-{i:02d}" for i in range(64)]
 
@@ -39,6 +39,10 @@ def op5_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicate_classes(table(spark, sf_dir, "documents"))
+
+
 def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
@@ -57,6 +61,7 @@ QUERIES: dict[str, Query] = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_adaptive_quality": op5_adaptive_quality,
     "op6_shard_lookup": op6_shard_lookup,
+    "op7_dart_minhash": op7_dart_minhash,
     "op8_url_rules": op8_url_rules,
     "op9_suffix_arrays": op9_suffix_arrays,
 }
