@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import near_duplicates, packing, quality_rules, repeated_phrases, sharding, suffix_arrays, url_rules
+from tidewatch.llm import (
+    decontamination,
+    near_duplicates,
+    packing,
+    quality_rules,
+    repeated_phrases,
+    sharding,
+    suffix_arrays,
+    toxicity,
+    url_rules,
+)
 
 SHARDS = [f"shard-{i:02d}" for i in range(64)]
 
@@ -31,6 +41,14 @@ def op2_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_phrases.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
 
 
+def op4_nearest_toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_walk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf_dir, "documents"))
     return judged.select(
@@ -59,11 +77,13 @@ def op6_shard_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_repeated_phrases": op2_repeated_phrases,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_nearest_toxic": op4_nearest_toxic,
     "op5_adaptive_quality": op5_adaptive_quality,
     "op6_shard_lookup": op6_shard_lookup,
     "op7_dart_minhash": op7_dart_minhash,
     "op8_url_rules": op8_url_rules,
     "op9_suffix_arrays": op9_suffix_arrays,
+    "op10_walk_decontamination": op10_walk_decontamination,
 }
 
 ORACLES: dict[str, str] = {}
