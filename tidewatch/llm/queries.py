@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.llm import (
     decontamination,
+    lm_scoring,
     near_duplicates,
     packing,
     quality_rules,
@@ -37,6 +38,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op1_gated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
 def op2_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_phrases.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
 
@@ -75,6 +80,7 @@ def op6_shard_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_gated_lm": op1_gated_lm,
     "op2_repeated_phrases": op2_repeated_phrases,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_nearest_toxic": op4_nearest_toxic,
