@@ -23,19 +23,22 @@ def texts_of(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), *more)
 
 
-def keyed(docs: DataFrame, *more: str) -> DataFrame:
-    """texts_of() with the columns key_id and key_text, which name a row in joins.
+KEYS = ["key_id", "key_text"]
+
+
+def key_columns() -> list[Column]:
+    """Name a row in joins.
 
     Rows that agree in both have the same text, so that repeated rows, rows
     without an id and ids used twice need no number of their own.
     """
-    return texts_of(docs, *more).withColumns({
-        "key_id": F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")),
-        "key_text": F.hash("text"),
-    })
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return [F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)), F.hash(text)]
 
 
-KEYS = ["key_id", "key_text"]
+def keyed(docs: DataFrame, *more: str) -> DataFrame:
+    """texts_of() with the columns key_id and key_text of key_columns()."""
+    return texts_of(docs, *more).withColumns(dict(zip(KEYS, key_columns(), strict=True)))
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:

@@ -10,13 +10,14 @@ import ahocorasick
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tidewatch.llm.common import BLANKS, KEYS, WORD, keyed, mixed
+from tidewatch.llm.common import BLANKS, KEYS, WORD, key_columns, keyed, mixed
 from tidewatch.llm.recurring import STEP, Tokens, covered, prefix_sums, powers, repeats
 
 #: Words in a window, and in the grams that serve as anchors.
 WINDOW, GRAM = 35, 6
+#: Words of a window that the automata hold.
+HEAD = 10
 BYTES_AT_ONCE = 1 << 19
 
 WORD_OF = re.compile(WORD)
@@ -71,36 +72,38 @@ class Words(Tokens):
         """Confirm the recurring windows by their counts, then locate them all with one automaton.
 
         The automaton reads a letter for each word, made from 20 bits of its
-        code; what it finds is compared with the whole codes.
+        code, and holds the first words of each confirmed window. Where it
+        stops, the whole window is compared by its 64-bit hash.
         """
         hashes = [self.window_hashes(c) for c in contents]
-        _, first, back, n = np.unique(
-            np.concatenate(hashes), return_index=True, return_inverse=True, return_counts=True
-        )
+        every = np.concatenate(hashes)
+        confirmed, first, back, n = np.unique(every, return_index=True, return_inverse=True, return_counts=True)
         lengths = np.array([len(h) for h in hashes])
         owner = np.repeat(np.arange(len(contents)), lengths)
         place = np.arange(len(owner)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
         n = np.bincount(back, weights=times[owner], minlength=len(n))
         letters = [(0x10000 + (c >> np.uint32(12))).astype("<u4").tobytes().decode("utf-32-le") for c in contents]
-        automaton = ahocorasick.Automaton()
-        for at in first[n > 1]:
-            c, p = owner[at], place[at]
-            pattern = letters[c][p : p + self.window]
-            codes = contents[c][p : p + self.window].tobytes()
-            same = automaton.get(pattern, None)
-            if same is None:
-                automaton.add_word(pattern, {codes})
+        automaton, head = ahocorasick.Automaton(), min(HEAD, self.window)
+        alike: dict[int, list[int]] = {}  # further windows that begin like one in the automaton
+        recurring = np.nonzero(n > 1)[0]
+        for number, c, p in zip(recurring.tolist(), owner[first[recurring]].tolist(), place[first[recurring]].tolist(), strict=True):
+            pattern = letters[c][p : p + head]
+            if pattern in automaton:
+                alike.setdefault(automaton.get(pattern), []).append(number)
             else:
-                same.add(codes)
+                automaton.add_word(pattern, number)
         marks = [np.zeros(k, dtype=bool) for k in lengths]
         if len(automaton):
             automaton.make_automaton()
             for c, text in enumerate(letters):
-                mark, codes = marks[c], contents[c]
-                for last, known in automaton.iter(text):
-                    p = last - self.window + 1
-                    if codes[p : last + 1].tobytes() in known:
-                        mark[p] = True
+                found = list(automaton.iter(text, 0, int(lengths[c]) + head - 1))
+                if found:
+                    at, number = np.array(found, dtype=np.int64).T
+                    at -= head - 1
+                    same = hashes[c][at] == confirmed[number]
+                    marks[c][at[same]] = True
+                    for p, one in zip(at[~same].tolist(), number[~same].tolist(), strict=True):
+                        marks[c][p] |= any(hashes[c][p] == confirmed[other] for other in alike.get(one, ()))
         return marks
 
 
@@ -112,22 +115,23 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 CUT_ROWS = "n_words long, n_removed long, kept_sha256 string, kept_text string"
 
 
-def cut(text: str, spans: list) -> tuple[int, int, str, str | None]:
+def cut(text: str, spans: list, with_text: bool = True) -> tuple[int, int, str, str | None]:
     """Words, words removed, the hash of the kept ones, and the text without the removed ones (None: as it was).
 
     What stays of the text keeps its own blanks; where words were taken out
     the two ends meet in one space.
     """
-    words = WORD_OF.findall(text)
+    words = text.encode("utf-8", "surrogatepass").split()  # splits bytes at the blanks named in WORD
     starts, ends = covered(spans, len(words))
     if not len(starts):
-        return len(words), 0, hashlib.sha256(" ".join(words).encode("utf-8", "surrogatepass")).hexdigest(), None
+        return len(words), 0, hashlib.sha256(b" ".join(words)).hexdigest(), None
     bounds = [0, *np.stack([starts, ends], axis=1).ravel().tolist(), len(words)]
     keep = [w for a, b in zip(bounds[::2], bounds[1::2], strict=True) for w in words[a:b]]
-    digest = hashlib.sha256(" ".join(keep).encode("utf-8", "surrogatepass")).hexdigest()
-    places = [m.span() for m in WORD_OF.finditer(text)]
-    stretches = [text[places[a][0] : places[b - 1][1]] for a, b in zip(bounds[::2], bounds[1::2], strict=True) if b > a]
-    return len(words), int((ends - starts).sum()), digest, " ".join(stretches)
+    digest, kept_text = hashlib.sha256(b" ".join(keep)).hexdigest(), None
+    if with_text:
+        at = [m.span() for m in WORD_OF.finditer(text)]
+        kept_text = " ".join(text[at[a][0] : at[b - 1][1]] for a, b in zip(bounds[::2], bounds[1::2], strict=True) if b > a)
+    return len(words), int((ends - starts).sum()), digest, kept_text
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = True, more: tuple[str, ...] = ()) -> DataFrame:
@@ -144,7 +148,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = True
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
-            found = [cut(t, s) for t, s in zip(frame.pop("text"), frame.pop("spans"), strict=True)]
+            found = [cut(t, s, with_text) for t, s in zip(frame.pop("text"), frame.pop("spans"), strict=True)]
             frame["n_words"], frame["n_removed"], frame["kept_sha256"], frame["kept_text"] = zip(*found, strict=True)
             if not with_text:
                 del frame["kept_text"]
@@ -154,3 +158,27 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = True
     columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select("doc_id", *more).schema.fields]
     wanted = CUT_ROWS if with_text else CUT_ROWS.rpartition(",")[0]
     return rows.mapInPandas(run, ", ".join([*columns, wanted]))
+
+
+def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The input's rows and columns with the recurring passages taken out of text; see remove_repeats().
+
+    Texts without any, null ones included, stay as they are. A column n_chars
+    is set to the length of what is left.
+    """
+    spans = repeated_spans(docs, window)
+    names = docs.columns
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in batches:
+            kept = [
+                t if s is None else cut(t, s)[3] for t, s in zip(frame["text"], frame.pop("spans"), strict=True)
+            ]
+            if "n_chars" in frame:
+                frame["n_chars"] = [n if k is t else len(k) for n, k, t in zip(frame["n_chars"], kept, frame["text"], strict=True)]
+            frame["text"] = kept
+            yield frame[names]
+
+    marked = docs.select("*", *[c.alias(f"_{k}") for k, c in zip(KEYS, key_columns(), strict=True)])
+    joined = marked.join(spans.toDF("_key_id", "_key_text", "spans"), ["_key_id", "_key_text"], "left")
+    return joined.select(*names, "spans").mapInPandas(run, docs.schema)
