@@ -147,7 +147,9 @@ class Tokens:
 
 RUN_ROWS = "key_id long, key_text int, start int, anchor long, times int"
 SEGMENT_ROWS = "key_id long, key_text int, start int, anchor long, n int, split boolean, shard int, content binary"
-FOUND_ROWS = "key_id long, key_text int, start int, until int, hash long"
+SPAN_ROWS = "key_id long, key_text int, start int, until int"
+FOUND_ROWS = f"{SPAN_ROWS}, part int, open binary"
+OPEN = np.dtype([("key_id", "<i8"), ("key_text", "<i4"), ("start", "<i4"), ("hash", "<u8")])
 
 #: Runs of one anchor in a shard, and runs in a shard, about.
 RUNS_OF_ANCHOR, RUNS_OF_SHARD = 2000, 3000
@@ -207,17 +209,21 @@ def segments_of(docs: DataFrame, flagged: DataFrame, tokens: Tokens, shards: int
     return docs.select(*KEYS, "text").join(flagged, KEYS).mapInPandas(run, SEGMENT_ROWS)
 
 
-def found_in_shards(segments: DataFrame, tokens: Tokens) -> DataFrame:
-    """Stretches [start, until) of recurring windows' tokens, and, with a hash, windows of split anchors left open."""
+def found_in_shards(segments: DataFrame, tokens: Tokens, parts: int) -> DataFrame:
+    """Stretches [start, until) of recurring windows' tokens.
+
+    Windows of split anchors that start once in their shard stay open: they
+    come packed, by parts of the range of their hashes.
+    """
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         numbers: dict[bytes, int] = {}
         which = np.array([numbers.setdefault(c, len(numbers)) for c in frame["content"]], dtype=np.int64)
         contents = [tokens.sent(c) for c in numbers]
         marks = tokens.repeated(contents, np.bincount(which, minlength=len(contents)))
-        starts, untils, owners, hashes = [], [], [], []
         base, split = frame["start"].to_numpy(), frame["split"].to_numpy()
-        bounds, open_ones = [], {}
+        ids, texts = frame["key_id"].to_numpy(), frame["key_text"].to_numpy()
+        bounds, hashes, starts, untils, owners, left = [], {}, [], [], [], []
         for mark in marks:
             edges = np.diff(np.concatenate([[0], mark.astype(np.int8), [0]]))
             bounds.append((np.nonzero(edges == 1)[0], np.nonzero(edges == -1)[0] + tokens.window - 1))
@@ -226,27 +232,49 @@ def found_in_shards(segments: DataFrame, tokens: Tokens) -> DataFrame:
             starts.append(a + base[row])
             untils.append(b + base[row])
             owners.append(np.full(len(a), row))
-            hashes.append(np.zeros(len(a), dtype=np.int64))
             if split[row] and not marks[c].all():
-                if c not in open_ones:
-                    open_ones[c] = np.nonzero(~marks[c])[0], tokens.window_hashes(contents[c]).view(np.int64) | 1
-                left, own = open_ones[c]
-                starts.append(left + base[row])
-                untils.append(left + base[row] + tokens.window)
-                owners.append(np.full(len(left), row))
-                hashes.append(own[left])
+                if c not in hashes:
+                    hashes[c] = np.nonzero(~marks[c])[0], tokens.window_hashes(contents[c])
+                at, own = hashes[c]
+                one = np.empty(len(at), dtype=OPEN)
+                one["key_id"], one["key_text"], one["start"], one["hash"] = ids[row], texts[row], at + base[row], own[at]
+                left.append(one)
         owner = np.concatenate(owners)
-        return pd.DataFrame({
-            "key_id": frame["key_id"].to_numpy()[owner],
-            "key_text": frame["key_text"].to_numpy()[owner],
-            "start": np.concatenate(starts).astype(np.int32),
-            "until": np.concatenate(untils).astype(np.int32),
-            "hash": np.concatenate(hashes),
+        out = pd.DataFrame({
+            "key_id": ids[owner], "key_text": texts[owner], "start": np.concatenate(starts).astype(np.int32),
+            "until": np.concatenate(untils).astype(np.int32), "part": np.int32(-1), "open": None,
         })
+        if left:
+            every = np.concatenate(left)
+            own = (every["hash"] % np.uint64(parts)).astype(np.int64)
+            every = every[np.argsort(own, kind="stable")]
+            found, n = np.unique(own, return_counts=True)
+            stops = np.cumsum(n)
+            packed = pd.DataFrame({
+                "key_id": 0, "key_text": np.int32(0), "start": np.int32(0), "until": np.int32(0),
+                "part": found.astype(np.int32), "open": [every[b - k : b].tobytes() for b, k in zip(stops, n, strict=True)],
+            })
+            out = pd.concat([out, packed]) if len(out) else packed
+        return out
 
     return segments.groupBy("shard").applyInPandas(run, FOUND_ROWS)
 
 
+def closed(found: DataFrame, tokens: Tokens) -> DataFrame:
+    """The open windows that start in more than one shard."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        every = np.concatenate([np.frombuffer(b, dtype=OPEN) for b in frame["open"]])
+        _, back, n = np.unique(every["hash"], return_inverse=True, return_counts=True)
+        every = every[n[back] > 1]
+        return pd.DataFrame({
+            "key_id": every["key_id"], "key_text": every["key_text"], "start": every["start"],
+            "until": every["start"] + np.int32(tokens.window),
+        })
+
+    return found.filter("part >= 0").groupBy("part").applyInPandas(run, SPAN_ROWS)
+
+
 def repeats(docs: DataFrame, tokens: Tokens, keep_runs: bool) -> DataFrame:
     """key_id, key_text and spans (array of start, until) of each document with tokens in recurring windows.
 
@@ -269,10 +297,8 @@ def repeats(docs: DataFrame, tokens: Tokens, keep_runs: bool) -> DataFrame:
     )
     total = marks.agg(F.sum(F.size("marks"))).first()[0] or 0
     shards = max(4 * tasks_of(spark), int(total) // RUNS_OF_SHARD)
-    found = stored(found_in_shards(segments_of(rows, marks, tokens, shards), tokens), "found")
-    left = found.filter("hash != 0")
-    recurring = left.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash")
-    spans = found.filter("hash = 0").unionByName(left.join(recurring, "hash").select(found.columns))
+    found = stored(found_in_shards(segments_of(rows, marks, tokens, shards), tokens, shards), "found")
+    spans = found.filter("part < 0").select("key_id", "key_text", "start", "until").unionByName(closed(found, tokens))
     return spans.groupBy(*KEYS).agg(F.collect_set(F.struct("start", "until")).alias("spans"))
 
 
