@@ -172,6 +172,26 @@ class Items:
         return [(*key, *found) for key, found in best.items()]
 
 
+def item_blocks(benchmark: DataFrame, similarity: float) -> Iterator:
+    """The items in broadcasts of a bounded number and size."""
+    spark = benchmark.sparkSession
+    items = benchmark.filter("text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
+    n, chars = items.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
+    blocks = max(1, -(-n // ITEMS_AT_ONCE), -(-chars // CHARS_AT_ONCE))
+    for block in range(blocks):
+        own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
+        yield spark.sparkContext.broadcast(Items(sorted({(r["item_id"], r["text"]) for r in own}, key=str), similarity))
+
+
+def search_texts(items: Items, texts: list[str]) -> tuple[list[tuple[int, int, int, int, int]], np.ndarray]:
+    """The matches of some texts, and where each text ends in their words together."""
+    lists = [words_of(t) for t in texts]
+    ends = np.cumsum([len(w) for w in lists])
+    get = items.number.get
+    ids = np.array([get(w, 0) for words in lists for w in words], dtype=np.int64)
+    return (items.search(ids, ends) if len(ids) and items.words else []), ends
+
+
 MATCHES = "doc_id long, item_id long, n_edits int, similarity double, start_word int, n_words int"
 
 
@@ -187,29 +207,15 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARIT
     All items are looked up in all texts, in blocks of a bounded number and
     size, one pass over the documents for each block.
     """
-    spark = docs.sparkSession
-    python_ready(spark)
-    items = benchmark.filter("text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
-    n, chars = items.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
-    blocks = max(1, -(-n // ITEMS_AT_ONCE), -(-chars // CHARS_AT_ONCE))
+    python_ready(docs.sparkSession)
     rows = texts_of(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     out = None
-    for block in range(blocks):
-        own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
-        sent = spark.sparkContext.broadcast(Items(sorted({(r["item_id"], r["text"]) for r in own}, key=str), similarity))
+    for sent in item_blocks(benchmark, similarity):
 
         def run(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
             block = sent.value
-            number = block.number
             for frame in slices(batches, 1_000_000):
-                if not block.words:
-                    continue
-                lists = [words_of(t) for t in frame["text"]]
-                ends = np.cumsum([len(w) for w in lists])
-                ids = np.array([number.get(w, 0) for words in lists for w in words], dtype=np.int64)
-                if not len(ids):
-                    continue
-                found = block.search(ids, ends)
+                found, ends = search_texts(block, frame["text"].tolist())
                 if found:
                     doc, item, edits, start, end = (np.array(x) for x in zip(*found, strict=True))
                     yield pd.DataFrame({
@@ -224,3 +230,20 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARIT
         part = rows.mapInPandas(run, MATCHES)
         out = part if out is None else out.unionByName(part)
     return out
+
+
+def without_benchmark(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows and columns of the documents that hold no item; see matches()."""
+    python_ready(docs.sparkSession)
+    for sent in item_blocks(benchmark, similarity):
+
+        def run(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
+            for frame in batches:
+                clean = np.ones(len(frame), dtype=bool)
+                for begin in range(0, len(frame), 256):
+                    texts = [t or "" for t in frame["text"].iloc[begin : begin + 256]]
+                    clean[[begin + f[0] for f in search_texts(sent.value, texts)[0]]] = False
+                yield frame[clean]
+
+        docs = docs.mapInPandas(run, docs.schema)
+    return docs

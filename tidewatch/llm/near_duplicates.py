@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import KEYS, keyed, mixed, python_ready, slices, stored
+from tidewatch.llm.common import KEYS, key_columns, keyed, mixed, python_ready, slices, stored
 from tidewatch.llm.components import components
 from tidewatch.llm.recurring import STEP, gram_hashes
 from tidewatch.llm.repeated_phrases import word_hashes
@@ -227,9 +227,9 @@ def deduplicate(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     signs, joined = classes(docs, least)
     names = docs.columns
     marked = docs.select(
-        F.struct("*").alias("row"), F.col("doc_id").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text")
-    ).withColumns({"key_id": F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")), "key_text": F.hash("text")})
-    placed = marked.drop("text").join(signs.distinct(), KEYS).join(joined, "node", "left").withColumn(
+        F.struct("*").alias("row"), "doc_id", *[c.alias(k) for k, c in zip(KEYS, key_columns(), strict=True)]
+    )
+    placed = marked.join(signs.distinct(), KEYS).join(joined, "node", "left").withColumn(
         "class", F.coalesce("component", "node")
     )
     order = Window.partitionBy("class").orderBy(F.col("doc_id").asc_nulls_last(), "key_text")

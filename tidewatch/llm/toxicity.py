@@ -203,3 +203,17 @@ def score(docs: DataFrame, labels: DataFrame, more: tuple[str, ...] = ()) -> Dat
     rows = rows.select("doc_id", *more, "held_out", "text")
     columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.drop("text").schema.fields]
     return rows.mapInPandas(run, ", ".join([*columns, SCORES]))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows and columns of the documents whose score stays below one half; see score()."""
+    spark = docs.sparkSession
+    python_ready(spark)
+    index = spark.sparkContext.broadcast(learn(docs, labels))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = index.value
+        for frame in batches:
+            yield frame[[own.judge(t or "")[0] < 0.5 for t in frame["text"]]]
+
+    return docs.mapInPandas(run, docs.schema)
