@@ -8,8 +8,8 @@ those of the same anchor. Consecutive windows with one anchor are a run.
 
 Runs whose anchor recurs are sent to the shard of their anchor with the text
 they cover. A shard finds the windows that start twice in it. An anchor with
-very many runs is spread over several shards by document; windows that start
-once in such a shard are then counted over all its shards.
+very many runs is spread over several shards by document; the different
+windows of these shards are then compared by their hashes.
 """
 
 from __future__ import annotations
@@ -212,8 +212,8 @@ def segments_of(docs: DataFrame, flagged: DataFrame, tokens: Tokens, shards: int
 def found_in_shards(segments: DataFrame, tokens: Tokens, parts: int) -> DataFrame:
     """Stretches [start, until) of recurring windows' tokens.
 
-    Windows of split anchors that start once in their shard stay open: they
-    come packed, by parts of the range of their hashes.
+    Of split anchors, each different window also comes once from each of its
+    shards, packed by parts of the range of its hash: it may start elsewhere.
     """
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
@@ -223,7 +223,7 @@ def found_in_shards(segments: DataFrame, tokens: Tokens, parts: int) -> DataFram
         marks = tokens.repeated(contents, np.bincount(which, minlength=len(contents)))
         base, split = frame["start"].to_numpy(), frame["split"].to_numpy()
         ids, texts = frame["key_id"].to_numpy(), frame["key_text"].to_numpy()
-        bounds, hashes, starts, untils, owners, left = [], {}, [], [], [], []
+        bounds, told, starts, untils, owners, left = [], set(), [], [], [], []
         for mark in marks:
             edges = np.diff(np.concatenate([[0], mark.astype(np.int8), [0]]))
             bounds.append((np.nonzero(edges == 1)[0], np.nonzero(edges == -1)[0] + tokens.window - 1))
@@ -232,12 +232,12 @@ def found_in_shards(segments: DataFrame, tokens: Tokens, parts: int) -> DataFram
             starts.append(a + base[row])
             untils.append(b + base[row])
             owners.append(np.full(len(a), row))
-            if split[row] and not marks[c].all():
-                if c not in hashes:
-                    hashes[c] = np.nonzero(~marks[c])[0], tokens.window_hashes(contents[c])
-                at, own = hashes[c]
-                one = np.empty(len(at), dtype=OPEN)
-                one["key_id"], one["key_text"], one["start"], one["hash"] = ids[row], texts[row], at + base[row], own[at]
+            if split[row] and c not in told:
+                told.add(c)
+                own = tokens.window_hashes(contents[c])
+                one = np.empty(len(own), dtype=OPEN)
+                one["key_id"], one["key_text"], one["hash"] = ids[row], texts[row], own
+                one["start"] = base[row] + np.arange(len(own))
                 left.append(one)
         owner = np.concatenate(owners)
         out = pd.DataFrame({
@@ -246,6 +246,7 @@ def found_in_shards(segments: DataFrame, tokens: Tokens, parts: int) -> DataFram
         })
         if left:
             every = np.concatenate(left)
+            every = every[np.unique(every["hash"], return_index=True)[1]]
             own = (every["hash"] % np.uint64(parts)).astype(np.int64)
             every = every[np.argsort(own, kind="stable")]
             found, n = np.unique(own, return_counts=True)
@@ -261,7 +262,7 @@ def found_in_shards(segments: DataFrame, tokens: Tokens, parts: int) -> DataFram
 
 
 def closed(found: DataFrame, tokens: Tokens) -> DataFrame:
-    """The open windows that start in more than one shard."""
+    """The windows of split anchors that start in more than one shard."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         every = np.concatenate([np.frombuffer(b, dtype=OPEN) for b in frame["open"]])

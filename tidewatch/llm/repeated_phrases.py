@@ -172,13 +172,13 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
             kept = [
-                t if s is None else cut(t, s)[3] for t, s in zip(frame["text"], frame.pop("spans"), strict=True)
+                t if s is None else cut(t, s)[3] for t, s in zip(frame["text"], frame.pop("_llm_spans"), strict=True)
             ]
             if "n_chars" in frame:
                 frame["n_chars"] = [n if k is t else len(k) for n, k, t in zip(frame["n_chars"], kept, frame["text"], strict=True)]
             frame["text"] = kept
             yield frame[names]
 
-    marked = docs.select("*", *[c.alias(f"_{k}") for k, c in zip(KEYS, key_columns(), strict=True)])
-    joined = marked.join(spans.toDF("_key_id", "_key_text", "spans"), ["_key_id", "_key_text"], "left")
-    return joined.select(*names, "spans").mapInPandas(run, docs.schema)
+    marked = docs.select("*", *[c.alias(f"_llm_{k}") for k, c in zip(KEYS, key_columns(), strict=True)])
+    joined = marked.join(spans.toDF("_llm_key_id", "_llm_key_text", "_llm_spans"), ["_llm_key_id", "_llm_key_text"], "left")
+    return joined.select(*names, "_llm_spans").mapInPandas(run, docs.schema)
