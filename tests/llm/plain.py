@@ -73,6 +73,10 @@ def best_fit(lengths, capacity):
     return opened
 
 
+def item_words(text):
+    return re.findall("[^\\x00-\\x2f\\x3a-\\x40\\x5b-\\x60\\x7b-\\x7f]+", (text or "").lower())
+
+
 def best_distance(item, words):
     """Edit distance of the item to the nearest stretch of the words."""
     row = [0] * (len(words) + 1)

@@ -191,13 +191,13 @@ def test_edited_items_are_found_and_others_not(spark, odd_docs, no_docs):
             at = rng.randrange(51)
             words[at:at] = own
         rows.append((doc_id, " ".join(words)))
-        texts[doc_id] = decontamination.words_of(rows[-1][1])
+        texts[doc_id] = plain.item_words(rows[-1][1])
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     found = {(r["doc_id"], r["item_id"]): r["n_edits"] for r in decontamination.matches(docs, benchmark).collect()}
     expected = {}
     for item_id, text in items[:5]:
-        words = decontamination.words_of(text)
+        words = plain.item_words(text)
         for doc_id, own in texts.items():
             edits = plain.best_distance(words, own)
             if edits <= 0.2 * len(words) + 1e-9:

@@ -1,5 +1,5 @@
 import plain
-from tidewatch.llm import decontamination, packing
+from tidewatch.llm import packing
 from tidewatch.llm.common import stored
 
 import corpus_pipeline
@@ -31,10 +31,10 @@ def test_each_stage_does_its_part(spark, sf_dir):
         assert plain.WORD.findall(texts[r["doc_id"]] or "") == [w for w, m in zip(own, marks) if not m]
         assert any(marks) or texts[r["doc_id"]] == r["text"]
     before, after = seen["decontamination"]
-    items = [decontamination.words_of(r["text"]) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    items = [plain.item_words(r["text"]) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
     kept = {r["doc_id"] for r in after}
     for r in before:
-        words = decontamination.words_of(r["text"] or "")
+        words = plain.item_words(r["text"] or "")
         near = any(
             len(set(words) & set(i)) >= 0.6 * len(set(i)) and plain.best_distance(i, words) <= 0.2 * len(i) + 1e-9
             for i in items

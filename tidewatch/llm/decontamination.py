@@ -7,7 +7,6 @@ what is found is then verified by the exact edit distance.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.llm.common import mixed, python_ready, slices, texts_of
 from tidewatch.llm.recurring import STEP
+from tidewatch.llm.repeated_phrases import word_hashes
 
 SIMILARITY = 0.8
 #: Items with fewer words are no evidence of a copied passage.
@@ -26,11 +26,15 @@ WALKS, PLACES, REACH = 32, 2, 36
 #: Items, and their characters, that are sent to the tasks at once.
 ITEMS_AT_ONCE, CHARS_AT_ONCE = 5000, 4_000_000
 
-WORD = re.compile(r"[^\W_]+")
+#: Bytes between words: ASCII characters that are no letters or digits.
+BETWEEN = np.array([i < 128 and not chr(i).isalnum() for i in range(256)])
+#: Bits of a first test for words that no item has.
+SIEVE = 20
 
 
-def words_of(text: str) -> list[str]:
-    return WORD.findall(text.lower())
+def words_of(text: str) -> np.ndarray:
+    """Hashes of the words in lower case: runs of letters and digits, with all characters beyond ASCII."""
+    return word_hashes(text.lower().encode("utf-8", "surrogatepass"), BETWEEN)
 
 
 def sampled_places(walks: int = WALKS, places: int = PLACES, reach: int = REACH, seed: int = 5) -> np.ndarray:
@@ -84,13 +88,16 @@ class Items:
     """Some benchmark items, ready to be looked up."""
 
     def __init__(self, items: list[tuple[int, str]], similarity: float):
-        self.number: dict[str, int] = {}
-        self.ids, self.words = [], []
+        self.ids, hashes = [], []
         for item_id, text in items:
-            words = words_of(text)
-            if len(words) >= LEAST_WORDS:
+            own = words_of(text)
+            if len(own) >= LEAST_WORDS:
                 self.ids.append(item_id)
-                self.words.append(np.array([self.number.setdefault(w, len(self.number) + 1) for w in words]))
+                hashes.append(own)
+        self.known = np.unique(np.concatenate([np.zeros(0, dtype=np.uint64), *hashes]))
+        self.sieve = np.zeros(1 << SIEVE, dtype=bool)
+        self.sieve[(self.known >> np.uint64(64 - SIEVE)).astype(np.int64)] = True
+        self.words = [self.numbers(own) for own in hashes]
         self.edits = [int((1 - similarity) * len(w) + 1e-9) for w in self.words]
         self.places = sampled_places()
         self.lengths = sorted({len(w) for w in self.words})
@@ -104,10 +111,20 @@ class Items:
                 heads.append((len(words), int(words[skip])))
                 grid.append(np.pad(tail, (0, REACH - len(tail))))
                 owner.append(i)
-        self.heads = np.zeros((len(self.lengths), len(self.number) + 1), dtype=bool)
+        self.width = len(self.known) + 1
+        at = {n: i for i, n in enumerate(self.lengths)}
+        self.heads = np.zeros((-(-len(self.lengths) // 64), self.width), dtype=np.uint64)
         for n, word in heads:
-            self.heads[self.lengths.index(n), word] = True
-        self.is_head = self.heads.any(axis=0)
+            self.heads[at[n] // 64, word] |= np.uint64(1 << at[n] % 64)
+        #: Words of each item, as item * width + word, with their number; and the most of each word in an item of a length.
+        none = np.zeros(0, dtype=np.int64)
+        self.held, self.times = np.unique(
+            np.concatenate([none, *[i * self.width + w for i, w in enumerate(self.words)]]), return_counts=True
+        )
+        by_length = np.array([at[len(w)] for w in self.words], dtype=np.int64)[self.held // self.width] * self.width + self.held % self.width
+        self.held_by_length, back = np.unique(by_length, return_inverse=True)
+        self.times_by_length = np.zeros(len(self.held_by_length), dtype=np.int64)
+        np.maximum.at(self.times_by_length, back, self.times)
         if grid:
             keys = self._with_length(walk_keys(np.array(grid), self.places), np.array([h[0] for h in heads])).ravel()
             owners = np.repeat(np.array(owner), len(self.places))
@@ -118,24 +135,53 @@ class Items:
     def _with_length(keys: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return mixed(keys + lengths.astype(np.uint64)[:, None])
 
+    def numbers(self, hashes: np.ndarray) -> np.ndarray:
+        """Numbers of words from 1 on, 0 for words that no item has."""
+        out = np.zeros(len(hashes), dtype=np.int64)
+        some = np.nonzero(self.sieve[(hashes >> np.uint64(64 - SIEVE)).astype(np.int64)])[0]
+        if len(some):
+            near = np.minimum(np.searchsorted(self.known, hashes[some]), len(self.known) - 1)
+            out[some] = np.where(self.known[near] == hashes[some], near + 1, 0)
+        return out
+
     def windows(self, ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Starts and lengths of the windows that can match an item.
 
         A stretch within the allowed edits shares all other words with its
         item. So its window begins with one of the item's first words and has
-        at least that many words that occur in items.
+        at least that many words that occur in items of its length, none more
+        often than in one of them.
         """
-        known = np.concatenate([[0], np.cumsum(ids > 0)])
-        starts = np.nonzero(self.is_head[ids])[0]
-        stops = ends[np.searchsorted(ends, starts, side="right")]
-        found = []
+        found, known = [], np.concatenate([[0], np.cumsum(ids > 0)])
         for which, n in enumerate(self.lengths):
-            enough = known[np.minimum(starts + n, stops)] - known[starts] >= self.least[n]
-            own = starts[enough]
-            own = own[self.heads[which][ids[own]]]
+            if which % 64 == 0:
+                masks = self.heads[which // 64][ids]
+                places = np.nonzero(masks)[0]
+                masks, limits = masks[places], ends[np.searchsorted(ends, places, side="right")]
+            mine = (masks >> np.uint64(which % 64)) & np.uint64(1) > 0
+            own, stops = places[mine], np.minimum(places[mine] + n, limits[mine])
+            enough = known[stops] - known[own] >= self.least[n]
+            own, stops = own[enough], stops[enough]
+            shared = self._shared(ids, own, stops, np.full(len(own), which), self.held_by_length, self.times_by_length)
+            own = own[shared >= self.least[n]]
             found.append((own, np.full(len(own), n)))
         return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
+    def _shared(
+        self, ids: np.ndarray, starts: np.ndarray, stops: np.ndarray, group: np.ndarray, held: np.ndarray, times: np.ndarray
+    ) -> np.ndarray:
+        """Words of each window that its group has, each as often as the group has it at most."""
+        n = stops - starts
+        row = np.repeat(np.arange(len(starts)), n)
+        at = starts[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        keys = group[row] * self.width + ids[at]
+        near = np.minimum(np.searchsorted(held, keys), len(held) - 1)
+        there = held[near] == keys
+        both, seen = np.unique(row[there] * len(held) + near[there], return_counts=True)
+        return np.bincount(
+            both // len(held), weights=np.minimum(seen, times[both % len(held)]), minlength=len(starts)
+        )
+
     def search(self, ids: np.ndarray, ends: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """(document's place in ends, item's place, distance, start, end) of the best match of each pair."""
         starts, lengths = self.windows(ids, ends)
@@ -155,21 +201,38 @@ class Items:
             within = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
             item = self.owner[np.repeat(low[hits], many) + within]
             window = np.repeat(hits // keys.shape[1], many)
-            pairs.append(np.unique(np.stack([s[window], item], axis=1), axis=0))
-        best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        reached: dict[tuple[int, int], int] = {}
-        for start, item in np.unique(np.concatenate(pairs), axis=0):
-            doc = int(np.searchsorted(ends, start, side="right"))
-            words, edits, key = self.words[item], self.edits[item], (doc, int(item))
-            begin = max(int(start) - edits, int(ends[doc - 1]) if doc else 0)
-            end = min(int(start) + len(words) + edits, int(ends[doc]))
-            if end <= reached.get(key, -1):
-                continue
-            reached[key] = end
-            distance, a, b = best_match(words, ids[begin:end])
-            if distance <= edits and (key not in best or distance < best[key][0]):
-                best[key] = distance, begin + a, begin + b
-        return [(*key, *found) for key, found in best.items()]
+            both = np.unique(window * len(self.words) + item)
+            window, item = both // len(self.words), both % len(self.words)
+            least = np.array([len(w) - e for w, e in zip(self.words, self.edits, strict=True)])[item]
+            until = np.minimum(stop[window], s[window] + np.array([len(w) for w in self.words])[item])
+            enough = self._shared(ids, s[window], until, item, self.held, self.times) >= least
+            pairs.append(np.stack([s[window], item], axis=1)[enough])
+        found = np.unique(np.concatenate(pairs), axis=0)
+        docs = np.searchsorted(ends, found[:, 0], side="right")
+        order = np.lexsort((found[:, 0], found[:, 1], docs))
+        out: dict[tuple[int, int], tuple[int, int, int]] = {}
+        group: list[int] = []
+        rows = [(int(d), int(i), int(s)) for d, i, s in zip(docs[order], found[order, 1], found[order, 0], strict=True)]
+        for here, after in zip(rows, [*rows[1:], None], strict=True):
+            group.append(here[2])
+            near = after is not None and after[:2] == here[:2] and after[2] - here[2] <= len(self.words[here[1]])
+            if not near:  # starts close to each other are verified together
+                key = here[:2]
+                match = self._verified(ids, ends, *key, group)
+                if match and (key not in out or match[0] < out[key][0]):
+                    out[key] = match
+                group = []
+        return [(*key, *match) for key, match in out.items()]
+
+    def _verified(self, ids: np.ndarray, ends: np.ndarray, doc: int, item: int, starts: list[int]) -> tuple[int, int, int] | None:
+        words, edits = self.words[item], self.edits[item]
+        for start in starts:
+            if start + len(words) <= ends[doc] and (ids[start : start + len(words)] == words).all():
+                return 0, start, start + len(words)
+        begin = max(starts[0] - edits, int(ends[doc - 1]) if doc else 0)
+        end = min(starts[-1] + len(words) + edits, int(ends[doc]))
+        distance, a, b = best_match(words, ids[begin:end])
+        return (distance, begin + a, begin + b) if distance <= edits else None
 
 
 def item_blocks(benchmark: DataFrame, similarity: float) -> Iterator:
@@ -187,9 +250,9 @@ def search_texts(items: Items, texts: list[str]) -> tuple[list[tuple[int, int, i
     """The matches of some texts, and where each text ends in their words together."""
     lists = [words_of(t) for t in texts]
     ends = np.cumsum([len(w) for w in lists])
-    get = items.number.get
-    ids = np.array([get(w, 0) for words in lists for w in words], dtype=np.int64)
-    return (items.search(ids, ends) if len(ids) and items.words else []), ends
+    if not items.words or not len(ends) or not ends[-1]:
+        return [], ends
+    return items.search(items.numbers(np.concatenate(lists)), ends), ends
 
 
 MATCHES = "doc_id long, item_id long, n_edits int, similarity double, start_word int, n_words int"
@@ -198,7 +261,7 @@ MATCHES = "doc_id long, item_id long, n_edits int, similarity double, start_word
 def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """A row for each document and item that it holds: edits, similarity, and the place of its best match.
 
-    Words are runs of letters and digits in lower case. A document holds an
+    Words are runs of letters and digits, and characters beyond ASCII, in lower case. A document holds an
     item if some stretch of its words is at an edit distance, in words, of at
     most (1 - similarity) times the item's words. Equal matches go to the
     first place. Null or empty texts and items below five words match nothing;
@@ -214,7 +277,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARIT
 
         def run(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
             block = sent.value
-            for frame in slices(batches, 1_000_000):
+            for frame in slices(batches, 4_000_000):
                 found, ends = search_texts(block, frame["text"].tolist())
                 if found:
                     doc, item, edits, start, end = (np.array(x) for x in zip(*found, strict=True))
@@ -240,8 +303,8 @@ def without_benchmark(docs: DataFrame, benchmark: DataFrame, similarity: float =
         def run(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
             for frame in batches:
                 clean = np.ones(len(frame), dtype=bool)
-                for begin in range(0, len(frame), 256):
-                    texts = [t or "" for t in frame["text"].iloc[begin : begin + 256]]
+                for begin in range(0, len(frame), 1024):
+                    texts = [t or "" for t in frame["text"].iloc[begin : begin + 1024]]
                     clean[[begin + f[0] for f in search_texts(sent.value, texts)[0]]] = False
                 yield frame[clean]
 

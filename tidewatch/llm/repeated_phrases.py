@@ -27,22 +27,22 @@ _blank[[ord(c) for c in BLANKS]] = True
 _of_byte = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(STEP))
 
 
-def word_hashes(text: bytes) -> np.ndarray:
-    """A 64-bit hash of each word of a text in UTF-8."""
+def word_hashes(text: bytes, between: np.ndarray = _blank) -> np.ndarray:
+    """A 64-bit hash of each word of a text in UTF-8; between: which bytes lie between words."""
     out, begin = [], 0
     while begin < len(text):
         end = begin + BYTES_AT_ONCE
         if end < len(text):  # cut where a word ends; a word longer than the unit is taken whole
-            rest = np.nonzero(_blank[np.frombuffer(text[end : end + 4096], dtype=np.uint8)])[0]
+            rest = np.nonzero(between[np.frombuffer(text[end : end + 4096], dtype=np.uint8)])[0]
             end = end + int(rest[0]) if len(rest) else len(text)
         part = np.frombuffer(text[begin:end], dtype=np.uint8)
         begin = end
         blank = np.ones(len(part) + 2, dtype=bool)
-        blank[1:-1] = _blank[part]
+        blank[1:-1] = between[part]
         starts = np.nonzero(blank[:-1] & ~blank[1:])[0]
         ends = np.nonzero(~blank[:-1] & blank[1:])[0]
         if len(part) > len(powers()[0]):
-            words = text[end - len(part) : end].translate(bytes(32 if b else i for i, b in enumerate(_blank))).split()
+            words = text[end - len(part) : end].translate(bytes(32 if b else i for i, b in enumerate(between))).split()
             out.append(np.array([int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little") for w in words], dtype=np.uint64))
             continue
         sums = prefix_sums(_of_byte[part])
