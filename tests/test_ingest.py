@@ -122,7 +122,7 @@ def test_state_store_variant_agrees(pipe, spark):
     pipe.send([alert(i) for i in range(4, 9)], 21)
     pipe.run(streams.ingest_with_state)
     found = spark.read.parquet(pipe.target)
-    assert sorted(row.alert_id for row in found.collect()) == [f"1741064767.{i}" for i in range(9)]
+    assert sorted(row.alert_id for row in found.collect()) == [f"id-{i}" for i in range(9)]
 
 
 def test_running_audit_closes_gaps(pipe, spark):
@@ -198,3 +198,29 @@ def test_queue_and_journal_files(spark, tmp_path):
     assert sorted(r.value for r in read_journal(spark, str(tmp_path / "lines")).collect()) == [
         '{"n":0}', '{"n":1}', '{"n":2}'
     ]
+
+
+def test_a_new_checkpoint_adds_only_what_is_new(pipe, tmp_path):
+    """The stored rows of an earlier run stay, whatever the numbers of its batches."""
+    pipe.send([alert(1), alert(2)], 0)
+    pipe.run()
+    pipe.send([alert(3), alert(2)], 2)
+    pipe.run()
+    pipe.send([alert(4)], 4)
+    pipe.state = str(tmp_path / "other")
+    pipe.run()
+    assert pipe.stats()["inserted"] == 4
+    assert sorted(r.alert_id for r in lg.findings(pipe.ledger()).collect()) == ["id-1", "id-2", "id-3", "id-4"]
+    assert pipe.ledger().select("run").distinct().count() == 2
+
+
+def test_rejects_keep_the_whole_message(pipe, records):
+    long = "x" * 5000
+    lg.commit_batch(pipe.target)(records([long, alert(1)]), 0)
+    row = lg.rejects(pipe.ledger()).first()
+    assert bytes(row.rejected_value) == long.encode() and len(row.preview) == 200
+
+
+def test_alerts_without_a_topic_are_stored(pipe, records):
+    lg.commit_batch(pipe.target)(records([alert(1), alert(1), alert(2)], topic=None), 0)
+    assert pipe.stats() == {"consumed": 3, "inserted": 2, "duplicates": 1, "rejected": 0}

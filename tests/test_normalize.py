@@ -16,13 +16,13 @@ def one(records, value):
 def test_full_alert(records):
     row = one(records, alert(1))
     assert row.reject_reason is None
-    assert (row.manager, row.alert_id) == ("mgr", "1741064767.1")
+    assert (row.manager, row.alert_id) == ("north", "id-1")
     assert row.ts == datetime(2025, 3, 4, 5, 6, 7, 123000)
-    assert (row.rule_id, row.rule_level, row.rule_groups) == ("9004", 7, ["syslog", "sudo"])
-    assert (row.mitre_ids, row.mitre_tactics) == (["T1548.003"], ["Privilege Escalation"])
-    assert (row.agent_id, row.agent_name, row.agent_ip) == ("101", "edge-01", "192.0.2.11")
-    assert (row.decoder, row.location) == ("sudo", "/var/log/auth.log")
-    assert (row.src_ip, row.src_user) == ("198.51.100.9", "deploy")
+    assert (row.rule_id, row.rule_level, row.rule_groups) == ("601", 1, ["all", "p1"])
+    assert (row.mitre_ids, row.mitre_tactics) == (["X1"], ["Aim p1"])
+    assert (row.agent_id, row.agent_name, row.agent_ip) == ("p1", "node-p1", "192.0.2.77")
+    assert (row.decoder, row.location) == ("decoder-p1", "/data/p1.log")
+    assert (row.src_ip, row.src_user) == ("203.0.113.1", "user-p1")
     assert (row.source_topic, row.source_partition, row.source_offset) == ("alerts", 0, 0)
     assert row.raw == alert(1)
 
@@ -48,6 +48,12 @@ REJECTED = [
     ('{"a":1} x', "not_json"),
     ('{"a":1},{"a":2}', "not_json"),
     ('{"a":NaN}', "not_json"),
+    ('{"id":"1"}]', "not_json"),
+    ('{"id":"1"}] junk', "not_json"),
+    ('{"id":"2"}],[7', "not_json"),
+    ('{"id":"2"},0] junk', "not_json"),
+    ('7] x', "not_json"),
+    ('{"id":"1"},{"_seal":"x"}', "not_json"),
     ("{'a':1}", "not_json"),
     ('{"a":01}', "not_json"),
     ('{"a":"\x01"}', "not_json"),

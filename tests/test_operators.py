@@ -186,3 +186,67 @@ def test_envelopes_round_trip(spark):
         events.select("id", "timestamp", "host")
     ).count() == 0
     assert back.count() == 250
+
+
+def test_both_ways_of_limiting_keep_rows_without_a_group(spark):
+    rows = [(s, f"{i:03d}", 10, "x", i) for s in (None, "h") for i in range(3)]
+    queue = spark.createDataFrame(rows, "source string, queue_key string, size long, body string, event_id long")
+    for limit in (2, 1000, 1001):
+        kept = queueing.retain(queue, limit, 10**6)
+        assert kept.count() == min(limit, 3) * 2
+    assert queueing.fifo(queue).count() == 6
+
+
+def test_events_without_a_host_are_packed(spark):
+    from tidewatch.schemas import EVENT
+
+    events = spark.createDataFrame(
+        [(f"e{i}", "s", None, None, None if i % 2 else "h", {"k": "v"}) for i in range(5)], EVENT
+    )
+    packed = pack_envelopes(events, 2)
+    assert sorted((r.agent_id or "", len(r.events)) for r in packed.collect()) == [("", 2), ("h", 1), ("h", 2)]
+
+
+def test_a_large_deny_list_meets_nested_rows(spark, monkeypatch):
+    import json
+
+    bodies = spark.createDataFrame(
+        [(json.dumps({"agent_id": f"a{i}", "events": [{"id": f"e{i}", "payload": {"k": "v"}}]}),) for i in range(20)], "value string"
+    )
+    denied = spark.createDataFrame([(f"a{i}",) for i in range(5)], "agent_id string")
+    small = sorted(r.id for r in unpack_envelopes(bodies, denied).collect())
+    monkeypatch.setattr(shuffles, "BROADCAST_ROWS", 2)
+    assert sorted(r.id for r in unpack_envelopes(bodies, denied).collect()) == small and len(small) == 15
+    nested = bodies.selectExpr("map('k', value) AS m", "array(map(1, 2)) AS a", "substr(value, 15, 2) AS k")
+    assert shuffles.lookup_join(nested.drop("k").withColumn("k", F.lit("a1")), denied.toDF("k"), ["k"], "left_anti").count() == 0
+
+
+def test_nested_lookups_are_measured(spark, monkeypatch):
+    wide = spark.createDataFrame([(1, ["x" * 1000] * 10)], "k int, v array<string>")
+    monkeypatch.setattr(shuffles, "BROADCAST_BYTES", 5000)
+    assert not shuffles.is_small(wide) and shuffles.is_small(wide.select("k"))
+
+
+def test_one_number_far_off(spark):
+    runs = audit.gap_runs(seqs(spark, [1, 1 << 50])).collect()
+    assert [(r.start, r.stop) for r in runs] == [(2, (1 << 50) - 1)]
+    row = audit.seq_audit(seqs(spark, [1, 1 << 50])).first()
+    assert row.gaps == (1 << 50) - 2 and row.first_gaps == list(range(2, 12))
+    assert audit.seq_gaps(seqs(spark, [1, 200_000])).count() == 199_998
+    cut = audit._cut(audit._cut(audit.gap_runs(seqs(spark, [1, 1 << 50])), audit.CHUNK**3), audit.CHUNK**2)
+    assert cut.limit(3).count() == 3
+
+
+def test_positions_without_a_topic_are_marked(spark):
+    rows = spark.createDataFrame([(None, 0, i, 5) for i in range(3)], "topic string, partition int, offset long, seq long")
+    assert sorted(r.is_duplicate for r in audit.mark_duplicates(rows).collect()) == [False, True, True]
+
+
+def test_idle_sources_keep_their_position(spark):
+    lines = spark.createDataFrame(
+        [("a", 1, 9, 50, "delivered")], "source string, seq long, file_id long, end_offset long, outcome string"
+    )
+    saved = spark.createDataFrame([("a", 9, 10), ("idle", 4, 30)], "source string, file_id long, offset long")
+    found = {r.source: r for r in delivery.delivery_stats(lines, saved).collect()}
+    assert (found["idle"].file_id, found["idle"].offset, found["idle"].in_flight, found["idle"].produced) == (4, 30, 0, 0)
+    assert (found["a"].offset, found["a"].acked) == (50, 1)

@@ -33,7 +33,7 @@ def test_small_lookup_is_broadcast_without_shuffling_rows(spark):
 
 
 def test_history_reads_only_keys_of_earlier_batches(spark, tmp_path):
-    spark.createDataFrame([], LEDGER).drop("batch_id").write.parquet(f"{tmp_path}/ledger/batch_id=1")
+    spark.createDataFrame([], LEDGER).drop("run", "batch_id").write.parquet(f"{tmp_path}/ledger/run=r/batch_id=1")
     history = lg.read_ledger(spark, str(tmp_path), below=7).filter("disposition = 'inserted'")
     text = plan(history.select(*lg.KEYS))
     assert "ReadSchema: struct<manager:string,alert_id:string,disposition:string>" in text
@@ -42,7 +42,7 @@ def test_history_reads_only_keys_of_earlier_batches(spark, tmp_path):
 
 
 def test_top_severe_is_a_top_k(spark, tmp_path):
-    spark.createDataFrame([], LEDGER).drop("batch_id").write.parquet(f"{tmp_path}/ledger/batch_id=1")
+    spark.createDataFrame([], LEDGER).drop("run", "batch_id").write.parquet(f"{tmp_path}/ledger/run=r/batch_id=1")
     rows = lg.findings(lg.read_ledger(spark, str(tmp_path)))
     text = plan(fq.top_severe(rows, "2025-03-04 06:00:00"))
     assert "TakeOrderedAndProject" in text

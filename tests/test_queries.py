@@ -2,6 +2,8 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__ as entry
+from tidewatch.plans.oracles import ORACLES
+from tidewatch.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -10,14 +12,15 @@ def oracle(sf_dir):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 def test_entry_runs(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, sf_dir, oracle, name):
-    frame = entry.queries()[name](spark, sf_dir)
-    assert differences(frame, entry.oracle_sql()[name], oracle) is None
+    frame = QUERIES[name](spark, sf_dir)
+    assert differences(frame, ORACLES[name], oracle) is None

@@ -1,8 +1,9 @@
 """Strict JSON acceptance and tolerant typing, as column expressions.
 
-A document is parsed once into a VARIANT that wraps it in an array. The wrapper
-makes trailing text a parse error, and every later question (type, path, value)
-is asked of that one parsed value.
+A document is parsed once into a VARIANT that wraps it in an array, with the
+hash of its text behind it. A text cannot hold its own hash, so an array that
+ends in it was closed by the wrapper and not by the text. Every later question
+(type, path, value) is asked of that one parsed value.
 """
 
 from __future__ import annotations
@@ -65,18 +66,21 @@ def has_lone_surrogate(text: Column) -> Column:
     )
 
 
+def _seal(text: Column) -> Column:
+    return F.sha2(text.cast("binary"), 256)
+
+
 def parse_document(text: Column) -> Column:
-    """VARIANT array around the document, or NULL if the text is not JSON."""
+    """VARIANT array of the document and the hash of its text, or NULL if that is not JSON."""
     allow_duplicate_keys()
-    return F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), _seal(text), F.lit('"]')))
 
 
 def is_single_value(document: Column, text: Column) -> Column:
     """True if the parsed wrapper around text holds exactly one JSON value."""
     return F.coalesce(
-        document.isNotNull()
-        & F.try_variant_get(document, "$[1]", "variant").isNull()
-        & text.rlike(r"[^ \t\r\n]"),
+        (F.try_variant_get(document, "$[1]", "string") == _seal(text))
+        & F.try_variant_get(document, "$[2]", "variant").isNull(),
         F.lit(False),
     )
 
@@ -100,12 +104,13 @@ def with_members(df: DataFrame, text: Column, schema: str, name: str = "_row") -
     """
     allow_duplicate_keys()
     rows = F.from_json(
-        F.concat(F.lit("["), text, F.lit("]")),
-        f"array<struct<{schema}>>",
+        F.concat(F.lit("["), text, F.lit(',{"_seal":"'), _seal(text), F.lit('"}]')),
+        f"array<struct<{schema}, _seal string>>",
         {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"},
     )
     read = computed_once(df, _rows=rows)
-    only = F.when((F.size("_rows") == 1) & opens_object(text), F.col("_rows")[0])
+    sealed = (F.size("_rows") == 2) & (F.col("_rows")[1]["_seal"] == _seal(text))
+    only = F.when(sealed & opens_object(text), F.col("_rows")[0])
     return computed_once(read, **{name: only}).drop("_rows")
 
 

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewatch.functions.json_text import computed_once, utf8_text, with_members
-from tidewatch.operators.shuffles import first_copy
+from tidewatch.operators.shuffles import first_copy, null_safe_join
 
 POSITION = ("topic", "partition", "offset")
 
 # Sequence numbers per block: bounds what one task sorts, whatever the range.
 BLOCK = 1 << 20
 # Missing numbers one task may list at a time.
-CHUNK = 1 << 16
+CHUNK = 1 << 15
 
 
 def sequence_numbers(records: DataFrame, name: str = "demo_seq") -> DataFrame:
@@ -71,20 +71,23 @@ def gap_runs(sequences: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def seq_gaps(sequences: DataFrame) -> DataFrame:
-    """Every missing number. Long runs are cut into chunks that are spread out
-    before they are listed."""
-    chunks = gap_runs(sequences).select(
-        "start",
-        "stop",
-        F.explode(
-            F.sequence(F.expr(f"start div {CHUNK}"), F.expr(f"stop div {CHUNK}"))
-        ).alias("chunk"),
+    """Every missing number. Long runs are cut and spread out, level by level,
+    before they are listed. One stray number far off makes as many rows as it
+    leaves out; gap_runs is the form for such data."""
+    return _cut(_cut(_cut(gap_runs(sequences), CHUNK**3), CHUNK**2), CHUNK).select(
+        F.explode(F.sequence("start", "stop")).alias("seq")
     )
-    bounded = chunks.repartition("chunk").select(
-        F.greatest(F.col("start"), F.col("chunk") * CHUNK).alias("low"),
-        F.least(F.col("stop"), (F.col("chunk") + 1) * CHUNK - 1).alias("high"),
+
+
+def _cut(runs: DataFrame, size: int) -> DataFrame:
+    """Runs cut at the multiples of a size, dealt out by part."""
+    parts = runs.select("start", "stop", F.explode(
+        F.sequence(F.expr(f"start div {size}"), F.expr(f"stop div {size}"))
+    ).alias("part"))
+    return parts.repartition("part").select(
+        F.greatest(F.col("start"), F.col("part") * size).alias("start"),
+        F.least(F.col("stop"), F.col("part") * size + (size - 1)).alias("stop"),
     )
-    return bounded.select(F.explode(F.sequence("low", "high")).alias("seq"))
 
 
 def first_gaps(sequences: DataFrame, n: int = 10) -> DataFrame:
@@ -114,7 +117,8 @@ def seq_audit(sequences: DataFrame, shown: int = 10) -> DataFrame:
         F.array_sort(F.collect_list("seq")).alias("first_gaps")
     )
     gaps = F.col("highest") - F.col("_counted")
-    return totals.crossJoin(shown_gaps).select(
+    one = F.lit(True).alias("_one")
+    return totals.select("*", one).join(shown_gaps.select("*", one), "_one").select(
         "received",
         "unique_seqs",
         "highest",
@@ -147,6 +151,6 @@ def mark_duplicates(rows: DataFrame, key: str = "seq") -> DataFrame:
     firsts = first_copy(rows.select(key, *POSITION), [key], POSITION).select(
         *POSITION, F.lit(True).alias("_first")
     )
-    return rows.join(firsts, list(POSITION), "left").select(
+    return null_safe_join(rows, firsts, POSITION, "left").select(
         *rows.columns, F.col("_first").isNull().alias("is_duplicate")
     )

@@ -46,7 +46,8 @@ def committed_prefix(ledger: DataFrame, initial: DataFrame | None = None) -> Dat
     and how many lines are in flight from that one on.
 
     ledger: source, seq, file_id, end_offset, settled. initial: source, file_id,
-    offset of earlier checkpoints, used where nothing is committed yet.
+    offset of earlier checkpoints, used where nothing is committed yet. A source
+    with a checkpoint and no lines keeps its position.
     """
     lines = ledger.select("source", "seq", "file_id", "end_offset", "settled")
     marked = lookup_join(lines, first_unsettled(lines), ["source"], "left")
@@ -66,13 +67,13 @@ def committed_prefix(ledger: DataFrame, initial: DataFrame | None = None) -> Dat
         "source", F.col("file_id").alias("_file_id"), F.col("offset").alias("_offset")
     )
     fresh = F.col("_last").isNull()
-    return committed.join(start, "source", "left").select(
+    return committed.join(start, "source", "full").select(
         "source",
         F.when(fresh, F.col("_file_id")).otherwise(F.col("file_id")).alias("file_id"),
         F.coalesce(
             F.when(fresh, F.col("_offset")).otherwise(F.col("offset")), F.lit(0)
         ).alias("offset"),
-        "in_flight",
+        F.coalesce("in_flight", F.lit(0)).alias("in_flight"),
     )
 
 
@@ -86,8 +87,11 @@ def delivery_stats(ledger: DataFrame, initial: DataFrame | None = None) -> DataF
         F.count_if(outcome.isin(UNDELIVERABLE, FAILED)).alias("failed"),
         F.count_if(outcome == MALFORMED).alias("parse_errors"),
     )
-    return counters.join(committed_prefix(settled, initial), "source").select(
-        "source", "produced", "acked", "failed", "parse_errors", "in_flight", "file_id", "offset"
+    none = F.lit(0)
+    return counters.join(committed_prefix(settled, initial), "source", "right").select(
+        "source",
+        *[F.coalesce(c, none).alias(c) for c in ("produced", "acked", "failed", "parse_errors")],
+        "in_flight", "file_id", "offset",
     )
 
 

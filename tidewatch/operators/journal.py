@@ -9,7 +9,6 @@ from tidewatch.functions.labels import stable_uuid
 from tidewatch.functions.times import epoch_micros
 
 SOURCE = "auth.journald"
-MAX_LINE_BYTES = 1 << 20
 
 # Syslog facilities auth and authpriv.
 AUTH_FACILITIES = ("4", "10")
@@ -63,8 +62,7 @@ def classify_entries(lines: DataFrame) -> DataFrame:
     timed = computed_once(fields, timestamp=event_time, payload=_payload())
     judged = computed_once(
         timed,
-        reject_reason=F.when(F.octet_length("_text") > MAX_LINE_BYTES, "too_long")
-        .when(F.col("_row").isNull(), "not_json")
+        reject_reason=F.when(F.col("_row").isNull(), "not_json")
         .when(F.coalesce(cursor, F.lit("")) == "", "missing_cursor")
         .when(F.col("timestamp").isNull(), "bad_timestamp"),
     )

@@ -75,7 +75,8 @@ def classify(records: DataFrame) -> DataFrame:
     """Every record with its finding columns and a reject_reason.
 
     reject_reason is NULL for an alert; otherwise the finding columns carry no
-    meaning and `preview` shows how the message began. One strict read gives the
+    meaning, `preview` shows how the message began and `rejected_value` keeps it
+    whole, so that it can be read again. One strict read gives the
     members as text; only where types matter is the document parsed with them.
     """
     text = F.col("_text")
@@ -115,6 +116,7 @@ def classify(records: DataFrame) -> DataFrame:
             F.col("reject_reason").isNotNull(),
             F.substring(F.make_valid_utf8(F.col("value").cast("string")), 1, PREVIEW_CHARS),
         ).alias("preview"),
+        F.when(F.col("reject_reason").isNotNull(), F.col("value")).alias("rejected_value"),
     )
 
 
@@ -124,7 +126,8 @@ def alerts_of(classified: DataFrame) -> DataFrame:
 
 def rejects_of(classified: DataFrame) -> DataFrame:
     return classified.filter(F.col("reject_reason").isNotNull()).select(
-        "source_topic", "source_partition", "source_offset", "reject_reason", "preview"
+        "source_topic", "source_partition", "source_offset", "reject_reason", "preview",
+        "rejected_value",
     )
 
 

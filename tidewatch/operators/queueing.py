@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidewatch.functions.json_text import computed_once, is_single_value, opens_object, parse_document
-from tidewatch.operators.shuffles import ranked_with_total, running_totals
+from tidewatch.operators.shuffles import null_safe_join, ranked_with_total, running_totals
 
 
 def split_corrupt(queue: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -55,7 +55,7 @@ def retention_report(queue: DataFrame, max_events: int = 0, max_bytes: int = 0)
     kept = retain(queue, max_events, max_bytes).groupBy("source").agg(
         F.count("*").alias("kept"), F.sum("size").alias("kept_bytes")
     )
-    return total.join(kept, "source").select(
+    return null_safe_join(total, kept, ["source"]).select(
         "source", "kept", "kept_bytes", (F.col("_all") - F.col("kept")).alias("dropped")
     )
 

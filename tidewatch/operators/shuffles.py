@@ -15,6 +15,16 @@ SALTS = 16
 # Largest per-group limit for which Spark cuts each map task to the limit
 # before the shuffle (spark.sql.optimizer.windowGroupLimitThreshold).
 GROUP_LIMIT = 1000
+NESTED = ("array", "map", "struct", "variant")
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on columns of the same names, NULL being equal to NULL; the left side's are kept."""
+    keys = right.withColumnsRenamed({name: f"_right_{name}" for name in on})
+    condition = F.lit(True)
+    for name in on:
+        condition = condition & left[name].eqNullSafe(keys[f"_right_{name}"])
+    return left.join(keys, condition, how).drop(*[f"_right_{name}" for name in on])
 
 
 def pin(df: DataFrame) -> DataFrame:
@@ -27,8 +37,11 @@ def is_small(df: DataFrame) -> bool:
     """Measure the rows and their text; True if the whole fits a broadcast."""
     width = F.lit(8 * len(df.columns))
     for field in df.schema.fields:
-        if field.dataType.typeName() in ("string", "binary"):
-            width = width + F.coalesce(F.octet_length(F.col(field.name)), F.lit(0))
+        kind, column = field.dataType.typeName(), F.col(field.name)
+        if kind in NESTED:  # by their text, which is never much shorter
+            column, kind = F.to_json(F.struct(column)), "string"
+        if kind in ("string", "binary"):
+            width = width + F.coalesce(F.octet_length(column), F.lit(0))
     rows, size = df.agg(F.count("*"), F.sum(width)).first()
     return rows <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES
 
@@ -50,11 +63,11 @@ def lookup_join(
     on = list(on)
     if is_small(lookup):
         return rows.join(F.broadcast(lookup), on, how)
-    hashable = [
-        field.name for field in rows.schema.fields
-        if field.dataType.typeName() not in ("map", "variant")
-    ]
-    salt = F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int")
+    # never a random salt: a stage that is run again must deal its rows alike
+    atomic = [f.name for f in rows.schema.fields if f.dataType.typeName() not in NESTED and f.name not in on]
+    nested = [f.name for f in rows.schema.fields if f.dataType.typeName() in NESTED]
+    hashed = [*atomic, *([F.to_json(F.struct(*nested))] if nested and not atomic else [])] or on
+    salt = F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int")
     spread = lookup.withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     )
@@ -121,7 +134,7 @@ def running_totals(
         "_slice",
         *[F.sum(f"_in_{name}").over(within).alias(f"_run_{name}") for name in totals],
     )
-    return local.join(base, [*group, "_slice"]).select(
+    return null_safe_join(local, base, [*group, "_slice"]).select(
         *df.columns,
         *[(F.col(f"_run_{name}") + F.col(f"_base_{name}")).alias(name) for name in totals],
     )

@@ -13,39 +13,13 @@ from tidewatch.functions.json_text import computed_once
 
 TOPIC = "security-alerts"
 
-# (ix, level, rule id, description, decoder, groups, techniques, tactics)
-RULES = [
-    (0, 5, "9001", "Remote login rejected.", "sshd", "syslog|sshd|login_failed", "T1110.001", "Credential Access"),
-    (1, 10, "9002", "Many rejected remote logins from one address in a short time.", "sshd", "syslog|sshd|login_storm", "T1110.001|T1021.004", "Credential Access|Lateral Movement"),
-    (2, 3, "9003", "Session opened.", "pam", "pam|syslog|login_ok", "T1078", "Persistence"),
-    (3, 7, "9004", "Command run with root rights.", "sudo", "syslog|sudo", "T1548.003", "Privilege Escalation"),
-    (4, 8, "9005", "Checksum of a watched file differs.", "filecheck", "filecheck|changed", "T1565.001", "Impact"),
-    (5, 12, "9006", "New file in a watched folder.", "filecheck", "filecheck|added", "T1105", "Command and Control"),
-    (6, 20, "9007", "Repeated client errors from one address.", "weblog", "web|attack", "T1595", "Reconnaissance"),
-    (7, 4, "9008", "Service restarted.", "syslog", "syslog", "", ""),
-]
-# (ix, id, name, ip)
-AGENTS = [
-    (0, "101", "edge-01", "192.0.2.11"),
-    (1, "102", "store-01", "192.0.2.12"),
-    (2, "103", "build-02", "192.0.2.13"),
-    (3, "104", "gate-01", "192.0.2.14"),
-]
-
-
-def _values(rows: list[tuple]) -> str:
-    def literal(value) -> str:
-        return str(value) if isinstance(value, int) else "'" + value + "'"
-
-    return ", ".join("(" + ", ".join(map(literal, row)) + ")" for row in rows)
-
-
 # seq, kind (0 first delivery, 1 re-delivery, 2 junk), shape of the document and
 # the fields it is made of. seq has gaps; offsets have holes, as in a compacted
-# log. Shapes: 1 no identity, 2 odd types, 3 time without zone, 4 level too high.
+# log. Shapes: 1 no identity, 2 odd types, 3 time without zone, 4 level too high,
+# 5 an escaped NUL in the location.
 MESSAGES = f"""
 numbered AS (
-  SELECT event_id + 1 AS seq, ts, user_id, event_id % 8 AS rule_ix, user_id % 4 AS agent_ix,
+  SELECT event_id + 1 AS seq, ts, user_id, event_type, CAST((event_id * 5 + user_id) % 23 AS INT) AS cls,
          CAST(user_id % 3 AS INT) AS source_partition
   FROM events WHERE (event_id + 1) % 53 <> 0),
 copies AS (
@@ -55,15 +29,18 @@ copies AS (
 msgs AS (
   SELECT copies.*, (seq + 20 * kind) * 4 + kind AS source_offset,
          CASE WHEN kind = 2 THEN 9 WHEN seq % 31 = 0 THEN 1 WHEN seq % 29 = 0 THEN 2
-              WHEN seq % 37 = 0 THEN 3 WHEN seq % 43 = 0 THEN 4 ELSE 0 END AS shape,
-         CASE WHEN kind = 1 AND seq % 82 = 0 THEN '/replayed.log' ELSE '/var/log/auth.log' END AS log_path,
-         'mgr-' || (user_id % 2) AS mgr, '1704067200.' || seq AS own_id,
-         '198.51.100.' || (user_id % 250) AS ip, 'user' || (user_id % 7) AS login,
-         CASE WHEN kind = 2 THEN CAST(seq / 97 AS BIGINT) % 6 END AS junk,
-         r.*, a.*
-  FROM copies
-  JOIN (VALUES {_values(RULES)}) AS r(r_ix, level, rid, descr, dec, grps, mitre, tactics) ON rule_ix = r_ix
-  JOIN (VALUES {_values(AGENTS)}) AS a(a_ix, aid, aname, aip) ON agent_ix = a_ix)
+              WHEN seq % 37 = 0 THEN 3 WHEN seq % 43 = 0 THEN 4 WHEN seq % 47 = 0 THEN 5 ELSE 0 END AS shape,
+         CASE WHEN kind = 1 AND seq % 82 = 0 THEN '/data/again.log' ELSE '/data/' || event_type || '.log' END AS log_path,
+         'mgr-' || (user_id % 2) AS mgr, 'a-' || (seq * 3) AS own_id,
+         '203.0.113.' || (user_id % 250) AS ip, 'u' || (user_id % 7) AS login,
+         CASE WHEN kind = 2 THEN CAST(floor(seq / 97) AS BIGINT) % 10 END AS junk,
+         (cls * 7) % 19 AS level, CAST(700 + cls AS VARCHAR(9)) AS rid, event_type || ' event of class ' || cls AS descr,
+         event_type AS dec, CASE WHEN cls % 4 = 0 THEN event_type ELSE event_type || '|class-' || (cls % 4) END AS grps,
+         CASE WHEN cls % 6 = 0 THEN '' WHEN cls % 5 = 0 THEN 'X' || (30 + cls % 9) || '|X' || (50 + cls % 7)
+              ELSE 'X' || (30 + cls % 9) END AS mitre,
+         CASE WHEN cls % 6 = 0 THEN '' ELSE 'Aim ' || (cls % 5) END AS tactics,
+         CAST(user_id % 6 AS VARCHAR(9)) AS aid, 'node-' || (user_id % 6) AS aname, '192.0.2.' || (user_id % 6) AS aip
+  FROM copies)
 """
 
 
@@ -85,7 +62,7 @@ ELSE '{{"timestamp":"' || stamp || CASE WHEN shape = 3 THEN '' ELSE '+0000' END
   ',"description":"' || descr || '","id":"' || rid || '","groups":' || {_json_list('grps')} ||
   ',"mitre":{{"id":' || {_json_list('mitre')} || ',"tactic":' || {_json_list('tactics')} || '}}}},"agent":{{"id":"' || aid ||
   '","name":"' || aname || '","ip":"' || aip || '"}},"manager":{{"name":"' || mgr || '"}},"decoder":{{"name":"' || dec ||
-  '"}},"location":"' || log_path || '","full_log":"login of ' || login || ' from ' || ip ||
+  '"}},"location":"' || CASE WHEN shape = 5 THEN concat('/data/', chr(92), 'u0000') ELSE log_path END || '","full_log":"login of ' || login || ' from ' || ip ||
   '","data":{{"srcip":"' || ip || '","srcuser":"' || login || '"}}}}'
 END
 """
@@ -98,6 +75,10 @@ WHEN 1 THEN CAST('[1,2]' AS BINARY)
 WHEN 2 THEN CAST(NULL AS BINARY)
 WHEN 3 THEN X'FFFE'
 WHEN 4 THEN CAST('{"demo_seq":' || seq || '} tail' AS BINARY)
+WHEN 6 THEN CAST('{"demo_seq":' || seq || '}]' AS BINARY)
+WHEN 7 THEN CAST('{"demo_seq":' || seq || '}],[7' AS BINARY)
+WHEN 8 THEN CAST('{"demo_seq":' || seq || '},0] x' AS BINARY)
+WHEN 9 THEN CAST('{"id":NaN}' AS BINARY)
 ELSE CAST(concat('{"id":"bad","rule":{"description":"x ', chr(92), 'ud800 y"}}') AS BINARY)
 END
 """
@@ -107,24 +88,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give an input of fewer splits than cores to all cores, because reading
-    documents costs far more than moving such a small input. A large input has
-    splits enough and is left alone."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
-def _input(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = table(spark, sf_dir, name)
-    return spread(df, "event_id") if name == "events" else df
-
-
 def _query(spark: SparkSession, sf_dir: str, sql: str, *names: str) -> DataFrame:
     """Run SQL with the named tables in its FROM clauses."""
     return spark.sql(
         "WITH " + ", ".join(f"{name} AS (SELECT * FROM {{{name}}})" for name in names) + " " + sql,
-        **{name: _input(spark, sf_dir, name) for name in names},
+        **{name: table(spark, sf_dir, name) for name in names},
     )
 
 
@@ -164,11 +132,11 @@ SELECT CASE WHEN event_id > 0.99 * top THEN 'src-new'
 FROM events, (SELECT max(event_id) AS top FROM events) AS t
 """
 CHECKPOINTS = """
-SELECT DISTINCT CASE WHEN event_id % 2 = 0 THEN 'src-new' ELSE 'src-0' END AS source,
+SELECT DISTINCT CASE CAST(event_id % 4 AS INT) WHEN 0 THEN 'src-new' WHEN 1 THEN 'src-0' ELSE 'src-idle-' || (event_id % 4) END AS source,
        CAST(77 AS BIGINT) AS file_id, CAST(4242 AS BIGINT) AS offset FROM events
 """
 QUEUE = """
-SELECT CASE WHEN user_id % 3 = 0 THEN 'host-0' ELSE 'host-' || (user_id % 5) END AS source,
+SELECT CASE WHEN user_id % 13 = 5 THEN NULL WHEN user_id % 3 = 0 THEN 'host-0' ELSE 'host-' || (user_id % 5) END AS source,
        lpad(CAST({micros} * 1000 AS VARCHAR(30)), 20, '0') || '-ev' || lpad(CAST(event_id AS VARCHAR(30)), 12, '0') AS queue_key,
        CAST(length(props) + event_id % 50 AS BIGINT) AS size,
        CASE WHEN event_id % 61 = 0 THEN '{corrupt' ELSE props END AS body,
@@ -245,7 +213,7 @@ SELECT DISTINCT 'logs-' || lower(c_mktsegment) AS topic FROM customer WHERE c_mk
 """
 ROUTED = "SELECT 'c-' || o_custkey AS source, o_orderkey, o_orderstatus AS value FROM orders"
 FILE_LINES = """
-SELECT CASE WHEN event_id % 3 = 0 THEN 'host-0' ELSE 'host-' || (user_id % 4) END AS source,
+SELECT CASE WHEN user_id % 13 = 5 THEN NULL WHEN event_id % 3 = 0 THEN 'host-0' ELSE 'host-' || (user_id % 4) END AS source,
        CAST(floor(event_id / 5000) AS BIGINT) AS file_id, event_id AS line_no, props || event_type AS value
 FROM events
 """

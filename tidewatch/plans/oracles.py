@@ -7,11 +7,11 @@ never parses the documents the Spark queries parse.
 from __future__ import annotations
 
 from tidewatch.plans import derived as d
-from tidewatch.plans.queries import AS_OF, KEEP_BYTES, KEEP_N, PACK_BYTES, PACK_N
+from tidewatch.plans.queries import AS_OF, KEEP_BYTES, KEEP_N, PACK_BYTES, PACK_N, PARTS
 
 _SPARSE = """'{"demo_seq":' || seq || ',"rule":{"level":' || level || '}}'"""
 _ODD = "shape = 2"
-_FULL = "shape IN (0, 3, 4)"
+_FULL = "shape IN (0, 3, 4, 5)"
 
 # Expected finding columns of every alert copy, and the rejected messages.
 _ALERTS = f"""WITH {d.MESSAGES},
@@ -19,7 +19,7 @@ alerts AS (
   SELECT CASE WHEN shape = 1 THEN '' ELSE mgr END AS manager,
          CASE WHEN shape = 1 THEN 'sha256:' || sha256({_SPARSE})
               WHEN {_ODD} THEN CAST(seq AS VARCHAR) ELSE own_id END AS alert_id,
-         CASE WHEN shape IN (0, 4) THEN date_trunc('milliseconds', ts) END AS ts,
+         CASE WHEN shape IN (0, 4, 5) THEN date_trunc('milliseconds', ts) END AS ts,
          CASE WHEN {_ODD} THEN rid || '.0' WHEN {_FULL} THEN rid END AS rule_id,
          CAST(CASE WHEN shape = 4 THEN NULL ELSE level END AS INT) AS rule_level,
          CASE WHEN {_FULL} THEN descr END AS rule_description,
@@ -30,7 +30,7 @@ alerts AS (
          CASE WHEN {_FULL} THEN aname END AS agent_name,
          CASE WHEN {_FULL} THEN aip END AS agent_ip,
          CASE WHEN {_FULL} THEN dec END AS decoder,
-         CASE WHEN {_ODD} THEN 'True' WHEN {_FULL} THEN log_path END AS location,
+         CASE WHEN {_ODD} THEN 'True' WHEN shape = 5 THEN '/data/' || chr(65533) WHEN {_FULL} THEN log_path END AS location,
          CASE WHEN {_FULL} THEN ip END AS src_ip,
          CASE WHEN {_FULL} THEN login END AS src_user,
          '{d.TOPIC}' AS source_topic, source_partition, source_offset, seq
@@ -38,7 +38,7 @@ alerts AS (
 junks AS (
   SELECT '{d.TOPIC}' AS source_topic, source_partition, source_offset,
          CASE junk WHEN 0 THEN 'not_json' WHEN 1 THEN 'not_object' WHEN 2 THEN 'null_value'
-                   WHEN 3 THEN 'invalid_utf8' WHEN 4 THEN 'not_json' ELSE 'unencodable' END AS reject_reason,
+                   WHEN 3 THEN 'invalid_utf8' WHEN 5 THEN 'unencodable' ELSE 'not_json' END AS reject_reason,
          junk
   FROM msgs WHERE shape = 9),
 ranked AS (
@@ -90,7 +90,8 @@ positions AS (
          coalesce(CASE WHEN c.last_seq IS NULL THEN i."offset" ELSE m.end_offset END, 0) AS "offset",
          in_flight
   FROM committed c LEFT JOIN marked m ON m.source = c.source AND m.seq = c.last_seq
-  LEFT JOIN checkpoints i ON i.source = c.source)
+  LEFT JOIN checkpoints i ON i.source = c.source
+  UNION ALL SELECT source, file_id, "offset", 0 FROM checkpoints WHERE source NOT IN (SELECT source FROM lines))
 """
 _QUEUE = f"WITH queue AS ({d.for_duckdb(d.QUEUE)})"
 
@@ -163,6 +164,12 @@ once AS (
   FROM allowed WHERE sent_at = CAST('2024-02-01' AS TIMESTAMP))
 """
 
+# Rows arrive in parts, by number; a copy in an earlier part wins.
+_STREAMED = _ALERTS + f"""SELECT manager, alert_id, ts, rule_level, mitre_ids, agent_name, location FROM (
+  SELECT *, row_number() OVER (PARTITION BY manager, alert_id
+            ORDER BY CAST(floor(source_offset / 4) AS BIGINT) % {PARTS}, source_topic, source_partition, source_offset) AS arrival
+  FROM alerts) AS a WHERE arrival = 1"""
+
 _STATS = """SELECT count(*) AS consumed, count(*) FILTER (WHERE disposition = 'inserted') AS inserted,
 count(*) FILTER (WHERE disposition = 'duplicate') AS duplicates,
 count(*) FILTER (WHERE disposition = 'rejected') AS rejected FROM messages"""
@@ -201,7 +208,7 @@ ORACLES = {
           CASE WHEN again > 1 THEN '  [duplicate]' ELSE '' END) AS line
         FROM (SELECT *, row_number() OVER (PARTITION BY seq ORDER BY source_partition, source_offset) AS again FROM alerts) AS a""",
     "findings_sql": _ALERTS + """SELECT agent_name, count(*) AS alerts, max(rule_level) AS worst FROM findings
-        WHERE list_contains(string_split(mitre_ids, '|'), 'T1110.001') GROUP BY agent_name""",
+        WHERE list_contains(string_split(mitre_ids, '|'), 'X34') GROUP BY agent_name""",
     "ingest_offsets": _ALERTS + f"""SELECT '{d.TOPIC}' AS topic, source_partition AS partition,
         max(source_offset) + 1 AS next_offset FROM messages GROUP BY source_partition""",
     "ingest_stats": _ALERTS + _STATS,
@@ -210,7 +217,8 @@ ORACLES = {
         source_partition < 2 AS resumed,
         coalesce(max(source_offset) FILTER (WHERE source_partition < 2 AND source_offset % 16 < 12), max(source_offset)) + 1 AS start_at_end
         FROM messages GROUP BY source_partition""",
-    "stream_ingest_exactly_once": _ALERTS + "SELECT manager, alert_id, ts, rule_level, mitre_ids, agent_name FROM findings",
+    "stream_ingest_exactly_once": _STREAMED,
+    "stream_ingest_new_checkpoint": _STREAMED,
     "stream_ingest_counters": _ALERTS + _STATS,
     "stream_ingest_with_state": _ALERTS + "SELECT manager, alert_id, agent_name FROM findings",
     "streaming_seq_audit": _AUDIT,
@@ -225,8 +233,9 @@ ORACLES = {
           count(*) FILTER (WHERE outcome = 'delivered') AS acked,
           count(*) FILTER (WHERE outcome IN ('undeliverable', 'failed')) AS failed,
           count(*) FILTER (WHERE outcome = 'malformed') AS parse_errors FROM lines GROUP BY source)
-        SELECT c.source, produced, acked, failed, parse_errors, in_flight, file_id, "offset"
-        FROM counters c JOIN positions p ON p.source = c.source""",
+        SELECT p.source, coalesce(produced, 0) AS produced, coalesce(acked, 0) AS acked, coalesce(failed, 0) AS failed,
+        coalesce(parse_errors, 0) AS parse_errors, in_flight, file_id, "offset"
+        FROM positions p LEFT JOIN counters c ON p.source = c.source""",
     "acknowledged_lines": _DELIVERY + "SELECT source, seq, outcome = 'delivered' AS settled FROM lines",
     "delivery_outcome": _OUTCOME + "SELECT batch_id, outcome, disposition FROM outcomes",
     "batch_pack": _limited("WHERE body NOT LIKE '{corrupt%'", "ASC", PACK_N, PACK_BYTES) + "SELECT * FROM kept",
@@ -235,7 +244,7 @@ ORACLES = {
     "retention_report": _limited("", "DESC", KEEP_N, KEEP_BYTES) + """SELECT q.source, k.kept, k.kept_bytes,
         q.events - k.kept AS dropped FROM (SELECT source, count(*) AS events FROM queue GROUP BY source) AS q
         JOIN (SELECT source, count(*) AS kept, CAST(sum(size) AS BIGINT) AS kept_bytes FROM kept GROUP BY source) AS k
-        ON k.source = q.source""",
+        ON k.source IS NOT DISTINCT FROM q.source""",
     "queue_depth": _QUEUE + "SELECT source, count(*) AS events, CAST(sum(size) AS BIGINT) AS bytes FROM queue GROUP BY source",
     "fifo_order": _QUEUE + """SELECT source, queue_key,
         row_number() OVER (PARTITION BY source ORDER BY queue_key) AS place FROM queue""",

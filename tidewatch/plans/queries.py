@@ -34,6 +34,8 @@ from tidewatch.streaming import ingest as streams
 AS_OF = "2024-01-15 12:00:00"
 PACK_N, PACK_BYTES = 256, 8192
 KEEP_N, KEEP_BYTES = 5000, 100_000
+# Parts in which the streaming queries receive the records.
+PARTS = 4
 
 
 def _text(*names: str) -> list:
@@ -172,7 +174,7 @@ def findings_sql(spark, sf_dir):
     fq.register_view(_findings(spark, sf_dir), "findings")
     return spark.sql(
         "SELECT agent_name, count(*) AS alerts, max(rule_level) AS worst FROM findings "
-        "WHERE array_contains(mitre_ids, 'T1110.001') GROUP BY agent_name"
+        "WHERE array_contains(mitre_ids, 'X34') GROUP BY agent_name"
     ).withColumn("worst", F.col("worst").cast("int"))
 
 
@@ -201,30 +203,51 @@ def start_offsets(spark, sf_dir):
     )
 
 
-def _ledger_through_stream(spark, sf_dir, starter) -> str:
-    """Drain the records through a streaming job, twice, and return its folder."""
+def _part(rows: DataFrame, parts: list[int]) -> DataFrame:
+    return rows.filter(F.expr(f"offset div 4 % {PARTS}").isin(parts))
+
+
+def _drain(spark, source: str, starter, target: str, state: str) -> None:
+    stream = (
+        spark.readStream.schema(spark.read.parquet(source).schema)
+        .option("maxFilesPerTrigger", 100_000)
+        .parquet(source)
+    )
+    starter(stream, target, state).awaitTermination()
+
+
+def _ledger_through_stream(spark, sf_dir, starter, again: bool = False) -> str:
+    """Drain the records through a streaming job, one batch for each part, and return its folder.
+
+    At the end the job is started once more, with nothing new. again: the last
+    part is left to a job with a new checkpoint, which reads all parts anew.
+    """
     configure(spark)
     source, target, state = (_scratch(spark, name) for name in ("records", "target", "state"))
-    d.records(spark, sf_dir).write.parquet(source)
-    for _ in range(2):  # the second start has nothing new and must add nothing
-        stream = (
-            spark.readStream.schema(spark.read.parquet(source).schema)
-            .option("maxFilesPerTrigger", 1000)
-            .parquet(source)
-        )
-        starter(stream, target, state).awaitTermination()
+    records = d.records(spark, sf_dir)
+    for part in range(PARTS):
+        _part(records, [part]).write.mode("append").parquet(source)
+        _drain(spark, source, starter, target, _scratch(spark, "state") if again and part == PARTS - 1 else state)
+    if not again:
+        _drain(spark, source, starter, target, state)
     return target
 
 
-def stream_ingest_exactly_once(spark, sf_dir):
-    target = _ledger_through_stream(spark, sf_dir, streams.ingest)
-    ledger = lg.read_ledger(spark, target)
-    return lg.findings(ledger).select(
+def _streamed(spark, target: str) -> DataFrame:
+    return lg.findings(lg.read_ledger(spark, target)).select(
         "manager", "alert_id", _plain("ts"), F.col("rule_level").cast("int").alias("rule_level"),
-        *_text("mitre_ids"), "agent_name",
+        *_text("mitre_ids"), "agent_name", "location",
     )
 
 
+def stream_ingest_exactly_once(spark, sf_dir):
+    return _streamed(spark, _ledger_through_stream(spark, sf_dir, streams.ingest))
+
+
+def stream_ingest_new_checkpoint(spark, sf_dir):
+    return _streamed(spark, _ledger_through_stream(spark, sf_dir, streams.ingest, again=True))
+
+
 def stream_ingest_counters(spark, sf_dir):
     target = _ledger_through_stream(spark, sf_dir, streams.ingest)
     ledger = lg.read_ledger(spark, target)
@@ -546,6 +569,7 @@ QUERIES = {
     "ingest_stats": ingest_stats,
     "start_offsets": start_offsets,
     "stream_ingest_exactly_once": stream_ingest_exactly_once,
+    "stream_ingest_new_checkpoint": stream_ingest_new_checkpoint,
     "stream_ingest_counters": stream_ingest_counters,
     "stream_ingest_with_state": stream_ingest_with_state,
     "streaming_seq_audit": streaming_seq_audit,

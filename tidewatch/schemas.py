@@ -39,11 +39,13 @@ FINDING = T.StructType([
 ])
 
 # One row per consumed message: the finding columns, what became of the
-# message, and for a rejected one why and how it began.
+# message, and for a rejected one why, how it began, and the whole of it.
 LEDGER = T.StructType(FINDING.fields + [
     T.StructField("disposition", T.StringType()),
     T.StructField("reject_reason", T.StringType()),
     T.StructField("preview", T.StringType()),
+    T.StructField("rejected_value", T.BinaryType()),
+    T.StructField("run", T.StringType()),
     T.StructField("batch_id", T.LongType()),
 ])
 

@@ -1,9 +1,10 @@
 """The ingest ledger: one write per batch that holds rows and offsets together.
 
-Each batch writes every message it consumed, with its disposition, into its own
-folder. Findings, next offsets and counters are all read from those rows, so
-they cannot disagree, and a replayed batch replaces its folder with the same
-rows.
+Each batch writes every message it consumed, with its disposition, into a folder
+of its own, named by the run (the streaming query's id, which belongs to its
+checkpoint) and the batch. Findings, next offsets and counters are all read from
+those rows, so they cannot disagree. A replayed batch replaces its folder with
+the same rows; a job with a new checkpoint is a new run beside the old ones.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidewatch.operators.normalize import classify
-from tidewatch.operators.shuffles import first_copy, is_small
+from tidewatch.operators.shuffles import first_copy, is_small, null_safe_join
 from tidewatch.schemas import FINDING, LEDGER
 
 KEYS = ("manager", "alert_id")
@@ -34,27 +35,34 @@ def _exists(spark: SparkSession, folder: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
-def read_ledger(spark: SparkSession, path: str, below: int | None = None) -> DataFrame:
-    """Ledger rows, optionally only of batches below a number.
+#: The run of batches that no streaming query wrote.
+DIRECT = "direct"
 
-    Pass the number after the last committed batch to leave out a batch that is
-    being written.
+
+def read_ledger(
+    spark: SparkSession, path: str, below: int | None = None, run: str = DIRECT
+) -> DataFrame:
+    """Ledger rows. With a number, those that were there before this batch of the
+    run: lower batches of the run, and all other runs.
+
+    A batch's files appear together when it is complete, so readers see whole
+    batches only.
     """
     folder = _folder(path)
     if not _exists(spark, folder):
         return spark.createDataFrame([], LEDGER)
     rows = spark.read.schema(LEDGER).parquet(folder)
-    return rows if below is None else rows.filter(F.col("batch_id") < below)
+    return rows if below is None else rows.filter((F.col("run") != run) | (F.col("batch_id") < below))
 
 
 def create_tables(spark: SparkSession, path: str, table: str = "findings_ledger") -> None:
     """Declare the ledger in the catalog and `findings` as a view on it; repeatable."""
     if not _exists(spark, _folder(path)):
-        spark.createDataFrame([], LEDGER).write.partitionBy("batch_id").parquet(_folder(path))
+        spark.createDataFrame([], LEDGER).write.partitionBy("run", "batch_id").parquet(_folder(path))
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in LEDGER.fields)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
-        f"PARTITIONED BY (batch_id) LOCATION '{_folder(path)}'"
+        f"PARTITIONED BY (run, batch_id) LOCATION '{_folder(path)}'"
     )
     spark.catalog.recoverPartitions(table)
     spark.sql(
@@ -89,7 +97,7 @@ def dispose(classified: DataFrame, history: DataFrame | None) -> DataFrame:
     if history is not None:
         winners = new_rows(winners, history)
     winners = winners.select(*POSITION, F.lit(True).alias("_new"))
-    return classified.join(winners, list(POSITION), "left").select(
+    return null_safe_join(classified, winners, POSITION, "left").select(
         *classified.columns,
         F.when(F.col("reject_reason").isNotNull(), REJECTED)
         .when(F.col("_new"), INSERTED)
@@ -101,15 +109,16 @@ def dispose(classified: DataFrame, history: DataFrame | None) -> DataFrame:
 def commit_batch(path: str) -> Callable[[DataFrame, int], None]:
     """foreachBatch function that writes a micro-batch of records to the ledger.
 
-    Only batches before this one count as history: a replay must not meet its
-    own rows.
+    History is what all other runs stored and the batches of this run before
+    this one: a replay must not meet its own rows.
     """
 
     def commit(records: DataFrame, batch_id: int) -> None:
         spark = records.sparkSession
         history = None
+        run = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or DIRECT
         if _exists(spark, _folder(path)):
-            history = read_ledger(spark, path, below=batch_id).filter(
+            history = read_ledger(spark, path, batch_id, run).filter(
                 F.col("disposition") == INSERTED
             )
         classified = classify(records).persist(StorageLevel.MEMORY_AND_DISK)
@@ -122,12 +131,12 @@ def commit_batch(path: str) -> Callable[[DataFrame, int], None]:
                 for field in FINDING.fields
             ]
             rows = dispose(classified, history).select(
-                *blank, "disposition", "reject_reason", "preview"
+                *blank, "disposition", "reject_reason", "preview", "rejected_value"
             )
             (
                 rows.sortWithinPartitions("disposition", "ts")
                 .write.mode("overwrite")
-                .parquet(f"{_folder(path)}/batch_id={batch_id}")
+                .parquet(f"{_folder(path)}/run={run}/batch_id={batch_id}")
             )
         finally:
             classified.unpersist()
@@ -141,7 +150,7 @@ def findings(ledger: DataFrame) -> DataFrame:
 
 def rejects(ledger: DataFrame) -> DataFrame:
     return ledger.filter(F.col("disposition") == REJECTED).select(
-        *POSITION, "reject_reason", "preview", "batch_id"
+        *POSITION, "reject_reason", "preview", "rejected_value", "run", "batch_id"
     )
 
 
