@@ -1,5 +1,6 @@
 import json
 import os
+import shutil
 import time
 
 import pytest
@@ -98,6 +99,33 @@ def test_follow_truncation(follower, log):
     assert follower.poll() == [9]
 
 
+def test_copies_of_the_followed_file_are_not_read(follower, log):
+    write(log, 1, 2)
+    assert follower.poll() == [1, 2]
+    shutil.copy(log, log + ".bak")
+    write(log, 3)
+    assert follower.poll() == [3]
+    shutil.copy(log, log + ".1")  # copied and cut short in place
+    open(log, "w").close()
+    write(log, 4)
+    assert follower.poll() == [4]
+    write(log, 5)
+    time.sleep(0.02)
+    rotate(log)
+    write(log, 6)
+    assert follower.poll() == [5, 6]
+
+
+def test_a_file_that_went_away_half_read(spark, log, tmp_path):
+    write(log, *range(10))
+    follower = Follower(spark, log, tmp_path / "half", maxBytesPerTrigger="16")
+    assert follower.poll() != []
+    os.remove(log)
+    write(log + ".new", 50)
+    os.rename(log + ".new", log)
+    assert 50 in follower.poll()
+
+
 def test_follow_missing_file_until_it_appears(follower, log, spark):
     assert follower.poll() == []
     write(log, 1)

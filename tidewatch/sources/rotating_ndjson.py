@@ -3,10 +3,14 @@
     register(spark)
     spark.readStream.format("rotating_ndjson").option("path", "/logs/alerts.json").load()
 
-The offset of a stream is, per source, how far each generation has been read,
-keyed by file identity. A batch is the difference of two offsets, cut into byte
-ranges that tasks read on their own; a range owns the lines that start in it.
-The files must be on a folder that the driver and every executor can reach.
+A position in a source is a file, by identity, and a byte. From there on a reader
+goes to the end of that file, then through the files that were written to after
+it, oldest first, and at last into the live file. As long as the live file keeps
+its identity nothing else is read, so copies of it do not matter; if it gets
+shorter it is read from its start. The offset of a stream is a position for each
+source; a batch lies between two of them, cut into byte ranges that tasks read on
+their own. A range owns the lines that start in it. The files must be on a folder
+that the driver and every executor can reach.
 
 Options: path (one live file) or paths (JSON object, source name -> path);
 rotatedGlob (text, or JSON object, source name -> glob) for rotated files beside
@@ -59,40 +63,69 @@ class ByteRange(InputPartition):
 
 
 @dataclass
-class _File:
+class Generation:
+    """One file of a source."""
+
     path: str
     file_id: int
     mtime: int
     size: int
 
+    @property
+    def age(self) -> tuple[int, int]:
+        return self.mtime, self.file_id
 
-def _stat(path: str) -> _File | None:
-    try:
-        status = os.stat(path)
-    except OSError:
-        return None
-    return _File(path, status.st_ino, status.st_mtime_ns, status.st_size)
+    def resumes_at(self, position: int) -> bool:
+        """Whether a line can start there."""
+        if position <= 0 or position >= self.size:
+            return 0 <= position <= self.size
+        with open(self.path, "rb") as handle:
+            handle.seek(position - 1)
+            return handle.read(1) == b"\n"
 
 
-def _rotated(path: str, pattern: str | None) -> list[_File]:
-    """Readable rotated generations of a live file, oldest first."""
+def _stat(path: str) -> Generation | None:
     try:
-        device = os.stat(os.path.dirname(os.path.abspath(path))).st_dev
+        status = os.stat(path)
     except OSError:
-        return []
-    names: set[str] = set()
-    for wanted in (glob.escape(path) + ".*", pattern):
-        if wanted:
-            names.update(os.path.abspath(name) for name in glob.glob(wanted))
-    names.discard(os.path.abspath(path))
-    found = {}
-    for name in sorted(names):
-        if name.endswith(COMPRESSED):
-            continue
-        entry = _stat(name)
-        if entry and os.stat(name).st_dev == device:
-            found.setdefault(entry.file_id, entry)
-    return sorted(found.values(), key=lambda entry: (entry.mtime, entry.file_id))
+        return None
+    return Generation(path, status.st_ino, status.st_mtime_ns, status.st_size)
+
+
+class Listing:
+    """The files of a source as they are now."""
+
+    def __init__(self, path: str, pattern: str | None) -> None:
+        self.live = _stat(path)
+        self.rotated: list[Generation] = []
+        home = os.path.dirname(os.path.abspath(path))
+        if os.path.isdir(home):
+            device = os.stat(home).st_dev
+            beside = glob.glob(f"{glob.escape(path)}.*") + (glob.glob(pattern) if pattern else [])
+            by_identity: dict[int, Generation] = {}
+            for name in sorted(beside):
+                entry = None if name.endswith(COMPRESSED) else _stat(name)
+                if entry and not (self.live and entry.file_id == self.live.file_id) and os.stat(name).st_dev == device:
+                    by_identity.setdefault(entry.file_id, entry)
+            self.rotated = sorted(by_identity.values(), key=lambda entry: entry.age)
+
+    def from_position(self, file_id: int, position: int, after: int = 0) -> tuple[list[tuple[Generation, int]], bool]:
+        """What is to be read from a position on, as files with the byte to begin
+        at, and whether the position's file is lost.
+
+        after: for a position without a file, the time of the newest file that
+        was there when the source was first looked at.
+        """
+        live = [(self.live, 0)] if self.live else []
+        if self.live and self.live.file_id == file_id:
+            return [(self.live, position if self.live.resumes_at(position) else 0)], False
+        if file_id < 0:
+            return [(f, 0) for f in self.rotated if f.mtime > after] + live, False
+        held = next((f for f in self.rotated if f.file_id == file_id and f.resumes_at(position)), None)
+        if held is None:
+            return live, True
+        later = [(f, 0) for f in self.rotated if f.age > held.age]
+        return [(held, position), *later, *live], False
 
 
 def _last_line_end(path: str, limit: int, floor: int = 0) -> int:
@@ -124,16 +157,6 @@ def _next_line_end(path: str, position: int, limit: int) -> int:
     return limit
 
 
-def _at_boundary(path: str, offset: int, size: int) -> bool:
-    if offset > size:
-        return False
-    if offset in (0, size):
-        return True
-    with open(path, "rb") as handle:
-        handle.seek(offset - 1)
-        return handle.read(1) == b"\n"
-
-
 class _Options:
     def __init__(self, options: dict[str, str]) -> None:
         given = {key.lower(): value for key, value in options.items()}
@@ -160,11 +183,11 @@ class _Options:
         self.max_bytes = int(given.get("maxbytespertrigger", 0))
         self.checkpoint: dict[str, dict] = json.loads(given.get("checkpoint", "{}"))
 
-    def rotated(self, source: str) -> list[_File]:
-        return _rotated(self.paths[source], self.globs.get(source))
+    def listing(self, source: str) -> Listing:
+        return Listing(self.paths[source], self.globs.get(source))
 
 
-def _cut(source: str, entry: _File, start: int, stop: int, closed: bool, step: int) -> list[ByteRange]:
+def _cut(source: str, entry: Generation, start: int, stop: int, closed: bool, step: int) -> list[ByteRange]:
     return [
         ByteRange(source, entry.path, entry.file_id, entry.mtime, low, min(low + step, stop), stop, closed)
         for low in range(start, stop, step)
@@ -231,82 +254,80 @@ def _batch(part: ByteRange, values: list[bytes], ends: list[int]) -> pa.RecordBa
     )
 
 
+def _position(entry: Generation, at: int) -> dict:
+    return {"file": entry.file_id, "at": at}
+
+
 class _StreamReader(DataSourceStreamReader):
     def __init__(self, options: _Options) -> None:
         self.options = options
-        self._planned: dict | None = None
+        self._reached: dict | None = None
 
     def initialOffset(self) -> dict:
         """Rotated files that exist before the first run count as read."""
         offset = {}
-        for source, path in self.options.paths.items():
-            read = {str(f.file_id): f.size for f in self.options.rotated(source)}
-            live = _stat(path)
-            if live:
+        for source in self.options.paths:
+            files = self.options.listing(source)
+            if files.live:
                 at_end = self.options.start_from == "end"
-                read[str(live.file_id)] = live.size if at_end else 0
-            offset[source] = {"live": live.file_id if live else -1, "read": read}
-        self._planned = offset
+                offset[source] = _position(files.live, _last_line_end(files.live.path, files.live.size) if at_end else 0)
+            else:
+                offset[source] = {"file": -1, "at": 0, "after": max((f.mtime for f in files.rotated), default=0)}
+        self._reached = offset
         return offset
 
     def latestOffset(self) -> dict:
+        """As far as complete lines go, or about max_bytes from where the last batch ended."""
         offset = {}
-        for source, path in self.options.paths.items():
-            read = {str(f.file_id): f.size for f in self.options.rotated(source)}
-            live = _stat(path)
-            before = (self._planned or {}).get(source, {"live": -1, "read": {}})
-            if live:
-                read[str(live.file_id)] = _last_line_end(path, live.size)
-            offset[source] = {"live": live.file_id if live else -1, "read": read}
-            if self.options.max_bytes and self._planned is not None:
-                self._limit(source, offset[source], before)
+        for source in self.options.paths:
+            files = self.options.listing(source)
+            begun = (self._reached or {}).get(source)
+            if begun is None or not self.options.max_bytes:
+                offset[source] = self._end(files, begun)
+                continue
+            offset[source], room = begun, self.options.max_bytes
+            for entry, low in files.from_position(begun["file"], begun["at"], begun.get("after", 0))[0]:
+                stop = self._stop(files, entry)
+                if stop - low > room:
+                    stop = _next_line_end(entry.path, low + room - 1, stop)
+                offset[source] = _position(entry, stop)
+                room -= stop - low
+                if room <= 0:
+                    break
+        self._reached = offset
         return offset
 
-    def _limit(self, source: str, offset: dict, before: dict) -> None:
-        """Stop a batch after about max_bytes, at the end of a line."""
-        room = self.options.max_bytes
-        files = self.options.rotated(source)
-        live = _stat(self.options.paths[source])
-        if live:
-            files.append(live)
-        for entry in files:
-            key = str(entry.file_id)
-            stop = offset["read"].get(key, 0)
-            start = before["read"].get(key, 0)
-            start = 0 if start > stop else start
-            if stop - start > room:
-                stop = _next_line_end(entry.path, start + max(room, 1) - 1, stop) if room > 0 else start
-                offset["read"][key] = stop
-            room = max(0, room - (stop - start))
+    @staticmethod
+    def _stop(files: Listing, entry: Generation) -> int:
+        return _last_line_end(entry.path, entry.size) if entry is files.live else entry.size
+
+    def _end(self, files: Listing, begun: dict | None) -> dict:
+        last = files.live or (files.rotated[-1] if files.rotated and begun and begun["file"] >= 0 else None)
+        return _position(last, self._stop(files, last)) if last else begun or {"file": -1, "at": 0}
 
     def partitions(self, start: dict, end: dict) -> list[ByteRange]:
-        self._planned = end
+        self._reached = end
         parts: list[ByteRange] = []
         for source, reached in end.items():
-            begun = start.get(source, {"live": -1, "read": {}})
-            files = {str(f.file_id): f for f in self.options.rotated(source)}
-            live = _stat(self.options.paths[source]) if source in self.options.paths else None
-            if live:
-                files[str(live.file_id)] = live
-            for key, stop in reached["read"].items():
-                entry = files.get(key)
-                low = begun["read"].get(key, 0)
-                if low == stop:
-                    continue
-                if entry is None:
-                    logger.error(
-                        "%s: file %s is gone; its bytes %d-%d were not read", source, key, low, stop
-                    )
-                    continue
-                if low > stop or not _at_boundary(entry.path, low, entry.size):
-                    low = 0  # truncated, or another file under the same identity
-                closed = int(key) != reached["live"]
-                parts += _cut(source, entry, low, stop, closed, self.options.range_bytes)
-            for key, low in begun["read"].items():
-                if key not in reached["read"] and int(key) == begun["live"]:
-                    logger.error(
-                        "%s: file %s is gone; anything after offset %d was not read", source, key, low
-                    )
+            begun = start.get(source, {"file": -1, "at": 0})
+            if source not in self.options.paths or begun == reached:
+                continue
+            files = self.options.listing(source)
+            owed, lost = files.from_position(begun["file"], begun["at"], begun.get("after", 0))
+            if lost:
+                logger.error("%s: file %d is gone; anything after byte %d was not read", source, begun["file"], begun["at"])
+            if reached["file"] >= 0 and all(entry.file_id != reached["file"] for entry, _ in owed):
+                logger.error("%s: file %d is gone; its first %d bytes were not read", source, reached["file"], reached["at"])
+            for entry, low in owed:
+                last = entry.file_id == reached["file"]
+                stop = reached["at"] if last else entry.size
+                if last and begun["file"] == entry.file_id and stop < begun["at"]:
+                    low = 0  # cut short in place since
+                if low < stop:
+                    closed = entry is not files.live
+                    parts += _cut(source, entry, low, min(stop, entry.size), closed, self.options.range_bytes)
+                if last:
+                    break
         return parts
 
     def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
@@ -321,41 +342,21 @@ class _BatchReader(DataSourceReader):
 
     def partitions(self) -> list[ByteRange]:
         parts: list[ByteRange] = []
-        for source, path in self.options.paths.items():
-            parts += self._owed(source, path)
+        for source in self.options.paths:
+            files, saved = self.options.listing(source), self.options.checkpoint.get(source)
+            owed: list[tuple[Generation, int]] = []
+            if saved is not None:
+                owed, lost = files.from_position(int(saved["file_id"]), int(saved["offset"]))
+                if lost:
+                    logger.error("%s: file %s was not found; anything after byte %s was not read", source, saved["file_id"], saved["offset"])
+            elif files.live and self.options.start_from == "beginning":
+                owed = [(files.live, 0)]
+            for entry, low in owed:
+                closed = entry is not files.live
+                stop = entry.size if closed else _last_line_end(entry.path, entry.size)
+                parts += _cut(source, entry, low, stop, closed, self.options.range_bytes)
         return parts or [ByteRange("", os.devnull, os.stat(os.devnull).st_ino, 0, 0, 0, 0, True)]
 
-    def _owed(self, source: str, path: str) -> list[ByteRange]:
-        step = self.options.range_bytes
-        live = _stat(path)
-        saved = self.options.checkpoint.get(source)
-        live_stop = _last_line_end(path, live.size) if live else 0
-        if saved is None:
-            if live is None or self.options.start_from == "end":
-                return []
-            return _cut(source, live, 0, live_stop, False, step)
-        file_id, offset = int(saved["file_id"]), int(saved["offset"])
-        if live and live.file_id == file_id and _at_boundary(path, offset, live.size):
-            return _cut(source, live, offset, live_stop, False, step)
-        rotated = self.options.rotated(source)
-        held = next(
-            (f for f in rotated if f.file_id == file_id and _at_boundary(f.path, offset, f.size)),
-            None,
-        )
-        parts: list[ByteRange] = []
-        if held:
-            parts += _cut(source, held, offset, held.size, True, step)
-            for entry in rotated:
-                newer = entry.mtime > held.mtime and entry.file_id != held.file_id
-                if newer and not (live and entry.file_id == live.file_id):
-                    parts += _cut(source, entry, 0, entry.size, True, step)
-        else:
-            logger.error("%s: file %d was not found; anything after offset %d was not read",
-                         source, file_id, offset)
-        if live:
-            parts += _cut(source, live, 0, live_stop, False, step)
-        return parts
-
     def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
         if partition.stop <= partition.start:
             return iter(())
