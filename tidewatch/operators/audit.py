@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewatch.functions.json_text import computed_once, utf8_text, with_members
-from tidewatch.operators.shuffles import first_copy, null_safe_join
+from tidewatch.operators.shuffles import first_copy, null_safe_join, pin
 
 POSITION = ("topic", "partition", "offset")
 
@@ -106,14 +106,14 @@ def first_gaps(sequences: DataFrame, n: int = 10) -> DataFrame:
 
 def seq_audit(sequences: DataFrame, shown: int = 10) -> DataFrame:
     """One row: received, unique, highest, duplicates, gaps, the first gaps, verdict."""
-    per_seq = sequences.groupBy("seq").agg(F.count("*").alias("copies"))
+    per_seq = pin(sequences.groupBy("seq").agg(F.count("*").alias("copies")))  # documents are read once
     totals = per_seq.agg(
         F.coalesce(F.sum("copies"), F.lit(0)).alias("received"),
         F.count("seq").alias("unique_seqs"),
         F.greatest(F.coalesce(F.max("seq"), F.lit(0)), F.lit(0)).alias("highest"),
         F.count_if(F.col("seq") >= 1).alias("_counted"),
     )
-    shown_gaps = first_gaps(sequences, shown).agg(
+    shown_gaps = first_gaps(per_seq, shown).agg(
         F.array_sort(F.collect_list("seq")).alias("first_gaps")
     )
     gaps = F.col("highest") - F.col("_counted")

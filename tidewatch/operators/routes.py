@@ -69,3 +69,13 @@ def check_details(results: DataFrame) -> DataFrame:
         .select("name", F.col("_all_ok").alias("ok"), "detail")
     )
 
+
+
+def check_report(results: DataFrame) -> DataFrame:
+    """One row per check with its verdict and the details to report, sorted and joined.
+
+    A check has as many parts as the configuration names, so they fit a row.
+    """
+    return check_details(results).groupBy("name").agg(
+        F.first("ok").alias("ok"), F.array_join(F.array_sort(F.collect_list("detail")), "; ").alias("report")
+    )

@@ -193,6 +193,16 @@ SELECT 'host-' || user_id AS source,
        100 + user_id AS offset
 FROM events WHERE user_id % 5 <> 0 GROUP BY user_id
 """
+# Checkpointed positions: where the offset lies in its file and the byte before it.
+POSITIONS = """
+SELECT event_id, event_id % 600 AS offset, CAST(500 AS BIGINT) AS size,
+       CASE WHEN event_id % 600 = 0 THEN NULL WHEN event_id % 3 = 0 THEN 'nl' ELSE 'x' END AS byte_before
+FROM events
+"""
+ENDED = """
+SELECT event_id, props || CASE CAST(event_id % 4 AS INT) WHEN 0 THEN '' WHEN 1 THEN chr(10) WHEN 2 THEN chr(13) || chr(10)
+       ELSE chr(10) || chr(13) || chr(10) END AS value FROM events
+"""
 FILES = """
 SELECT 'c-' || c_custkey AS name,
        CASE WHEN c_custkey % 41 = 0 THEN '' ELSE '/logs/' || c_custkey || '.json' END AS path, c_nationkey AS nation

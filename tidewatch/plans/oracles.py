@@ -262,6 +262,16 @@ ORACLES = {
         count(*) AS parts FROM checks GROUP BY name""",
     "check_details": _CONFIG + """SELECT name, all_ok AS ok, detail FROM (
         SELECT *, bool_and(ok) OVER (PARTITION BY name) AS all_ok FROM checks) AS c WHERE all_ok OR NOT ok""",
+    "check_report": _CONFIG + """SELECT name, bool_and(all_ok) AS ok, string_agg(detail, '; ' ORDER BY detail) AS report FROM (
+        SELECT *, bool_and(ok) OVER (PARTITION BY name) AS all_ok FROM checks) AS c WHERE all_ok OR NOT ok GROUP BY name""",
+    "rotating_ndjson_follow": "SELECT event_id, user_id FROM events",
+    "line_boundaries": f"""WITH positions AS ({d.POSITIONS.replace(" AS offset", ' AS "offset"')}) SELECT event_id,
+        "offset" <= size AND ("offset" IN (0, size) OR byte_before = 'nl') AS resumes FROM positions""",
+    "stripped_lines": "SELECT event_id, props AS value FROM events",
+    "ndjson_round_trip": "SELECT event_id, event_type, props FROM events",
+    "queue_keys": """SELECT event_id, lpad(CAST(epoch_us(ts) * 1000 AS VARCHAR), 20, '0') || '-ev' || event_id AS queue_key FROM events""",
+    "queue_folder": "SELECT 'q' AS source, CAST(event_id AS INT) AS event_id FROM events",
+    "ledger_view": _ALERTS + "SELECT agent_name, count(*) AS alerts FROM findings GROUP BY agent_name",
     "owed_generations": _owed("end") + "SELECT source, path, file_id, start_offset, phase FROM owed",
     "lost_ranges": _owed("end") + """SELECT source, saved_id AS file_id, saved_offset AS lost_after_offset,
         CASE WHEN live_id IS NULL THEN 'no_live_file' WHEN live_id = saved_id THEN 'not_a_line_boundary'

@@ -10,7 +10,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewatch.functions.json_text import member_int
+from tidewatch.functions.json_text import member_int, strip_line_end
+from tidewatch.functions.labels import queue_key
 from tidewatch.operators import (
     audit,
     delivery,
@@ -26,8 +27,9 @@ from tidewatch.operators.shuffles import first_copy
 from tidewatch.plans import derived as d
 from tidewatch.session import checkpoint_dir, configure, use_rocksdb_state
 from tidewatch.sinks import ledger as lg
-from tidewatch.sinks.files import write_envelopes
+from tidewatch.sinks.files import write_envelopes, write_ndjson
 from tidewatch.sources import rotating_ndjson
+from tidewatch.sources.files import read_queue
 from tidewatch.sources.topics import topic_partitions
 from tidewatch.streaming import ingest as streams
 
@@ -189,6 +191,19 @@ def ingest_stats(spark, sf_dir):
     return lg.ingest_stats(_ledger(spark, sf_dir))
 
 
+def ledger_view(spark, sf_dir):
+    """SQL over the catalog's view of a ledger of two batches, declared twice."""
+    configure(spark)
+    target, name = _scratch(spark, "target"), f"ledger_{uuid.uuid4().hex}"
+    lg.create_tables(spark, target, name)
+    records = d.records(spark, sf_dir)
+    commit = lg.commit_batch(target)
+    for number in (0, 1):
+        commit(records.filter(f"offset div 4 % 2 = {number}"), number)
+    lg.create_tables(spark, target, name)
+    return spark.sql("SELECT agent_name, count(*) AS alerts FROM findings GROUP BY agent_name")
+
+
 def start_offsets(spark, sf_dir):
     configure(spark)
     records = d.records(spark, sf_dir)
@@ -350,6 +365,21 @@ def retention_report(spark, sf_dir):
     return queueing.retention_report(_queue(spark, sf_dir), KEEP_N, KEEP_BYTES)
 
 
+def queue_keys(spark, sf_dir):
+    configure(spark)
+    events = d.table(spark, sf_dir, "events")
+    nanos = F.unix_micros(F.col("ts").cast("timestamp")) * 1000
+    return events.select("event_id", queue_key(nanos, F.concat(F.lit("ev"), F.col("event_id"))).alias("queue_key"))
+
+
+def queue_folder(spark, sf_dir):
+    """Events as files of a queue folder, read back as whole files."""
+    folder = _scratch(spark, "queue")
+    d.table(spark, sf_dir, "events").select("event_id").write.json(folder)
+    lines = read_queue(spark, folder, "q").select("source", F.explode(F.split("body", "\n")).alias("line"))
+    return lines.filter("line <> ''").select("source", member_int(F.col("line"), "event_id").alias("event_id"))
+
+
 def queue_depth(spark, sf_dir):
     return queueing.queue_depth(_queue(spark, sf_dir))
 
@@ -415,6 +445,10 @@ def check_details(spark, sf_dir):
     return routes.check_details(_checks(spark, sf_dir))
 
 
+def check_report(spark, sf_dir):
+    return routes.check_report(_checks(spark, sf_dir))
+
+
 # --- rotated files ----------------------------------------------------------------
 
 
@@ -479,6 +513,58 @@ def rotating_ndjson_scan(spark, sf_dir):
     )
 
 
+def rotating_ndjson_follow(spark, sf_dir):
+    """Follow line files over a rotation: half of the events before it, half after."""
+    import json
+    import os
+
+    configure(spark)
+    rotating_ndjson.register(spark)
+    folder, out, state = (_scratch(spark, name) for name in ("followed", "out", "state"))
+    folder = folder.removeprefix("file:")
+    events = d.table(spark, sf_dir, "events").select("event_id", "user_id")
+    paths: dict[str, str] = {}
+    for half in (0, 1):
+        fresh = f"{folder}/half-{half}"
+        write_ndjson(events.filter(f"event_id % 2 = {half}"), fresh)
+        written = sorted(name for name in os.listdir(fresh) if name.startswith("part-"))
+        if not half:
+            paths = {f"s{i}": f"{fresh}/{name}" for i, name in enumerate(written)}
+        else:
+            for path in paths.values():
+                os.rename(path, f"{path}.1")
+            for path, name in zip(paths.values(), written, strict=True):
+                os.rename(f"{fresh}/{name}", path)
+        lines = (
+            spark.readStream.format("rotating_ndjson")
+            .options(paths=json.dumps(paths), startFrom="beginning", rangeBytes=65536)
+            .load()
+        )
+        streams.start(lines.writeStream.format("parquet").option("path", out), state).awaitTermination()
+    fields = F.from_json(F.col("value").cast("string"), "event_id bigint, user_id bigint")
+    return spark.read.parquet(out).select(fields["event_id"].alias("event_id"), fields["user_id"].alias("user_id"))
+
+
+def line_boundaries(spark, sf_dir):
+    configure(spark)
+    rows = d.derive(spark, sf_dir, d.POSITIONS)
+    before = F.when(F.col("byte_before") == "nl", F.lit(b"\n")).otherwise(F.col("byte_before").cast("binary"))
+    return rows.select(
+        "event_id", generations.at_line_boundary(F.col("offset"), F.col("size"), before).alias("resumes")
+    )
+
+
+def stripped_lines(spark, sf_dir):
+    configure(spark)
+    return d.derive(spark, sf_dir, d.ENDED).select("event_id", strip_line_end(F.col("value")).alias("value"))
+
+
+def ndjson_round_trip(spark, sf_dir):
+    folder = _scratch(spark, "ndjson")
+    write_ndjson(d.table(spark, sf_dir, "events").select("event_id", "event_type", "props"), folder)
+    return spark.read.schema("event_id bigint, event_type string, props string").json(folder)
+
+
 # --- journal and envelopes --------------------------------------------------------
 
 
@@ -568,6 +654,7 @@ QUERIES = {
     "ingest_offsets": ingest_offsets,
     "ingest_stats": ingest_stats,
     "start_offsets": start_offsets,
+    "ledger_view": ledger_view,
     "stream_ingest_exactly_once": stream_ingest_exactly_once,
     "stream_ingest_new_checkpoint": stream_ingest_new_checkpoint,
     "stream_ingest_counters": stream_ingest_counters,
@@ -586,6 +673,8 @@ QUERIES = {
     "retention_keep": retention_keep,
     "retention_report": retention_report,
     "queue_depth": queue_depth,
+    "queue_keys": queue_keys,
+    "queue_folder": queue_folder,
     "fifo_order": fifo_order,
     "dead_letters": dead_letters,
     "route_table": route_table,
@@ -594,12 +683,17 @@ QUERIES = {
     "missing_topics": missing_topics,
     "check_rollup": check_rollup,
     "check_details": check_details,
+    "check_report": check_report,
     "owed_generations": owed_generations,
     "lost_ranges": lost_ranges,
     "drain_order": drain_order,
     "rotated_candidates": rotated_candidates,
     "line_offsets": line_offsets,
     "rotating_ndjson_scan": rotating_ndjson_scan,
+    "rotating_ndjson_follow": rotating_ndjson_follow,
+    "line_boundaries": line_boundaries,
+    "stripped_lines": stripped_lines,
+    "ndjson_round_trip": ndjson_round_trip,
     "journal_events": journal_events,
     "journal_rejects": journal_rejects,
     "ingest_envelopes": ingest_envelopes,
