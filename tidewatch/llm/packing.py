@@ -25,7 +25,9 @@ from tidewatch.llm.common import python_ready, stored, texts_of
 CAPACITY = 1024
 END_ID = 2
 #: Words whose ids a worker remembers, and the longest such word in characters.
-REMEMBERED, LONGEST = 300_000, 60
+REMEMBERED, LONGEST = 500_000, 60
+#: Words that the tokenizer gets as one text.
+WORDS_AT_ONCE = 256
 
 BLANK_AFTER_SPACE = re.compile(r" (?:\s|\Z)")
 
@@ -126,34 +128,60 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        vocabulary = self.tokenizer.get_vocab()
+        self.n_bytes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
+        for token, number in vocabulary.items():
+            self.n_bytes[number] = len(token)  # a character for each byte
         self.known: dict[str, bytes] = {}
 
-    def _ids(self, words: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(words, add_special_tokens=False)
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
+    def _ids_of_words(self, words: list[str]) -> dict[str, bytes]:
+        """Words that begin with a space are encoded many at a time and told apart by their bytes."""
+        first = [w for w in words if w[:1] != " "]
+        out = dict(zip(first, self._ids(first), strict=True)) if first else {}
+        words = [w for w in words if w[:1] == " "]
+        groups = [words[i : i + WORDS_AT_ONCE] for i in range(0, len(words), WORDS_AT_ONCE)]
+        for group, ids in zip(groups, self._ids(["".join(g) for g in groups]) if groups else [], strict=True):
+            ends = np.cumsum(self.n_bytes[np.frombuffer(ids, dtype="<u4")])
+            wanted = np.cumsum([len(w.encode()) for w in group])
+            cuts = np.searchsorted(ends, wanted) + 1
+            if (ends[np.minimum(cuts, len(ends)) - 1] != wanted).any():  # a token across words: not with these cuts
+                out.update(zip(group, self._ids(group), strict=True))
+                continue
+            stops = (4 * cuts).tolist()
+            out.update((w, ids[i:j]) for w, i, j in zip(group, [0, *stops], stops, strict=False))
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        known, cut, unknown = self.known, [], set()
-        for text in texts:
-            words = None
-            if not (BLANK_AFTER_SPACE.search(text) or "\0" in text or any(s in text for s in self.special)):
-                words = text.replace(" ", "\0 ").split("\0")
-                unknown.update(w for w in words if w not in known)
-            cut.append(words)
-        missing = list(unknown)
-        fresh = dict(zip(missing, self._ids(missing), strict=True)) if missing else {}
-        if len(known) < REMEMBERED:
-            known.update((w, i) for w, i in fresh.items() if len(w) <= LONGEST)
-        whole = [i for i, words in enumerate(cut) if words is None and texts[i]]
+        known, found, missing, whole = self.known, [], set(), []
+        for i, text in enumerate(texts):
+            if not text or BLANK_AFTER_SPACE.search(text) or "\0" in text or any(s in text for s in self.special):
+                found.append((None, None))
+                if text:
+                    whole.append(i)
+                continue
+            words = text.replace(" ", "\0 ").split("\0")
+            ids = list(map(known.get, words))
+            if None in ids:
+                missing.update([w for w, b in zip(words, ids, strict=True) if b is None])
+                found.append((words, ids))
+            else:
+                found.append((None, ids))
+        fresh = self._ids_of_words(list(missing)) if missing else {}
         rest = dict(zip(whole, self._ids([texts[i] for i in whole]), strict=True)) if whole else {}
         out = []
-        for i, words in enumerate(cut):
-            if words is None:
+        for i, (words, ids) in enumerate(found):
+            if ids is None:
                 out.append(rest.get(i, b""))
-            elif fresh:
-                out.append(b"".join([known[w] if w in known else fresh[w] for w in words]))
-            else:
-                out.append(b"".join([known[w] for w in words]))
+                continue
+            if words is not None:
+                ids = [fresh[w] if b is None else b for w, b in zip(words, ids, strict=True)]
+            out.append(b"".join(ids))
+        if len(known) < REMEMBERED:
+            known.update((w, b) for w, b in fresh.items() if len(w) <= LONGEST)
         return out
 
 
