@@ -92,4 +92,51 @@ QUERIES: dict[str, Query] = {
     "op10_walk_decontamination": op10_walk_decontamination,
 }
 
-ORACLES: dict[str, str] = {}
+_LOWER = f"translate({{}}, '{url_rules.UPPER}', '{url_rules.LOWER}')"
+
+
+def _listed_sql(column: int) -> str:
+    """CASE over the listed rules, longest first; column 0: the rule, 1: its verdict."""
+    order = sorted(url_rules.RULES, key=lambda r: (-len(r[0] + r[1]), r[0] + r[1]))
+    cases = " ".join(
+        f"WHEN (host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{path}') "
+        f"THEN '{(host + path, says)[column]}'"
+        for host, path, says in order
+    )
+    return f"CASE {cases} END"
+
+
+_URLS = f"""WITH urls AS (
+  SELECT page_id, url,
+    coalesce({_LOWER.format("regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1)")}, '') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path,
+    list_distinct(list_filter(string_split_regex({_LOWER.format("coalesce(url, '')")}, '[^a-z0-9]+'),
+      lambda x: regexp_matches(x, '[a-z]'))) AS tokens
+  FROM pages),
+marks AS (
+  SELECT doc_id, bool_or(coalesce(quality = 0, false) OR coalesce(toxic = 1, false)) AS bad
+  FROM labels WHERE quality IS NOT NULL OR toxic IS NOT NULL GROUP BY doc_id),
+labelled AS (SELECT row_number() OVER () AS nr, tokens, bad FROM urls JOIN marks ON page_id = doc_id),
+least AS (
+  SELECT greatest({url_rules.MIN_PAGES}, ceil(CAST({url_rules.MIN_SUPPORT} AS DOUBLE) * count(*))) AS pages FROM labelled),
+single AS (SELECT nr, bad, unnest(tokens) AS token FROM labelled),
+sets AS (
+  SELECT [token] AS needed, count(*) AS n, count(*) FILTER (WHERE bad) AS k FROM single GROUP BY token
+  UNION ALL
+  SELECT [a.token, b.token], count(*), count(*) FILTER (WHERE a.bad) FROM single a
+  JOIN single b ON a.nr = b.nr AND a.token < b.token GROUP BY a.token, b.token
+  UNION ALL
+  SELECT [a.token, b.token, c.token], count(*), count(*) FILTER (WHERE a.bad) FROM single a
+  JOIN single b ON a.nr = b.nr AND a.token < b.token JOIN single c ON b.nr = c.nr AND b.token < c.token
+  GROUP BY a.token, b.token, c.token),
+rules AS (SELECT needed FROM sets, least WHERE k >= pages AND k >= CAST({url_rules.MIN_CONFIDENCE} AS DOUBLE) * n),
+judged AS (
+  SELECT page_id, host, path, {_listed_sql(0)} AS rule, {_listed_sql(1)} AS says,
+    EXISTS (SELECT 1 FROM rules WHERE list_has_all(tokens, needed)) AS mined
+  FROM urls)
+"""
+
+ORACLES: dict[str, str] = {
+    "op8_url_rules": _URLS + """SELECT page_id, host, path, rule,
+      coalesce(says, CASE WHEN mined THEN 'block' ELSE 'allow' END) AS verdict, mined FROM judged""",
+}
