@@ -30,6 +30,23 @@ def test_classes_equal_a_plain_join(spark):
     assert found == {i: min(own) for own in members.values() for i in own}
 
 
+def test_a_group_in_which_no_leader_is_near_all(spark):
+    """Copies of copies: near ones are linked in chains, most pairs are below the bound."""
+    texts, text = [], prose(7, 200)
+    for i in range(40):
+        text = changed(text, 3, 1000 + i)
+        texts.append(text)
+    texts += [changed(prose(8, 200), 9, i) for i in range(30)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["class_id"] for r in near_duplicates.near_duplicate_classes(docs).collect()}
+    members = defaultdict(list)
+    for i, c in enumerate(plain.near_classes(texts)):
+        members[c].append(i)
+    assert found == {i: min(own) for own in members.values() for i in own}
+    counted = near_duplicates.near_duplicate_classes(docs, counted=True)
+    assert {r["doc_id"]: r["class_id"] for r in counted.collect()} == found
+
+
 def test_odd_documents_keep_one_of_each_class(odd_docs, no_docs):
     found = near_duplicates.near_duplicate_classes(odd_docs).collect()
     assert len(found) == len(odd_rows())

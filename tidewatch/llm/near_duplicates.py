@@ -23,6 +23,9 @@ BANDS, ROWS = 22, 5
 #: similarity 0.8 about 11 of the 110 differ, and more than 27 in 1 of 10^6.
 MOST_BITS = 27
 SEED = np.uint64(0xD1B54A32D192ED03)
+#: Bits that say which of so many parts of the hashes hold an odd number of shingles. Two sets
+#: differ in at least as many shingles as they do in these bits, so no similar pair is lost by them.
+ODD_BITS = 1024
 
 
 def shingles(text: str, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -81,7 +84,7 @@ def dart_signatures(elements: np.ndarray, weights: np.ndarray, owner: np.ndarray
     return out
 
 
-SIGNED = "key_id long, key_text int, node binary, n_shingles int, bits_a long, bits_b long, bands array<long>"
+SIGNED = "key_id long, key_text int, node binary, n_shingles int, bits_a long, bits_b long, odd array<long>, bands array<long>"
 
 
 def signed(docs: DataFrame, counted: bool = False, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -97,12 +100,19 @@ def signed(docs: DataFrame, counted: bool = False, bands: int = BANDS, rows: int
                 if len(s) else hashlib.blake2b(f"no words {key}".encode(), digest_size=16).digest()
                 for (s, c), key in zip(sets, frame["key_id"], strict=True)
             ]
+            odd = np.zeros((len(frame), ODD_BITS), dtype=np.uint8)
+            for i, (s, c) in enumerate(sets):
+                each = s if not counted else np.repeat(s, c) + np.concatenate([np.arange(k, dtype=np.uint64) for k in c]) * SEED if len(s) else s
+                odd[i] = np.bincount((mixed(each) >> np.uint64(54)).astype(np.int64), minlength=ODD_BITS) & 1
+            odd = np.packbits(odd, axis=1).view(np.int64)
+            if counted:
+                n = np.array([int(c.sum()) for _, c in sets])
             keys, bits = np.zeros((len(frame), bands), dtype=np.int64), np.zeros((len(frame), 2), dtype=np.int64)
             if len(live):
                 counts = np.concatenate([sets[i][1] for i in live]).astype(np.float64)
                 found = dart_signatures(
                     np.concatenate([sets[i][0] for i in live]), counts if counted else np.ones(len(counts)),
-                    np.repeat(np.arange(len(live)), n[live]), len(live), bands * rows,
+                    np.repeat(np.arange(len(live)), [len(sets[i][0]) for i in live]), len(live), bands * rows,
                 )
                 grid = found.reshape(len(live), bands, rows)
                 own = np.broadcast_to(np.arange(bands, dtype=np.uint64) * SEED, (len(live), bands))
@@ -115,7 +125,7 @@ def signed(docs: DataFrame, counted: bool = False, bands: int = BANDS, rows: int
                     bits[live, half] = (part << shifts).sum(axis=1, dtype=np.uint64).view(np.int64)
             yield pd.DataFrame({
                 "key_id": frame["key_id"], "key_text": frame["key_text"], "node": nodes, "n_shingles": n.astype(np.int32),
-                "bits_a": bits[:, 0], "bits_b": bits[:, 1], "bands": [x if m else x[:0] for x, m in zip(keys, n, strict=True)],
+                "bits_a": bits[:, 0], "bits_b": bits[:, 1], "odd": list(odd), "bands": [x if m else x[:0] for x, m in zip(keys, n, strict=True)],
             })
 
     return docs.select(*KEYS, "text").mapInPandas(run, SIGNED)
@@ -128,6 +138,14 @@ def may_be_similar(a: str, b: str, least: float) -> Column:
     return sizes & (apart[0] + apart[1] <= MOST_BITS)
 
 
+def differ_little(a: str, b: str, least: float) -> Column:
+    """Whether the odd bits differ in no more places than similar sets of these sizes have different shingles."""
+    apart = sum(
+        (F.bit_count(F.col(f"{a}.odd")[i].bitwiseXOR(F.col(f"{b}.odd")[i])) for i in range(ODD_BITS // 64)), F.lit(0)
+    )
+    return apart <= (F.col(f"{a}.n_shingles") + F.col(f"{b}.n_shingles")) * ((1 - least) / (1 + least)) + 1e-6
+
+
 def similar_pairs(pairs: DataFrame, texts: DataFrame, least: float, counted: bool) -> DataFrame:
     """Those of the pairs (a, b) whose exact similarity reaches the least one."""
 
@@ -162,7 +180,7 @@ def classes(docs: DataFrame, least: float = SIMILARITY, counted: bool = False) -
     signs = stored(signed(rows, counted), "signs")
     nodes = signs.groupBy("node").agg(
         F.min(F.struct(*KEYS)).alias("first"),
-        *[F.first(c).alias(c) for c in ("n_shingles", "bits_a", "bits_b", "bands")],
+        *[F.first(c).alias(c) for c in ("n_shingles", "bits_a", "bits_b", "odd", "bands")],
     )
     own = ["node", "n_shingles", "bits_a", "bits_b"]
     spread = nodes.select(*own, "first", F.explode("bands").alias("band"))
@@ -190,17 +208,25 @@ def classes(docs: DataFrame, least: float = SIMILARITY, counted: bool = False) -
     mixed_bands = placed.groupBy("band").agg(
         (F.min("component") != F.max("component")).alias("several")
     ).filter("several").select("band")
-    open_ones = stored(placed.join(mixed_bands, "band"), "open")
+    open_ones = stored(placed.join(mixed_bands, "band").join(nodes.select("node", "odd"), "node"), "open")
     x, y = open_ones.alias("x"), open_ones.alias("y")
     across = (
         (F.col("x.band") == F.col("y.band")) & (F.col("x.node") < F.col("y.node"))
-        & (F.col("x.component") != F.col("y.component")) & may_be_similar("x", "y", least)
+        & (F.col("x.component") != F.col("y.component")) & may_be_similar("x", "y", least) & differ_little("x", "y", least)
     )
     more = x.join(y, across).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
     rest = stored(more.join(compared, ["a", "b"], "left_anti"), "compared")
     further = stored(similar_pairs(rest, texts, least, counted), "edges")
-    if not further.isEmpty():
-        joined = components(edges.unionByName(further))
+    if not further.isEmpty():  # joins components, as few links between their least nodes
+        own = joined.select(F.col("node").alias("a"), F.col("component").alias("of_a"))
+        other = joined.select(F.col("node").alias("b"), F.col("component").alias("of_b"))
+        between = further.join(own, "a", "left").join(other, "b", "left").select(
+            F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")
+        )
+        last = components(between).toDF("component", "last")
+        joined = joined.join(last, "component", "left").select(
+            "node", F.coalesce("last", "component").alias("component")
+        ).unionByName(last.toDF("node", "component"))
     return signs.select(*KEYS, "node"), joined
 
 
