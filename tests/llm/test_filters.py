@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 import plain
-from conftest import odd_rows, prose
+from samples import odd_rows, prose
 from tidewatch.llm import decontamination, lm_scoring, quality_rules, toxicity, url_rules
 from tidewatch.llm.gated_model import GatedModel
 from tidewatch.llm import gated_model

@@ -4,7 +4,7 @@ from collections import defaultdict
 import numpy as np
 
 import plain
-from conftest import odd_rows, prose
+from samples import odd_rows, prose
 from tidewatch.llm import near_duplicates
 from tidewatch.llm.components import components
 

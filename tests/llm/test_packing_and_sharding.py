@@ -6,7 +6,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import plain
-from conftest import odd_rows
+from samples import odd_rows
 from tidewatch.llm import packing, sharding
 
 

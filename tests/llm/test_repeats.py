@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 
 import plain
-from conftest import odd_rows, prose
+from samples import odd_rows, prose
 from tidewatch.llm import recurring, repeated_phrases, suffix_arrays
 
 
