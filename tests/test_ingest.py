@@ -2,7 +2,7 @@ import json
 import os
 
 import pytest
-from conftest import alert
+from alerts import alert
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 

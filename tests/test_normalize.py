@@ -1,6 +1,6 @@
 from datetime import datetime
 
-from conftest import alert
+from alerts import alert
 
 from tidewatch.functions.json_text import is_json
 from tidewatch.functions.labels import severity_tag, stable_uuid
