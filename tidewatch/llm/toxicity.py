@@ -28,10 +28,6 @@ EVIDENCE = 3
 TERM = re.compile(r"[^\W\d_]+")
 
 
-def terms_of(text: str) -> Counter:
-    return Counter(TERM.findall(text.lower()))
-
-
 def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, text, toxic of the rows to learn from, copies of a text counted once by their mean label."""
     marks = labels.filter((crc_rest("doc_id", FOLDS) != 0) & F.col("toxic").isNotNull()).groupBy("doc_id").agg(
@@ -95,13 +91,13 @@ class ExampleIndex:
         self.n_blocks = n_blocks
 
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        found = [(self.number[t], n) for t, n in terms_of(text).items() if t in self.number]
+        number = self.number
+        found = Counter([number[t] for t in TERM.findall(text.lower()) if t in number])
         if not found:
             return np.zeros(0, dtype=np.int64), np.zeros(0)
-        at = np.array([f[0] for f in found], dtype=np.int64)
-        weight = (1 + np.log([f[1] for f in found])) * self.idf[at]
-        order = np.argsort(at)
-        return at[order], weight[order] / np.sqrt((weight**2).sum())
+        at = np.array(sorted(found), dtype=np.int64)
+        weight = (1 + np.log([found[t] for t in at.tolist()])) * self.idf[at]
+        return at, weight / np.sqrt((weight**2).sum())
 
     def _scores(self, at: np.ndarray, weight: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Exact cosines of the examples in some blocks that share a term with the text."""
@@ -126,8 +122,9 @@ class ExampleIndex:
         first = np.argsort(-bounds, kind="stable")[: 2 + k // BLOCK]
         found, scores = self._scores(at, weight, np.sort(first))
         least = np.partition(scores, -k)[-k] if len(scores) >= k else 0.0
-        rest = np.nonzero((bounds >= least - 1e-9) & (bounds > 0))[0]
-        rest = rest[~np.isin(rest, first)]
+        open_ones = (bounds >= least - 1e-9) & (bounds > 0)
+        open_ones[first] = False
+        rest = np.nonzero(open_ones)[0]
         if len(rest):
             more, more_scores = self._scores(at, weight, rest)
             found, scores = np.concatenate([found, more]), np.concatenate([scores, more_scores])
@@ -142,8 +139,8 @@ class ExampleIndex:
         found, scores = self.nearest(at, weight)
         votes = scores**2 * self.vote[found]
         score = (votes @ self.toxic[found] + PRIOR_WEIGHT * self.rate_without) / (votes.sum() + PRIOR_WEIGHT)
-        shown = [(int(self.doc_id[i]), int(self.toxic[i]), float(s)) for i, s in zip(found, scores, strict=True)]
-        return float(min(max(score, 0.0), 1.0)), shown[:EVIDENCE]
+        shown = zip(found[:EVIDENCE].tolist(), scores[:EVIDENCE].tolist(), strict=True)
+        return float(min(max(score, 0.0), 1.0)), [(int(self.doc_id[i]), int(self.toxic[i]), s) for i, s in shown]
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> ExampleIndex:
