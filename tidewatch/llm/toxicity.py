@@ -18,8 +18,10 @@ from tidewatch.operators.shuffles import lookup_join
 FOLDS = 5
 #: Labelled texts kept as examples, toxic and other, at most. A bounded sample by hash.
 EXAMPLES = 3000
-#: Terms that tell toxic from other labelled texts, at most, and how clearly they must (a G statistic).
-TERMS, LEAST_G, LEAST_TEXTS = 5000, 30.0, 5
+#: Terms that tell toxic from other labelled texts, at most; how clearly they must (a G statistic), and how
+#: many times the share of toxic texts must be found among those with the term. Terms that only lean a
+#: little are in most texts: they cost much and say nothing.
+TERMS, LEAST_G, LEAST_TEXTS, LEAST_LIFT = 5000, 30.0, 5, 2.5
 NEAREST, BLOCK = 32, 64
 #: Weight of the rate among texts without any such term, in units of a neighbour of similarity 1.
 PRIOR_WEIGHT = 0.5
@@ -55,7 +57,9 @@ def telling_terms(rows: DataFrame, n_texts: int, n_toxic: int) -> DataFrame:
     outside = part(n_toxic - k, (n_texts - n) * share) + part(
         (n_texts - n_toxic) - (n - k), (n_texts - n) * (1 - share)
     )
-    return counts.select("term", "n", (2 * (inside + outside)).alias("g")).filter(F.col("g") >= LEAST_G).orderBy(
+    return counts.withColumn("g", 2 * (inside + outside)).filter(
+        (F.col("g") >= LEAST_G) & (k >= LEAST_LIFT * share * n)
+    ).orderBy(
         F.desc("g"), "term"
     ).limit(TERMS)
 
