@@ -220,6 +220,12 @@ ORACLES = {
     "stream_ingest_exactly_once": _STREAMED,
     "stream_ingest_new_checkpoint": _STREAMED,
     "stream_ingest_counters": _ALERTS + _STATS,
+    "stream_batch_counters": _ALERTS + f"""SELECT part AS batch_id, count(*) AS consumed,
+        count(*) FILTER (WHERE state = 1) AS inserted, count(*) FILTER (WHERE state > 1) AS duplicates,
+        count(*) FILTER (WHERE state = 0) AS rejected FROM (
+          SELECT CAST(floor(source_offset / 4) AS BIGINT) % {PARTS} AS part, row_number() OVER (PARTITION BY manager, alert_id
+            ORDER BY CAST(floor(source_offset / 4) AS BIGINT) % {PARTS}, source_topic, source_partition, source_offset) AS state FROM alerts
+          UNION ALL SELECT CAST(floor(source_offset / 4) AS BIGINT) % {PARTS}, 0 FROM junks) AS m GROUP BY part""",
     "stream_ingest_with_state": _ALERTS + "SELECT manager, alert_id, agent_name FROM findings",
     "streaming_seq_audit": _AUDIT,
     "seq_audit": _AUDIT,

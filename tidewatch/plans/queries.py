@@ -269,6 +269,11 @@ def stream_ingest_counters(spark, sf_dir):
     return lg.ingest_stats(ledger)
 
 
+def stream_batch_counters(spark, sf_dir):
+    target = _ledger_through_stream(spark, sf_dir, streams.ingest)
+    return lg.batch_stats(lg.read_ledger(spark, target)).drop("run")
+
+
 def stream_ingest_with_state(spark, sf_dir):
     use_rocksdb_state(spark)
     target = _ledger_through_stream(spark, sf_dir, streams.ingest_with_state)
@@ -658,6 +663,7 @@ QUERIES = {
     "stream_ingest_exactly_once": stream_ingest_exactly_once,
     "stream_ingest_new_checkpoint": stream_ingest_new_checkpoint,
     "stream_ingest_counters": stream_ingest_counters,
+    "stream_batch_counters": stream_batch_counters,
     "stream_ingest_with_state": stream_ingest_with_state,
     "streaming_seq_audit": streaming_seq_audit,
     "seq_audit": seq_audit,

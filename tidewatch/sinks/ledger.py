@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidewatch.operators.normalize import classify
 from tidewatch.operators.shuffles import first_copy, is_small, null_safe_join
@@ -161,15 +161,24 @@ def next_offsets(ledger: DataFrame) -> DataFrame:
     ).agg((F.max("source_offset") + 1).alias("next_offset"))
 
 
-def ingest_stats(ledger: DataFrame) -> DataFrame:
-    """Consumed, inserted, duplicates and rejected, in one row."""
+def _counters() -> list[Column]:
     disposition = F.col("disposition")
-    return ledger.agg(
+    return [
         F.count("*").alias("consumed"),
         F.count_if(disposition == INSERTED).alias("inserted"),
         F.count_if(disposition == DUPLICATE).alias("duplicates"),
         F.count_if(disposition == REJECTED).alias("rejected"),
-    )
+    ]
+
+
+def ingest_stats(ledger: DataFrame) -> DataFrame:
+    """Consumed, inserted, duplicates and rejected, in one row."""
+    return ledger.agg(*_counters())
+
+
+def batch_stats(ledger: DataFrame) -> DataFrame:
+    """The counters of each batch of each run, for periodic reports."""
+    return ledger.groupBy("run", "batch_id").agg(*_counters())
 
 
 def resolve_start(
