@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import crc_rest, python_ready, stored, texts_of
+from tidewatch.llm.common import crc_rest, greatest, python_ready, stored, texts_of
 from tidewatch.operators.shuffles import lookup_join
 
 #: Of five parts of the ids, the first is held out.
@@ -42,7 +42,7 @@ def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def telling_terms(rows: DataFrame, n_texts: int, n_toxic: int) -> DataFrame:
-    """term, n (labelled texts that have it) and g, most telling first; counted over all labelled texts."""
+    """term, n (labelled texts that have it) and g, the most telling ones; counted over all labelled texts."""
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("(\\p{L}+)"), 1))
     counts = rows.select(F.explode(words).alias("term"), "toxic").groupBy("term").agg(
         F.count("*").alias("n"), F.sum("toxic").alias("k")
@@ -57,11 +57,10 @@ def telling_terms(rows: DataFrame, n_texts: int, n_toxic: int) -> DataFrame:
     outside = part(n_toxic - k, (n_texts - n) * share) + part(
         (n_texts - n_toxic) - (n - k), (n_texts - n) * (1 - share)
     )
-    return counts.withColumn("g", 2 * (inside + outside)).filter(
+    clear = counts.withColumn("g", 2 * (inside + outside)).filter(
         (F.col("g") >= LEAST_G) & (k >= LEAST_LIFT * share * n)
-    ).orderBy(
-        F.desc("g"), "term"
-    ).limit(TERMS)
+    )
+    return greatest(clear, "g", TERMS)
 
 
 class ExampleIndex:
@@ -153,7 +152,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> ExampleIndex:
     n_texts, n_toxic = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not n_toxic or n_toxic == n_texts:
         return ExampleIndex([], n_texts, [], (1.0, 1.0), float(bool(n_toxic)) if n_texts else 0.0)
-    terms = [(r["term"], r["n"]) for r in telling_terms(rows, n_texts, n_toxic).collect()]
+    terms = sorted((r["term"], r["n"]) for r in telling_terms(rows, n_texts, n_toxic).collect())
     telling = docs.sparkSession.createDataFrame([(t,) for t, _ in terms], "term string")
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("(\\p{L}+)"), 1))
     with_any = rows.select("text_hash", "toxic", F.explode(words).alias("term")).join(
@@ -162,10 +161,11 @@ def learn(docs: DataFrame, labels: DataFrame) -> ExampleIndex:
     without = n_texts - with_any[0], n_toxic - with_any[1]
     examples, scale = [], []
     for label, total in ((0, n_texts - n_toxic), (1, n_toxic)):
-        own = rows.filter(F.col("toxic") == label).orderBy(F.xxhash64(F.lit(17), "text_hash"), "doc_id").limit(EXAMPLES)
+        part = int(min(1.0, 0.9 * EXAMPLES / total) * 2**20)  # so that more than EXAMPLES do not occur
+        own = rows.filter((F.col("toxic") == label) & (F.pmod(F.xxhash64(F.lit(17), "text_hash"), F.lit(2**20)) < part))
         got = own.select("doc_id", "text").collect()
-        examples += [(r["doc_id"], r["text"], label) for r in got]
-        scale.append(total / len(got))
+        examples += sorted((r["doc_id"], r["text"], label) for r in got)
+        scale.append(total / max(1, len(got)))
     mean = (scale[0] + scale[1]) / 2
     rate = (without[1] + n_toxic / n_texts) / (without[0] + 1)
     return ExampleIndex(terms, n_texts, examples, (scale[0] / mean, scale[1] / mean), rate)
