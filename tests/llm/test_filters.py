@@ -169,6 +169,21 @@ def test_nearest_examples_equal_all_cosines():
         assert np.allclose(scores, np.sort(every)[::-1][: len(scores)]) and np.allclose(every[found], scores)
 
 
+def test_few_texts_keep_all_terms_and_clean_examples(spark):
+    rows, labels = [], []
+    for i in range(70):
+        toxic = i % 7 == 0
+        rows.append((i, prose(i, 60) + (" vile rotten" if toxic else "")))
+        labels.append((i, 1, int(toxic)))
+    docs, marks = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    index = toxicity.learn(docs, marks)
+    own = {i: t for i, t in rows if not held_out(i, 5)}
+    assert set(index.doc_id.tolist()) == set(own)  # clean ones too
+    assert set(index.number) == {w for t in own.values() for w in t.split()}
+    found = {r["doc_id"]: r["predicted"] for r in toxicity.score(docs, marks).collect()}
+    assert found == {i: t for i, _, t in labels}
+
+
 # decontamination
 
 

@@ -11,19 +11,17 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import crc_rest, greatest, python_ready, stored, texts_of
+from tidewatch.llm.common import crc_rest, python_ready, stored, texts_of
 from tidewatch.operators.shuffles import lookup_join
 
 #: Of five parts of the ids, the first is held out.
 FOLDS = 5
 #: Labelled texts kept as examples, toxic and other, at most. A bounded sample by hash.
 EXAMPLES = 3000
-#: Terms that tell toxic from other labelled texts, at most; how clearly they must (a G statistic), and how
-#: many times the share of toxic texts must be found among those with the term. Terms that only lean a
-#: little are in most texts: they cost much and say nothing.
-TERMS, LEAST_G, LEAST_TEXTS, LEAST_LIFT = 5000, 30.0, 5, 2.5
+#: Least lean of a term, so that terms spread alike over both labels keep a small weight and none is dropped.
+LEAST_LEAN = 1e-6
 NEAREST, BLOCK = 32, 64
-#: Weight of the rate among texts without any such term, in units of a neighbour of similarity 1.
+#: Weight of the rate among all labelled texts, in units of a neighbour of similarity 1.
 PRIOR_WEIGHT = 0.5
 EVIDENCE = 3
 
@@ -41,35 +39,52 @@ def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     ).withColumn("toxic", F.round("toxic").cast("int"))
 
 
-def telling_terms(rows: DataFrame, n_texts: int, n_toxic: int) -> DataFrame:
-    """term, n (labelled texts that have it) and g, the most telling ones; counted over all labelled texts."""
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("(\\p{L}+)"), 1))
-    counts = rows.select(F.explode(words).alias("term"), "toxic").groupBy("term").agg(
-        F.count("*").alias("n"), F.sum("toxic").alias("k")
-    ).filter(F.col("n") >= LEAST_TEXTS)
+def terms_of(column: str = "text"):
+    return F.array_distinct(F.regexp_extract_all(F.lower(column), F.lit("(\\p{L}+)"), 1))
+
+
+def counted_terms(docs: DataFrame, rows: DataFrame, examples: DataFrame, n_texts: int, n_toxic: int) -> DataFrame:
+    """term, n (documents that have it) and lean of every term of the examples.
+
+    n is counted over all documents, for the inverse document frequency. lean
+    is the G statistic of the term against the label, either way, over all
+    labelled texts; it only weighs terms. The terms of the examples are bounded
+    as these are, and others are not shuffled.
+    """
+    wanted = examples.select(F.explode(terms_of()).alias("term")).distinct()
+    zero, one = F.lit(0), F.lit(1)
+    every = texts_of(docs).select(F.explode(terms_of()).alias("term"), one.alias("n"), zero.alias("m"), zero.alias("k"))
+    labelled = rows.select(F.explode(terms_of()).alias("term"), zero.alias("n"), one.alias("m"), F.col("toxic").alias("k"))
+    counts = every.unionAll(labelled).join(F.broadcast(wanted), "term", "left_semi").groupBy("term").agg(
+        *[F.sum(c).alias(c) for c in ("n", "m", "k")]
+    )
 
     def part(seen, expected):
         return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
 
-    n, k = F.col("n").cast("double"), F.col("k").cast("double")
+    m, k = F.col("m").cast("double"), F.col("k").cast("double")
     share = n_toxic / n_texts
-    inside = part(k, n * share) + part(n - k, n * (1 - share))
-    outside = part(n_toxic - k, (n_texts - n) * share) + part(
-        (n_texts - n_toxic) - (n - k), (n_texts - n) * (1 - share)
+    inside = part(k, m * share) + part(m - k, m * (1 - share))
+    outside = part(n_toxic - k, (n_texts - m) * share) + part(
+        (n_texts - n_toxic) - (m - k), (n_texts - m) * (1 - share)
     )
-    clear = counts.withColumn("g", 2 * (inside + outside)).filter(
-        (F.col("g") >= LEAST_G) & (k >= LEAST_LIFT * share * n)
-    )
-    return greatest(clear, "g", TERMS)
+    return counts.select("term", "n", F.greatest(2 * (inside + outside), F.lit(LEAST_LEAN)).alias("lean"))
+
+
+def ranges(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of several ranges one after another, and the ranges' lengths."""
+    n = end - begin
+    return np.arange(n.sum()) + np.repeat(begin - (np.cumsum(n) - n), n), n
 
 
 class ExampleIndex:
     """Postings of the examples' vectors, in blocks whose greatest weights bound what a block can score."""
 
-    def __init__(self, terms: list[tuple[str, int]], n_texts: int, examples: list[tuple[int, str, int]],
-                 scale: tuple[float, float], rate_without: float):
+    def __init__(self, terms: list[tuple[str, int]], n_docs: int, examples: list[tuple[int, str, int]],
+                 scale: tuple[float, float], rate_without: float, leans: list[float] | None = None):
         self.number = {t: i for i, (t, _) in enumerate(terms)}
-        self.idf = np.array([np.log((n_texts + 1) / (n + 0.5)) for _, n in terms])
+        self.idf = np.array([np.log((n_docs + 1) / (n + 0.5)) for _, n in terms])
+        self.idf *= 1.0 if leans is None else np.array(leans)
         vectors = []
         for doc_id, text, toxic in examples:
             at, weight = self.vector(text)
@@ -80,18 +95,19 @@ class ExampleIndex:
         self.toxic = np.array([v[2] for v in vectors], dtype=np.int64)
         self.vote = np.where(self.toxic == 1, scale[1], scale[0])
         self.rate_without = rate_without
-        n_blocks = max(1, -(-len(vectors) // BLOCK))
+        self.n_blocks = max(1, -(-len(vectors) // BLOCK))
         term = np.concatenate([v[3] for v in vectors]) if vectors else np.zeros(0, dtype=np.int64)
         weight = np.concatenate([v[4] for v in vectors]) if vectors else np.zeros(0)
-        example = np.repeat(np.arange(len(vectors)), [len(v[3]) for v in vectors]).astype(np.int64)
+        example = np.repeat(np.arange(len(vectors)), [len(v[3]) for v in vectors]).astype(np.int32)
         order = np.lexsort((example, term))
         self.example, self.weight, term = example[order], weight[order], term[order]
-        cell = term * n_blocks + self.example // BLOCK
-        self.starts = np.searchsorted(cell, np.arange(len(terms) * n_blocks + 1))
-        self.bound = np.zeros(len(terms) * n_blocks)
-        np.maximum.at(self.bound, cell, self.weight)
-        self.bound = self.bound.reshape(len(terms), n_blocks)
-        self.n_blocks = n_blocks
+        # a cell is a term in a block; only cells with postings are held
+        cell = term * self.n_blocks + self.example // BLOCK
+        heads = np.nonzero(np.diff(cell, prepend=-1))[0]
+        self.starts = np.append(heads, len(cell))
+        self.block = (cell[heads] % self.n_blocks).astype(np.int32)
+        self.bound = np.maximum.reduceat(self.weight, heads) if len(heads) else np.zeros(0)
+        self.cells = np.searchsorted(cell[heads] // self.n_blocks, np.arange(len(terms) + 1))
 
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         number = self.number
@@ -102,16 +118,10 @@ class ExampleIndex:
         weight = (1 + np.log([found[t] for t in at.tolist()])) * self.idf[at]
         return at, weight / np.sqrt((weight**2).sum())
 
-    def _scores(self, at: np.ndarray, weight: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Exact cosines of the examples in some blocks that share a term with the text."""
-        cells = (at[:, None] * self.n_blocks + blocks[None, :]).ravel()
-        begin, n = self.starts[cells], self.starts[cells + 1] - self.starts[cells]
-        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        posting = np.repeat(begin, n) + within
-        sums = np.bincount(
-            self.example[posting], weights=self.weight[posting] * np.repeat(np.repeat(weight, len(blocks)), n),
-            minlength=1,
-        )
+    def _scores(self, cells: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sums over the cells, each with the text's weight of its term: exact cosines of the examples in whole blocks."""
+        posting, n = ranges(self.starts[cells], self.starts[cells + 1])
+        sums = np.bincount(self.example[posting], weights=self.weight[posting] * np.repeat(weight, n), minlength=1)
         found = np.nonzero(sums)[0]
         return found, sums[found]
 
@@ -121,15 +131,17 @@ class ExampleIndex:
         The blocks of the highest bounds are scored first; then only those
         blocks that could still hold one of the k.
         """
-        bounds = weight @ self.bound[at]
-        first = np.argsort(-bounds, kind="stable")[: 2 + k // BLOCK]
-        found, scores = self._scores(at, weight, np.sort(first))
+        cells, n = ranges(self.cells[at], self.cells[at + 1])
+        weight, block = np.repeat(weight, n), self.block[cells]
+        bounds = np.bincount(block, weights=weight * self.bound[cells], minlength=self.n_blocks)
+        first = np.zeros(self.n_blocks, dtype=bool)
+        first[np.argsort(-bounds, kind="stable")[: 2 + k // BLOCK]] = True
+        here = first[block]
+        found, scores = self._scores(cells[here], weight[here])
         least = np.partition(scores, -k)[-k] if len(scores) >= k else 0.0
-        open_ones = (bounds >= least - 1e-9) & (bounds > 0)
-        open_ones[first] = False
-        rest = np.nonzero(open_ones)[0]
-        if len(rest):
-            more, more_scores = self._scores(at, weight, rest)
+        here = ((bounds >= least - 1e-9) & (bounds > 0) & ~first)[block]
+        if here.any():
+            more, more_scores = self._scores(cells[here], weight[here])
             found, scores = np.concatenate([found, more]), np.concatenate([scores, more_scores])
         best = np.lexsort((found, -scores))[:k]
         return found[best], scores[best]
@@ -147,28 +159,24 @@ class ExampleIndex:
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> ExampleIndex:
-    """The index of examples. Terms are counted over all labelled texts; at most 2 * EXAMPLES texts reach the driver."""
+    """The index of examples, at most 2 * EXAMPLES texts with all their terms; terms are counted over whole tables."""
     rows = stored(labelled_texts(docs, labels), "labelled")
     n_texts, n_toxic = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not n_toxic or n_toxic == n_texts:
         return ExampleIndex([], n_texts, [], (1.0, 1.0), float(bool(n_toxic)) if n_texts else 0.0)
-    terms = sorted((r["term"], r["n"]) for r in telling_terms(rows, n_texts, n_toxic).collect())
-    telling = docs.sparkSession.createDataFrame([(t,) for t, _ in terms], "term string")
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("(\\p{L}+)"), 1))
-    with_any = rows.select("text_hash", "toxic", F.explode(words).alias("term")).join(
-        F.broadcast(telling), "term", "left_semi"
-    ).select("text_hash", "toxic").distinct().agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    without = n_texts - with_any[0], n_toxic - with_any[1]
-    examples, scale = [], []
-    for label, total in ((0, n_texts - n_toxic), (1, n_toxic)):
-        part = int(min(1.0, 0.9 * EXAMPLES / total) * 2**20)  # so that more than EXAMPLES do not occur
-        own = rows.filter((F.col("toxic") == label) & (F.pmod(F.xxhash64(F.lit(17), "text_hash"), F.lit(2**20)) < part))
-        got = own.select("doc_id", "text").collect()
-        examples += sorted((r["doc_id"], r["text"], label) for r in got)
-        scale.append(total / max(1, len(got)))
+    place = F.pmod(F.xxhash64(F.lit(17), "text_hash"), F.lit(2**20))
+    totals = n_texts - n_toxic, n_toxic
+    parts = [int(min(1.0, 0.9 * EXAMPLES / total) * 2**20) for total in totals]  # so that more than EXAMPLES do not occur
+    own = rows.filter(place < F.when(F.col("toxic") == 1, parts[1]).otherwise(parts[0]))
+    examples = sorted((r["doc_id"], r["text"], r["toxic"]) for r in own.select("doc_id", "text", "toxic").collect())
+    taken = Counter(toxic for *_, toxic in examples)
+    scale = [total / max(1, taken[label]) for label, total in enumerate(totals)]
     mean = (scale[0] + scale[1]) / 2
-    rate = (without[1] + n_toxic / n_texts) / (without[0] + 1)
-    return ExampleIndex(terms, n_texts, examples, (scale[0] / mean, scale[1] / mean), rate)
+    terms = sorted(map(tuple, counted_terms(docs, rows, own, n_texts, n_toxic).collect()))
+    return ExampleIndex(
+        [t[:2] for t in terms], docs.count(), examples, (scale[0] / mean, scale[1] / mean), n_toxic / n_texts,
+        [t[2] for t in terms],
+    )
 
 
 SCORES = "score double, predicted int, evidence array<struct<doc_id:long,toxic:int,similarity:double>>"
@@ -177,9 +185,11 @@ SCORES = "score double, predicted int, evidence array<struct<doc_id:long,toxic:i
 def score(docs: DataFrame, labels: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, the columns named in more, held_out, score, predicted and evidence of each document.
 
-    The vote of a neighbour is its squared cosine, times what its label's
-    sample stands for; a text without any telling term, null and empty ones
-    included, gets the toxic rate of such labelled texts. Labels of rows with
+    Vectors hold every term of the examples, by frequency, inverse document
+    frequency and lean. The vote of a neighbour is its squared cosine, times
+    what its label's sample stands for; a text that shares no term with any
+    example, null and empty ones included, gets the toxic rate of all labelled
+    texts. Labels of rows with
     crc32(doc_id) mod 5 = 0 are not read, nor those of rows without an id.
     Ties go by example. Repeated rows are scored alike. Without labels of both
     kinds the score is the one label seen (0 without any). An empty table
