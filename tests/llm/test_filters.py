@@ -257,6 +257,14 @@ def test_counts_and_base_scores(spark, odd_docs, no_docs, monkeypatch, sent_word
     assert lm_scoring.score(no_docs).collect() == []
 
 
+def test_all_learning_documents_are_dealt(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, prose(i, 20)) for i in range(40)], "doc_id long, text string")
+    tables, kept = {}, lm_scoring.stored
+    monkeypatch.setattr(lm_scoring, "stored", lambda df, name: tables.setdefault(name, kept(df, name)))
+    lm_scoring.score(docs).collect()
+    assert tables["lessons"].count() == sum(not held_out(i, 10) for i in range(40))
+
+
 def test_the_model_learns_order_and_sums_to_one(monkeypatch):
     rng = np.random.default_rng(0)
     texts = []
