@@ -265,6 +265,19 @@ def test_all_learning_documents_are_dealt(spark, monkeypatch):
     assert tables["lessons"].count() == sum(not held_out(i, 10) for i in range(40))
 
 
+def test_the_model_covers_all_sent_words():
+    head = [(f"w{i}".encode(), 5000 - i) for i in range(4000)]
+    words = lm_scoring.Vocabulary(head, 100, 100 + sum(n for _, n in head), 4001, 0)
+    model = GatedModel.start(words.short_counts, float(words.rest))
+    assert words.n_short == model.n_short == 4001 and model.class_size == 64 and len(model.values["to_word"]) == 63
+    late = words.short(words.numbers([b"w3990", b"w3991", b"w3990", lm_scoring.END]))
+    assert len(set(late.tolist())) == 3 and late.max() < 4001
+    before = model.score([late], 0)[0]
+    for _ in range(20):
+        model.learn([late] * 50, 0)
+    assert model.score([late], 0)[0] > before + 1
+
+
 def test_the_model_learns_order_and_sums_to_one(monkeypatch):
     rng = np.random.default_rng(0)
     texts = []
