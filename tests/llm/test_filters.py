@@ -114,6 +114,21 @@ def test_mined_rules_equal_a_plain_count(spark):
     assert found[None] == found[5000] == "block" and found[5001] == "allow"
 
 
+def test_four_tokens_that_are_bad_only_together(spark):
+    four, rows, labels = ["cheap", "fast", "pills", "shop"], [], []
+    for i in range(300):
+        bad = i < 60
+        parts = four if bad else [t for t in four if t != four[i % 4]]
+        rows.append((i, "x://" + ".".join(parts) + f"/{i}"))
+        labels.append((i, 0 if bad else 1, None))
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    rules = {tuple(r["tokens"]) for r in url_rules.mine(pages, marks).collect()}
+    assert tuple(four) in rules and all(set(four) <= set(r) for r in rules)
+    found = {r["page_id"]: r["verdict"] for r in url_rules.judge(pages, marks).collect()}
+    assert all((v == "block") == (i < 60) for i, v in found.items())
+
+
 # toxicity
 
 

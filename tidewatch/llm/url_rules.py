@@ -8,6 +8,8 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.llm.common import stored
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: (host, path, verdict)
@@ -22,8 +24,8 @@ RULES = (
 #: The least share of the labelled pages, and the least number, that a combination and the bad label must share.
 MIN_SUPPORT, MIN_PAGES = 0.002, 20
 MIN_CONFIDENCE = 0.6
-#: Tokens in a rule at most: longer ones only repeat what their parts say.
-MOST_TOKENS = 3
+#: A rule of more tokens is left out where one of at most so many, all of them its own, is a rule and fits its pages.
+SHORT = 3
 BAD = "\x00bad"
 
 
@@ -70,9 +72,8 @@ def mine(
     min_support: float = MIN_SUPPORT,
     min_pages: int = MIN_PAGES,
     min_confidence: float = MIN_CONFIDENCE,
-    most_tokens: int = MOST_TOKENS,
 ) -> DataFrame:
-    """Rules (tokens, n_bad, n_pages, confidence): pages with all the tokens are bad often enough.
+    """Rules (tokens, n_bad, n_pages, confidence) of any size: pages with all the tokens are bad often enough.
 
     FP-growth counts the combinations over all labelled pages. Tokens that no
     rule can hold, for want of support, are removed before, by one count.
@@ -95,12 +96,16 @@ def mine(
     sets = model.freqItemsets
     with_bad = sets.filter(F.array_contains("items", BAD)).select(
         F.sort_array(F.array_remove("items", BAD)).alias("tokens"), F.col("freq").alias("n_bad")
-    ).filter(F.size("tokens").between(1, most_tokens))
+    ).filter(F.size("tokens") > 0)
     without = sets.filter(~F.array_contains("items", BAD)).select(
         F.sort_array("items").alias("tokens"), F.col("freq").alias("n_pages")
     )
     rules = with_bad.join(without, "tokens").withColumn("confidence", F.col("n_bad") / F.col("n_pages"))
-    return rules.filter(F.col("confidence") >= min_confidence)
+    rules = stored(rules.filter(F.col("confidence") >= min_confidence), "url-rules")
+    short = rules.filter(F.size("tokens") <= SHORT).select(F.col("tokens")[0].alias("_one"), F.col("tokens").alias("_part"))
+    longer = rules.filter(F.size("tokens") > SHORT).select("tokens", F.explode("tokens").alias("_one"))
+    said = longer.join(short, "_one").filter(F.size(F.array_except("_part", "tokens")) == 0).select("tokens").distinct()
+    return rules.join(said, "tokens", "left_anti").select("tokens", "n_bad", "n_pages", "confidence")
 
 
 def matched(pages: DataFrame, rules: DataFrame) -> DataFrame:
