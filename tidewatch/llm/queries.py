@@ -4,20 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewatch.llm import (
     decontamination,
     lm_scoring,
     near_duplicates,
     packing,
+    periodic_runs,
     quality_rules,
     repeated_phrases,
     sharding,
+    spelling,
     suffix_arrays,
+    token_counts,
     toxicity,
     url_rules,
 )
+from tidewatch.llm.common import BLANK_RUN, shared_folder
 
 SHARDS = [f"shard-{i:02d}" for i in range(64)]
 
@@ -79,6 +84,62 @@ def op6_shard_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "slot", "shard_no", "shard")
 
 
+def op11_digest_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cache of this run starts empty, so that every different text is encoded."""
+    docs = table(spark, sf_dir, "documents")
+    return token_counts.count_tokens(docs, tokenizer_path(), shared_folder(spark, "token-counts"))
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """doc_id and text, of which every tenth, by the crc32 of the id, repeats its words from some word on.
+
+    With h the checksum and g a tenth of it, word a + i becomes word a + i % p
+    of the n words, where a = g % n and p = 1 + (n - a) / (3 + g % 8). Texts
+    without an id or without words stay as they are.
+    """
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g, n = F.floor(h / 10), F.size("words").cast("long")
+    a = g % n
+    p = 1 + F.floor((n - a) / (3 + g % 8))
+    words = F.filter(F.split("text", BLANK_RUN), lambda w: w != "")
+    chosen = docs.select("doc_id", F.col("text"), F.when(h % 10 == 0, words).alias("words"))
+    tail = F.slice("words", a.cast("int") + 1, p.cast("int"))
+    times = F.ceil((n - a) / p).cast("int")
+    planted = F.concat(F.slice("words", F.lit(1), a.cast("int")), F.flatten(F.array_repeat(tail, times)))
+    text = F.when(F.size("words") > 0, F.array_join(F.slice(planted, F.lit(1), n.cast("int")), " ")).otherwise(F.col("text"))
+    return chosen.select("doc_id", text.alias("text"))
+
+
+def _sha256(text: Column) -> Column:
+    return F.sha2(text.cast("binary"), 256)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(with_periods(table(spark, sf_dir, "documents")))
+    longest = F.array_max(
+        F.transform("runs", lambda r: F.struct(r["length"].alias("length"), -r["start"], -r["period"]))
+    )
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    rows = found.select(
+        "doc_id", "n_words", "runs", "collapsed",
+        F.when(F.size("runs") > 0, longest).alias("longest"), F.concat_ws("\n", lines, F.array(F.lit(""))).alias("lines"),
+    )
+    start, length, period = -F.col("longest.col2"), F.col("longest.length"), -F.col("longest.col3")
+    return rows.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        start.alias("start"), length.alias("length"), period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        _sha256(F.when(F.size("runs") > 0, F.col("lines")).otherwise("")).alias("runs_sha256"),
+        _sha256(F.col("collapsed")).alias("collapsed_sha256"),
+        "n_words",
+    )
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"), spoiled=97)
+
+
 QUERIES: dict[str, Query] = {
     "op1_gated_lm": op1_gated_lm,
     "op2_repeated_phrases": op2_repeated_phrases,
@@ -90,6 +151,9 @@ QUERIES: dict[str, Query] = {
     "op8_url_rules": op8_url_rules,
     "op9_suffix_arrays": op9_suffix_arrays,
     "op10_walk_decontamination": op10_walk_decontamination,
+    "op11_digest_cache": op11_digest_cache,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 _LOWER = f"translate({{}}, '{url_rules.UPPER}', '{url_rules.LOWER}')"
