@@ -70,6 +70,51 @@ def test_commit_stops_before_the_first_unsettled_line(spark, settled, expected):
         assert (row.file_id, row.offset) == (None, 0)
 
 
+def test_a_source_without_a_name_is_a_source(spark):
+    lines = [(s, i, 1, 100 * i, o) for s in ("a", None) for i, o in enumerate(
+        ("delivered", "delivered", "pending", "delivered", "delivered"), 1)]
+    ledger = spark.createDataFrame(lines, "source string, seq long, file_id long, end_offset long, outcome string")
+    initial = spark.createDataFrame([(None, 9, 50), ("idle", 8, 7)], "source string, file_id long, offset long")
+    rows = {r.source: r for r in delivery.delivery_stats(ledger, initial).collect()}
+    assert set(rows) == {"a", None, "idle"}
+    for source in ("a", None):
+        r = rows[source]
+        assert (r.produced, r.acked, r.in_flight, r.file_id, r.offset) == (5, 4, 3, 1, 200)
+    assert (rows["idle"].file_id, rows["idle"].offset, rows["idle"].produced) == (8, 7, 0)
+    acked = delivery.apply_acks(ledger, ledger.filter("outcome = 'delivered'"))
+    assert sorted((str(r.source), r.seq, r.settled) for r in acked.collect()) == sorted(
+        (str(s), i, o == "delivered") for s, i, _, _, o in lines
+    )
+    nothing = ledger.withColumn("outcome", F.lit("pending"))
+    rows = {r.source: r for r in delivery.delivery_stats(nothing, initial).collect()}
+    assert (rows[None].file_id, rows[None].offset, rows["a"].offset) == (9, 50, 0)
+
+
+def test_refused_events_without_a_source_are_dead(spark):
+    queue = spark.createDataFrame([(None, "1", 1), (None, "2", 1), ("a", "1", 1)], "source string, queue_key string, size long")
+    outcomes = queue.filter("queue_key = '1'").withColumn("disposition", F.lit("dead"))
+    assert sorted(map(str, queueing.dead_letters(queue, outcomes).collect())) == sorted(
+        map(str, queue.filter("queue_key = '1'").collect())
+    )
+
+
+@pytest.mark.parametrize("small", [True, False])
+@pytest.mark.parametrize(("how", "expected"), [("inner", 2), ("left", 3), ("left_semi", 2), ("left_anti", 1)])
+def test_lookup_join_finds_missing_keys(spark, monkeypatch, small, how, expected):
+    monkeypatch.setattr(shuffles, "is_small", lambda df: small)
+    rows = spark.createDataFrame([(None, 1), ("a", 2), ("b", 3)], "k string, v long")
+    lookup = spark.createDataFrame([(None, 10), ("a", 20)], "k string, w long")
+    assert shuffles.lookup_join(rows, lookup, ["k"], how).count() == expected
+
+
+def test_a_denied_sender_without_a_name_denies_nobody(spark):
+    from tidewatch.operators.envelopes import drop_revoked
+
+    sent = spark.createDataFrame([(None,), ("a",), ("b",)], "agent_id string")
+    left = drop_revoked(sent, spark.createDataFrame([(None,), ("a",)], "agent_id string"))
+    assert sorted(str(r.agent_id) for r in left.collect()) == ["None", "b"]
+
+
 def test_outcomes(spark):
     cases = {200: "ack", 299: "ack", 301: "dead", 400: "dead", 401: "halt", 403: "halt", 404: "dead",
              408: "retry", 429: "retry", 500: "retry", 503: "retry", None: "retry", 100: "dead"}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidewatch.operators.shuffles import lookup_join, pin
+from tidewatch.operators.shuffles import lookup_join, null_safe_join, pin
 
 # How a forwarded line ended, as recorded in the delivery ledger.
 BLANK = "blank"                  # nothing to send
@@ -26,10 +26,11 @@ def is_settled(outcome: Column) -> Column:
 def apply_acks(lines: DataFrame, acks: DataFrame) -> DataFrame:
     """Mark lines settled when an acknowledgement with their number exists.
 
-    Acknowledgements may repeat; they are reduced to one per line first.
+    Acknowledgements may repeat; they are reduced to one per line first. Lines
+    without a source are those of one source, here and below.
     """
     once = acks.select("source", "seq").distinct().withColumn("_acked", F.lit(True))
-    return lines.join(once, ["source", "seq"], "left").select(
+    return null_safe_join(lines, once, ["source", "seq"], "left").select(
         *lines.columns, F.coalesce("_acked", F.lit(False)).alias("settled")
     )
 
@@ -64,11 +65,11 @@ def committed_prefix(ledger: DataFrame, initial: DataFrame | None = None) -> Dat
             "source", "file_id", F.coalesce("offset", F.lit(0)).alias("offset"), "in_flight"
         )
     start = initial.select(
-        "source", F.col("file_id").alias("_file_id"), F.col("offset").alias("_offset")
+        F.col("source").alias("_source"), F.col("file_id").alias("_file_id"), F.col("offset").alias("_offset")
     )
     fresh = F.col("_last").isNull()
-    return committed.join(start, "source", "full").select(
-        "source",
+    return committed.join(start, F.col("source").eqNullSafe(F.col("_source")), "full").select(
+        F.coalesce("source", "_source").alias("source"),
         F.when(fresh, F.col("_file_id")).otherwise(F.col("file_id")).alias("file_id"),
         F.coalesce(
             F.when(fresh, F.col("_offset")).otherwise(F.col("offset")), F.lit(0)
@@ -88,7 +89,7 @@ def delivery_stats(ledger: DataFrame, initial: DataFrame | None = None) -> DataF
         F.count_if(outcome == MALFORMED).alias("parse_errors"),
     )
     none = F.lit(0)
-    return counters.join(committed_prefix(settled, initial), "source", "right").select(
+    return null_safe_join(committed_prefix(settled, initial), counters, ["source"], "left").select(
         "source",
         *[F.coalesce(c, none).alias(c) for c in ("produced", "acked", "failed", "parse_errors")],
         "in_flight", "file_id", "offset",

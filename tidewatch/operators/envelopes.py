@@ -13,8 +13,8 @@ TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
 def drop_revoked(envelopes: DataFrame, revoked: DataFrame, identity: str = "agent_id") -> DataFrame:
-    """Envelopes whose sender is not on the deny list."""
-    denied = revoked.select(F.col("agent_id").alias(identity)).distinct()
+    """Envelopes whose sender is not on the deny list; an entry without a name denies nobody."""
+    denied = revoked.filter(F.col("agent_id").isNotNull()).select(F.col("agent_id").alias(identity)).distinct()
     return lookup_join(envelopes, denied, [identity], "left_anti")
 
 

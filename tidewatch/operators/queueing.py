@@ -77,4 +77,4 @@ def dead_letters(queue: DataFrame, outcomes: DataFrame) -> DataFrame:
     """Events of batches that will never be accepted. outcomes: queue_key, source,
     disposition."""
     refused = outcomes.filter(F.col("disposition") == "dead").select("source", "queue_key").distinct()
-    return queue.join(refused, ["source", "queue_key"], "left_semi")
+    return null_safe_join(queue, refused, ["source", "queue_key"], "left_semi")

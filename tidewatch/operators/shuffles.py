@@ -55,6 +55,8 @@ def lookup_join(
 ) -> DataFrame:
     """Join many rows to a side with few rows per key, whatever the key skew.
 
+    NULL is a key like any other: it equals NULL, as in all joins on keys here.
+
     The lookup side is measured. A small one is broadcast, so the rows are not
     shuffled at all; a large one is joined on key and salt, so that a key that
     holds a large share of the rows is spread over several tasks.
@@ -62,7 +64,7 @@ def lookup_join(
     """
     on = list(on)
     if is_small(lookup):
-        return rows.join(F.broadcast(lookup), on, how)
+        return null_safe_join(rows, F.broadcast(lookup), on, how)
     # never a random salt: a stage that is run again must deal its rows alike
     atomic = [f.name for f in rows.schema.fields if f.dataType.typeName() not in NESTED and f.name not in on]
     nested = [f.name for f in rows.schema.fields if f.dataType.typeName() in NESTED]
@@ -71,7 +73,7 @@ def lookup_join(
     spread = lookup.withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     )
-    return rows.withColumn("_salt", salt).join(spread, [*on, "_salt"], how).drop("_salt")
+    return null_safe_join(rows.withColumn("_salt", salt), spread, [*on, "_salt"], how).drop("_salt")
 
 
 def first_copy(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:

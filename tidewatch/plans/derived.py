@@ -115,10 +115,10 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _query(spark, sf_dir, sql, "events")
 
 
-# Delivery of forwarded lines. One source holds more than a third of them, and
-# one has nothing settled yet.
+# Delivery of forwarded lines. One source holds more than a third of them, one has
+# nothing settled yet, and one has no name.
 DELIVERIES = """
-SELECT CASE WHEN event_id > 0.99 * top THEN 'src-new'
+SELECT CASE WHEN event_id > 0.99 * top THEN 'src-new' WHEN event_id % 13 = 6 THEN NULL
             WHEN event_id % 3 = 0 THEN 'src-0' ELSE 'src-' || (event_id % 7) END AS source,
        event_id AS seq, CAST(floor(event_id / 1000) AS BIGINT) AS file_id,
        (event_id % 1000 + 1) * 100 AS end_offset,
@@ -132,7 +132,7 @@ SELECT CASE WHEN event_id > 0.99 * top THEN 'src-new'
 FROM events, (SELECT max(event_id) AS top FROM events) AS t
 """
 CHECKPOINTS = """
-SELECT DISTINCT CASE CAST(event_id % 4 AS INT) WHEN 0 THEN 'src-new' WHEN 1 THEN 'src-0' ELSE 'src-idle-' || (event_id % 4) END AS source,
+SELECT DISTINCT CASE CAST(event_id % 5 AS INT) WHEN 0 THEN 'src-new' WHEN 1 THEN 'src-0' WHEN 4 THEN NULL ELSE 'src-idle-' || (event_id % 5) END AS source,
        CAST(77 AS BIGINT) AS file_id, CAST(4242 AS BIGINT) AS offset FROM events
 """
 QUEUE = """

@@ -84,14 +84,15 @@ gaps AS (SELECT source, min(seq) FILTER (WHERE NOT settled) AS gap FROM marked G
 committed AS (
   SELECT m.source, max(seq) FILTER (WHERE gap IS NULL OR seq < gap) AS last_seq,
          count(*) FILTER (WHERE seq >= gap) AS in_flight
-  FROM marked m JOIN gaps g ON m.source = g.source GROUP BY m.source),
+  FROM marked m JOIN gaps g ON m.source IS NOT DISTINCT FROM g.source GROUP BY m.source),
 positions AS (
   SELECT c.source, CASE WHEN c.last_seq IS NULL THEN i.file_id ELSE m.file_id END AS file_id,
          coalesce(CASE WHEN c.last_seq IS NULL THEN i."offset" ELSE m.end_offset END, 0) AS "offset",
          in_flight
-  FROM committed c LEFT JOIN marked m ON m.source = c.source AND m.seq = c.last_seq
-  LEFT JOIN checkpoints i ON i.source = c.source
-  UNION ALL SELECT source, file_id, "offset", 0 FROM checkpoints WHERE source NOT IN (SELECT source FROM lines))
+  FROM committed c LEFT JOIN marked m ON m.source IS NOT DISTINCT FROM c.source AND m.seq = c.last_seq
+  LEFT JOIN checkpoints i ON i.source IS NOT DISTINCT FROM c.source
+  UNION ALL SELECT source, file_id, "offset", 0 FROM checkpoints i
+  WHERE NOT EXISTS (SELECT 1 FROM lines l WHERE l.source IS NOT DISTINCT FROM i.source))
 """
 _QUEUE = f"WITH queue AS ({d.for_duckdb(d.QUEUE)})"
 
@@ -241,7 +242,7 @@ ORACLES = {
           count(*) FILTER (WHERE outcome = 'malformed') AS parse_errors FROM lines GROUP BY source)
         SELECT p.source, coalesce(produced, 0) AS produced, coalesce(acked, 0) AS acked, coalesce(failed, 0) AS failed,
         coalesce(parse_errors, 0) AS parse_errors, in_flight, file_id, "offset"
-        FROM positions p LEFT JOIN counters c ON p.source = c.source""",
+        FROM positions p LEFT JOIN counters c ON p.source IS NOT DISTINCT FROM c.source""",
     "acknowledged_lines": _DELIVERY + "SELECT source, seq, outcome = 'delivered' AS settled FROM lines",
     "delivery_outcome": _OUTCOME + "SELECT batch_id, outcome, disposition FROM outcomes",
     "batch_pack": _limited("WHERE body NOT LIKE '{corrupt%'", "ASC", PACK_N, PACK_BYTES) + "SELECT * FROM kept",
