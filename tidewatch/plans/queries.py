@@ -70,7 +70,7 @@ def _findings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger of one batch over everything, without writing it."""
-    return lg.dispose(_classified(spark, sf_dir), None)
+    return lg.dispose(_classified(spark, sf_dir))
 
 
 def _sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,13 +195,13 @@ def ledger_view(spark, sf_dir):
     """SQL over the catalog's view of a ledger of two batches, declared twice."""
     configure(spark)
     target, name = _scratch(spark, "target"), f"ledger_{uuid.uuid4().hex}"
-    lg.create_tables(spark, target, name)
+    view = lg.create_tables(spark, target, name)
     records = d.records(spark, sf_dir)
     commit = lg.commit_batch(target)
     for number in (0, 1):
         commit(records.filter(f"offset div 4 % 2 = {number}"), number)
     lg.create_tables(spark, target, name)
-    return spark.sql("SELECT agent_name, count(*) AS alerts FROM findings GROUP BY agent_name")
+    return spark.sql(f"SELECT agent_name, count(*) AS alerts FROM {view} GROUP BY agent_name")
 
 
 def start_offsets(spark, sf_dir):

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from tidewatch.operators.normalize import classify
 from tidewatch.operators.shuffles import first_copy, is_small, null_safe_join
 from tidewatch.schemas import FINDING, LEDGER
+from tidewatch.sinks.key_index import KeyIndex, hashed
 
 KEYS = ("manager", "alert_id")
 POSITION = ("source_topic", "source_partition", "source_offset")
@@ -55,8 +56,13 @@ def read_ledger(
     return rows if below is None else rows.filter((F.col("run") != run) | (F.col("batch_id") < below))
 
 
-def create_tables(spark: SparkSession, path: str, table: str = "findings_ledger") -> None:
-    """Declare the ledger in the catalog and `findings` as a view on it; repeatable."""
+def create_tables(spark: SparkSession, path: str, table: str = "findings_ledger") -> str:
+    """Declare the ledger in the catalog and a view of its findings; repeatable.
+
+    Returns the view's name, which is the table's without `_ledger`, or with
+    `_findings` behind it, so that ledgers beside each other have views of their own.
+    """
+    view = table.removesuffix("_ledger") if table.endswith("_ledger") else f"{table}_findings"
     if not _exists(spark, _folder(path)):
         spark.createDataFrame([], LEDGER).write.partitionBy("run", "batch_id").parquet(_folder(path))
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in LEDGER.fields)
@@ -66,9 +72,10 @@ def create_tables(spark: SparkSession, path: str, table: str = "findings_ledger"
     )
     spark.catalog.recoverPartitions(table)
     spark.sql(
-        f"CREATE OR REPLACE TEMPORARY VIEW findings AS SELECT {', '.join(FINDING.fieldNames())} "
+        f"CREATE OR REPLACE TEMPORARY VIEW {view} AS SELECT {', '.join(FINDING.fieldNames())} "
         f"FROM {table} WHERE disposition = '{INSERTED}'"
     )
+    return view
 
 
 def new_rows(batch: DataFrame, history: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
@@ -84,8 +91,11 @@ def new_rows(batch: DataFrame, history: DataFrame, keys: tuple[str, ...] = KEYS)
     return batch.join(known, list(keys), "left_anti")
 
 
-def dispose(classified: DataFrame, history: DataFrame | None) -> DataFrame:
-    """Add the disposition of every classified message; history may be None.
+def dispose(classified: DataFrame, unseen: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Add the disposition of every classified message.
+
+    unseen: given the first copies (KEYS and POSITION), those that were not
+    stored before; without it nothing was.
 
     Winners are chosen on keys and positions alone: first copies are reduced in
     each map task, compared with the stored keys, and joined back on the
@@ -94,8 +104,8 @@ def dispose(classified: DataFrame, history: DataFrame | None) -> DataFrame:
     """
     alerts = classified.filter(F.col("reject_reason").isNull()).select(*KEYS, *POSITION)
     winners = first_copy(alerts, KEYS, POSITION)
-    if history is not None:
-        winners = new_rows(winners, history)
+    if unseen is not None:
+        winners = unseen(winners)
     winners = winners.select(*POSITION, F.lit(True).alias("_new"))
     return null_safe_join(classified, winners, POSITION, "left").select(
         *classified.columns,
@@ -110,18 +120,35 @@ def commit_batch(path: str) -> Callable[[DataFrame, int], None]:
     """foreachBatch function that writes a micro-batch of records to the ledger.
 
     History is what all other runs stored and the batches of this run before
-    this one: a replay must not meet its own rows.
+    this one: a replay must not meet its own rows. It is looked up in the key
+    index, whose cost goes with the batch and not with what was ever stored. A
+    batch of another run that died before its keys were indexed is looked up
+    in its ledger folder.
     """
 
     def commit(records: DataFrame, batch_id: int) -> None:
         spark = records.sparkSession
-        history = None
         run = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or DIRECT
-        if _exists(spark, _folder(path)):
-            history = read_ledger(spark, path, batch_id, run).filter(
-                F.col("disposition") == INSERTED
-            )
+        index = KeyIndex(spark, path, KEYS)
+        if not index.exists() and _exists(spark, _folder(path)):
+            index.build(read_ledger(spark, path).filter(F.col("disposition") == INSERTED))
+        held: list[DataFrame] = []
+
+        def unseen(firsts: DataFrame) -> DataFrame:
+            rows = firsts.select(*POSITION, *hashed(*KEYS)).persist(StorageLevel.MEMORY_AND_DISK)
+            held.append(rows)
+            known = [index.known(rows.select("hi", "lo"), run, batch_id)]
+            for other in index.unindexed(run, batch_id):
+                folder = _batch_folder(path, *other)
+                if _exists(spark, folder):
+                    known.append(_inserted_keys(spark, folder).select(*hashed(*KEYS)))
+            for keys in known:
+                if keys is not None:
+                    rows = rows.join(keys, ["hi", "lo"], "left_anti")
+            return rows.select(*POSITION)
+
         classified = classify(records).persist(StorageLevel.MEMORY_AND_DISK)
+        held.append(classified)
         try:
             rejected = F.col("disposition") == REJECTED
             blank = [
@@ -130,20 +157,33 @@ def commit_batch(path: str) -> Callable[[DataFrame, int], None]:
                 else F.col(field.name)
                 for field in FINDING.fields
             ]
-            rows = dispose(classified, history).select(
+            rows = dispose(classified, unseen).select(
                 *blank, "disposition", "reject_reason", "preview", "rejected_value"
             )
-            (
-                rows.sortWithinPartitions("disposition", "ts")
-                .write.mode("overwrite")
-                .parquet(f"{_folder(path)}/run={run}/batch_id={batch_id}")
-            )
+            folder = _batch_folder(path, run, batch_id)
+            index.begin(run, batch_id)
+            rows.sortWithinPartitions("disposition", "ts").write.mode("overwrite").parquet(folder)
+            index.add(_inserted_keys(spark, folder), run, batch_id)
+            index.end(run, batch_id)
         finally:
-            classified.unpersist()
+            index.release()
+            for df in held:
+                df.unpersist()
+        index.merge()
+        index.sweep()
 
     return commit
 
 
+def _batch_folder(path: str, run: str, batch_id: int) -> str:
+    return f"{_folder(path)}/run={run}/batch_id={batch_id}"
+
+
+def _inserted_keys(spark: SparkSession, folder: str) -> DataFrame:
+    rows = spark.read.schema(LEDGER).parquet(folder)
+    return rows.filter(F.col("disposition") == INSERTED).select(*KEYS)
+
+
 def findings(ledger: DataFrame) -> DataFrame:
     return ledger.filter(F.col("disposition") == INSERTED).select(*FINDING.fieldNames())
 
