@@ -21,7 +21,9 @@ def index(spark, tmp_path):
 
 @pytest.fixture
 def keys(spark):
-    return lambda numbers: spark.createDataFrame([(f"m{n % 3}", f"id-{n}") for n in numbers], "manager string, alert_id string")
+    return lambda numbers: spark.sql(
+        f"SELECT 'm' || n % 3 AS manager, 'id-' || n AS alert_id FROM (SELECT explode(array{tuple(numbers) + (-1,)}) AS n) WHERE n >= 0"
+    )
 
 
 def found(index, batch, run, number):

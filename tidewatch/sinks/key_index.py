@@ -245,11 +245,12 @@ class KeyIndex:
     # lookup ----------------------------------------------------------------
 
     def _read(self, wanted: list[tuple[Part, list[int] | None]]) -> DataFrame:
-        """The keys of the given slots of parts; None stands for all."""
-        out = self.spark.createDataFrame([], _DATA)
+        """The keys of the given slots of one or more parts; None stands for all."""
+        out = None
         for p, slots in wanted:
             rows = self.spark.read.schema(_DATA).parquet(f"{self.root}/data/{p.name}")
-            out = out.unionByName(rows if slots is None else rows.filter(F.col("slot").isin(slots)))
+            rows = rows if slots is None else rows.filter(F.col("slot").isin(slots))
+            out = rows if out is None else out.unionByName(rows)
         return out
 
     def _maybe(self, batch: DataFrame, parts: list[Part], slots: list[list[int]]) -> DataFrame:
@@ -276,7 +277,7 @@ class KeyIndex:
         return slots
 
     def known(self, batch: DataFrame, run: str, batch_id: int) -> DataFrame | None:
-        """hi and lo of those keys of the batch that other batches stored before; None if there are no keys yet.
+        """hi and lo of those keys of the batch that other batches stored before; None if there are none.
 
         batch: hi and lo, each key once, of this batch. Its slots reach the
         driver as numbers, at most as many as the parts have.
@@ -293,7 +294,7 @@ class KeyIndex:
             opened.setdefault(r["part"], []).append(r["slot"])
         self.looked = Looked(len(parts), sum(map(len, slots)), sum(map(len, opened.values())))
         if not opened:
-            return self.spark.createDataFrame([], "hi bigint, lo bigint")
+            return None
         stored = self._read([(parts[i], own) for i, own in opened.items()]).filter(
             (F.col("run") != run) | (F.col("batch_id") < batch_id)
         ).select("hi", "lo")
