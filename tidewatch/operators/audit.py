@@ -70,6 +70,12 @@ def gap_runs(sequences: DataFrame, block: int = BLOCK) -> DataFrame:
     return _missing_runs(seen, block)
 
 
+def range_runs(ranges: DataFrame, block: int = BLOCK) -> DataFrame:
+    """gap_runs() of disjoint ranges (low, high) of numbers that were seen."""
+    spans = ranges.filter(F.col("high") >= 1).select(F.greatest("low", F.lit(1)).alias("low"), "high")
+    return _missing_runs(spans, block)
+
+
 def seq_gaps(sequences: DataFrame) -> DataFrame:
     """Every missing number. Long runs are cut and spread out, level by level,
     before they are listed. One stray number far off makes as many rows as it
@@ -92,7 +98,11 @@ def _cut(runs: DataFrame, size: int) -> DataFrame:
 
 def first_gaps(sequences: DataFrame, n: int = 10) -> DataFrame:
     """The n lowest missing numbers. Each run holds at least one, so n runs do."""
-    runs = gap_runs(sequences).orderBy("start").limit(n)
+    return _first_of(gap_runs(sequences), n)
+
+
+def _first_of(runs: DataFrame, n: int) -> DataFrame:
+    runs = runs.orderBy("start").limit(n)
     return (
         runs.select(
             F.explode(
@@ -113,9 +123,32 @@ def seq_audit(sequences: DataFrame, shown: int = 10) -> DataFrame:
         F.greatest(F.coalesce(F.max("seq"), F.lit(0)), F.lit(0)).alias("highest"),
         F.count_if(F.col("seq") >= 1).alias("_counted"),
     )
-    shown_gaps = first_gaps(per_seq, shown).agg(
-        F.array_sort(F.collect_list("seq")).alias("first_gaps")
+    return _verdict(totals, first_gaps(per_seq, shown))
+
+
+def range_audit(blocks: DataFrame, shown: int = 10) -> DataFrame:
+    """seq_audit of blocks of numbers: received, unique_seqs, ranges (array of low, high).
+
+    Gaps follow from the ends of the ranges; numbers are never listed.
+    """
+    blocks = pin(blocks.select("received", "unique_seqs", "ranges"))
+    ranges = blocks.select(F.explode("ranges").alias("r")).select("r.low", "r.high")
+    counted = F.greatest(F.col("high") - F.greatest("low", F.lit(1)) + 1, F.lit(0))
+    ends = ranges.agg(
+        F.greatest(F.coalesce(F.max("high"), F.lit(0)), F.lit(0)).alias("highest"),
+        F.coalesce(F.sum(counted), F.lit(0)).alias("_counted"),
+        F.lit(True).alias("_one"),
+    )
+    sums = blocks.agg(
+        F.coalesce(F.sum("received"), F.lit(0)).alias("received"),
+        F.coalesce(F.sum("unique_seqs"), F.lit(0)).alias("unique_seqs"),
+        F.lit(True).alias("_one"),
     )
+    return _verdict(sums.join(ends, "_one").drop("_one"), _first_of(range_runs(ranges), shown))
+
+
+def _verdict(totals: DataFrame, gaps_shown: DataFrame) -> DataFrame:
+    shown_gaps = gaps_shown.agg(F.array_sort(F.collect_list("seq")).alias("first_gaps"))
     gaps = F.col("highest") - F.col("_counted")
     one = F.lit(True).alias("_one")
     return totals.select("*", one).join(shown_gaps.select("*", one), "_one").select(

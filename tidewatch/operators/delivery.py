@@ -60,6 +60,33 @@ def committed_prefix(ledger: DataFrame, initial: DataFrame | None = None) -> Dat
         F.max(position).alias("_last"),
         F.count_if(~behind).alias("in_flight"),
     )
+    return _with_checkpoints(committed, initial)
+
+
+def committed_blocks(blocks: DataFrame, initial: DataFrame | None = None) -> DataFrame:
+    """committed_prefix of summaries of blocks of lines.
+
+    blocks: source, block, first_open (the lowest open number, or NULL), lines,
+    in_flight (lines from that one on), and last_seq, file_id, offset of the
+    last line before it.
+    """
+    gaps = blocks.filter(F.col("first_open").isNotNull()).groupBy("source").agg(F.min("block").alias("_gap"))
+    marked = lookup_join(blocks, pin(gaps), ["source"], "left")
+    behind = F.col("_gap").isNull() | (F.col("block") <= F.col("_gap"))
+    position = F.when(behind, F.col("last_seq"))
+    committed = marked.groupBy("source").agg(
+        F.max_by("file_id", position).alias("file_id"),
+        F.max_by("offset", position).alias("offset"),
+        F.max(position).alias("_last"),
+        F.sum(
+            F.when(F.col("block") == F.col("_gap"), F.col("in_flight")).when(~behind, F.col("lines")).otherwise(0)
+        ).alias("in_flight"),
+    )
+    return _with_checkpoints(committed, initial)
+
+
+def _with_checkpoints(committed: DataFrame, initial: DataFrame | None) -> DataFrame:
+    """Positions, with those of earlier checkpoints where nothing is committed yet."""
     if initial is None:
         return committed.select(
             "source", "file_id", F.coalesce("offset", F.lit(0)).alias("offset"), "in_flight"

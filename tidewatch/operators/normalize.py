@@ -71,8 +71,8 @@ def _types_needed() -> Column:
     )
 
 
-def classify(records: DataFrame) -> DataFrame:
-    """Every record with its finding columns and a reject_reason.
+def classify(records: DataFrame, *keep: str) -> DataFrame:
+    """Every record with its finding columns, a reject_reason and the columns named to be kept.
 
     reject_reason is NULL for an alert; otherwise the finding columns carry no
     meaning, `preview` shows how the message began and `rejected_value` keeps it
@@ -117,6 +117,7 @@ def classify(records: DataFrame) -> DataFrame:
             F.substring(F.make_valid_utf8(F.col("value").cast("string")), 1, PREVIEW_CHARS),
         ).alias("preview"),
         F.when(F.col("reject_reason").isNotNull(), F.col("value")).alias("rejected_value"),
+        *keep,
     )
 
 

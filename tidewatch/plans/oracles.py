@@ -175,6 +175,13 @@ _STATS = """SELECT count(*) AS consumed, count(*) FILTER (WHERE disposition = 'i
 count(*) FILTER (WHERE disposition = 'duplicate') AS duplicates,
 count(*) FILTER (WHERE disposition = 'rejected') AS rejected FROM messages"""
 
+_BATCH_STATS = _ALERTS + f"""SELECT part AS batch_id, count(*) AS consumed,
+    count(*) FILTER (WHERE state = 1) AS inserted, count(*) FILTER (WHERE state > 1) AS duplicates,
+    count(*) FILTER (WHERE state = 0) AS rejected FROM (
+      SELECT CAST(floor(source_offset / 4) AS BIGINT) % {PARTS} AS part, row_number() OVER (PARTITION BY manager, alert_id
+        ORDER BY CAST(floor(source_offset / 4) AS BIGINT) % {PARTS}, source_topic, source_partition, source_offset) AS state FROM alerts
+      UNION ALL SELECT CAST(floor(source_offset / 4) AS BIGINT) % {PARTS}, 0 FROM junks) AS m GROUP BY part"""
+
 ORACLES = {
     "normalize_alerts": _ALERTS + f"SELECT {_COLUMNS} FROM alerts",
     "rejects_by_reason": _ALERTS + """SELECT reject_reason, count(*) AS messages, min(source_offset) AS first_offset
@@ -221,13 +228,13 @@ ORACLES = {
     "stream_ingest_exactly_once": _STREAMED,
     "stream_ingest_new_checkpoint": _STREAMED,
     "stream_ingest_counters": _ALERTS + _STATS,
-    "stream_batch_counters": _ALERTS + f"""SELECT part AS batch_id, count(*) AS consumed,
-        count(*) FILTER (WHERE state = 1) AS inserted, count(*) FILTER (WHERE state > 1) AS duplicates,
-        count(*) FILTER (WHERE state = 0) AS rejected FROM (
-          SELECT CAST(floor(source_offset / 4) AS BIGINT) % {PARTS} AS part, row_number() OVER (PARTITION BY manager, alert_id
-            ORDER BY CAST(floor(source_offset / 4) AS BIGINT) % {PARTS}, source_topic, source_partition, source_offset) AS state FROM alerts
-          UNION ALL SELECT CAST(floor(source_offset / 4) AS BIGINT) % {PARTS}, 0 FROM junks) AS m GROUP BY part""",
-    "stream_ingest_with_state": _ALERTS + "SELECT manager, alert_id, agent_name FROM findings",
+    "stream_batch_counters": _BATCH_STATS,
+    "stream_state_new_checkpoint": _STREAMED,
+    "stream_state_counters": _BATCH_STATS,
+    "stream_ingest_with_state": _STREAMED,
+    "stream_state_offsets": _ALERTS + f"""SELECT '{d.TOPIC}' AS topic, source_partition AS partition,
+        max(source_offset) + 1 AS next_offset FROM messages GROUP BY source_partition""",
+    "stream_committed_prefix": _DELIVERY + 'SELECT source, file_id, "offset", in_flight FROM positions',
     "streaming_seq_audit": _AUDIT,
     "seq_audit": _AUDIT,
     "seq_gaps": _SEEN + "SELECT seq FROM missing",

@@ -25,7 +25,7 @@ from tidewatch.operators import (
 from tidewatch.operators.normalize import alerts_of, check_lines, classify, normalize_alerts
 from tidewatch.operators.shuffles import first_copy
 from tidewatch.plans import derived as d
-from tidewatch.session import checkpoint_dir, configure, use_rocksdb_state
+from tidewatch.session import checkpoint_dir, configure
 from tidewatch.sinks import ledger as lg
 from tidewatch.sinks.files import write_envelopes, write_ndjson
 from tidewatch.sources import rotating_ndjson
@@ -36,8 +36,8 @@ from tidewatch.streaming import ingest as streams
 AS_OF = "2024-01-15 12:00:00"
 PACK_N, PACK_BYTES = 256, 8192
 KEEP_N, KEEP_BYTES = 5000, 100_000
-# Parts in which the streaming queries receive the records.
-PARTS = 4
+# Parts in which the streaming queries receive the records, and the running audit.
+PARTS, AUDIT_PARTS = 4, 8
 
 
 def _text(*names: str) -> list:
@@ -218,8 +218,8 @@ def start_offsets(spark, sf_dir):
     )
 
 
-def _part(rows: DataFrame, parts: list[int]) -> DataFrame:
-    return rows.filter(F.expr(f"offset div 4 % {PARTS}").isin(parts))
+def _part(rows: DataFrame, part: int, parts: int) -> DataFrame:
+    return rows.filter(F.expr(f"offset div 4 % {parts}") == part)
 
 
 def _drain(spark, source: str, starter, target: str, state: str) -> None:
@@ -231,7 +231,7 @@ def _drain(spark, source: str, starter, target: str, state: str) -> None:
     starter(stream, target, state).awaitTermination()
 
 
-def _ledger_through_stream(spark, sf_dir, starter, again: bool = False) -> str:
+def _ledger_through_stream(spark, sf_dir, starter, again: bool = False, parts: int = PARTS) -> str:
     """Drain the records through a streaming job, one batch for each part, and return its folder.
 
     At the end the job is started once more, with nothing new. again: the last
@@ -240,9 +240,9 @@ def _ledger_through_stream(spark, sf_dir, starter, again: bool = False) -> str:
     configure(spark)
     source, target, state = (_scratch(spark, name) for name in ("records", "target", "state"))
     records = d.records(spark, sf_dir)
-    for part in range(PARTS):
-        _part(records, [part]).write.mode("append").parquet(source)
-        _drain(spark, source, starter, target, _scratch(spark, "state") if again and part == PARTS - 1 else state)
+    for part in range(parts):
+        _part(records, part, parts).write.mode("append").parquet(source)
+        _drain(spark, source, starter, target, _scratch(spark, "state") if again and part == parts - 1 else state)
     if not again:
         _drain(spark, source, starter, target, state)
     return target
@@ -275,16 +275,48 @@ def stream_batch_counters(spark, sf_dir):
 
 
 def stream_ingest_with_state(spark, sf_dir):
-    use_rocksdb_state(spark)
+    return _streamed(spark, _ledger_through_stream(spark, sf_dir, streams.ingest_with_state))
+
+
+def stream_state_new_checkpoint(spark, sf_dir):
+    """The last part is left to a job with empty state, which starts with the stored keys."""
+    return _streamed(spark, _ledger_through_stream(spark, sf_dir, streams.ingest_with_state, again=True))
+
+
+def stream_state_counters(spark, sf_dir):
     target = _ledger_through_stream(spark, sf_dir, streams.ingest_with_state)
-    return spark.read.parquet(target).select("manager", "alert_id", "agent_name")
+    return lg.batch_stats(lg.read_ledger(spark, target)).drop("run")
+
+
+def stream_state_offsets(spark, sf_dir):
+    target = _ledger_through_stream(spark, sf_dir, streams.ingest_with_state)
+    return lg.next_offsets(lg.read_ledger(spark, target))
 
 
 def streaming_seq_audit(spark, sf_dir):
-    target = _ledger_through_stream(spark, sf_dir, streams.running_audit)
+    target = _ledger_through_stream(spark, sf_dir, streams.running_audit, parts=AUDIT_PARTS)
     return _audit_row(streams.audit_of(spark, target))
 
 
+def stream_committed_prefix(spark, sf_dir):
+    """Lines in order, in parts; what was delivered of a part is acknowledged with the next ones, some of it twice."""
+    lines, initial = _deliveries(spark, sf_dir)
+    source, target, state = (_scratch(spark, name) for name in ("lines", "target", "state"))
+    top = F.floor(F.col("seq") * PARTS / (lines.agg(F.max("seq")).first()[0] + 1))
+    own = lines.select("source", "seq", "file_id", "end_offset", "outcome", top.cast("int").alias("part"))
+    read = own.select("source", "seq", "file_id", "end_offset",
+                      F.col("outcome").isin("blank", "malformed", "undeliverable").alias("settled"), "part")
+    nothing = [F.lit(None).cast("long").alias(c) for c in ("file_id", "end_offset")]
+    later = [F.col("part") + F.pmod(F.col("seq") * 7, F.lit(PARTS)).cast("int"), F.when(F.col("seq") % 5 == 0, F.lit(PARTS - 1))]
+    acks = own.filter("outcome = 'delivered'").select("source", "seq", *nothing, F.lit(True).alias("settled"), F.explode(
+        F.array_compact(F.array(*later))).alias("part"))
+    sent = read.unionByName(acks.withColumn("part", F.least("part", F.lit(PARTS - 1))))
+    for part in range(PARTS):
+        sent.filter(F.col("part") == part).drop("part").write.mode("append").parquet(source)
+        _drain(spark, source, streams.running_commits, target, state)
+    return streams.commits_of(spark, target, initial)
+
+
 # --- audits -----------------------------------------------------------------------
 
 
@@ -665,7 +697,11 @@ QUERIES = {
     "stream_ingest_counters": stream_ingest_counters,
     "stream_batch_counters": stream_batch_counters,
     "stream_ingest_with_state": stream_ingest_with_state,
+    "stream_state_new_checkpoint": stream_state_new_checkpoint,
+    "stream_state_counters": stream_state_counters,
+    "stream_state_offsets": stream_state_offsets,
     "streaming_seq_audit": streaming_seq_audit,
+    "stream_committed_prefix": stream_committed_prefix,
     "seq_audit": seq_audit,
     "seq_gaps": seq_gaps,
     "seq_first_gaps": seq_first_gaps,

@@ -128,7 +128,7 @@ def commit_batch(path: str) -> Callable[[DataFrame, int], None]:
 
     def commit(records: DataFrame, batch_id: int) -> None:
         spark = records.sparkSession
-        run = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or DIRECT
+        run = run_of(spark)
         index = KeyIndex(spark, path, KEYS)
         if not index.exists() and _exists(spark, _folder(path)):
             index.build(read_ledger(spark, path).filter(F.col("disposition") == INSERTED))
@@ -150,31 +150,48 @@ def commit_batch(path: str) -> Callable[[DataFrame, int], None]:
         classified = classify(records).persist(StorageLevel.MEMORY_AND_DISK)
         held.append(classified)
         try:
-            rejected = F.col("disposition") == REJECTED
-            blank = [
-                F.when(~rejected, F.col(field.name)).alias(field.name)
-                if field.name not in (*POSITION, "ingested_at")
-                else F.col(field.name)
-                for field in FINDING.fields
-            ]
-            rows = dispose(classified, unseen).select(
-                *blank, "disposition", "reject_reason", "preview", "rejected_value"
-            )
-            folder = _batch_folder(path, run, batch_id)
-            index.begin(run, batch_id)
-            rows.sortWithinPartitions("disposition", "ts").write.mode("overwrite").parquet(folder)
-            index.add(_inserted_keys(spark, folder), run, batch_id)
-            index.end(run, batch_id)
+            store_batch(dispose(classified, unseen), path, run, batch_id, index)
         finally:
             index.release()
             for df in held:
                 df.unpersist()
-        index.merge()
-        index.sweep()
 
     return commit
 
 
+def store_batch(disposed: DataFrame, path: str, run: str, batch_id: int, index: KeyIndex) -> None:
+    """Write the classified messages of a batch with their dispositions, and make their keys known."""
+    rejected = F.col("disposition") == REJECTED
+    blank = [
+        F.when(~rejected, F.col(field.name)).alias(field.name)
+        if field.name not in (*POSITION, "ingested_at")
+        else F.col(field.name)
+        for field in FINDING.fields
+    ]
+    rows = disposed.select(*blank, "disposition", "reject_reason", "preview", "rejected_value")
+    folder = _batch_folder(path, run, batch_id)
+    index.begin(run, batch_id)
+    rows.sortWithinPartitions("disposition", "ts").write.mode("overwrite").parquet(folder)
+    index.add(_inserted_keys(disposed.sparkSession, folder), run, batch_id)
+    index.end(run, batch_id)
+    index.merge()
+    index.sweep()
+
+
+def run_of(spark: SparkSession) -> str:
+    """The run that a foreachBatch function works for."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or DIRECT
+
+
+def stored_keys(spark: SparkSession, path: str, run: str | None = None) -> DataFrame:
+    """hi, lo and position of all stored alerts, without those of a run."""
+    rows = read_ledger(spark, path).filter(F.col("disposition") == INSERTED)
+    rows = rows if run is None else rows.filter(F.col("run") != run)
+    return rows.select(
+        *hashed(*KEYS), *[F.col(f"source_{c}").alias(c) for c in ("topic", "partition", "offset")]
+    )
+
+
 def _batch_folder(path: str, run: str, batch_id: int) -> str:
     return f"{_folder(path)}/run={run}/batch_id={batch_id}"
 

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, functions as F
+import json
+
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from tidewatch.operators.audit import seq_audit, sequence_numbers
-from tidewatch.operators.normalize import alerts_of, classify
-from tidewatch.sinks.ledger import KEYS, commit_batch
+from tidewatch.operators.audit import range_audit, sequence_numbers
+from tidewatch.operators.delivery import committed_blocks
+from tidewatch.operators.normalize import classify
+from tidewatch.sinks.key_index import KeyIndex, hashed
+from tidewatch.sinks.latest import LatestTable
+from tidewatch.sinks.ledger import KEYS, REJECTED, commit_batch, run_of, store_batch, stored_keys
+from tidewatch.streaming import stateful
 
 
 def start(writer, checkpoint: str, every: str | None = None) -> StreamingQuery:
@@ -28,41 +34,92 @@ def ingest(records: DataFrame, path: str, checkpoint: str, every: str | None = N
     )
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str | None:
+    """The id of the query that a checkpoint belongs to; None before its first start."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{checkpoint.rstrip('/')}/metadata")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return None
+    stream = fs.open(path)
+    try:
+        return json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))["id"]
+    finally:
+        stream.close()
+
+
 def ingest_with_state(
     records: DataFrame, path: str, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
-    """As ingest, for short intervals over a long history: seen keys live in the
-    state store, so a batch costs what it holds and not what was ever stored.
+    """As ingest, with the seen keys in the state store: a batch looks nothing up in files.
 
-    Writes findings only. Call session.use_rocksdb_state first. Of copies in one
-    batch the first to arrive wins, in partition order.
+    Every message gets its disposition and is stored in the ledger as by ingest,
+    so that counters, offsets and winners are the same. Copies are reduced in
+    the map tasks, so a hot key reaches its state as a few rows. A new
+    checkpoint starts with all keys that other runs have stored.
     """
-    found = alerts_of(classify(records)).dropDuplicates(list(KEYS))
+    spark = records.sparkSession
+    judged = classify(records, "value")
+    messages = judged.select(
+        *hashed(*KEYS),
+        *[F.col(f"source_{c}").alias(c) for c in ("topic", "partition", "offset")],
+        "value",
+        F.when(F.col("reject_reason").isNotNull(), REJECTED).alias("disposition"),
+    )
+    known = stored_keys(spark, path, query_id(spark, checkpoint))
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        own = batch.sparkSession
+        store_batch(classify(batch, "disposition"), path, run_of(own), batch_id, KeyIndex(own, path, KEYS))
+
+    disposed = stateful.with_dispositions(messages, known)
     return start(
-        found.writeStream.queryName("ingest_with_state").format("parquet").option("path", path),
-        checkpoint,
-        every,
+        disposed.writeStream.queryName("ingest_with_state").outputMode("update").foreachBatch(store), checkpoint, every
     )
 
 
+def _kept(changes: DataFrame, table: LatestTable, name: str, checkpoint: str, every: str | None) -> StreamingQuery:
+    writer = changes.writeStream.queryName(name).outputMode("update")
+    return start(writer.foreachBatch(lambda batch, batch_id: table.write(batch, batch_id)), checkpoint, every)
+
+
+def _ranges(spark: SparkSession, path: str) -> LatestTable:
+    return LatestTable(spark, f"{path}/ranges", ["block"], stateful.RANGE_BLOCK)
+
+
 def running_audit(
     records: DataFrame, path: str, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
-    """Keep the sequence numbers of every batch under path/seqs; audit them with
-    audit_of. A gap closes when its number arrives in a later batch."""
+    """Keep the ranges of sequence numbers seen so far under path/ranges; audit
+    them with audit_of. A batch merges its numbers into the blocks they belong
+    to and touches no others; a gap closes when its number arrives later."""
+    changes = stateful.range_blocks(sequence_numbers(records))
+    return _kept(changes, _ranges(records.sparkSession, path), "running_audit", checkpoint, every)
+
 
-    def keep(batch: DataFrame, batch_id: int) -> None:
-        sequence_numbers(batch).write.mode("overwrite").parquet(f"{path}/seqs/batch_id={batch_id}")
+def audit_of(spark: SparkSession, path: str) -> DataFrame:
+    """Audit of everything a running_audit has kept so far."""
+    return range_audit(_ranges(spark, path).read())
 
-    return start(records.writeStream.queryName("running_audit").foreachBatch(keep), checkpoint, every)
 
+def _positions(spark: SparkSession, path: str) -> LatestTable:
+    return LatestTable(spark, f"{path}/positions", ["source", "block"], stateful.LINE_BLOCK)
 
-def audit_of(spark, path: str) -> DataFrame:
-    """Audit of everything a running_audit has kept so far."""
-    kept = spark.read.schema(
-        "topic string, partition int, offset long, seq long, batch_id long"
-    ).parquet(f"{path}/seqs")
-    return seq_audit(kept)
+
+def running_commits(
+    lines: DataFrame, path: str, checkpoint: str, every: str | None = None, report_ms: int | None = None
+) -> StreamingQuery:
+    """Keep what may be committed of each source under path/positions; see
+    commits_of. lines: source, seq, file_id, end_offset, settled, and
+    acknowledgements, which have no end_offset. With report_ms a block's changes
+    are given out that long after the first of them, by a timer."""
+    changes = stateful.line_blocks(lines, report_ms)
+    return _kept(changes, _positions(lines.sparkSession, path), "running_commits", checkpoint, every)
+
+
+def commits_of(spark: SparkSession, path: str, initial: DataFrame | None = None) -> DataFrame:
+    """The committed position of each source and its lines in flight, as committed_prefix has them."""
+    return committed_blocks(_positions(spark, path).read(), initial)
 
 
 def observed(classified: DataFrame, name: str = "ingest") -> DataFrame:
