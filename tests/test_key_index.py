@@ -97,8 +97,8 @@ def test_merged_files_go_after_a_time(index, keys):
     for number in range(3):
         index.add(keys([number]), "r", number)
     index.merge()
-    assert index.sweep() == 0 and len(index._list("data")) == 4
-    assert index.sweep(grace=0) == 3 and len(index._list("data")) == 1
+    assert index.sweep() == 0 and len(index.log.names("data")) == 4
+    assert index.sweep(grace=0) == 3 and len(index.log.names("data")) == 1
     assert found(index, keys([0, 2, 9]), "r", 9) == [0, 2]
 
 
@@ -134,7 +134,8 @@ def test_a_ledger_without_an_index_gets_one(spark, tmp_path, records):
     path = str(tmp_path)
     lg.commit_batch(path)(records([alert(1), alert(2)]), 0)
     index = KeyIndex(spark, path, lg.KEYS)
-    index._fs().delete(index._path(), True)
+    for folder in ("live", "data", "bloom"):
+        index.log.remove(".", folder)
     lg.commit_batch(path)(records([alert(2), alert(3)], first=2), 1)
     assert lg.ingest_stats(lg.read_ledger(spark, path)).first().asDict() == {
         "consumed": 4, "inserted": 3, "duplicates": 1, "rejected": 0

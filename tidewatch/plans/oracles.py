@@ -7,7 +7,7 @@ never parses the documents the Spark queries parse.
 from __future__ import annotations
 
 from tidewatch.plans import derived as d
-from tidewatch.plans.queries import AS_OF, KEEP_BYTES, KEEP_N, PACK_BYTES, PACK_N, PARTS
+from tidewatch.plans.queries import AS_OF, DAY_BEFORE, KEEP_BYTES, KEEP_N, PACK_BYTES, PACK_N, PARTS
 
 _SPARSE = """'{"demo_seq":' || seq || ',"rule":{"level":' || level || '}}'"""
 _ODD = "shape = 2"
@@ -182,6 +182,12 @@ _BATCH_STATS = _ALERTS + f"""SELECT part AS batch_id, count(*) AS consumed,
         ORDER BY CAST(floor(source_offset / 4) AS BIGINT) % {PARTS}, source_topic, source_partition, source_offset) AS state FROM alerts
       UNION ALL SELECT CAST(floor(source_offset / 4) AS BIGINT) % {PARTS}, 0 FROM junks) AS m GROUP BY part"""
 
+_SEVERE = _ALERTS + f"""SELECT ts, rule_level, agent_name, rule_description, mitre_ids, alert_id
+        FROM findings WHERE ts > TIMESTAMP '{AS_OF}' - INTERVAL 24 HOUR
+        ORDER BY rule_level DESC NULLS FIRST, ts DESC, manager, alert_id LIMIT 20"""
+_TECHNIQUE = _ALERTS + """SELECT agent_name, count(*) AS alerts, max(rule_level) AS worst FROM findings
+        WHERE list_contains(string_split(mitre_ids, '|'), 'X34') GROUP BY agent_name"""
+
 ORACLES = {
     "normalize_alerts": _ALERTS + f"SELECT {_COLUMNS} FROM alerts",
     "rejects_by_reason": _ALERTS + """SELECT reject_reason, count(*) AS messages, min(source_offset) AS first_offset
@@ -198,9 +204,10 @@ ORACLES = {
         WHERE source_offset % 8 >= 4 GROUP BY manager, alert_id)
         SELECT * FROM batch WHERE NOT EXISTS (SELECT 1 FROM alerts a WHERE a.source_offset % 8 < 4
           AND a.manager = batch.manager AND a.alert_id = batch.alert_id)""",
-    "top_severe_recent": _ALERTS + f"""SELECT ts, rule_level, agent_name, rule_description, mitre_ids, alert_id
-        FROM findings WHERE ts > TIMESTAMP '{AS_OF}' - INTERVAL 24 HOUR
-        ORDER BY rule_level DESC NULLS FIRST, ts DESC, manager, alert_id LIMIT 20""",
+    "top_severe_recent": _SEVERE,
+    "layout_severe": _SEVERE,
+    "layout_agent": _ALERTS + f"""SELECT manager, alert_id, ts FROM findings WHERE agent_name = 'node-2'
+        AND ts > TIMESTAMP '{DAY_BEFORE}' AND ts <= TIMESTAMP '{AS_OF}'""",
     "technique_rollup": _ALERTS + """SELECT technique, count(*) AS alerts, count(DISTINCT agent_name) AS agents
         FROM (SELECT unnest(string_split(mitre_ids, '|')) AS technique, agent_name FROM findings WHERE mitre_ids <> '') AS t
         GROUP BY technique""",
@@ -215,8 +222,8 @@ ORACLES = {
           CASE WHEN mitre_ids = '' THEN '-' ELSE replace(mitre_ids, '|', ', ') END,
           CASE WHEN again > 1 THEN '  [duplicate]' ELSE '' END) AS line
         FROM (SELECT *, row_number() OVER (PARTITION BY seq ORDER BY source_partition, source_offset) AS again FROM alerts) AS a""",
-    "findings_sql": _ALERTS + """SELECT agent_name, count(*) AS alerts, max(rule_level) AS worst FROM findings
-        WHERE list_contains(string_split(mitre_ids, '|'), 'X34') GROUP BY agent_name""",
+    "findings_sql": _TECHNIQUE,
+    "layout_technique": _TECHNIQUE,
     "ingest_offsets": _ALERTS + f"""SELECT '{d.TOPIC}' AS topic, source_partition AS partition,
         max(source_offset) + 1 AS next_offset FROM messages GROUP BY source_partition""",
     "ingest_stats": _ALERTS + _STATS,

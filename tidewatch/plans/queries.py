@@ -28,12 +28,14 @@ from tidewatch.plans import derived as d
 from tidewatch.session import checkpoint_dir, configure
 from tidewatch.sinks import ledger as lg
 from tidewatch.sinks.files import write_envelopes, write_ndjson
+from tidewatch.sinks.layout import Layout
 from tidewatch.sources import rotating_ndjson
 from tidewatch.sources.files import read_queue
 from tidewatch.sources.topics import topic_partitions
 from tidewatch.streaming import ingest as streams
 
 AS_OF = "2024-01-15 12:00:00"
+DAY_BEFORE = "2024-01-14 12:00:00"
 PACK_N, PACK_BYTES = 256, 8192
 KEEP_N, KEEP_BYTES = 5000, 100_000
 # Parts in which the streaming queries receive the records, and the running audit.
@@ -204,6 +206,37 @@ def ledger_view(spark, sf_dir):
     return spark.sql(f"SELECT agent_name, count(*) AS alerts FROM {view} GROUP BY agent_name")
 
 
+def _layout(spark, sf_dir) -> Layout:
+    """A ledger of three batches, of which two are compacted into many files."""
+    configure(spark)
+    target = _scratch(spark, "target")
+    commit = lg.commit_batch(target)
+    records = d.records(spark, sf_dir)
+    for number in range(3):
+        commit(records.filter(f"offset div 4 % 3 = {number}"), number)
+    layout = Layout(spark, target, file_rows=max(100, records.count() // 32))
+    layout.compact()
+    return layout
+
+
+def layout_severe(spark, sf_dir):
+    found = _layout(spark, sf_dir).read(since=DAY_BEFORE)
+    return fq.top_severe(found, AS_OF, hours=24).select(
+        _plain("ts"), F.col("rule_level").cast("int").alias("rule_level"), "agent_name",
+        "rule_description", *_text("mitre_ids"), "alert_id",
+    )
+
+
+def layout_agent(spark, sf_dir):
+    found = _layout(spark, sf_dir).read(since=DAY_BEFORE, until=AS_OF, agent="node-2")
+    return found.select("manager", "alert_id", _plain("ts"))
+
+
+def layout_technique(spark, sf_dir):
+    found = _layout(spark, sf_dir).read(technique="X34")
+    return found.groupBy("agent_name").agg(F.count("*").alias("alerts"), F.max("rule_level").cast("int").alias("worst"))
+
+
 def start_offsets(spark, sf_dir):
     configure(spark)
     records = d.records(spark, sf_dir)
@@ -692,6 +725,9 @@ QUERIES = {
     "ingest_stats": ingest_stats,
     "start_offsets": start_offsets,
     "ledger_view": ledger_view,
+    "layout_severe": layout_severe,
+    "layout_agent": layout_agent,
+    "layout_technique": layout_technique,
     "stream_ingest_exactly_once": stream_ingest_exactly_once,
     "stream_ingest_new_checkpoint": stream_ingest_new_checkpoint,
     "stream_ingest_counters": stream_ingest_counters,

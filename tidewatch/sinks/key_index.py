@@ -16,16 +16,15 @@ Layout below the ledger's path:
 
 from __future__ import annotations
 
-import json
-import time
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidewatch.operators.shuffles import is_small
+from tidewatch.sinks.parts import GRACE, PartLog
 
 #: Keys of a slot, about; 24 bytes each in a task and in a file.
 SLOT_KEYS = 4_000_000
@@ -36,8 +35,6 @@ BITMAP_BITS = 32768
 PROBES = 6
 #: Parts of one level that are merged into one of the next.
 FAN_IN = 8
-#: Seconds after which files that were merged into others are removed.
-GRACE = 3600
 
 _DATA = "hi bigint, lo bigint, run string, batch_id bigint, slot int"
 _BLOOM = "block bigint, bits binary, slot int"
@@ -111,54 +108,17 @@ class KeyIndex:
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], fan_in: int = FAN_IN, slot_keys: int = SLOT_KEYS):
         self.spark, self.root, self.keys = spark, f"{path.rstrip('/')}/keys", tuple(keys)
+        self.log = PartLog(spark, self.root, ("data", "bloom"))
         self.fan_in, self.slot_keys = fan_in, slot_keys
         self.looked, self._held = Looked(), []
 
-    # files -----------------------------------------------------------------
-
-    def _path(self, *names: str):
-        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path("/".join((self.root, *names)))
-
-    def _fs(self):
-        return self._path().getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _list(self, folder: str) -> dict[str, int]:
-        """Names in a folder and when they were written."""
-        fs, path = self._fs(), self._path(folder)
-        return {s.getPath().getName(): s.getModificationTime() for s in fs.listStatus(path)} if fs.exists(path) else {}
-
-    def _put(self, folder: str, name: str, text: str = "") -> None:
-        """Write a small file that appears whole."""
-        fs, draft = self._fs(), self._path("drafts", uuid.uuid4().hex)
-        out = fs.create(draft, True)
-        out.write(bytearray(text.encode()))
-        out.close()
-        fs.mkdirs(self._path(folder))
-        fs.delete(self._path(folder, name), False)
-        fs.rename(draft, self._path(folder, name))
-
-    def _get(self, folder: str, name: str) -> str:
-        jvm = self.spark.sparkContext._jvm
-        stream = self._fs().open(self._path(folder, name))
-        try:
-            return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-
     # parts -----------------------------------------------------------------
 
     def exists(self) -> bool:
-        return self._fs().exists(self._path("live"))
-
-    def _parts(self) -> dict[str, Part]:
-        names = [n for n in self._list("live") if n.endswith(".json")]
-        return {p.name: p for p in (Part(**json.loads(self._get("live", n))) for n in names)}
+        return self.log.exists()
 
     def live(self) -> list[Part]:
-        """The parts that no other part replaces."""
-        parts = self._parts()
-        gone = {name for p in parts.values() for name in p.replaces}
-        return [p for p in parts.values() if p.name not in gone]
+        return [Part(**p) for p in self.log.live()]
 
     def _write(self, rows: DataFrame, name: str, level: int, n: int, **more) -> Part:
         """Key files and filter of hi, lo, run, batch_id; the part lives once its file in live/ is there."""
@@ -174,7 +134,7 @@ class KeyIndex:
         dealt = blocks.repartition(slots, "slot") if slots > 1 else blocks.coalesce(1)
         dealt.sortWithinPartitions("slot", "block").write.mode("overwrite").partitionBy("slot").parquet(f"{self.root}/bloom/{name}")
         part = Part(name, level, n, slot_bits, block_bits, **more)
-        self._put("live", f"{name}.json", json.dumps(part.__dict__))
+        self.log.add(asdict(part))
         return part
 
     # batches ---------------------------------------------------------------
@@ -184,14 +144,14 @@ class KeyIndex:
         return f"{run},{batch}"
 
     def begin(self, run: str, batch: int) -> None:
-        self._put("open", self._mark(run, batch))
+        self.log.put("open", self._mark(run, batch))
 
     def end(self, run: str, batch: int) -> None:
-        self._fs().delete(self._path("open", self._mark(run, batch)), False)
+        self.log.remove("open", self._mark(run, batch))
 
     def unindexed(self, run: str, batch: int) -> list[tuple[str, int]]:
         """Other batches whose rows may be stored while their keys are not here."""
-        marks = [n.rsplit(",", 1) for n in self._list("open")]
+        marks = [n.rsplit(",", 1) for n in self.log.names("open")]
         return [(r, int(b)) for r, b in marks if (r, int(b)) != (run, batch)]
 
     def add(self, rows: DataFrame, run: str, batch: int) -> Part:
@@ -222,25 +182,7 @@ class KeyIndex:
             )
 
     def sweep(self, grace: float = GRACE) -> int:
-        """Remove parts that were merged, or begun and never finished, so long ago that nothing still uses them."""
-        drafts = self._list("data")
-        parts, written = self._parts(), self._list("live")
-        fs, now, removed = self._fs(), time.time(), 0
-        for name, at in drafts.items():
-            if name not in parts and now - at / 1000 >= grace:
-                fs.delete(self._path("bloom", name), True)
-                fs.delete(self._path("data", name), True)
-                removed += 1
-        for p in parts.values():
-            if now - written[f"{p.name}.json"] / 1000 < grace:
-                continue
-            for name in p.replaces:
-                if name in parts:
-                    fs.delete(self._path("live", f"{name}.json"), False)
-                    fs.delete(self._path("bloom", name), True)
-                    fs.delete(self._path("data", name), True)
-                    removed += 1
-        return removed
+        return self.log.sweep(grace)
 
     # lookup ----------------------------------------------------------------
 
