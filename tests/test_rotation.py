@@ -168,6 +168,35 @@ def test_bytes_per_trigger(spark, log, tmp_path):
     assert sorted(json.loads(row[2])["n"] for row in follower._kept()) == list(range(20))
 
 
+def batch_sizes(spark, log, folder, **options):
+    """Lines of each batch of a run; where batches are bounded, a run that reads what is there at once has one."""
+    stream = spark.readStream.format("rotating_ndjson").options(path=log, source="s", startFrom="beginning", **options).load()
+    query = start(stream.writeStream.format("parquet").option("path", f"{folder}/out"), f"{folder}/state")
+    query.awaitTermination()
+    return [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
+
+
+def test_the_first_batch_of_a_run_is_bounded(spark, log, tmp_path):
+    """1,000 bytes hold 100 lines of ten bytes; a line that has begun is read to its end."""
+    limit = {"maxBytesPerTrigger": "1000"}
+    logged = limit | {"planLog": str(tmp_path / "plan" / "log")}
+    write(log, *range(100, 400))
+    assert batch_sizes(spark, log, tmp_path / "free", **limit) == [300]  # not known yet where the stream begins
+    done = 0
+    for end in (400, 600, 900):
+        if end == 600:
+            rotate(log)
+        if end > 400:
+            write(log, *range(100 + done, end))
+        while done < end - 100:
+            sizes = batch_sizes(spark, log, tmp_path / "logged", **logged)
+            assert 0 < max(sizes) <= 112
+            done += sum(sizes)
+        assert done == end - 100
+    kept = spark.read.parquet(str(tmp_path / "logged" / "out")).collect()
+    assert sorted(json.loads(bytes(r.value))["n"] for r in kept) == list(range(100, 900))
+
+
 def test_batch_resumes_in_the_rotated_file(spark, log):
     write(log, 1, 2, 3, 4, 5)
     checkpoint = saved(log, 3)

@@ -7,7 +7,7 @@ never parses the documents the Spark queries parse.
 from __future__ import annotations
 
 from tidewatch.plans import derived as d
-from tidewatch.plans.queries import AS_OF, DAY_BEFORE, KEEP_BYTES, KEEP_N, PACK_BYTES, PACK_N, PARTS
+from tidewatch.plans.queries import AFTER, AS_OF, DAY_BEFORE, KEEP_BYTES, KEEP_N, PACK_BYTES, PACK_N, PARTS
 
 _SPARSE = """'{"demo_seq":' || seq || ',"rule":{"level":' || level || '}}'"""
 _ODD = "shape = 2"
@@ -188,6 +188,11 @@ _SEVERE = _ALERTS + f"""SELECT ts, rule_level, agent_name, rule_description, mit
 _TECHNIQUE = _ALERTS + """SELECT agent_name, count(*) AS alerts, max(rule_level) AS worst FROM findings
         WHERE list_contains(string_split(mitre_ids, '|'), 'X34') GROUP BY agent_name"""
 
+_ENTRIES = _JOURNAL + f"""SELECT substr(digest, 1, 8) || '-' || substr(digest, 9, 4) || '-4' || substr(digest, 14, 3) || '-' ||
+          substr('89ab', ({_HEX}) % 4 + 1, 1) || substr(digest, 18, 3) || '-' || substr(digest, 21, 12) AS id,
+        'auth.journald' AS source, make_timestamp(micros) AS timestamp, cursor_text AS cursor
+        FROM hashed WHERE kind NOT IN (1, 2, 3, 4, 5) AND facility IN ('4', '10')"""
+
 ORACLES = {
     "normalize_alerts": _ALERTS + f"SELECT {_COLUMNS} FROM alerts",
     "rejects_by_reason": _ALERTS + """SELECT reject_reason, count(*) AS messages, min(source_offset) AS first_offset
@@ -235,6 +240,7 @@ ORACLES = {
     "stream_ingest_exactly_once": _STREAMED,
     "stream_ingest_new_checkpoint": _STREAMED,
     "stream_ingest_counters": _ALERTS + _STATS,
+    "stream_ingest_restarts": _STREAMED,
     "stream_batch_counters": _BATCH_STATS,
     "stream_state_new_checkpoint": _STREAMED,
     "stream_state_counters": _BATCH_STATS,
@@ -286,6 +292,7 @@ ORACLES = {
     "check_report": _CONFIG + """SELECT name, bool_and(all_ok) AS ok, string_agg(detail, '; ' ORDER BY detail) AS report FROM (
         SELECT *, bool_and(ok) OVER (PARTITION BY name) AS all_ok FROM checks) AS c WHERE all_ok OR NOT ok GROUP BY name""",
     "rotating_ndjson_follow": "SELECT event_id, user_id FROM events",
+    "rotating_ndjson_bounded": "SELECT event_id, user_id FROM events",
     "line_boundaries": f"""WITH positions AS ({d.POSITIONS.replace(" AS offset", ' AS "offset"')}) SELECT event_id,
         "offset" <= size AND ("offset" IN (0, size) OR byte_before = 'nl') AS resumes FROM positions""",
     "stripped_lines": "SELECT event_id, props AS value FROM events",
@@ -310,6 +317,8 @@ ORACLES = {
         facility AS syslog_facility, CASE WHEN comm <> '' THEN comm END AS comm,
         CASE WHEN NOT pid_is_number THEN '42' END AS pid, message
         FROM hashed WHERE kind NOT IN (1, 2, 3, 4, 5) AND facility IN ('4', '10')""",
+    "journal_resume": _ENTRIES,
+    "journal_after": _ENTRIES + f" AND event_id > {AFTER}",
     "journal_rejects": _JOURNAL + """SELECT event_id, CASE kind WHEN 3 THEN 'missing_cursor' WHEN 4 THEN 'bad_timestamp'
         ELSE 'not_json' END AS reject_reason FROM lines WHERE kind IN (1, 3, 4, 5)""",
     "ingest_envelopes": _ENVELOPES + 'SELECT agent_id, id, sent_at, ts AS timestamp, event_type AS kind FROM allowed',

@@ -29,15 +29,18 @@ from tidewatch.session import checkpoint_dir, configure
 from tidewatch.sinks import ledger as lg
 from tidewatch.sinks.files import write_envelopes, write_ndjson
 from tidewatch.sinks.layout import Layout
-from tidewatch.sources import rotating_ndjson
+from tidewatch.sources import journal_export, rotating_ndjson
 from tidewatch.sources.files import read_queue
 from tidewatch.sources.topics import topic_partitions
 from tidewatch.streaming import ingest as streams
+from tidewatch.streaming.restart import run_until_done
 
 AS_OF = "2024-01-15 12:00:00"
 DAY_BEFORE = "2024-01-14 12:00:00"
 PACK_N, PACK_BYTES = 256, 8192
 KEEP_N, KEEP_BYTES = 5000, 100_000
+# The number of the entry after which the journal is read.
+AFTER = 321
 # Parts in which the streaming queries receive the records, and the running audit.
 PARTS, AUDIT_PARTS = 4, 8
 
@@ -350,6 +353,29 @@ def stream_committed_prefix(spark, sf_dir):
     return streams.commits_of(spark, target, initial)
 
 
+def stream_ingest_restarts(spark, sf_dir):
+    """The second batch fails before it is written, and again after it was; the job is started anew each time."""
+    configure(spark)
+    source, target, state = (_scratch(spark, name) for name in ("records", "target", "state"))
+    records = d.records(spark, sf_dir)
+    commit, calls = lg.commit_batch(target), []
+
+    def write(batch, batch_id):
+        calls.append(batch_id)
+        if batch_id != 1 or calls.count(1) > 1:
+            commit(batch, batch_id)
+        if batch_id == 1 and calls.count(1) < 3:
+            raise RuntimeError("the sink is down")
+
+    for part in range(PARTS):
+        _part(records, part, PARTS).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(spark.read.parquet(source).schema).option("maxFilesPerTrigger", 100_000)
+        run_until_done(
+            lambda s=stream: streams.start(s.parquet(source).writeStream.foreachBatch(write), state), pause=0.1
+        )
+    return _streamed(spark, target)
+
+
 # --- audits -----------------------------------------------------------------------
 
 
@@ -615,6 +641,36 @@ def rotating_ndjson_follow(spark, sf_dir):
     return spark.read.parquet(out).select(fields["event_id"].alias("event_id"), fields["user_id"].alias("user_id"))
 
 
+def rotating_ndjson_bounded(spark, sf_dir):
+    """Follow line files in runs whose batches are bounded from the first one on."""
+    import json
+
+    configure(spark)
+    rotating_ndjson.register(spark)
+    folder, out, state = (_scratch(spark, name).removeprefix("file:") for name in ("lines", "out", "state"))
+    events = d.table(spark, sf_dir, "events").select("event_id", "user_id")
+    write_ndjson(events.repartition(2), folder)
+    files = {r["name"]: (r["path"], r["length"]) for r in _files(spark, folder)}
+    lines = (
+        spark.readStream.format("rotating_ndjson")
+        .options(paths=json.dumps({name: path for name, (path, _) in files.items()}), startFrom="beginning",
+                 maxBytesPerTrigger=1 + max(size for _, size in files.values()) // 3, planLog=f"{state}/plan.json")
+        .load()
+    )
+    for _ in range(4):
+        streams.start(lines.writeStream.format("parquet").option("path", out), f"{state}/checkpoint").awaitTermination()
+    fields = F.from_json(F.col("value").cast("string"), "event_id bigint, user_id bigint")
+    return spark.read.parquet(out).select(fields["event_id"].alias("event_id"), fields["user_id"].alias("user_id"))
+
+
+def _files(spark, folder: str) -> list:
+    """name, path and length of the data files in a folder."""
+    found = spark.read.format("binaryFile").load(folder).drop("content")
+    return found.select(
+        F.element_at(F.split("path", "/"), -1).alias("name"), F.regexp_replace("path", "^file:", "").alias("path"), "length"
+    ).collect()
+
+
 def line_boundaries(spark, sf_dir):
     configure(spark)
     rows = d.derive(spark, sf_dir, d.POSITIONS)
@@ -648,6 +704,40 @@ def journal_events(spark, sf_dir):
     return events.select("id", "source", _plain("timestamp"), "cursor", *payload)
 
 
+def _journal_exports(spark, sf_dir, folder: str, part: int, parts: int) -> None:
+    """Write a part of the journal, by number of the entry, as export files in order."""
+    rows = d.journal_lines(spark, sf_dir)
+    own = rows.filter(F.floor(F.col("event_id") * parts / (rows.agg(F.max("event_id")).first()[0] + 1)) == part)
+    ordered = own.repartitionByRange(3, "event_id").sortWithinPartitions("event_id")
+    ordered.select("value").write.text(f"{folder}/{part}")
+
+
+def _journal_columns(lines: DataFrame) -> DataFrame:
+    return journal.journal_events(lines)[0].select("id", "source", _plain("timestamp"), "cursor")
+
+
+def journal_resume(spark, sf_dir):
+    """Follow exports that arrive in three parts, each with a run of its own."""
+    configure(spark)
+    journal_export.register(spark)
+    folder, out, state = (_scratch(spark, name) for name in ("exports", "out", "state"))
+    for part in range(3):
+        _journal_exports(spark, sf_dir, folder, part, 3)
+        lines = spark.readStream.format("journal_export").option("path", folder).load()
+        streams.start(lines.writeStream.format("parquet").option("path", out), state).awaitTermination()
+    return _journal_columns(spark.read.parquet(out))
+
+
+def journal_after(spark, sf_dir):
+    """The entries behind a cursor."""
+    configure(spark)
+    journal_export.register(spark)
+    folder = _scratch(spark, "exports")
+    _journal_exports(spark, sf_dir, folder, 0, 1)
+    lines = spark.read.format("journal_export").options(path=folder, after=f"s=a;i={AFTER}", rangeBytes=65536).load()
+    return _journal_columns(lines)
+
+
 def journal_rejects(spark, sf_dir):
     configure(spark)
     return journal.journal_events(d.journal_lines(spark, sf_dir))[1].select(
@@ -731,6 +821,7 @@ QUERIES = {
     "stream_ingest_exactly_once": stream_ingest_exactly_once,
     "stream_ingest_new_checkpoint": stream_ingest_new_checkpoint,
     "stream_ingest_counters": stream_ingest_counters,
+    "stream_ingest_restarts": stream_ingest_restarts,
     "stream_batch_counters": stream_batch_counters,
     "stream_ingest_with_state": stream_ingest_with_state,
     "stream_state_new_checkpoint": stream_state_new_checkpoint,
@@ -769,11 +860,14 @@ QUERIES = {
     "line_offsets": line_offsets,
     "rotating_ndjson_scan": rotating_ndjson_scan,
     "rotating_ndjson_follow": rotating_ndjson_follow,
+    "rotating_ndjson_bounded": rotating_ndjson_bounded,
     "line_boundaries": line_boundaries,
     "stripped_lines": stripped_lines,
     "ndjson_round_trip": ndjson_round_trip,
     "journal_events": journal_events,
     "journal_rejects": journal_rejects,
+    "journal_resume": journal_resume,
+    "journal_after": journal_after,
     "ingest_envelopes": ingest_envelopes,
     "unique_events": unique_events,
     "envelope_rejects": envelope_rejects,

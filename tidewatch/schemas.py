@@ -74,6 +74,13 @@ LINE = T.StructType([
     T.StructField("value", T.BinaryType()),
 ])
 
+# A line of a journal export, the file it is in and the byte just after it.
+ENTRY = T.StructType([
+    T.StructField("file", T.StringType()),
+    T.StructField("end_offset", T.LongType()),
+    T.StructField("value", T.BinaryType()),
+])
+
 MANIFEST = T.StructType([
     T.StructField("source", T.StringType()),
     T.StructField("path", T.StringType()),

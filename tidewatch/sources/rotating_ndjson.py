@@ -14,8 +14,10 @@ that the driver and every executor can reach.
 
 Options: path (one live file) or paths (JSON object, source name -> path);
 rotatedGlob (text, or JSON object, source name -> glob) for rotated files beside
-"<path>.*"; startFrom (beginning or end, first run only); rangeBytes; and
-maxBytesPerTrigger. A batch read takes checkpoint (JSON object, source name ->
+"<path>.*"; startFrom (beginning or end, first run only); rangeBytes;
+maxBytesPerTrigger; and planLog, a file beside the checkpoint that keeps where the
+last batch ended, so that the first batch after a restart is bounded like any
+other. It belongs to one checkpoint. A batch read takes checkpoint (JSON object, source name ->
 {"file_id", "offset"}) and returns what is still owed after it.
 """
 
@@ -181,6 +183,7 @@ class _Options:
             raise ValueError("startFrom must be beginning or end")
         self.range_bytes = int(given.get("rangebytes", RANGE_BYTES))
         self.max_bytes = int(given.get("maxbytespertrigger", 0))
+        self.plan_log = given.get("planlog", "").removeprefix("file:")
         self.checkpoint: dict[str, dict] = json.loads(given.get("checkpoint", "{}"))
 
     def listing(self, source: str) -> Listing:
@@ -261,7 +264,23 @@ def _position(entry: Generation, at: int) -> dict:
 class _StreamReader(DataSourceStreamReader):
     def __init__(self, options: _Options) -> None:
         self.options = options
-        self._reached: dict | None = None
+        self._reached: dict | None = self._logged()
+
+    def _logged(self) -> dict | None:
+        """Where the last planned batch of an earlier run ended. It was completed, or Spark plans it again first."""
+        if not self.options.plan_log or not os.path.exists(self.options.plan_log):
+            return None
+        with open(self.options.plan_log) as log:
+            return json.load(log)
+
+    def _log(self, end: dict) -> None:
+        if not self.options.plan_log:
+            return
+        draft = f"{self.options.plan_log}.draft"
+        os.makedirs(os.path.dirname(draft) or ".", exist_ok=True)
+        with open(draft, "w") as log:
+            json.dump(end, log)
+        os.replace(draft, self.options.plan_log)
 
     def initialOffset(self) -> dict:
         """Rotated files that exist before the first run count as read."""
@@ -278,6 +297,8 @@ class _StreamReader(DataSourceStreamReader):
 
     def latestOffset(self) -> dict:
         """As far as complete lines go, or about max_bytes from where the last batch ended."""
+        if self._reached is None and self.options.plan_log:
+            self.initialOffset()  # no batch was planned yet: the stream begins
         offset = {}
         for source in self.options.paths:
             files = self.options.listing(source)
@@ -306,6 +327,7 @@ class _StreamReader(DataSourceStreamReader):
         return _position(last, self._stop(files, last)) if last else begun or {"file": -1, "at": 0}
 
     def partitions(self, start: dict, end: dict) -> list[ByteRange]:
+        self._log(end)
         self._reached = end
         parts: list[ByteRange] = []
         for source, reached in end.items():
