@@ -189,9 +189,11 @@ def test_lookup_join_agrees_on_both_paths(spark, monkeypatch, rows, how):
     assert sorted(map(str, shuffles.lookup_join(big, small, ["k"], how).collect())) == expected
 
 
-def test_running_totals_with_a_hot_group(spark):
+@pytest.mark.parametrize("slice_rows", [10_000, 90])
+def test_running_totals_with_a_hot_group(spark, monkeypatch, slice_rows):
+    monkeypatch.setattr(shuffles, "SLICE_ROWS", slice_rows)
     rng = random.Random(3)
-    rows = [("hot" if i % 3 else f"g{i % 5}", i, rng.randint(0, 9)) for i in range(2000)]
+    rows = [("hot" if i % 3 else f"g{i % 5}" if i % 7 else None, i, rng.randint(0, 9)) for i in range(2000)]
     frame = spark.createDataFrame(rows, "g string, o long, m long").repartition(7)
     found = {
         (r.g, r.o): (r.n, r.total)
@@ -206,6 +208,41 @@ def test_running_totals_with_a_hot_group(spark):
         assert found[(g, o)] == tuple(state[g])
 
 
+@pytest.mark.parametrize("descending", [False, True])
+def test_running_totals_with_ties_and_missing_orders(spark, monkeypatch, descending):
+    """Rows that agree in group and order stay apart; what is stored has no other columns."""
+    stored = []
+    pin = shuffles.pin
+    monkeypatch.setattr(shuffles, "SLICE_ROWS", 7)
+    monkeypatch.setattr(shuffles, "pin", lambda df: (stored.append(df.columns), pin(df))[1])
+    rows = [("a", i // 3 if i % 11 else None, 1 + i % 2, f"payload {i}") for i in range(60)]
+    frame = spark.createDataFrame(rows, "g string, o long, m long, payload string").repartition(5)
+    found = shuffles.running_totals(frame, ["g"], ["o"], {"n": F.lit(1), "t": F.col("m")}, descending).collect()
+    assert stored == [["g", "o", "_in_n", "_in_t", "_slice"]]
+    assert sorted(r.n for r in found) == list(range(1, 61)) and len({r.payload for r in found}) == 60
+    found.sort(key=lambda r: r.n)
+    places = [(r.o is not None, r.o or 0) for r in found]
+    assert places == sorted(places, reverse=descending)
+    total = 0
+    for r in found:
+        total += r.m
+        assert r.t == total
+
+
+@pytest.mark.parametrize("limit", [5, 1001])
+def test_retention_of_one_group_of_all_rows(spark, monkeypatch, limit):
+    monkeypatch.setattr(shuffles, "SLICE_ROWS", 50)
+    rows = [("h", f"{i:04d}", 1 + i % 3, "body", i) for i in range(2000)]
+    queue = spark.createDataFrame(rows, "source string, queue_key string, size long, body string, event_id long").repartition(9)
+    kept = sorted(r.queue_key for r in queueing.retain(queue, limit, 1500).collect())
+    sizes, expected = 0, []
+    for r in reversed(rows):
+        sizes += r[2]
+        if len(expected) < limit and (sizes <= 1500 or not expected):
+            expected.append(r[1])
+    assert kept == expected[::-1]
+
+
 def test_checks_report_failures_only_if_there_are_any(spark):
     frame = spark.createDataFrame(
         [("a", True, "1"), ("a", False, "2"), ("b", True, "3"), ("b", True, "4")],

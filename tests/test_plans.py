@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators import findings as fq
 from tidewatch.operators.normalize import alerts_of, classify
-from tidewatch.operators.shuffles import first_copy, lookup_join
+from tidewatch.operators.shuffles import first_copy, lookup_join, ranked_with_total
 from tidewatch.plans import derived as d
 from tidewatch.schemas import LEDGER
 from tidewatch.sinks import ledger as lg
@@ -21,6 +21,14 @@ def test_first_copies_are_reduced_before_the_shuffle(spark, sf_dir):
     assert text.index("Final") < text.index("Exchange hashpartitioning(manager") < text.index("Partial")
 
 
+def test_a_group_is_cut_in_tasks_then_by_salt_then_whole(spark):
+    rows = spark.createDataFrame([("all", i, 1, "x") for i in range(50)], "source string, queue_key long, size long, body string")
+    text = plan(ranked_with_total(rows, ["source"], ["queue_key"], F.col("size"), 10, descending=True))
+    salted, whole = "Exchange hashpartitioning(source, _salt", "Exchange hashpartitioning(source"
+    assert text.count("WindowGroupLimit") == 4  # before and after both shuffles
+    assert text.index(whole) < text.index(salted) < text.rindex("WindowGroupLimit")  # the root stands first
+
+
 def test_documents_are_read_once(spark, sf_dir):
     alerts = alerts_of(classify(d.records(spark, sf_dir)))
     assert plan(alerts).count("from_json(") == 1

@@ -41,9 +41,7 @@ def retain(queue: DataFrame, max_events: int = 0, max_bytes: int = 0) -> DataFra
     """
     if max_events <= 0 and max_bytes <= 0:
         return queue
-    ranked = ranked_with_total(
-        queue, ["source"], [F.desc("queue_key")], F.col("size"), max_events
-    )
+    ranked = ranked_with_total(queue, ["source"], ["queue_key"], F.col("size"), max_events, descending=True)
     if max_bytes > 0:
         ranked = ranked.filter((F.col("_total") <= max_bytes) | (F.col("_rank") == 1))
     return ranked.select(*queue.columns)

@@ -15,6 +15,8 @@ SALTS = 16
 # Largest per-group limit for which Spark cuts each map task to the limit
 # before the shuffle (spark.sql.optimizer.windowGroupLimitThreshold).
 GROUP_LIMIT = 1000
+# Rows that one task sums in order.
+SLICE_ROWS = 1_000_000
 NESTED = ("array", "map", "struct", "variant")
 
 
@@ -90,82 +92,91 @@ def first_copy(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
     )
 
 
+def _in_order(order: Sequence[str], descending: bool) -> list[Column]:
+    return [F.desc(name) if descending else F.asc(name) for name in order]
+
+
+def _up_to_here(keys: Sequence[str], order: Sequence[Column]):
+    return Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
 def running_totals(
     df: DataFrame,
     group: Sequence[str],
-    order: Sequence[Column | str],
+    order: Sequence[str],
     totals: Mapping[str, Column],
+    descending: bool = False,
 ) -> DataFrame:
     """Add inclusive running sums per group without one task per group.
 
-    Rows are range-partitioned by group and order into slices, the slices are
-    stored, and each slice is summed on its own. The sum of the slices before
-    it comes from a table of one row per slice and group. `order` must be
-    unique within a group, so that no slice can be held together by ties.
+    Rows are counted first. As many as fit a task are summed by a window. Else
+    the sums of group and order alone are range-partitioned into slices of a
+    measured size and stored; each slice is summed on its own, the sum of the
+    slices before it comes from a table of one row per slice and group, and
+    the rows, which are never stored, take their sums by group and order. Rows
+    that agree in both follow each other in any order.
     """
-    group = list(group)
-    spark = df.sparkSession
-    slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    group, order = list(group), list(order)
+    ordered = _in_order(order, descending)
+    slices = -(-df.count() // SLICE_ROWS)
+    if slices <= 1:
+        window = _up_to_here(group, ordered)
+        return df.select("*", *[F.sum(expr.cast("bigint")).over(window).alias(name) for name, expr in totals.items()])
     sliced = pin(
-        df.select("*", *[expr.cast("bigint").alias(f"_in_{name}") for name, expr in totals.items()])
-        .repartitionByRange(slices, *group, *order)
+        df.groupBy(*group, *order)
+        .agg(*[F.sum(expr.cast("bigint")).alias(f"_in_{name}") for name, expr in totals.items()])
+        .repartitionByRange(slices, *group, *ordered)
         .withColumn("_slice", F.spark_partition_id())
     )
-    before = Window.partitionBy(*group).orderBy("_slice").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
+    before = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     base = (
         sliced.groupBy(*group, "_slice")
         .agg(*[F.sum(f"_in_{name}").alias(f"_sum_{name}") for name in totals])
         .select(
-            *group,
-            "_slice",
-            *[
-                F.coalesce(F.sum(f"_sum_{name}").over(before), F.lit(0)).alias(f"_base_{name}")
-                for name in totals
-            ],
+            *group, "_slice",
+            *[F.coalesce(F.sum(f"_sum_{name}").over(before), F.lit(0)).alias(f"_base_{name}") for name in totals],
         )
     )
-    within = (
-        Window.partitionBy(*group, "_slice")
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    within = _up_to_here([*group, "_slice"], ordered)
     local = sliced.select(
-        *df.columns,
-        "_slice",
-        *[F.sum(f"_in_{name}").over(within).alias(f"_run_{name}") for name in totals],
+        *group, *order, "_slice",
+        *[(F.sum(f"_in_{name}").over(within) - F.col(f"_in_{name}")).alias(f"_run_{name}") for name in totals],
+    )
+    reached = null_safe_join(local, base, [*group, "_slice"]).select(
+        *group, *order, *[(F.col(f"_run_{name}") + F.col(f"_base_{name}")).alias(f"_before_{name}") for name in totals]
     )
-    return null_safe_join(local, base, [*group, "_slice"]).select(
+    ties = _up_to_here([*group, *order], [F.lit(0)])
+    return null_safe_join(df, reached, [*group, *order]).select(
         *df.columns,
-        *[(F.col(f"_run_{name}") + F.col(f"_base_{name}")).alias(name) for name in totals],
+        *[(F.col(f"_before_{name}") + F.sum(expr.cast("bigint")).over(ties)).alias(name) for name, expr in totals.items()],
     )
 
 
 def ranked_with_total(
     df: DataFrame,
     group: Sequence[str],
-    order: Sequence[Column | str],
+    order: Sequence[str],
     measure: Column,
     limit: int = 0,
+    descending: bool = False,
 ) -> DataFrame:
     """Add `_rank` and `_total` (running sum of measure) per group in order.
 
     With a limit only the first `limit` rows of each group are returned. Small
-    limits are applied in each map task, so every group is short by the time it
-    reaches one task; otherwise the two-level running sum is used.
+    limits are applied in each map task, then to each salt of a group, and at
+    last to the group, so that what reaches one task is bounded by the salts
+    and not by the number of map tasks; otherwise the two-level running sum is
+    used.
     """
     if 0 < limit <= GROUP_LIMIT:
-        window = Window.partitionBy(*group).orderBy(*order)
+        ordered = _in_order(order, descending)
+        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(SALTS)).cast("int"))
+        parts = Window.partitionBy(*group, "_salt").orderBy(*ordered)
+        cut = salted.withColumn("_rank", F.row_number().over(parts)).filter(F.col("_rank") <= limit).drop("_rank", "_salt")
         return (
-            df.withColumn("_rank", F.row_number().over(window).cast("bigint"))
+            cut.withColumn("_rank", F.row_number().over(Window.partitionBy(*group).orderBy(*ordered)).cast("bigint"))
             .filter(F.col("_rank") <= limit)
-            .withColumn(
-                "_total",
-                F.sum(measure.cast("bigint")).over(
-                    window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-                ),
-            )
+            .withColumn("_total", F.sum(measure.cast("bigint")).over(_up_to_here(group, ordered)))
         )
-    ranked = running_totals(df, group, order, {"_rank": F.lit(1), "_total": measure})
+    ranked = running_totals(df, group, order, {"_rank": F.lit(1), "_total": measure}, descending)
     return ranked.filter(F.col("_rank") <= limit) if limit > 0 else ranked
