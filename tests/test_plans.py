@@ -1,5 +1,7 @@
 """The physical plans the scale of the jobs depends on."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from tidewatch.operators import findings as fq
@@ -23,7 +25,7 @@ def test_first_copies_are_reduced_before_the_shuffle(spark, sf_dir):
 
 def test_a_group_is_cut_in_tasks_then_by_salt_then_whole(spark):
     rows = spark.createDataFrame([("all", i, 1, "x") for i in range(50)], "source string, queue_key long, size long, body string")
-    text = plan(ranked_with_total(rows, ["source"], ["queue_key"], F.col("size"), 10, descending=True))
+    text = re.sub(r"#\d+L?", "", plan(ranked_with_total(rows, ["source"], ["queue_key"], F.col("size"), 10, descending=True)))
     salted, whole = "Exchange hashpartitioning(source, _salt", "Exchange hashpartitioning(source"
     assert text.count("WindowGroupLimit") == 4  # before and after both shuffles
     assert text.index(whole) < text.index(salted) < text.rindex("WindowGroupLimit")  # the root stands first
