@@ -120,3 +120,25 @@ def test_packed_and_hidden_files_stay_out(folder):
     folder.add(".hidden", entry(1))
     folder.add("2", entry(2))
     assert folder.read() == [2]
+
+
+def test_only_strings_are_fields(spark):
+    from tidewatch.operators.journal import classify_entries
+
+    base = {"__CURSOR": "c", "__REALTIME_TIMESTAMP": "1700000000000000"}
+    cases = [
+        (json.dumps({**base, "_PID": "42", "MESSAGE": 'say "_PID": 7'}), {"pid": "42", "message": 'say "_PID": 7'}),
+        (json.dumps({**base, "_PID": 42, "MESSAGE": "m"}), {"message": "m"}),
+        (json.dumps({**base, "_PID": None, "_UID": True, "_COMM": [1], "_EXE": {"a": "b"}, "MESSAGE": "m"}), {"message": "m"}),
+        (json.dumps({**base, "MESSAGE": [104, 105], "PRIORITY": "6"}), {"priority": "6"}),
+        (json.dumps(base)[:-1] + ', "_PID":"1", "_PID":2}', {}),
+        (json.dumps(base)[:-1] + ', "_PID": 1, "_PID" : "2"}', {"pid": "2"}),
+        (json.dumps(base)[:-1] + ', "\\u005fPID": 42, "MESSAGE":"\\u00e9"}', {"message": "é"}),
+        (json.dumps({**base, "extra": {"_PID": 5}, "_COMM": "sshd"}), {"comm": "sshd"}),
+        (json.dumps({**base, "MESSAGE": "tab\tquote\"slash\\"}), {"message": "tab\tquote\"slash\\"}),
+    ]
+    lines = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(cases)], "n int, value string")
+    rows = {r.n: r for r in classify_entries(lines).collect()}
+    assert {i: (rows[i].reject_reason, rows[i].payload) for i in rows} == {i: (None, p) for i, (_, p) in enumerate(cases)}
+    number = spark.createDataFrame([('{"__CURSOR": 5, "__REALTIME_TIMESTAMP": "1"}',)], "value string")
+    assert classify_entries(number).first().reject_reason == "missing_cursor"

@@ -174,12 +174,11 @@ def typed_small_int(text: str, document: str, path: str, highest: int = 32767) -
     return F.expr(f"CASE WHEN {number} BETWEEN 0 AND {highest} THEN cast({number} AS smallint) END")
 
 
-def string_of(quoted: str, leaf: str) -> Column:
-    """Text of a VARIANT string given its JSON form; NULL for every other type."""
+def string_member(text: str, document: str, path: str) -> Column:
+    """Text of a string member; NULL for every other type."""
     return F.expr(f"""
-        CASE WHEN startswith({quoted}, '"') THEN
-             CASE WHEN contains({quoted}, r'\') THEN try_variant_get({leaf}, '$', 'string')
-                  ELSE substring({quoted}, 2, length({quoted}) - 2) END END""")
+        CASE WHEN {document} IS NULL THEN {text}
+             WHEN {_kind(document, path)} = 'STRING' THEN {_at(document, path, 'string')} END""")
 
 
 def member_int(raw: Column, name: str) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidewatch.functions.json_text import computed_once, string_of, with_members
+from tidewatch.functions.json_text import computed_once, parse_document, string_member, with_members
 from tidewatch.functions.labels import stable_uuid
 from tidewatch.functions.times import epoch_micros
 
@@ -39,23 +39,24 @@ def _payload() -> Column:
 
 
 def classify_entries(lines: DataFrame) -> DataFrame:
-    """Journal lines with their cursor, time, payload and a reject_reason."""
+    """Journal lines with their cursor, time, payload and a reject_reason.
+
+    Fields count as strings unless one of their names stands before something
+    else than a quote, or a name may be written with escapes; only such lines are
+    parsed with their types.
+    """
     text = F.make_valid_utf8(F.col("value").cast("string"))
     present = computed_once(lines, _text=text).filter(
         F.length(F.trim(F.regexp_replace("_text", r"[\t\r\n]", " "))) > 0
     )
     names = ["__CURSOR", "__REALTIME_TIMESTAMP", *PAYLOAD_FIELDS]
-    schema = ", ".join(f"`{name}` variant" for name in names)
-    parsed = with_members(present, F.col("_text"), schema)
-    quoted = computed_once(
-        parsed, **{f"_json_{name}": F.expr(f"to_json(_row.{name})") for name in names}
+    read = with_members(present, F.col("_text"), ", ".join(f"`{name}` string" for name in names))
+    open_type = F.col("_text").rlike(rf'"({"|".join(names)})"\s*:\s*[^"\s]|\\u')
+    parsed = computed_once(
+        read, _doc=F.when(F.col("_row").isNotNull() & open_type, parse_document(F.col("_text")))
     )
     fields = computed_once(
-        quoted,
-        **{
-            f"_field_{name}": string_of(f"_json_{name}", f"_row.{name}")
-            for name in names
-        },
+        parsed, **{f"_field_{name}": string_member(f"_row.{name}", "_doc", f".{name}") for name in names}
     )
     event_time = epoch_micros(F.col("_field___REALTIME_TIMESTAMP"))
     cursor = F.col("_field___CURSOR")
