@@ -292,6 +292,7 @@ ORACLES = {
     "check_report": _CONFIG + """SELECT name, bool_and(all_ok) AS ok, string_agg(detail, '; ' ORDER BY detail) AS report FROM (
         SELECT *, bool_and(ok) OVER (PARTITION BY name) AS all_ok FROM checks) AS c WHERE all_ok OR NOT ok GROUP BY name""",
     "rotating_ndjson_follow": "SELECT event_id, user_id FROM events",
+    "follow_rounds": "SELECT event_id, user_id FROM events",
     "rotating_ndjson_bounded": "SELECT event_id, user_id FROM events",
     "line_boundaries": f"""WITH positions AS ({d.POSITIONS.replace(" AS offset", ' AS "offset"')}) SELECT event_id,
         "offset" <= size AND ("offset" IN (0, size) OR byte_before = 'nl') AS resumes FROM positions""",

@@ -32,7 +32,7 @@ from tidewatch.sinks.layout import Layout
 from tidewatch.sources import journal_export, rotating_ndjson
 from tidewatch.sources.files import read_queue
 from tidewatch.sources.topics import topic_partitions
-from tidewatch.streaming import ingest as streams
+from tidewatch.streaming import follow, ingest as streams
 from tidewatch.streaming.restart import run_until_done
 
 AS_OF = "2024-01-15 12:00:00"
@@ -663,6 +663,35 @@ def rotating_ndjson_bounded(spark, sf_dir):
     return spark.read.parquet(out).select(fields["event_id"].alias("event_id"), fields["user_id"].alias("user_id"))
 
 
+def follow_rounds(spark, sf_dir):
+    """Follow line files over a rotation in three rounds, the last of which finds nothing new."""
+    configure(spark)
+    folder, target = _scratch(spark, "followed"), _scratch(spark, "target")
+    events = d.table(spark, sf_dir, "events").select("event_id", "user_id")
+    live: dict[str, str] = {}
+    for half in (0, 1):
+        write_ndjson(events.filter(f"event_id % 2 = {half}").repartition(8), f"{folder}/half-{half}")
+        written = sorted(r["path"] for r in _files(spark, f"{folder}/half-{half}"))
+        if not half:
+            live = {f"s{i}": name for i, name in enumerate(written)}
+        for name, path in zip(written, list(live.values()) if half else [], strict=False):
+            _rename(spark, path, f"{path}.1")
+            _rename(spark, name, path)
+        routes = spark.createDataFrame(
+            [(name, path, None) for name, path in live.items()], "name string, path string, rotated_glob string"
+        )
+        follow.follow_round(routes, target, "beginning", range_bytes=16384)
+    follow.follow_round(routes, target)
+    fields = F.from_json(F.col("value").cast("string"), "event_id bigint, user_id bigint")
+    found = follow.lines_of(spark, target)
+    return found.select(fields["event_id"].alias("event_id"), fields["user_id"].alias("user_id"))
+
+
+def _rename(spark, name: str, target: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    path(name).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).rename(path(name), path(target))
+
+
 def _files(spark, folder: str) -> list:
     """name, path and length of the data files in a folder."""
     found = spark.read.format("binaryFile").load(folder).drop("content")
@@ -861,6 +890,7 @@ QUERIES = {
     "rotating_ndjson_scan": rotating_ndjson_scan,
     "rotating_ndjson_follow": rotating_ndjson_follow,
     "rotating_ndjson_bounded": rotating_ndjson_bounded,
+    "follow_rounds": follow_rounds,
     "line_boundaries": line_boundaries,
     "stripped_lines": stripped_lines,
     "ndjson_round_trip": ndjson_round_trip,

@@ -57,6 +57,10 @@ class LatestTable:
         """The last state of every row."""
         return self._latest(self._states()).drop("batch_id")
 
+    def last(self) -> int:
+        """The number of the last batch that was written, 0 before the first."""
+        return max([0, *self._numbers("changes"), *self._numbers("base")])
+
     def write(self, rows: DataFrame, batch_id: int) -> None:
         """Store the rows that a batch changed. A batch that is written again replaces them."""
         numbered = rows.withColumn("batch_id", F.lit(batch_id).cast("long"))

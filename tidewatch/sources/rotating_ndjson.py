@@ -130,7 +130,7 @@ class Listing:
         return [(held, position), *later, *live], False
 
 
-def _last_line_end(path: str, limit: int, floor: int = 0) -> int:
+def last_line_end(path: str, limit: int, floor: int = 0) -> int:
     """Position after the last newline before limit, at least floor."""
     with open(path, "rb") as handle:
         stop = limit
@@ -197,7 +197,7 @@ def _cut(source: str, entry: Generation, start: int, stop: int, closed: bool, st
     ]
 
 
-def _read_range(part: ByteRange) -> Iterator[pa.RecordBatch]:
+def read_range(part: ByteRange) -> Iterator[pa.RecordBatch]:
     """Lines that start in [start, stop), as Arrow batches."""
     with _open_by_identity(part) as handle:
         position = part.start
@@ -289,7 +289,7 @@ class _StreamReader(DataSourceStreamReader):
             files = self.options.listing(source)
             if files.live:
                 at_end = self.options.start_from == "end"
-                offset[source] = _position(files.live, _last_line_end(files.live.path, files.live.size) if at_end else 0)
+                offset[source] = _position(files.live, last_line_end(files.live.path, files.live.size) if at_end else 0)
             else:
                 offset[source] = {"file": -1, "at": 0, "after": max((f.mtime for f in files.rotated), default=0)}
         self._reached = offset
@@ -320,7 +320,7 @@ class _StreamReader(DataSourceStreamReader):
 
     @staticmethod
     def _stop(files: Listing, entry: Generation) -> int:
-        return _last_line_end(entry.path, entry.size) if entry is files.live else entry.size
+        return last_line_end(entry.path, entry.size) if entry is files.live else entry.size
 
     def _end(self, files: Listing, begun: dict | None) -> dict:
         last = files.live or (files.rotated[-1] if files.rotated and begun and begun["file"] >= 0 else None)
@@ -353,7 +353,7 @@ class _StreamReader(DataSourceStreamReader):
         return parts
 
     def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
-        return _read_range(partition)
+        return read_range(partition)
 
 
 class _BatchReader(DataSourceReader):
@@ -375,14 +375,14 @@ class _BatchReader(DataSourceReader):
                 owed = [(files.live, 0)]
             for entry, low in owed:
                 closed = entry is not files.live
-                stop = entry.size if closed else _last_line_end(entry.path, entry.size)
+                stop = entry.size if closed else last_line_end(entry.path, entry.size)
                 parts += _cut(source, entry, low, stop, closed, self.options.range_bytes)
         return parts or [ByteRange("", os.devnull, os.stat(os.devnull).st_ino, 0, 0, 0, 0, True)]
 
     def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
         if partition.stop <= partition.start:
             return iter(())
-        return _read_range(partition)
+        return read_range(partition)
 
 
 class RotatingNdjson(DataSource):
