@@ -5,22 +5,25 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import crc_rest, python_ready, stored, texts_of
+from tidewatch.llm.common import crc_rest, python_ready, slices, stored, texts_of
 from tidewatch.operators.shuffles import lookup_join
 
 #: Of five parts of the ids, the first is held out.
 FOLDS = 5
-#: Labelled texts kept as examples, toxic and other, at most. A bounded sample by hash.
-EXAMPLES = 3000
+#: Labelled texts kept as examples, toxic and other, at most, and bytes of all of them, about. A bounded sample by hash.
+EXAMPLES, EXAMPLE_BYTES = 3000, 64 * 1024 * 1024
 #: Least lean of a term, so that terms spread alike over both labels keep a small weight and none is dropped.
 LEAST_LEAN = 1e-6
 NEAREST, BLOCK = 32, 64
+#: Characters of the texts that are weighed, and counted, at once.
+CHARS, COUNTED = 500_000, 5_000_000
 #: Weight of the rate among all labelled texts, in units of a neighbour of similarity 1.
 PRIOR_WEIGHT = 0.5
 EVIDENCE = 3
@@ -39,25 +42,56 @@ def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     ).withColumn("toxic", F.round("toxic").cast("int"))
 
 
-def terms_of(column: str = "text"):
-    return F.array_distinct(F.regexp_extract_all(F.lower(column), F.lit("(\\p{L}+)"), 1))
+def counted(number: dict[str, int], texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, term and occurrences of the numbered terms of some texts, by text, then term."""
+    found, lengths = [], []
+    for text in texts:
+        terms = TERM.findall(text.lower())
+        found += terms
+        lengths.append(len(terms))
+    term = np.fromiter(map(number.get, found, repeat(-1)), dtype=np.int64, count=len(found))
+    text = np.repeat(np.arange(len(texts)), lengths)
+    known = term >= 0
+    pairs, times = np.unique(text[known] * max(1, len(number)) + term[known], return_counts=True)
+    return *np.divmod(pairs, max(1, len(number))), times
 
 
-def counted_terms(docs: DataFrame, rows: DataFrame, examples: DataFrame, n_texts: int, n_toxic: int) -> DataFrame:
+COUNTS = "number long, n long, m long, k long"
+
+
+def counted_terms(
+    docs: DataFrame, rows: DataFrame, terms: list[str], n_texts: int, n_toxic: int
+) -> list[tuple[str, int, float]]:
     """term, n (documents that have it) and lean of every term of the examples.
 
     n is counted over all documents, for the inverse document frequency. lean
     is the G statistic of the term against the label, either way, over all
     labelled texts; it only weighs terms. The terms of the examples are bounded
-    as these are, and others are not shuffled.
+    as these are, and texts are cut into terms by the same rule everywhere. A
+    task adds up all its texts, so that it sends a row for each term at most.
     """
-    wanted = examples.select(F.explode(terms_of()).alias("term")).distinct()
-    zero, one = F.lit(0), F.lit(1)
-    every = texts_of(docs).select(F.explode(terms_of()).alias("term"), one.alias("n"), zero.alias("m"), zero.alias("k"))
-    labelled = rows.select(F.explode(terms_of()).alias("term"), zero.alias("n"), one.alias("m"), F.col("toxic").alias("k"))
-    counts = every.unionAll(labelled).join(F.broadcast(wanted), "term", "left_semi").groupBy("term").agg(
-        *[F.sum(c).alias(c) for c in ("n", "m", "k")]
-    )
+    sent = docs.sparkSession.sparkContext.broadcast({t: i for i, t in enumerate(terms)})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        number = sent.value
+        sums = np.zeros((3, len(number)), dtype=np.int64)
+
+        def add(row: int, texts: list[str]) -> None:
+            found = [i for text in texts for i in map(number.get, set(TERM.findall(text.lower()))) if i is not None]
+            if found:
+                sums[row] += np.bincount(found, minlength=len(number))
+
+        for frame in slices(batches, COUNTED):
+            toxic = frame["toxic"].to_numpy()
+            for row, own in enumerate((toxic < 0, toxic >= 0, toxic == 1)):
+                add(row, frame["text"][own].tolist())
+        here = np.nonzero(sums.any(axis=0))[0]
+        if len(here):
+            yield pd.DataFrame({"number": here, **dict(zip("nmk", sums[:, here], strict=True))})
+
+    # -1 marks the rows of the document count, 0 and 1 are labels
+    every = texts_of(docs).select("text", F.lit(-1).alias("toxic")).unionAll(rows.select("text", "toxic"))
+    counts = every.mapInPandas(run, COUNTS).groupBy("number").agg(*[F.sum(c).alias(c) for c in "nmk"])
 
     def part(seen, expected):
         return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
@@ -68,7 +102,8 @@ def counted_terms(docs: DataFrame, rows: DataFrame, examples: DataFrame, n_texts
     outside = part(n_toxic - k, (n_texts - m) * share) + part(
         (n_texts - n_toxic) - (m - k), (n_texts - m) * (1 - share)
     )
-    return counts.select("term", "n", F.greatest(2 * (inside + outside), F.lit(LEAST_LEAN)).alias("lean"))
+    lean = F.greatest(2 * (inside + outside), F.lit(LEAST_LEAN)).alias("lean")
+    return sorted((terms[r["number"]], r["n"], r["lean"]) for r in counts.select("number", "n", lean).collect())
 
 
 def ranges(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -85,11 +120,13 @@ class ExampleIndex:
         self.number = {t: i for i, (t, _) in enumerate(terms)}
         self.idf = np.array([np.log((n_docs + 1) / (n + 0.5)) for _, n in terms])
         self.idf *= 1.0 if leans is None else np.array(leans)
-        vectors = []
-        for doc_id, text, toxic in examples:
-            at, weight = self.vector(text)
-            if len(at):
-                vectors.append((int(at[np.argmax(weight)]), doc_id, toxic, at, weight))
+        vectors = [
+            (int(at[np.argmax(weight)]), doc_id, toxic, at, weight)
+            for (doc_id, _, toxic), (at, weight) in zip(
+                examples, self.vectors([text for _, text, _ in examples]), strict=True
+            )
+            if len(at)
+        ]
         vectors.sort(key=lambda v: v[:2])  # examples with one main term share blocks, which tightens the bounds
         self.doc_id = np.array([v[1] for v in vectors], dtype=np.int64)
         self.toxic = np.array([v[2] for v in vectors], dtype=np.int64)
@@ -110,17 +147,20 @@ class ExampleIndex:
         self.cells = np.searchsorted(cell[heads] // self.n_blocks, np.arange(len(terms) + 1))
 
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        number = self.number
-        found = Counter([number[t] for t in TERM.findall(text.lower()) if t in number])
-        if not found:
-            return np.zeros(0, dtype=np.int64), np.zeros(0)
-        at = np.array(sorted(found), dtype=np.int64)
-        weight = (1 + np.log([found[t] for t in at.tolist()])) * self.idf[at]
-        return at, weight / np.sqrt((weight**2).sum())
-
-    def _scores(self, cells: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Sums over the cells, each with the text's weight of its term: exact cosines of the examples in whole blocks."""
-        posting, n = ranges(self.starts[cells], self.starts[cells + 1])
+        return next(self.vectors([text]))
+
+    def vectors(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Terms and weights of each text."""
+        text, at, times = counted(self.number, texts)
+        weight = (1 + np.log(times)) * self.idf[at]
+        weight /= np.sqrt(np.bincount(text, weights=weight**2, minlength=len(texts)))[text]
+        ends = np.searchsorted(text, np.arange(len(texts) + 1))
+        for a, b in zip(ends[:-1], ends[1:], strict=True):
+            yield at[a:b], weight[a:b]
+
+    def _scores(self, begin: np.ndarray, end: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sums over stretches of postings, each with the text's weight of its term: exact cosines in whole blocks."""
+        posting, n = ranges(begin, end)
         sums = np.bincount(self.example[posting], weights=self.weight[posting] * np.repeat(weight, n), minlength=1)
         found = np.nonzero(sums)[0]
         return found, sums[found]
@@ -132,23 +172,25 @@ class ExampleIndex:
         blocks that could still hold one of the k.
         """
         cells, n = ranges(self.cells[at], self.cells[at + 1])
-        weight, block = np.repeat(weight, n), self.block[cells]
-        bounds = np.bincount(block, weights=weight * self.bound[cells], minlength=self.n_blocks)
+        each, block = np.repeat(weight, n), self.block[cells]
+        bounds = np.bincount(block, weights=each * self.bound[cells], minlength=self.n_blocks)
         first = np.zeros(self.n_blocks, dtype=bool)
         first[np.argsort(-bounds, kind="stable")[: 2 + k // BLOCK]] = True
-        here = first[block]
-        found, scores = self._scores(cells[here], weight[here])
+        here = np.nonzero(first[block])[0]
+        found, scores = self._scores(self.starts[cells[here]], self.starts[cells[here] + 1], each[here])
         least = np.partition(scores, -k)[-k] if len(scores) >= k else 0.0
-        here = ((bounds >= least - 1e-9) & (bounds > 0) & ~first)[block]
-        if here.any():
-            more, more_scores = self._scores(cells[here], weight[here])
+        here = np.nonzero(((bounds >= least - 1e-9) & (bounds > 0) & ~first)[block])[0]
+        if len(here):
+            more, more_scores = self._scores(self.starts[cells[here]], self.starts[cells[here] + 1], each[here])
             found, scores = np.concatenate([found, more]), np.concatenate([scores, more_scores])
         best = np.lexsort((found, -scores))[:k]
         return found[best], scores[best]
 
-    def judge(self, text: str) -> tuple[float, list[tuple[int, int, float]]]:
-        """The score and the nearest examples (doc_id, toxic, similarity)."""
-        at, weight = self.vector(text)
+    def judge(self, texts: list[str]) -> list[tuple[float, list[tuple[int, int, float]]]]:
+        """The score of each text and its nearest examples (doc_id, toxic, similarity)."""
+        return [self._judged(at, weight) for at, weight in self.vectors(texts)]
+
+    def _judged(self, at: np.ndarray, weight: np.ndarray) -> tuple[float, list[tuple[int, int, float]]]:
         if not len(at) or not len(self.doc_id):
             return self.rate_without, []
         found, scores = self.nearest(at, weight)
@@ -161,18 +203,26 @@ class ExampleIndex:
 def learn(docs: DataFrame, labels: DataFrame) -> ExampleIndex:
     """The index of examples, at most 2 * EXAMPLES texts with all their terms; terms are counted over whole tables."""
     rows = stored(labelled_texts(docs, labels), "labelled")
-    n_texts, n_toxic = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    toxic = F.col("toxic") == 1
+    size = F.octet_length("text")
+    n_texts, n_toxic, *sizes = rows.agg(
+        F.count("*"), F.count_if(toxic), *[F.coalesce(F.sum(F.when(which, size)), F.lit(0)) for which in (~toxic, toxic)]
+    ).first()
     if not n_toxic or n_toxic == n_texts:
         return ExampleIndex([], n_texts, [], (1.0, 1.0), float(bool(n_toxic)) if n_texts else 0.0)
     place = F.pmod(F.xxhash64(F.lit(17), "text_hash"), F.lit(2**20))
     totals = n_texts - n_toxic, n_toxic
-    parts = [int(min(1.0, 0.9 * EXAMPLES / total) * 2**20) for total in totals]  # so that more than EXAMPLES do not occur
-    own = rows.filter(place < F.when(F.col("toxic") == 1, parts[1]).otherwise(parts[0]))
+    parts = [  # so that more than EXAMPLES do not occur
+        int(min(1.0, 0.9 * EXAMPLES / total, 0.45 * EXAMPLE_BYTES / max(1, held)) * 2**20)
+        for total, held in zip(totals, sizes, strict=True)
+    ]
+    own = rows.filter(place < F.when(toxic, parts[1]).otherwise(parts[0]))
     examples = sorted((r["doc_id"], r["text"], r["toxic"]) for r in own.select("doc_id", "text", "toxic").collect())
     taken = Counter(toxic for *_, toxic in examples)
     scale = [total / max(1, taken[label]) for label, total in enumerate(totals)]
     mean = (scale[0] + scale[1]) / 2
-    terms = sorted(map(tuple, counted_terms(docs, rows, own, n_texts, n_toxic).collect()))
+    wanted = sorted({t for _, text, _ in examples for t in TERM.findall(text.lower())})
+    terms = counted_terms(docs, rows, wanted, n_texts, n_toxic)
     return ExampleIndex(
         [t[:2] for t in terms], docs.count(), examples, (scale[0] / mean, scale[1] / mean), n_toxic / n_texts,
         [t[2] for t in terms],
@@ -201,8 +251,9 @@ def score(docs: DataFrame, labels: DataFrame, more: tuple[str, ...] = ()) -> Dat
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = index.value
-        for frame in batches:
-            found = [own.judge(t) for t in frame.pop("text")]
+        for frame in slices(batches, CHARS):
+            found = own.judge(frame["text"].tolist())
+            frame = frame.drop(columns="text")
             frame["score"] = np.array([f[0] for f in found], dtype=np.float64)
             frame["predicted"] = (frame["score"] >= 0.5).astype(np.int32)
             frame["evidence"] = [
@@ -225,6 +276,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = index.value
         for frame in batches:
-            yield frame[[own.judge(t or "")[0] < 0.5 for t in frame["text"]]]
+            texts = frame["text"].fillna("").tolist()
+            yield frame[[f[0] < 0.5 for i in range(0, len(texts), 128) for f in own.judge(texts[i : i + 128])]]
 
     return docs.mapInPandas(run, docs.schema)
