@@ -8,6 +8,8 @@ import pytest
 
 import plain
 from samples import odd_rows, prose
+from pyspark.sql import functions as F
+
 from tidewatch.llm import decontamination, lm_scoring, quality_rules, toxicity, url_rules
 from tidewatch.llm.gated_model import GatedModel
 from tidewatch.llm import gated_model
@@ -60,6 +62,76 @@ def test_thresholds_follow_language_and_source(spark):
     assert merged == {"plain": 61, "tagged": 61}
 
 
+def plain_limits(groups, every, fence=6.0):
+    """For each group of values the least and the most allowed, from sorted values."""
+    def at(values, rank):
+        return values[max(0, math.ceil(rank * len(values) - 1e-9) - 1)]
+
+    out = {}
+    for name, values in groups.items():
+        values = sorted(values)
+        mid, far, limits = at(values, 0.5), sorted(every), []
+        for side, (near, tail, alike) in ((-1, (0.25, 0.001, 0.02)), (1, (0.75, 0.999, 0.98))):
+            way = mid + 0.5 * (at(far, tail) - mid)
+            near = at(values, near)
+            wide, narrow = (max, min) if side > 0 else (min, max)
+            limits.append(wide(near + fence * (near - mid), way) if near != mid else narrow(at(values, alike), way))
+        out[name] = limits
+    return out
+
+
+def test_kept_equals_a_plain_judgement(spark):
+    """Groups of 25 documents and more; below 800 values the sketches hold all of them."""
+    rng, rows = random.Random(12), []
+    for i in range(360):
+        lang, source = ("en", "a") if i % 3 else (None, "b") if i % 2 else ("de", "b")
+        words = prose(i, rng.randint(40, 90)).split()
+        if rng.random() < 0.15:
+            words = [w + "#" * rng.randint(0, 3) for w in words]
+        if rng.random() < 0.1:
+            words = [w.upper() if rng.random() < 0.5 else w[:2] for w in words]
+        if rng.random() < 0.1:
+            words = [w * 3 for w in words]
+        lines = [" ".join(words[k : k + 9]) for k in range(0, len(words), 9)]
+        if rng.random() < 0.15:
+            lines += lines[:2]
+        rows.append((i, "\n".join(lines), lang, source))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    found = quality_rules.judge(docs).collect()
+    good = [r for r in found if not r["base_failed"]]
+    bad = {r["doc_id"]: set() for r in found}
+    for rate, sides in quality_rules.RATES.items():
+        groups = {}
+        for r in good:
+            groups.setdefault((r["lang"], r["source"]), []).append(r[rate])
+        limits = plain_limits(groups, [r[rate] for r in good])
+        for r in found:
+            least, most = limits[r["lang"], r["source"]]
+            if r[rate] > most or -1 in sides and r[rate] < least:
+                bad[r["doc_id"]].add(rate)
+    assert {r["doc_id"]: set(r["failed_rates"]) for r in found} == bad
+    assert all(r["kept"] == (not r["base_failed"] and not bad[r["doc_id"]]) for r in found)
+    assert {rate for rates in bad.values() for rate in rates} >= {"symbols_per_word", "chars_per_word", "capital_share", "dup_line_share"}
+
+
+def test_limits_move_with_the_spread_of_their_group(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = docs.select("doc_id", "text", "lang", F.concat("source", F.lit("")).alias("source"))
+    measured = quality_rules.measured(rows, "lang", "source").withColumns(quality_rules.rates()).withColumn(
+        "base_failed", quality_rules.base_failed()
+    )
+    from tidewatch.llm.common import stored
+
+    kept = stored(measured.filter("not base_failed"), "test-quality")
+    wider = kept.withColumn("chars_per_word", 5 + (F.col("chars_per_word") - 5) * 3)
+    limits = []
+    for table in (kept, wider):
+        found = quality_rules.thresholds(stored(quality_rules.sketches(table, ["lang"]), "test-sketches"), ["lang"])
+        limits.append({r["_group_lang"]: r["_most_chars_per_word"] for r in found.collect()})
+    moved = [g for g in limits[0] if limits[1][g] - 5 > 2 * (limits[0][g] - 5) > 0]
+    assert len(limits[0]) >= 4 and len(moved) >= len(limits[0]) / 2 and len(set(limits[0].values())) == len(limits[0])
+
+
 # URLs
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.functions.json_text import computed_once
 from tidewatch.llm.common import BLANK_RUN, BLANKS, stored, texts_of
 
 SYMBOLS = "#*$%&|<>"
@@ -14,18 +15,24 @@ MIN_WORDS = 50
 MOST_REPEATED = 50  # per cent of the words
 #: Size parameter of the sketches: ranks are right within about 0.5 %.
 SKETCH_K = 800
-#: A document may lie this many spreads above (or below) the median of its group.
+#: Limits lie this many spreads beyond the quarter of the documents on their side of the median.
 FENCE = 6.0
-
-#: Rates that are judged, the side on which they are bad, and the least spread that counts.
-#: The least spread keeps groups of nearly equal documents from rejecting each small difference.
+#: Part of the way from the median to the far quantile that is allowed at least, and that quantile.
+REACH, FAR = 0.5, 0.999
+#: Where the middle of a group is all alike, the quantile up to which its documents are kept.
+ALIKE = 0.98
+#: Documents from which on a group's own middle, and its own far quantile, are taken; below, those of the
+#: wider group are, the last of which is all documents.
+LEAST_MIDDLE, LEAST_FAR = 20, 4000
+
+#: Rates that are judged, and the sides on which they can be bad.
 RATES = {
-    "symbols_per_word": (1, 0.05),
-    "chars_per_word": (1, 0.5),
-    "dup_line_share": (1, 0.06),
-    "repeat_share": (1, 0.06),
-    "capital_share": (1, 0.06),
-    "mark_share": (1, 0.05),
+    "symbols_per_word": (1,),
+    "chars_per_word": (1, -1),
+    "dup_line_share": (1,),
+    "repeat_share": (1,),
+    "capital_share": (1, -1),
+    "mark_share": (1,),
 }
 
 
@@ -47,7 +54,10 @@ def _repeat_words() -> Column:
 
 
 def measured(docs: DataFrame, *more: str) -> DataFrame:
-    """The base columns of each document; a null text has no words."""
+    """The base columns of each document; a null text has no words.
+
+    They are evaluated once for a row, whatever filters and rates are put on them.
+    """
     words = texts_of(docs, *more).withColumn("_words", F.array_remove(F.split("text", BLANK_RUN), ""))
     lines = F.filter(F.split("text", "\n"), lambda x: F.translate(x, BLANKS, "") != "")
     counted = words.withColumns({
@@ -72,11 +82,17 @@ def measured(docs: DataFrame, *more: str) -> DataFrame:
             F.sort_array(F.transform("_grams", lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
         ),
     )
-    return repeated.select(
-        "doc_id", *more, "n_words", "word_chars", "n_symbols", "n_capitals", "n_marks",
-        F.size("_lines").cast("long").alias("n_lines"),
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        F.when(F.col("_placed").isNull(), 0).otherwise(_repeat_words()).cast("long").alias("n_repeat_words"),
+    known = ["n_words", "word_chars", "n_symbols", "n_capitals", "n_marks"]
+    once = computed_once(repeated.select(
+        "doc_id", *more, *known, "_lines", "_placed"
+    ), **{
+        **{f"_own_{c}": F.col(c) for c in known},
+        "n_lines": F.size("_lines").cast("long"),
+        "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
+        "n_repeat_words": F.when(F.col("_placed").isNull(), 0).otherwise(_repeat_words()).cast("long"),
+    })
+    return once.select(
+        "doc_id", *more, *[F.col(f"_own_{c}").alias(c) for c in known], "n_lines", "n_dup_lines", "n_repeat_words"
     )
 
 
@@ -120,15 +136,64 @@ def merge_sketches(tables: Sequence[DataFrame], groups: Sequence[str]) -> DataFr
     )
 
 
+def _quantile(sketch: Column, rank: float) -> Column:
+    return F.when(F.kll_sketch_get_n_double(sketch) > 0, F.kll_sketch_get_quantile_double(sketch, F.lit(rank)))
+
+
+def _limit(side: int, middle: Column, far: Column, fence: float) -> Column:
+    """The limit on one side, from the sketch of the middle and that of the far quantile.
+
+    It lies so many spreads beyond the quarter of the documents, and at least
+    half-way to the far quantile, as far as that is known. A middle that is all
+    alike has no spread; there the limit is a high quantile of the group, or
+    half-way to the far one if junk reaches down to it.
+    """
+    up = lambda rank: rank if side > 0 else 1 - rank
+    mid, near = _quantile(middle, 0.5), _quantile(middle, up(0.75))
+    way = mid + REACH * (_quantile(far, up(FAR)) - mid)
+    wide, narrow = (F.greatest, F.least) if side > 0 else (F.least, F.greatest)
+    return F.when(near != mid, wide(near + fence * (near - mid), way)).otherwise(
+        narrow(_quantile(middle, up(ALIKE)), way)
+    )
+
+
+def _name(rate: str, side: int) -> str:
+    return f"_{'most' if side > 0 else 'least'}_{rate}"
+
+
 def thresholds(found: DataFrame, groups: Sequence[str], fence: float = FENCE) -> DataFrame:
-    """For each group and rate the median plus (or minus) so many spreads, a spread being half the middle half."""
-    out = []
-    for rate, (side, least) in RATES.items():
-        low, mid, high = (F.kll_sketch_get_quantile_double(F.col(rate), F.lit(q)) for q in (0.25, 0.5, 0.75))
-        has_rows = F.kll_sketch_get_n_double(F.col(rate)) > 0
-        limit = mid + side * fence * F.greatest((high - low) / 2, F.lit(least))
-        out.append(F.when(has_rows, limit).alias(f"_limit_{rate}"))
-    return found.select(*[F.col(g).alias(f"_group_{g}") for g in groups], *out)
+    """For each group the limits of each rate, from its sketch and those of the wider groups.
+
+    Wider groups leave out the last columns one by one; their sketches are
+    merged from those of the groups, so nothing is measured again.
+    """
+    wider = [found]
+    for n in range(len(groups) - 1, -1, -1):
+        names = [F.col(g).alias(f"_wide{n}_{g}") for g in groups[:n]] or [F.lit(1).alias(f"_wide{n}")]
+        wider.append(found.groupBy(*names).agg(
+            F.sum("n_docs").alias(f"_n{n}"),
+            *[F.kll_merge_agg_double(F.col(rate), SKETCH_K).alias(f"_{rate}{n}") for rate in RATES],
+        ))
+    joined, pools = found, [("n_docs", "{}")]
+    for n, pool in zip(range(len(groups) - 1, -1, -1), wider[1:], strict=True):
+        on = F.col(f"_wide{n}") == 1 if not n else F.lit(True)
+        for g in groups[:n]:
+            on = on & F.col(g).eqNullSafe(F.col(f"_wide{n}_{g}"))
+        joined = joined.join(F.broadcast(pool) if not n else pool, on)
+        pools.append((f"_n{n}", "_{}" + str(n)))
+
+    def chosen(rate: str, least: int) -> Column:
+        """The sketch of the narrowest group with so many documents."""
+        sketch = F.col(pools[-1][1].format(rate))
+        for count, name in reversed(pools[:-1]):
+            sketch = F.when(F.col(count) >= least, F.col(name.format(rate))).otherwise(sketch)
+        return sketch
+
+    limits = [
+        _limit(side, chosen(rate, LEAST_MIDDLE), chosen(rate, LEAST_FAR), fence).alias(_name(rate, side))
+        for rate, sides in RATES.items() for side in sides
+    ]
+    return joined.select(*[F.col(g).alias(f"_group_{g}") for g in groups], *limits)
 
 
 def judge(docs: DataFrame, groups: Sequence[str] = ("lang", "source"), fence: float = FENCE) -> DataFrame:
@@ -141,14 +206,17 @@ def judge(docs: DataFrame, groups: Sequence[str] = ("lang", "source"), fence: fl
     other columns are not read; an empty table gives no rows.
     """
     rows = stored(measured(docs, *groups), "quality").withColumns(rates()).withColumn("base_failed", base_failed())
-    limits = thresholds(sketches(rows.filter(~F.col("base_failed")), groups), groups, fence)
+    limits = thresholds(stored(sketches(rows.filter(~F.col("base_failed")), groups), "sketches"), groups, fence)
     same = [rows[g].eqNullSafe(limits[f"_group_{g}"]) for g in groups]
     on = same[0]
     for more in same[1:]:
         on = on & more
-    failed = [
-        F.when((F.col(rate) - F.col(f"_limit_{rate}")) * side > 0, F.lit(rate)) for rate, (side, _) in RATES.items()
-    ]
+    failed = []
+    for rate, sides in RATES.items():
+        beyond = F.lit(False)
+        for side in sides:
+            beyond = beyond | F.coalesce((F.col(rate) - F.col(_name(rate, side))) * side > 0, F.lit(False))
+        failed.append(F.when(beyond, F.lit(rate)))
     return rows.join(limits, on, "left").select(
         *rows.columns, F.array_compact(F.array(*failed)).alias("failed_rates")
     ).withColumn("kept", ~F.col("base_failed") & (F.size("failed_rates") == 0))
