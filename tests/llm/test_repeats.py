@@ -41,6 +41,18 @@ def test_strings_equal_a_plain_count(odd_docs, runs_of_anchor):
     assert order(got) == order(expected)
 
 
+def test_kept_strings_are_given_as_text(odd_docs):
+    rows = odd_rows()
+    marks = plain.removed([(r[1] or "").encode() for r in rows], 400)
+    expected = [
+        (r[0], bytes(b for b, m in zip((r[1] or "").encode(), own, strict=True) if not m).decode("utf-8", "replace"))
+        for r, own in zip(rows, marks, strict=True)
+    ]
+    found = suffix_arrays.remove_repeats(odd_docs, with_bytes=False, with_text=True)
+    assert order((r["doc_id"], r["text"]) for r in found.collect()) == order(expected)
+    assert any(m for own in marks for m in own)
+
+
 def test_texts_without_repeats_stay_and_others_lose_them(spark, odd_docs):
     shared = prose("shared", 80)
     kept = repeated_phrases.without_repeats(odd_docs)

@@ -76,7 +76,7 @@ def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_arrays.remove_repeats(table(spark, sf_dir, "documents"), with_bytes=False)
+    return suffix_arrays.remove_repeats(table(spark, sf_dir, "documents"), with_bytes=False, with_text=True)
 
 
 def op6_shard_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:

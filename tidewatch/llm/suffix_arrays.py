@@ -263,7 +263,9 @@ def cut(data: bytes, spans: list) -> tuple[int, int, int, str, bytes | None]:
     return len(data), int((ends - starts).sum()), len(starts), hashlib.sha256(kept).hexdigest(), kept
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, with_bytes: bool = True) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, window: int = WINDOW, with_bytes: bool = True, with_text: bool = False
+) -> DataFrame:
     """A row for each document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept_bytes.
 
     Each byte in a string of so many bytes that also starts elsewhere is
@@ -271,21 +273,27 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, with_bytes: bool = Tru
     are bytes. A null text is empty; shorter texts than the window stay whole.
     Repeated rows are copies of each other. Texts of any length are read
     whole. An empty table gives no rows. kept_bytes is null where nothing was
-    removed, and left out without with_bytes.
+    removed, and left out without with_bytes. with_text adds text, what is kept
+    as text, in which a character that was cut reads as U+FFFD.
     """
     spans = repeated_spans(docs, window)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
-            data = [t.encode("utf-8", "surrogatepass") for t in frame.pop("text")]
+            texts = frame.pop("text").tolist()
+            data = [t.encode("utf-8", "surrogatepass") for t in texts]
             found = [cut(d, s) for d, s in zip(data, frame.pop("spans"), strict=True)]
             for i, c in enumerate(("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_bytes")):
                 frame[c] = [f[i] for f in found]
             if not with_bytes:
                 del frame["kept_bytes"]
+            if with_text:
+                frame["text"] = [
+                    t if f[4] is None else f[4].decode("utf-8", "replace") for t, f in zip(texts, found, strict=True)
+                ]
             yield frame
 
     rows = keyed(docs).join(spans, KEYS, "left").select("doc_id", "text", "spans")
-    wanted = CUT_ROWS if with_bytes else CUT_ROWS.rpartition(",")[0]
+    wanted = (CUT_ROWS if with_bytes else CUT_ROWS.rpartition(",")[0]) + (", text string" if with_text else "")
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInPandas(run, f"doc_id {kind}, {wanted}")
