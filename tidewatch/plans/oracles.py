@@ -7,7 +7,7 @@ never parses the documents the Spark queries parse.
 from __future__ import annotations
 
 from tidewatch.plans import derived as d
-from tidewatch.plans.queries import AFTER, AS_OF, DAY_BEFORE, KEEP_BYTES, KEEP_N, PACK_BYTES, PACK_N, PARTS
+from tidewatch.plans.queries import AFTER, AS_OF, DAY_BEFORE, KEEP_BYTES, KEEP_N, LINES_OF_FILE, PACK_BYTES, PACK_N, PARTS
 
 _SPARSE = """'{"demo_seq":' || seq || ',"rule":{"level":' || level || '}}'"""
 _ODD = "shape = 2"
@@ -241,6 +241,9 @@ ORACLES = {
     "stream_ingest_new_checkpoint": _STREAMED,
     "stream_ingest_counters": _ALERTS + _STATS,
     "stream_ingest_restarts": _STREAMED,
+    "stream_ingest_cadence": _BATCH_STATS,
+    "ingest_stamps": _ALERTS + f"""SELECT CAST(floor(source_offset / 4) AS BIGINT) % {PARTS} AS batch_id, count(*) AS stamped
+        FROM messages GROUP BY 1""",
     "stream_batch_counters": _BATCH_STATS,
     "stream_state_new_checkpoint": _STREAMED,
     "stream_state_counters": _BATCH_STATS,
@@ -293,6 +296,9 @@ ORACLES = {
         SELECT *, bool_and(ok) OVER (PARTITION BY name) AS all_ok FROM checks) AS c WHERE all_ok OR NOT ok GROUP BY name""",
     "rotating_ndjson_follow": "SELECT event_id, user_id FROM events",
     "follow_rounds": "SELECT event_id, user_id FROM events",
+    "open_lines_withheld": f"""SELECT event_id, user_id FROM events
+        WHERE event_id NOT IN (SELECT max(event_id) FROM events GROUP BY CAST(floor(event_id / {LINES_OF_FILE}) AS BIGINT))""",
+    "open_lines_after_rotation": "SELECT event_id, user_id FROM events",
     "rotating_ndjson_bounded": "SELECT event_id, user_id FROM events",
     "line_boundaries": f"""WITH positions AS ({d.POSITIONS.replace(" AS offset", ' AS "offset"')}) SELECT event_id,
         "offset" <= size AND ("offset" IN (0, size) OR byte_before = 'nl') AS resumes FROM positions""",

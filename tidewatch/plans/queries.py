@@ -39,6 +39,8 @@ AS_OF = "2024-01-15 12:00:00"
 DAY_BEFORE = "2024-01-14 12:00:00"
 PACK_N, PACK_BYTES = 256, 8192
 KEEP_N, KEEP_BYTES = 5000, 100_000
+# Lines of the files whose last line has no end.
+LINES_OF_FILE = 64
 # The number of the entry after which the journal is read.
 AFTER = 321
 # Parts in which the streaming queries receive the records, and the running audit.
@@ -353,6 +355,31 @@ def stream_committed_prefix(spark, sf_dir):
     return streams.commits_of(spark, target, initial)
 
 
+def stream_ingest_cadence(spark, sf_dir):
+    """A job that looks for new records five times a second and takes one file each time."""
+    configure(spark)
+    source, target, state = (_scratch(spark, name) for name in ("records", "target", "state"))
+    records = d.records(spark, sf_dir)
+    for part in range(PARTS):
+        _part(records, part, PARTS).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(spark.read.parquet(source).schema).option("maxFilesPerTrigger", 1).parquet(source)
+    query = streams.ingest(stream, target, state, every="200 milliseconds")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return lg.batch_stats(lg.read_ledger(spark, target)).drop("run")
+
+
+def ingest_stamps(spark, sf_dir):
+    """Rows of each batch that carry a time between the begin and the end of the job."""
+    begun = spark.sql("SELECT now() AS t").first()["t"]
+    target = _ledger_through_stream(spark, sf_dir, streams.ingest)
+    ended = spark.sql("SELECT now() AS t").first()["t"]
+    stamped = F.col("ingested_at").between(F.lit(begun), F.lit(ended))
+    return lg.read_ledger(spark, target).groupBy("batch_id").agg(F.count_if(stamped).alias("stamped"))
+
+
 def stream_ingest_restarts(spark, sf_dir):
     """The second batch fails before it is written, and again after it was; the job is started anew each time."""
     configure(spark)
@@ -687,6 +714,48 @@ def follow_rounds(spark, sf_dir):
     return found.select(fields["event_id"].alias("event_id"), fields["user_id"].alias("user_id"))
 
 
+def _open_files(spark, sf_dir, folder: str) -> DataFrame:
+    """Routes of files of 64 events each, whose last line has no end."""
+    line = F.to_json(F.struct("event_id", "user_id"))
+    lines = d.table(spark, sf_dir, "events").select(
+        F.floor(F.col("event_id") / LINES_OF_FILE).alias("block"), F.struct("event_id", line.alias("line")).alias("own")
+    )
+    text = F.array_join(F.transform(F.array_sort(F.collect_list("own")), lambda x: x["line"]), "\n")
+    files = lines.groupBy("block").agg(text.alias("value")).repartition("block")
+    files.write.partitionBy("block").option("lineSep", " ").text(folder)
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    path = F.regexp_replace("path", "^file:", "")
+    return found.select(path.alias("name"), path.alias("path"), F.lit(None).cast("string").alias("rotated_glob"))
+
+
+def _followed_ids(spark, target: str) -> DataFrame:
+    text = F.trim(F.col("value").cast("string"))
+    fields = F.from_json(text, "event_id bigint, user_id bigint")
+    return follow.lines_of(spark, target).select(fields["event_id"].alias("event_id"), fields["user_id"].alias("user_id"))
+
+
+def open_lines_withheld(spark, sf_dir):
+    """The last lines of live files may still grow and are not read."""
+    configure(spark)
+    folder, target = _scratch(spark, "open"), _scratch(spark, "target")
+    follow.follow_round(_open_files(spark, sf_dir, folder), target, "beginning")
+    return _followed_ids(spark, target)
+
+
+def open_lines_after_rotation(spark, sf_dir):
+    """The last lines of rotated files will not grow any more and are read."""
+    configure(spark)
+    folder, target = _scratch(spark, "open"), _scratch(spark, "target")
+    listed = _scratch(spark, "routes")
+    _open_files(spark, sf_dir, folder).write.parquet(listed)
+    routes = spark.read.parquet(listed)
+    follow.follow_round(routes, target, "beginning")
+    for r in routes.select("path").toLocalIterator():
+        _rename(spark, r["path"], f"{r['path']}.1")
+    follow.follow_round(routes, target, "beginning")
+    return _followed_ids(spark, target)
+
+
 def _rename(spark, name: str, target: str) -> None:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     path(name).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).rename(path(name), path(target))
@@ -851,6 +920,8 @@ QUERIES = {
     "stream_ingest_new_checkpoint": stream_ingest_new_checkpoint,
     "stream_ingest_counters": stream_ingest_counters,
     "stream_ingest_restarts": stream_ingest_restarts,
+    "stream_ingest_cadence": stream_ingest_cadence,
+    "ingest_stamps": ingest_stamps,
     "stream_batch_counters": stream_batch_counters,
     "stream_ingest_with_state": stream_ingest_with_state,
     "stream_state_new_checkpoint": stream_state_new_checkpoint,
@@ -891,6 +962,8 @@ QUERIES = {
     "rotating_ndjson_follow": rotating_ndjson_follow,
     "rotating_ndjson_bounded": rotating_ndjson_bounded,
     "follow_rounds": follow_rounds,
+    "open_lines_withheld": open_lines_withheld,
+    "open_lines_after_rotation": open_lines_after_rotation,
     "line_boundaries": line_boundaries,
     "stripped_lines": stripped_lines,
     "ndjson_round_trip": ndjson_round_trip,
