@@ -170,7 +170,7 @@ def _listed_sql(column: int) -> str:
     return f"CASE {cases} END"
 
 
-_URLS = f"""WITH urls AS (
+_URLS = f"""WITH RECURSIVE urls AS (
   SELECT page_id, url,
     coalesce({_LOWER.format("regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1)")}, '') AS host,
     coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path,
@@ -184,15 +184,11 @@ labelled AS (SELECT row_number() OVER () AS nr, tokens, bad FROM urls JOIN marks
 least AS (
   SELECT greatest({url_rules.MIN_PAGES}, ceil(CAST({url_rules.MIN_SUPPORT} AS DOUBLE) * count(*))) AS pages FROM labelled),
 single AS (SELECT nr, bad, unnest(tokens) AS token FROM labelled),
-sets AS (
-  SELECT [token] AS needed, count(*) AS n, count(*) FILTER (WHERE bad) AS k FROM single GROUP BY token
+held AS (
+  SELECT nr, bad, [token] AS needed, token AS last FROM single
   UNION ALL
-  SELECT [a.token, b.token], count(*), count(*) FILTER (WHERE a.bad) FROM single a
-  JOIN single b ON a.nr = b.nr AND a.token < b.token GROUP BY a.token, b.token
-  UNION ALL
-  SELECT [a.token, b.token, c.token], count(*), count(*) FILTER (WHERE a.bad) FROM single a
-  JOIN single b ON a.nr = b.nr AND a.token < b.token JOIN single c ON b.nr = c.nr AND b.token < c.token
-  GROUP BY a.token, b.token, c.token),
+  SELECT held.nr, held.bad, list_append(needed, token), token FROM held JOIN single ON single.nr = held.nr AND token > last),
+sets AS (SELECT needed, count(*) AS n, count(*) FILTER (WHERE bad) AS k FROM held GROUP BY needed),
 rules AS (SELECT needed FROM sets, least WHERE k >= pages AND k >= CAST({url_rules.MIN_CONFIDENCE} AS DOUBLE) * n),
 judged AS (
   SELECT page_id, host, path, {_listed_sql(0)} AS rule, {_listed_sql(1)} AS says,

@@ -111,11 +111,15 @@ def mine(
 def matched(pages: DataFrame, rules: DataFrame) -> DataFrame:
     """page_id and url_hash of the pages that hold all tokens of some rule.
 
-    The index lists each rule under one of its tokens, the first; a page looks
-    up its tokens there and is compared with the rules found.
+    The index lists each rule under the token of it that the fewest pages hold,
+    so that no token which nearly every page has is looked up; a page is
+    compared with the rules found under its tokens.
     """
-    index = rules.select(F.col("tokens")[0].alias("token"), F.col("tokens").alias("needed"))
     own = pages.select("page_id", F.xxhash64("url").alias("url_hash"), tokens_of(F.col("url")).alias("tokens"))
+    needed = rules.select(F.col("tokens").alias("needed"), F.explode("tokens").alias("token"))
+    held = own.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("pages"))
+    rarest = F.min(F.struct(F.coalesce("pages", F.lit(0)).alias("pages"), "token"))["token"]
+    index = needed.join(held, "token", "left").groupBy("needed").agg(rarest.alias("token"))
     looked_up = own.select("*", F.explode("tokens").alias("token")).join(index, "token")
     holds = F.size(F.array_except("needed", "tokens")) == 0
     return looked_up.filter(holds).select("page_id", "url_hash").distinct()
