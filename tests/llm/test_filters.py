@@ -323,6 +323,40 @@ def test_blocks_of_items_find_the_same(spark, monkeypatch):
     assert decontamination.without_benchmark(docs, benchmark).count() == 0
 
 
+def test_items_of_a_few_words_are_found_word_for_word(spark):
+    items = [(1, "alpha"), (2, "Beta gamma"), (3, "one two three four"), (4, "?!"), (5, "zeta zeta")]
+    docs = spark.createDataFrame([
+        (1, "an ALPHA, here"), (2, "beta; gamma beta"), (3, "beta and gamma"), (4, "zero one two three four five"),
+        (5, "one two three"), (6, "zeta"), (7, "so zeta zeta zeta"), (8, ""), (9, None), (10, "alpha alpha"),
+    ], "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"], r["n_edits"], r["start_word"]) for r in decontamination.matches(docs, benchmark).collect()}
+    assert found == {(1, 1, 0, 1), (2, 2, 0, 0), (4, 3, 0, 1), (7, 5, 0, 1), (10, 1, 0, 0)}
+    assert decontamination.without_benchmark(docs, benchmark).count() == 10
+    assert {r["doc_id"] for r in decontamination.without_benchmark(docs, benchmark, least_words=1).collect()} == {3, 5, 6, 8, 9}
+
+
+@pytest.mark.parametrize(("place", "least"), [("front", 24), ("back", 37)])
+def test_edits_at_one_end_of_long_items(spark, place, least):
+    """All edits that are allowed lie together.
+
+    A walk reads about 18 words, so that two thirds of these being edited is the
+    worst case; the README gives its recall.
+    """
+    rng, items, rows = random.Random(21), [], []
+    for i in range(40):
+        words = prose(f"long {i}", 60 + 4 * i).split()
+        items.append((i, " ".join(words)))
+        edits = len(words) // 5
+        at = rng.sample(range(edits + 6), edits) if place == "front" else rng.sample(range(len(words) - edits - 6, len(words)), edits)
+        for k in at:
+            words[k] = f"other{k}"
+        rows.append((i, " ".join(prose(f"around {i}", 20).split() + words + ["end"])))
+    docs, benchmark = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontamination.matches(docs, benchmark).collect()}
+    assert found <= {(i, i) for i in range(40)} and len(found) >= least
+
+
 # language model
 
 

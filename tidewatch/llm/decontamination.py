@@ -19,7 +19,7 @@ from tidewatch.llm.recurring import STEP
 from tidewatch.llm.repeated_phrases import word_hashes
 
 SIMILARITY = 0.8
-#: Items with fewer words are no evidence of a copied passage.
+#: Items with fewer words are no reason to drop a document; matches() finds them all the same.
 LEAST_WORDS = 5
 #: Walks, places sampled of each, and how far into a walk (about twice the words).
 WALKS, PLACES, REACH = 32, 2, 36
@@ -87,11 +87,11 @@ def best_match(item: np.ndarray, region: np.ndarray) -> tuple[int, int, int]:
 class Items:
     """Some benchmark items, ready to be looked up."""
 
-    def __init__(self, items: list[tuple[int, str]], similarity: float):
+    def __init__(self, items: list[tuple[int, str]], similarity: float, least_words: int = LEAST_WORDS):
         self.ids, hashes = [], []
         for item_id, text in items:
             own = words_of(text)
-            if len(own) >= LEAST_WORDS:
+            if len(own) >= max(1, least_words):
                 self.ids.append(item_id)
                 hashes.append(own)
         self.known = np.unique(np.concatenate([np.zeros(0, dtype=np.uint64), *hashes]))
@@ -235,7 +235,7 @@ class Items:
         return (distance, begin + a, begin + b) if distance <= edits else None
 
 
-def item_blocks(benchmark: DataFrame, similarity: float) -> Iterator:
+def item_blocks(benchmark: DataFrame, similarity: float, least_words: int) -> Iterator:
     """The items in broadcasts of a bounded number and size."""
     spark = benchmark.sparkSession
     items = benchmark.filter("text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
@@ -243,7 +243,8 @@ def item_blocks(benchmark: DataFrame, similarity: float) -> Iterator:
     blocks = max(1, -(-n // ITEMS_AT_ONCE), -(-chars // CHARS_AT_ONCE))
     for block in range(blocks):
         own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
-        yield spark.sparkContext.broadcast(Items(sorted({(r["item_id"], r["text"]) for r in own}, key=str), similarity))
+        found = sorted({(r["item_id"], r["text"]) for r in own}, key=str)
+        yield spark.sparkContext.broadcast(Items(found, similarity, least_words))
 
 
 def search_texts(items: Items, texts: list[str]) -> tuple[list[tuple[int, int, int, int, int]], np.ndarray]:
@@ -258,14 +259,17 @@ def search_texts(items: Items, texts: list[str]) -> tuple[list[tuple[int, int, i
 MATCHES = "doc_id long, item_id long, n_edits int, similarity double, start_word int, n_words int"
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def matches(
+    docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, least_words: int = 1
+) -> DataFrame:
     """A row for each document and item that it holds: edits, similarity, and the place of its best match.
 
     Words are runs of letters and digits, and characters beyond ASCII, in lower case. A document holds an
     item if some stretch of its words is at an edit distance, in words, of at
     most (1 - similarity) times the item's words. Equal matches go to the
-    first place. Null or empty texts and items below five words match nothing;
-    repeated rows give repeated matches. An empty table gives no rows.
+    first place. Items of a few words allow no edit and are found word for
+    word. Null or empty texts, items without words and those below least_words
+    match nothing; repeated rows give repeated matches. An empty table gives no rows.
 
     All items are looked up in all texts, in blocks of a bounded number and
     size, one pass over the documents for each block.
@@ -273,7 +277,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARIT
     python_ready(docs.sparkSession)
     rows = texts_of(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     out = None
-    for sent in item_blocks(benchmark, similarity):
+    for sent in item_blocks(benchmark, similarity, least_words):
 
         def run(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
             block = sent.value
@@ -295,10 +299,16 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARIT
     return out
 
 
-def without_benchmark(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows and columns of the documents that hold no item; see matches()."""
+def without_benchmark(
+    docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, least_words: int = LEAST_WORDS
+) -> DataFrame:
+    """The rows and columns of the documents that hold no item; see matches().
+
+    A sentence of the language may hold an item of a few words by chance, so
+    these are left out unless least_words says otherwise.
+    """
     python_ready(docs.sparkSession)
-    for sent in item_blocks(benchmark, similarity):
+    for sent in item_blocks(benchmark, similarity, least_words):
 
         def run(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
             for frame in batches:
