@@ -172,6 +172,16 @@ def test_commits_follow_acknowledgements_in_any_order(feed, spark):
     assert {r.source for r in expected} == {*sources, "idle"} and all(r.in_flight for r in expected if r.source != "idle")
 
 
+def test_a_batch_of_acknowledgements_alone(feed, spark):
+    job, big = feed(LINES), (1 << 60) + 1  # a number that a float cannot hold
+    job.run(streams.running_commits, spark.createDataFrame([("a", n, big, big + n, n == 3) for n in (1, 2, 3)], LINES))
+    job.run(streams.running_commits, spark.createDataFrame([("a", 1, None, None, True)] * 2, LINES))
+    assert [tuple(r) for r in streams.commits_of(spark, job.target).collect()] == [("a", big, big + 1, 2)]
+    rows = [("a", 2, None, None, True), ("a", 4, big + 1, big + 4, None)]
+    job.run(streams.running_commits, spark.createDataFrame(rows, LINES))
+    assert [tuple(r) for r in streams.commits_of(spark, job.target).collect()] == [("a", big, big + 3, 1)]
+
+
 def test_positions_are_given_out_by_a_timer(feed, spark):
     job = feed(LINES)
     spark.createDataFrame([("a", 1, 0, 10, True), ("a", 2, 0, 20, False)], LINES).write.parquet(job.source)

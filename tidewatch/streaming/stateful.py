@@ -114,6 +114,8 @@ LINE_BLOCK = (
     "last_seq long, file_id long, offset long"
 )
 _OPEN, _SETTLED, _EARLY = 0, 1, 2
+#: Stands for NULL in columns of whole numbers, which pandas would make floats of and so round.
+_NONE = -(1 << 63)
 
 
 def merged_lines(held: np.ndarray, lines: np.ndarray, acks: np.ndarray) -> np.ndarray:
@@ -181,7 +183,7 @@ class SettledStretches(StatefulProcessor):
         rows = rows[rows[:, 0] != _EARLY]
         opened = np.nonzero(rows[:, 0] == _OPEN)[0]
         first = opened[0] if len(opened) else len(rows)
-        last = rows[first - 1] if first else [None] * 6
+        last = [None if n == _NONE else n for n in rows[first - 1]] if first else [None] * 6
         out = [[
             key[0], key[1], rows[first, 1] if len(opened) else None, rows[:, 3].sum(), rows[first:, 3].sum(), last[2],
             last[4], last[5],
@@ -191,11 +193,9 @@ class SettledStretches(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         frame = pd.concat(list(rows), ignore_index=True)
-        is_line = frame["end_offset"].notna()
-        lines = frame[is_line].assign(settled=frame["settled"].eq(True))
-        more = lines[["seq", "file_id", "end_offset", "settled"]].astype("int64").to_numpy().reshape(-1, 4)
-        acks = frame.loc[~is_line, "seq"].astype("int64").to_numpy()
-        self.held.update((merged_lines(self._rows(), more, acks).astype("<i8").tobytes(),))
+        told = frame[["seq", "file_id", "end_offset", "settled"]].astype("int64").to_numpy()
+        is_line = told[:, 2] != _NONE
+        self.held.update((merged_lines(self._rows(), told[is_line], told[~is_line, 0]).astype("<i8").tobytes(),))
         if self.every is None:
             yield self._given(key)
         elif next(iter(self.handle.listTimers()), None) is None:
@@ -214,7 +214,9 @@ def line_blocks(lines: DataFrame, every: int | None = None) -> DataFrame:
     order, again, and before their line.
     """
     _ready(lines)
-    rows = lines.select("source", block_of("seq").alias("block"), "seq", "file_id", "end_offset", "settled")
+    places = [F.coalesce(c, F.lit(_NONE)).alias(c) for c in ("file_id", "end_offset")]
+    settled = F.coalesce("settled", F.lit(False)).alias("settled")
+    rows = lines.select("source", block_of("seq").alias("block"), "seq", *places, settled)
     return rows.groupBy("source", "block").transformWithStateInPandas(
         SettledStretches(every), LINE_BLOCK, "Update", "None" if every is None else "ProcessingTime"
     )
