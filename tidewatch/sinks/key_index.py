@@ -28,6 +28,8 @@ from tidewatch.sinks.parts import GRACE, PartLog
 
 #: Keys of a slot, about; 24 bytes each in a task and in a file.
 SLOT_KEYS = 4_000_000
+#: Keys that one task sorts and sets the bits of, about.
+TASK_KEYS = 250_000
 #: Keys of a block of the filter. Spark's bitmaps have 32,768 bits, 16 for each key.
 BLOCK_KEYS = 2048
 BITMAP_BITS = 32768
@@ -124,14 +126,21 @@ class KeyIndex:
         """Key files and filter of hi, lo, run, batch_id; the part lives once its file in live/ is there."""
         slot_bits, block_bits = _bits_for(n, self.slot_keys), _bits_for(n, BLOCK_KEYS)
         slotted = rows.withColumn("slot", _range_of(slot_bits).cast("int"))
-        slots = 1 << slot_bits
-        dealt = slotted.repartition(slots, "slot") if slots > 1 else slotted.coalesce(1)
+        slots, task_bits = 1 << slot_bits, max(slot_bits, _bits_for(n, TASK_KEYS))
+        # not coalesce, which runs all tasks before it, and their sorts, within one
+        dealt = slotted.repartition(1 << task_bits, _range_of(task_bits)) if task_bits else slotted.repartition(1)
         data = f"{self.root}/data/{name}"
         dealt.sortWithinPartitions("slot", "hi", "lo").write.mode("overwrite").partitionBy("slot").parquet(data)
-        stored = self.spark.read.schema(_DATA).parquet(data)
-        places = stored.select("slot", _range_of(block_bits).alias("block"), F.explode(_probes()).alias("place"))
-        blocks = places.groupBy("slot", "block").agg(F.expr("bitmap_construct_agg(place)").alias("bits"))
-        dealt = blocks.repartition(slots, "slot") if slots > 1 else blocks.coalesce(1)
+        stored = self.spark.read.schema(_DATA).parquet(data).withColumn("task", _range_of(task_bits))
+        own = stored.repartition(1 << task_bits, "task") if task_bits else stored.repartition(1)
+        places = own.select("task", "slot", _range_of(block_bits).alias("block"), _probes().alias("places"))
+        # a bitmap for each probe, so that keys are sorted by block once and not once a probe
+        each = [F.expr(f"bitmap_construct_agg(places[{i}])") for i in range(PROBES)]
+        probed = places.groupBy("task", "slot", "block").agg(F.array(*each).alias("each"))
+        blocks = probed.select("task", "slot", "block", F.explode("each").alias("bits")).groupBy("task", "slot", "block").agg(
+            F.expr("bitmap_or_agg(bits)").alias("bits")
+        ).drop("task")
+        dealt = blocks.repartition(slots, "slot")
         dealt.sortWithinPartitions("slot", "block").write.mode("overwrite").partitionBy("slot").parquet(f"{self.root}/bloom/{name}")
         part = Part(name, level, n, slot_bits, block_bits, **more)
         self.log.add(asdict(part))

@@ -62,14 +62,14 @@ class Layout:
         name = f"{level}-{uuid.uuid4().hex}"
         files = max(1, -(-rows // self.file_rows))
         cluster = [F.to_date("ts"), severity_tag(F.col("rule_level")), F.col("agent_name"), F.col("ts")]
-        dealt = findings.repartitionByRange(files, *cluster) if files > 1 else findings.coalesce(1)
+        dealt = findings.repartitionByRange(files, *cluster) if files > 1 else findings.repartition(1)
         data = f"{self.root}/data/{name}"
         dealt.sortWithinPartitions(*cluster).write.mode("overwrite").parquet(data)
         stored = self.spark.read.schema(FINDING).parquet(data).withColumn("file", F.col("_metadata.file_path"))
         ends = [f(c).alias(f"{end}_{n}") for c, n in (("ts", "ts"), ("rule_level", "level"), ("agent_name", "agent"))
                 for f, end in ((F.min, "low"), (F.max, "high"))]
         told = stored.groupBy("file").agg(F.count("*").alias("rows"), *ends)
-        told.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/files/{name}")
+        told.repartition(1).write.mode("overwrite").parquet(f"{self.root}/files/{name}")
         techniques = stored.select(F.explode("mitre_ids").alias("technique"), "file").distinct()
         techniques.repartitionByRange("technique").sortWithinPartitions("technique").write.mode("overwrite").parquet(
             f"{self.root}/techniques/{name}"
