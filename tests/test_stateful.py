@@ -235,3 +235,29 @@ def test_latest_states_over_merges(spark, tmp_path):
             table.write(spark.createDataFrame(list(new.items()), "k long, v long"), batch)
         assert dict(map(tuple, table.read().collect())) == state
     assert table._numbers("base") == [6, 9] and min(table._numbers("changes")) == 6
+
+
+class Calls:
+    """A map state that counts its calls."""
+
+    def __init__(self):
+        self.held, self.calls = {}, 0
+
+    def getValue(self, key):
+        self.calls += 1
+        return self.held.get(key)
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self.held[key] = value
+
+
+def test_state_is_called_once_a_bucket_and_not_once_a_key():
+    seen, rng = stateful.FirstSeen(), random.Random(9)
+    seen.seen = Calls()
+    keys = [(rng.randint(-(1 << 62), 1 << 62), n) for n in range(5000)]
+    for own in (keys[:3000], keys[2000:] + keys[4000:]):
+        known = {tuple(k) for v in seen.seen.held.values() for k in np.frombuffer(v[0], "<i8").reshape(-1, 2).tolist()}
+        first = [k not in known and k not in own[:i] for i, k in enumerate(own)]
+        assert seen._new(*np.array(own, dtype=np.int64).T).tolist() == first
+    assert seen.seen.calls <= 4 * stateful.BUCKETS

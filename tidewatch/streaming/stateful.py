@@ -18,6 +18,10 @@ from tidewatch.session import ship_package, use_rocksdb_state
 
 #: Shards of the seen keys. A checkpoint belongs to this number.
 SHARDS = 1024
+#: Parts of a shard's keys that are read and written at once. A checkpoint belongs to this number.
+BUCKETS = 256
+#: Keys of which a map task remembers the first position.
+TASK_KEYS = 200_000
 #: Numbers of a block, of lines or of sequences. A checkpoint belongs to this number.
 BLOCK = 1 << 16
 
@@ -34,7 +38,6 @@ def _ready(df: DataFrame) -> None:
 # --- dispositions -------------------------------------------------------------------
 
 _MESSAGE = "hi long, lo long, topic string, partition int, offset long, value binary, disposition string"
-_SEEN = "topic string, partition int, offset long"
 POSITION = ["topic", "partition", "offset"]
 
 
@@ -50,6 +53,8 @@ def _first_in_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             place = (topic is not None, topic or "", partition, offset)
             known = best.get((hi, lo))
             if known is None or place < known:
+                if len(best) >= TASK_KEYS:  # copies that are not reduced here are met in the state
+                    best.clear()
                 best[hi, lo] = place
             else:
                 marks[i] = "duplicate"
@@ -57,14 +62,31 @@ def _first_in_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 class FirstSeen(StatefulProcessor):
-    """Whether a key was seen before, for the keys of a shard; the first position of the first batch wins."""
+    """Whether a key was seen before, for the keys of a shard; the first position of the first batch wins.
+
+    Each call of the state costs a round trip to the JVM, so a bucket's keys
+    are one value of 16 bytes a key, to which a batch appends its new ones.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getMapState("seen", "hi long, lo long", _SEEN)
+        self.seen = handle.getMapState("seen", "bucket int", "keys binary")
+
+    def _new(self, hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
+        """Which of the keys are seen for the first time, at their first place; from now on they were."""
+        keys = np.stack([hi, lo], axis=1).astype("<i8")
+        at = (keys[:, 0] // SHARDS) % BUCKETS
+        held = {int(b): (self.seen.getValue((int(b),)) or (b"",))[0] for b in np.unique(at)}
+        before = np.frombuffer(b"".join(held.values()), dtype="<i8").reshape(-1, 2)
+        fresh = ~pd.DataFrame(np.concatenate([before, keys])).duplicated().to_numpy()[len(before) :]
+        added, at = keys[fresh], at[fresh]
+        order = np.argsort(at, kind="stable")
+        buckets, starts = np.unique(at[order], return_index=True)
+        for bucket, rows in zip(buckets.tolist(), np.split(added[order], starts[1:]), strict=False):
+            self.seen.updateValue((bucket,), (bytes(held[bucket]) + rows.tobytes(),))
+        return fresh
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        for hi, lo, *place in initialState[["hi", "lo", *POSITION]].itertuples(index=False, name=None):
-            self.seen.updateValue((hi, lo), tuple(place))
+        self._new(initialState["hi"].to_numpy(), initialState["lo"].to_numpy())
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         if key[0] < 0:  # settled before: duplicates of an earlier row of their task, and rejects
@@ -73,13 +95,8 @@ class FirstSeen(StatefulProcessor):
             return
         frame = pd.concat(list(rows), ignore_index=True)
         frame = frame.sort_values(["hi", "lo", *POSITION], na_position="first", ignore_index=True)
-        marks = np.full(len(frame), "duplicate", dtype=object)
-        firsts = np.nonzero(~frame.duplicated(["hi", "lo"]).to_numpy())[0]
-        own = frame.iloc[firsts]
-        for i, hi, lo, *place in zip(firsts, own["hi"], own["lo"], *[own[c] for c in POSITION], strict=True):
-            if not self.seen.containsKey((int(hi), int(lo))):
-                self.seen.updateValue((int(hi), int(lo)), (place[0], int(place[1]), int(place[2])))
-                marks[i] = "inserted"
+        new = self._new(frame["hi"].to_numpy(), frame["lo"].to_numpy())
+        marks = np.where(new, "inserted", "duplicate").astype(object)
         yield frame.assign(disposition=marks)[[*POSITION, "value", "disposition"]]
 
 
