@@ -149,3 +149,15 @@ def test_batches_do_not_read_the_ledger(spark, tmp_path, records, monkeypatch):
     lg.commit_batch(path)(records([alert(1), alert(2)], first=1), 1)
     monkeypatch.undo()
     assert lg.findings(lg.read_ledger(spark, path)).count() == 2
+
+
+def test_a_large_part_is_made_in_several_tasks(spark, tmp_path, monkeypatch):
+    from tidewatch.sinks import key_index
+
+    monkeypatch.setattr(key_index, "TASK_KEYS", 500)
+    index = key_index.KeyIndex(spark, str(tmp_path), ("k",))
+    part = index.add(spark.range(4000).selectExpr("cast(id as string) AS k"), "run", 0)
+    assert len(list((tmp_path / "keys/data" / part.name / "slot=0").glob("*.parquet"))) > 2
+    batch = spark.range(3990, 4010).selectExpr("cast(id as string) AS k").select(*key_index.hashed("k"))
+    assert index.known(batch, "run", 1).count() == 10
+    index.release()
