@@ -332,3 +332,12 @@ def test_idle_sources_keep_their_position(spark):
     found = {r.source: r for r in delivery.delivery_stats(lines, saved).collect()}
     assert (found["idle"].file_id, found["idle"].offset, found["idle"].in_flight, found["idle"].produced) == (4, 30, 0, 0)
     assert (found["a"].offset, found["a"].acked) == (50, 1)
+
+
+def test_few_large_tasks_are_dealt_out(spark):
+    from tidewatch.operators.shuffles import dealt
+
+    rows = spark.range(0, 1000, 1, 2)
+    spread = dealt(rows, ["id"], 100)
+    assert spread.rdd.getNumPartitions() == 10 and spread.distinct().count() == 1000
+    assert dealt(rows, ["id"], 600).rdd.getNumPartitions() == 2

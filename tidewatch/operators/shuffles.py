@@ -35,6 +35,12 @@ def pin(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def dealt(df: DataFrame, on: Sequence[str], most: int) -> DataFrame:
+    """The rows by hash in tasks of about `most` rows, where they lie in fewer tasks than that takes."""
+    tasks = -(-df.count() // most)
+    return df.repartition(tasks, *on) if tasks > df.rdd.getNumPartitions() else df
+
+
 def is_small(df: DataFrame) -> bool:
     """Measure the rows and their text; True if the whole fits a broadcast."""
     width = F.lit(8 * len(df.columns))

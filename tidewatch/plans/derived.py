@@ -2,7 +2,8 @@
 
 Each input is one SQL text that both engines can run, apart from a few function
 names. Nothing here orders or numbers rows: every value follows from its own
-row, so deriving an input needs no shuffle and the queries measure the operator.
+row. Only large tables of events are dealt out anew before records are made of
+them, so that a task's share does not grow with the table.
 """
 
 from __future__ import annotations
@@ -10,8 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewatch.functions.json_text import computed_once
+from tidewatch.operators.shuffles import dealt
 
 TOPIC = "security-alerts"
+# Events whose records one task makes; a record takes some thirty times the bytes of its event.
+TASK_EVENTS = 100_000
+# Journal entries of an export file, about, where there are many.
+TASK_ENTRIES = 500_000
 
 # seq, kind (0 first delivery, 1 re-delivery, 2 junk), shape of the document and
 # the fields it is made of. seq has gaps; offsets have holes, as in a compacted
@@ -88,11 +94,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _query(spark: SparkSession, sf_dir: str, sql: str, *names: str) -> DataFrame:
+def _query(spark: SparkSession, sql: str, **tables: DataFrame) -> DataFrame:
     """Run SQL with the named tables in its FROM clauses."""
     return spark.sql(
-        "WITH " + ", ".join(f"{name} AS (SELECT * FROM {{{name}}})" for name in names) + " " + sql,
-        **{name: table(spark, sf_dir, name) for name in names},
+        "WITH " + ", ".join(f"{name} AS (SELECT * FROM {{{name}}})" for name in tables) + " " + sql, **tables
     )
 
 
@@ -112,7 +117,7 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM texts LATERAL VIEW inline(array(struct(
                CASE WHEN shape = 9 THEN {_JUNK} ELSE CAST({_TEXT} AS BINARY) END AS value))) made AS value"""
     )
-    return _query(spark, sf_dir, sql, "events")
+    return _query(spark, sql, events=dealt(table(spark, sf_dir, "events"), ["event_id"], TASK_EVENTS))
 
 
 # Delivery of forwarded lines. One source holds more than a third of them, one has
@@ -239,7 +244,7 @@ def derive(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """One of the inputs above as a DataFrame."""
     text = _escape(sql.replace("{micros}", _MICROS["spark"]))
     names = [name for name in ("events", "customer", "orders") if f"FROM {name}" in sql]
-    return _query(spark, sf_dir, text, *names)
+    return _query(spark, text, **{name: table(spark, sf_dir, name) for name in names})
 
 
 def journal_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
