@@ -142,3 +142,16 @@ def test_only_strings_are_fields(spark):
     assert {i: (rows[i].reject_reason, rows[i].payload) for i in rows} == {i: (None, p) for i, (_, p) in enumerate(cases)}
     number = spark.createDataFrame([('{"__CURSOR": 5, "__REALTIME_TIMESTAMP": "1"}',)], "value string")
     assert classify_entries(number).first().reject_reason == "missing_cursor"
+
+
+def test_ranges_grow_where_there_are_too_many(tmp_path, monkeypatch):
+    for name in ("a", "b"):
+        (tmp_path / name).write_text("".join(entry(n) + "\n" for n in range(200)))
+    exports = Exports(str(tmp_path))
+    whole = exports.owed(dict(journal_export.START), exports.last(), 8)
+    monkeypatch.setattr(journal_export, "MOST_RANGES", 10)
+    fewer = exports.owed(dict(journal_export.START), exports.last(), 8)
+    assert len(whole) > 500 and len(fewer) <= 12
+    lines = [v for part in fewer for batch in journal_export._read(part) for v in batch["value"].to_pylist()]
+    assert lines == [v for part in whole for batch in journal_export._read(part) for v in batch["value"].to_pylist()]
+    assert len(lines) == 400

@@ -13,7 +13,7 @@ cursors tell which entries are known.
 
 Options: path (a folder that driver and executors share); startFrom (beginning
 or now, for the first run); after (a cursor, for the first run or a batch read);
-rangeBytes. Lines above 1 MiB are skipped. Files that are compressed are not read.
+rangeBytes (longer ranges are taken where there were more than 1,024). Lines above 1 MiB are skipped. Files that are compressed are not read.
 """
 
 from __future__ import annotations
@@ -36,6 +36,8 @@ from tidewatch.schemas import ENTRY
 logger = logging.getLogger(__name__)
 
 RANGE_BYTES = 64 * 1024 * 1024
+#: Ranges, about, above which they are made longer than was asked for, up to RANGE_BYTES.
+MOST_RANGES = 1024
 #: Bytes of the longest line that is read.
 LINE_CAP = 1 << 20
 _PROBE_BYTES = 64 * 1024
@@ -145,14 +147,16 @@ class Exports:
         if low is None:
             logger.error("%s: the entry with cursor %s is gone; all entries are read", self.folder, begun["cursor"])
             low = ("", 0)
-        found = []
+        owed = []
         for file in self.files:
             if file < low[0] or file > reached["file"]:
                 continue
             start = low[1] if file == low[0] else 0
             stop = min(self.sizes[file], reached["at"]) if file == reached["file"] else self.sizes[file]
-            found += [Stretch(self.folder, file, a, min(a + step, stop)) for a in range(start, stop, step)]
-        return found
+            owed.append((file, start, stop))
+        fewest = -(-sum(max(0, stop - start) for _, start, stop in owed) // MOST_RANGES)
+        step = max(step, min(RANGE_BYTES, fewest))
+        return [Stretch(self.folder, file, a, min(a + step, stop)) for file, start, stop in owed for a in range(start, stop, step)]
 
 
 def _read(part: Stretch) -> Iterator[pa.RecordBatch]:
