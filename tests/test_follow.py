@@ -129,3 +129,16 @@ def test_many_sources_are_not_listed_on_the_driver(spark, tmp_path, monkeypatch)
     logs.round(range_bytes=1 << 20)
     monkeypatch.undo()
     assert logs.lines() == [(f"s{i:04d}", i) for i in range(1000)]
+
+
+def test_texts_are_written_and_rotated_in_tasks(spark, tmp_path):
+    from tidewatch.sinks.files import rotate_files, write_texts
+
+    rows = [(f"{tmp_path}/files/{n}/é.txt", f"l{n}\nopen") for n in range(20)]
+    paths = write_texts(spark.createDataFrame(rows, "path string, value string"), f"{tmp_path}/written")
+    assert sorted(r.path for r in paths.collect()) == sorted(p for p, _ in rows)
+    for _ in range(2):
+        rotate_files(paths)
+    for path, text in rows:
+        with open(f"{path}.1", newline="", encoding="utf-8") as handle:
+            assert handle.read() == text

@@ -27,7 +27,7 @@ from tidewatch.operators.shuffles import first_copy
 from tidewatch.plans import derived as d
 from tidewatch.session import checkpoint_dir, configure
 from tidewatch.sinks import ledger as lg
-from tidewatch.sinks.files import write_envelopes, write_ndjson
+from tidewatch.sinks.files import rotate_files, write_envelopes, write_ndjson, write_texts
 from tidewatch.sinks.layout import Layout
 from tidewatch.sources import journal_export, rotating_ndjson
 from tidewatch.sources.files import read_queue
@@ -356,13 +356,14 @@ def stream_committed_prefix(spark, sf_dir):
 
 
 def stream_ingest_cadence(spark, sf_dir):
-    """A job that looks for new records five times a second and takes one file each time."""
+    """A job that looks for new records five times a second and takes one part each time, a file unless it is large."""
     configure(spark)
     source, target, state = (_scratch(spark, name) for name in ("records", "target", "state"))
     records = d.records(spark, sf_dir)
+    files = max(1, d.table(spark, sf_dir, "events").count() // (PARTS * d.TASK_EVENTS))
     for part in range(PARTS):
-        _part(records, part, PARTS).coalesce(1).write.mode("append").parquet(source)
-    stream = spark.readStream.schema(spark.read.parquet(source).schema).option("maxFilesPerTrigger", 1).parquet(source)
+        _part(records, part, PARTS).repartition(files).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(spark.read.parquet(source).schema).option("maxFilesPerTrigger", files).parquet(source)
     query = streams.ingest(stream, target, state, every="200 milliseconds")
     try:
         query.processAllAvailable()
@@ -721,11 +722,11 @@ def _open_files(spark, sf_dir, folder: str) -> DataFrame:
         F.floor(F.col("event_id") / LINES_OF_FILE).alias("block"), F.struct("event_id", line.alias("line")).alias("own")
     )
     text = F.array_join(F.transform(F.array_sort(F.collect_list("own")), lambda x: x["line"]), "\n")
-    files = lines.groupBy("block").agg(text.alias("value")).repartition("block")
-    files.write.partitionBy("block").option("lineSep", " ").text(folder)
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    path = F.regexp_replace("path", "^file:", "")
-    return found.select(path.alias("name"), path.alias("path"), F.lit(None).cast("string").alias("rotated_glob"))
+    name = F.coalesce(F.col("block").cast("string"), F.lit("none"))
+    path = F.concat(F.lit(f"{folder.removeprefix('file:')}/block="), name, F.lit("/lines.txt"))
+    files = lines.groupBy("block").agg(F.concat(text, F.lit(" ")).alias("value")).select(path.alias("path"), "value")
+    found = write_texts(files, _scratch(spark, "routes"))
+    return found.select(F.col("path").alias("name"), "path", F.lit(None).cast("string").alias("rotated_glob"))
 
 
 def _followed_ids(spark, target: str) -> DataFrame:
@@ -746,12 +747,9 @@ def open_lines_after_rotation(spark, sf_dir):
     """The last lines of rotated files will not grow any more and are read."""
     configure(spark)
     folder, target = _scratch(spark, "open"), _scratch(spark, "target")
-    listed = _scratch(spark, "routes")
-    _open_files(spark, sf_dir, folder).write.parquet(listed)
-    routes = spark.read.parquet(listed)
+    routes = _open_files(spark, sf_dir, folder)
     follow.follow_round(routes, target, "beginning")
-    for r in routes.select("path").toLocalIterator():
-        _rename(spark, r["path"], f"{r['path']}.1")
+    rotate_files(routes)
     follow.follow_round(routes, target, "beginning")
     return _followed_ids(spark, target)
 
@@ -805,8 +803,10 @@ def journal_events(spark, sf_dir):
 def _journal_exports(spark, sf_dir, folder: str, part: int, parts: int) -> None:
     """Write a part of the journal, by number of the entry, as export files in order."""
     rows = d.journal_lines(spark, sf_dir)
-    own = rows.filter(F.floor(F.col("event_id") * parts / (rows.agg(F.max("event_id")).first()[0] + 1)) == part)
-    ordered = own.repartitionByRange(3, "event_id").sortWithinPartitions("event_id")
+    top, entries = rows.agg(F.max("event_id"), F.count("*")).first()
+    own = rows.filter(F.floor(F.col("event_id") * parts / (top + 1)) == part)
+    files = max(3, entries // (parts * d.TASK_ENTRIES))
+    ordered = own.repartitionByRange(files, "event_id").sortWithinPartitions("event_id")
     ordered.select("value").write.text(f"{folder}/{part}")
 
 

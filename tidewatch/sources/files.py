@@ -10,9 +10,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewatch.operators.generations import at_line_boundary
+from tidewatch.operators.shuffles import dealt
 from tidewatch.schemas import MANIFEST
 from tidewatch.session import ship_package
 
+#: Routes whose folders one task lists, about.
+TASK_ROUTES = 2000
+
 
 def read_journal(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
     """Lines of `journalctl -o json` exports; gzip files are read as they are."""
@@ -90,7 +94,7 @@ def read_manifest(routes: DataFrame, checkpoint: DataFrame) -> DataFrame:
     wanted = routes.select(F.col("name").alias("source"), "path", "rotated_glob").join(
         checkpoint.select("source", F.col("offset").cast("double").alias("offset")), "source", "left"
     )
-    listed = wanted.mapInPandas(_list_generations, _LISTED_SCHEMA)
+    listed = dealt(wanted, ["source", "path"], TASK_ROUTES).mapInPandas(_list_generations, _LISTED_SCHEMA)
     offset = F.col("offset").cast("long")
     return listed.withColumn(
         "resumable", at_line_boundary(offset, F.col("size"), F.col("before"))
