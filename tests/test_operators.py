@@ -341,3 +341,18 @@ def test_few_large_tasks_are_dealt_out(spark):
     spread = dealt(rows, ["id"], 100)
     assert spread.rdd.getNumPartitions() == 10 and spread.distinct().count() == 1000
     assert dealt(rows, ["id"], 600).rdd.getNumPartitions() == 2
+
+
+def test_winners_of_a_whole_ledger_are_not_broadcast(spark, records):
+    from alerts import alert
+
+    from tidewatch.operators.normalize import classify
+    from tidewatch.session import configure
+    from tidewatch.sinks import ledger as lg
+
+    configure(spark)
+    stats = lg.ingest_stats(lg.dispose(classify(records([alert(1), alert(2), alert(1), "junk"]))))
+    assert [tuple(r) for r in stats.collect()] == [(4, 2, 1, 1)]
+    plan = stats._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan and "BroadcastHashJoin" not in plan
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"

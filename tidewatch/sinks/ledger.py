@@ -100,12 +100,13 @@ def dispose(classified: DataFrame, unseen: Callable[[DataFrame], DataFrame] | No
     Winners are chosen on keys and positions alone: first copies are reduced in
     each map task, compared with the stored keys, and joined back on the
     position, which is unique. A key with very many copies never collects its
-    messages in one task, and the documents are shuffled once.
+    messages in one task, and the documents are shuffled once. Positions shrink
+    so much in a shuffle that Spark would take millions for a small side, so
+    those of a whole ledger are merged.
     """
     alerts = classified.filter(F.col("reject_reason").isNull()).select(*KEYS, *POSITION)
     winners = first_copy(alerts, KEYS, POSITION)
-    if unseen is not None:
-        winners = unseen(winners)
+    winners = winners.hint("merge") if unseen is None else unseen(winners)
     winners = winners.select(*POSITION, F.lit(True).alias("_new"))
     return null_safe_join(classified, winners, POSITION, "left").select(
         *classified.columns,
