@@ -161,3 +161,15 @@ def test_a_large_part_is_made_in_several_tasks(spark, tmp_path, monkeypatch):
     batch = spark.range(3990, 4010).selectExpr("cast(id as string) AS k").select(*key_index.hashed("k"))
     assert index.known(batch, "run", 1).count() == 10
     index.release()
+
+
+def test_a_large_batch_is_joined_with_the_stored_keys(index, keys, monkeypatch):
+    """No filter is read for a batch that would open all slots; with far more stored keys it is."""
+    index.add(keys(range(30)), "r", 0)
+    index.add(keys(range(30, 60)), "r", 1)
+    monkeypatch.setattr(key_index, "is_small", lambda rows: False)
+    assert found(index, keys([*range(20, 40), *range(70, 80)]), "r", 2) == list(range(20, 40))
+    assert (index.looked.parts, index.looked.slots) == (2, 0)
+    assert found(index, keys(range(20, 40)), "r", 1) == list(range(20, 30))  # not its own
+    assert found(index, keys([3, 70]), "r", 2) == [3]
+    assert index.looked.slots == 2

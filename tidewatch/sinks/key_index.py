@@ -5,6 +5,8 @@ slots of the hash range, and a Bloom filter for them. Parts of one size are
 merged into one of the next, so that their number grows with the logarithm of
 the history. A lookup tests the batch's keys against the filters of the slots
 they fall into and opens the key files of those slots alone that may hold one.
+A batch whose keys are many beside the stored ones would open all slots anyway,
+so it is joined with them at once.
 
 Layout below the ledger's path:
 
@@ -37,6 +39,8 @@ BITMAP_BITS = 32768
 PROBES = 6
 #: Parts of one level that are merged into one of the next.
 FAN_IN = 8
+#: A batch too large for a broadcast is joined with the stored keys themselves, if these are at most so many times as many.
+DIRECT = 8
 
 _DATA = "hi bigint, lo bigint, run string, batch_id bigint, slot int"
 _BLOOM = "block bigint, bits binary, slot int"
@@ -229,6 +233,7 @@ class KeyIndex:
 
     def known(self, batch: DataFrame, run: str, batch_id: int) -> DataFrame | None:
         """hi and lo of those keys of the batch that other batches stored before; None if there are none.
+        With a batch that is joined directly, all stored keys.
 
         batch: hi and lo, each key once, of this batch. Its slots reach the
         driver as numbers, at most as many as the parts have.
@@ -237,6 +242,11 @@ class KeyIndex:
         parts = [p for p in self.live() if p.keys and p.batches != [[run, batch_id]]]
         if not parts:
             return None
+        if not is_small(batch) and sum(p.keys for p in parts) <= DIRECT * batch.count():
+            self.looked = Looked(len(parts), 0, sum(1 << p.slot_bits for p in parts))
+            return self._read([(p, None) for p in parts]).filter(
+                (F.col("run") != run) | (F.col("batch_id") < batch_id)
+            ).select("hi", "lo").hint("merge")
         slots = self._slots(batch, parts)
         maybe = self._maybe(batch, parts, slots).persist(StorageLevel.MEMORY_AND_DISK)
         self._held.append(maybe)

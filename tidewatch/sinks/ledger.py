@@ -15,7 +15,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidewatch.operators.normalize import classify
-from tidewatch.operators.shuffles import first_copy, is_small, null_safe_join
+from tidewatch.operators.shuffles import BROADCAST_ROWS, first_copy, is_small, null_safe_join
 from tidewatch.schemas import FINDING, LEDGER
 from tidewatch.sinks.key_index import KeyIndex, hashed
 
@@ -94,25 +94,35 @@ def new_rows(batch: DataFrame, history: DataFrame, keys: tuple[str, ...] = KEYS)
 def dispose(classified: DataFrame, unseen: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Add the disposition of every classified message.
 
-    unseen: given the first copies (KEYS and POSITION), those that were not
-    stored before; without it nothing was.
+    unseen: given the first copies (KEYS and POSITION), the stored positions of
+    those that were not there before; without it nothing was.
 
     Winners are chosen on keys and positions alone: first copies are reduced in
     each map task, compared with the stored keys, and joined back on the
     position, which is unique. A key with very many copies never collects its
-    messages in one task, and the documents are shuffled once. Positions shrink
-    so much in a shuffle that Spark would take millions for a small side, so
-    those of a whole ledger are merged.
+    messages in one task. The documents of a batch stay where they are if the
+    winners, or else the other copies, were measured to fit a broadcast; else
+    they are shuffled once. Positions shrink so much in a shuffle that Spark
+    would take millions for a small side, so those of many winners are merged.
     """
     alerts = classified.filter(F.col("reject_reason").isNull()).select(*KEYS, *POSITION)
     winners = first_copy(alerts, KEYS, POSITION)
-    winners = winners.hint("merge") if unseen is None else unseen(winners)
-    winners = winners.select(*POSITION, F.lit(True).alias("_new"))
-    return null_safe_join(classified, winners, POSITION, "left").select(
+    marks, marked, others = winners.hint("merge"), INSERTED, DUPLICATE
+    if unseen is not None:
+        winners = unseen(winners)
+        marks = winners.hint("merge")
+        if is_small(winners):
+            marks = F.broadcast(winners)
+        elif alerts.count() - winners.count() <= BROADCAST_ROWS:
+            copies = null_safe_join(alerts.select(*POSITION), marks, POSITION, "left_anti").distinct()
+            if is_small(copies):
+                marks, marked, others = F.broadcast(copies), DUPLICATE, INSERTED
+    marks = marks.select(*POSITION, F.lit(True).alias("_marked"))
+    return null_safe_join(classified, marks, POSITION, "left").select(
         *classified.columns,
         F.when(F.col("reject_reason").isNotNull(), REJECTED)
-        .when(F.col("_new"), INSERTED)
-        .otherwise(DUPLICATE)
+        .when(F.col("_marked"), marked)
+        .otherwise(others)
         .alias("disposition"),
     )
 
@@ -146,7 +156,9 @@ def commit_batch(path: str) -> Callable[[DataFrame, int], None]:
             for keys in known:
                 if keys is not None:
                     rows = rows.join(keys, ["hi", "lo"], "left_anti")
-            return rows.select(*POSITION)
+            new = rows.select(*POSITION).persist(StorageLevel.MEMORY_AND_DISK)
+            held.append(new)
+            return new
 
         classified = classify(records).persist(StorageLevel.MEMORY_AND_DISK)
         held.append(classified)
