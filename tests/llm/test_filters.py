@@ -256,6 +256,24 @@ def test_nearest_examples_equal_all_cosines():
         assert np.allclose(scores, np.sort(every)[::-1][: len(scores)]) and np.allclose(every[found], scores)
 
 
+def test_examples_that_are_alike_share_blocks():
+    """A text of one language opens few blocks besides those of that language, whatever the examples' main terms are."""
+    rng = np.random.default_rng(2)
+    letters = ["".join(w) for w in zip(*[iter("abcdefghijklmnopqrstuvwx" * 10)] * 2)][:12]
+    common = [[f"{x}{y}{language}" for x in letters for y in letters][:60] for language in "pqrs"]
+    examples = []
+    for i in range(8 * toxicity.BLOCK):
+        own = f"{letters[i % 12]}{letters[i // 12 % 12]}{letters[i // 144]}z"  # the rarest term, by which nothing is sorted into languages
+        examples.append((i, " ".join([own, *rng.choice(common[i % 4], 40)]), i % 2))
+    counts = Counter(t for _, text, _ in examples for t in set(text.split()))
+    index = toxicity.ExampleIndex(sorted(counts.items()), len(examples), examples, (1.0, 1.0), 0.5)
+    languages = [set((index.doc_id[a : a + toxicity.BLOCK] % 4).tolist()) for a in range(0, len(examples), toxicity.BLOCK)]
+    assert sum(map(len, languages)) <= 12  # four in each of the eight without the division
+    at, _ = index.vector(" ".join(common[1]))
+    opened = np.unique(np.concatenate([index.block[index.cells[t] : index.cells[t + 1]] for t in at]))
+    assert len(opened) <= 4
+
+
 def test_few_texts_keep_all_terms_and_clean_examples(spark):
     rows, labels = [], []
     for i in range(70):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -21,6 +22,8 @@ EXAMPLES = 3000
 #: Least lean of a term, so that terms spread alike over both labels keep a small weight and none is dropped.
 LEAST_LEAN = 1e-6
 NEAREST, BLOCK = 32, 64
+#: Most frequent terms of the examples by which they are divided into blocks of texts that are alike.
+DIVIDING = 512
 #: Weight of the rate among all labelled texts, in units of a neighbour of similarity 1.
 PRIOR_WEIGHT = 0.5
 EVIDENCE = 3
@@ -40,7 +43,7 @@ def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def terms_of(column: str = "text"):
-    return F.array_distinct(F.regexp_extract_all(F.lower(column), F.lit("(\\p{L}+)"), 1))
+    return F.array_distinct(F.regexp_extract_all(F.lower(column), F.lit("\\p{L}+"), 0))
 
 
 def counted_terms(docs: DataFrame, rows: DataFrame, examples: DataFrame, n_texts: int, n_toxic: int) -> DataFrame:
@@ -74,7 +77,31 @@ def counted_terms(docs: DataFrame, rows: DataFrame, examples: DataFrame, n_texts
 def ranges(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The numbers of several ranges one after another, and the ranges' lengths."""
     n = end - begin
-    return np.arange(n.sum()) + np.repeat(begin - (np.cumsum(n) - n), n), n
+    numbers = np.repeat(begin - (np.cumsum(n) - n), n)
+    numbers += np.arange(len(numbers))
+    return numbers, n
+
+
+def alike(rows: np.ndarray, size: int) -> np.ndarray:
+    """The numbers of the rows in an order in which each run of size holds rows that are alike.
+
+    They are halved, at a multiple of the size, along the direction in which they differ most.
+    """
+    parts, order = [np.arange(len(rows))], []
+    while parts:
+        own = parts.pop()
+        if len(own) <= size:
+            order.append(own)
+            continue
+        apart = rows[own] - rows[own].mean(axis=0)
+        way = apart[np.argmax((apart * apart).sum(axis=1))].copy()
+        for _ in range(8):
+            way = apart.T @ (apart @ way)
+            way /= max(float(np.linalg.norm(way)), 1e-12)
+        own = own[np.argsort(apart @ way, kind="stable")]
+        half = -(-len(own) // size) // 2 * size
+        parts += [own[half:], own[:half]]
+    return np.concatenate(order) if order else np.zeros(0, dtype=np.int64)
 
 
 class ExampleIndex:
@@ -90,15 +117,20 @@ class ExampleIndex:
             at, weight = self.vector(text)
             if len(at):
                 vectors.append((int(at[np.argmax(weight)]), doc_id, toxic, at, weight))
-        vectors.sort(key=lambda v: v[:2])  # examples with one main term share blocks, which tightens the bounds
+        vectors.sort(key=lambda v: v[:2])  # equal cosines go by this order
+        term = np.concatenate([v[3] for v in vectors]) if vectors else np.zeros(0, dtype=np.int64)
+        weight = np.concatenate([v[4] for v in vectors]) if vectors else np.zeros(0)
+        example = np.repeat(np.arange(len(vectors)), [len(v[3]) for v in vectors])
+        self.rank = self._in_blocks(term, example, weight, len(vectors))
+        vectors = [vectors[i] for i in self.rank]
+        place = np.empty_like(self.rank)
+        place[self.rank] = np.arange(len(vectors))
+        example = place[example]
         self.doc_id = np.array([v[1] for v in vectors], dtype=np.int64)
         self.toxic = np.array([v[2] for v in vectors], dtype=np.int64)
         self.vote = np.where(self.toxic == 1, scale[1], scale[0])
         self.rate_without = rate_without
         self.n_blocks = max(1, -(-len(vectors) // BLOCK))
-        term = np.concatenate([v[3] for v in vectors]) if vectors else np.zeros(0, dtype=np.int64)
-        weight = np.concatenate([v[4] for v in vectors]) if vectors else np.zeros(0)
-        example = np.repeat(np.arange(len(vectors)), [len(v[3]) for v in vectors]).astype(np.int32)
         order = np.lexsort((example, term))
         self.example, self.weight, term = example[order], weight[order], term[order]
         # a cell is a term in a block; only cells with postings are held
@@ -109,20 +141,42 @@ class ExampleIndex:
         self.bound = np.maximum.reduceat(self.weight, heads) if len(heads) else np.zeros(0)
         self.cells = np.searchsorted(cell[heads] // self.n_blocks, np.arange(len(terms) + 1))
 
+    def _in_blocks(self, term: np.ndarray, example: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
+        """The examples in an order by which those of a block are alike, which tightens the bounds."""
+        if n <= BLOCK:
+            return np.arange(n)
+        often = np.bincount(term, minlength=len(self.idf))
+        column = np.full(len(self.idf), -1)
+        common = np.argsort(-often, kind="stable")[:DIVIDING]
+        column[common] = np.arange(len(common))
+        held = column[term] >= 0
+        rows = np.zeros((n, len(common)), dtype=np.float32)
+        rows[example[held], column[term[held]]] = weight[held]
+        rows /= np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
+        return alike(rows, BLOCK)
+
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        number = self.number
-        found = Counter([number[t] for t in TERM.findall(text.lower()) if t in number])
-        if not found:
-            return np.zeros(0, dtype=np.int64), np.zeros(0)
-        at = np.array(sorted(found), dtype=np.int64)
-        weight = (1 + np.log([found[t] for t in at.tolist()])) * self.idf[at]
-        return at, weight / np.sqrt((weight**2).sum())
+        found = Counter(TERM.findall(text.lower()))
+        at = np.fromiter(map(self.number.get, found, repeat(-1)), dtype=np.int64, count=len(found))
+        times = np.fromiter(found.values(), dtype=np.int64, count=len(found))
+        order = np.argsort(at)
+        order = order[np.searchsorted(at[order], 0) :]
+        at, times = at[order], times[order]
+        weight = (1 + np.log(times)) * self.idf[at]
+        return at, weight / np.sqrt((weight**2).sum()) if len(at) else weight
 
     def _scores(self, cells: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Sums over the cells, each with the text's weight of its term: exact cosines of the examples in whole blocks."""
-        posting, n = ranges(self.starts[cells], self.starts[cells + 1])
-        sums = np.bincount(self.example[posting], weights=self.weight[posting] * np.repeat(weight, n), minlength=1)
-        found = np.nonzero(sums)[0]
+        if not len(cells):
+            return np.zeros(0, dtype=np.int64), np.zeros(0)
+        # cells beside each other with one weight are one run of postings
+        last = np.flatnonzero(np.append((np.diff(cells) != 1) | (weight[1:] != weight[:-1]), True))
+        head = np.append(0, last[:-1] + 1)
+        posting, n = ranges(self.starts[cells[head]], self.starts[cells[last] + 1])
+        part = self.weight.take(posting)
+        part *= np.repeat(weight[head], n)
+        sums = np.bincount(self.example.take(posting), weights=part, minlength=1)
+        found = np.flatnonzero(sums)
         return found, sums[found]
 
     def nearest(self, at: np.ndarray, weight: np.ndarray, k: int = NEAREST) -> tuple[np.ndarray, np.ndarray]:
@@ -143,7 +197,10 @@ class ExampleIndex:
         if here.any():
             more, more_scores = self._scores(cells[here], weight[here])
             found, scores = np.concatenate([found, more]), np.concatenate([scores, more_scores])
-        best = np.lexsort((found, -scores))[:k]
+        if len(found) > k:  # equal ones of the last score stay
+            kept = scores >= np.partition(scores, -k)[-k]
+            found, scores = found[kept], scores[kept]
+        best = np.lexsort((self.rank[found], -scores))[:k]
         return found[best], scores[best]
 
     def judge(self, text: str) -> tuple[float, list[tuple[int, int, float]]]:
