@@ -437,6 +437,19 @@ def test_the_model_learns_order_and_sums_to_one(monkeypatch):
     assert chances.sum() == pytest.approx(1, abs=1e-4)
 
 
+def test_a_step_reads_and_changes_only_classes_that_were_seen():
+    """What a window costs goes with its words and not with the words that were sent."""
+    model = GatedModel.start(np.full(100_000, 2.0), 5.0)
+    before, slopes = model.flat(), {}
+    wanted = np.array([0, 5, 99_999, 100_000], dtype=np.int32)
+    model.outputs(np.full((4, gated_model.UNITS), 0.5, dtype=np.float32), wanted, slopes, by_class=True)
+    classes, to_word = slopes["to_word"]
+    assert classes.tolist() == [0, 99_999 // model.class_size] and to_word.shape == (2, *model.values["to_word"].shape[1:])
+    model.improve({"to_word": slopes["to_word"]})
+    changed = np.nonzero((model.values["to_word"] != 0).any(axis=(1, 2)))[0]
+    assert changed.tolist() == classes.tolist() and (model.flat() != before).any()
+
+
 def test_gradients(monkeypatch):
     monkeypatch.setattr(gated_model, "UNITS", 5)
     monkeypatch.setattr(gated_model, "CLASS_SIZE", 4)
