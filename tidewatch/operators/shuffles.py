@@ -41,6 +41,15 @@ def dealt(df: DataFrame, on: Sequence[str], most: int) -> DataFrame:
     return df.repartition(tasks, *on) if tasks > df.rdd.getNumPartitions() else df
 
 
+def gathered(df: DataFrame, rows: int, most: int) -> DataFrame:
+    """The partitions of a shuffle in as few tasks as hold about `most` of its rows each, one for each core at least.
+
+    What is stored between two shuffles is not merged by adaptive execution, and the second
+    writes a file for each pair of a task and a partition.
+    """
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // most)))
+
+
 def is_small(df: DataFrame) -> bool:
     """Measure the rows and their text; True if the whole fits a broadcast."""
     width = F.lit(8 * len(df.columns))

@@ -15,9 +15,9 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidewatch.operators.normalize import classify
-from tidewatch.operators.shuffles import BROADCAST_ROWS, first_copy, is_small, null_safe_join
+from tidewatch.operators.shuffles import BROADCAST_ROWS, first_copy, gathered, is_small, null_safe_join
 from tidewatch.schemas import FINDING, LEDGER
-from tidewatch.sinks.key_index import KeyIndex, hashed
+from tidewatch.sinks.key_index import TASK_KEYS, KeyIndex, hashed
 
 KEYS = ("manager", "alert_id")
 POSITION = ("source_topic", "source_partition", "source_offset")
@@ -91,11 +91,16 @@ def new_rows(batch: DataFrame, history: DataFrame, keys: tuple[str, ...] = KEYS)
     return batch.join(known, list(keys), "left_anti")
 
 
-def dispose(classified: DataFrame, unseen: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def dispose(
+    classified: DataFrame,
+    unseen: Callable[[DataFrame], DataFrame] | None = None,
+    kept: Callable[[DataFrame, int], DataFrame] = lambda rows, most: rows,
+) -> DataFrame:
     """Add the disposition of every classified message.
 
     unseen: given the first copies (KEYS and POSITION), the stored positions of
-    those that were not there before; without it nothing was.
+    those that were not there before; without it nothing was. kept: given rows
+    and how many they are at most, the same rows, stored to be read again.
 
     Winners are chosen on keys and positions alone: first copies are reduced in
     each map task, compared with the stored keys, and joined back on the
@@ -114,7 +119,7 @@ def dispose(classified: DataFrame, unseen: Callable[[DataFrame], DataFrame] | No
         if is_small(winners):
             marks = F.broadcast(winners)
         elif alerts.count() - winners.count() <= BROADCAST_ROWS:
-            copies = null_safe_join(alerts.select(*POSITION), marks, POSITION, "left_anti").distinct()
+            copies = kept(null_safe_join(alerts.select(*POSITION), marks, POSITION, "left_anti").distinct(), BROADCAST_ROWS)
             if is_small(copies):
                 marks, marked, others = F.broadcast(copies), DUPLICATE, INSERTED
     marks = marks.select(*POSITION, F.lit(True).alias("_marked"))
@@ -145,9 +150,13 @@ def commit_batch(path: str) -> Callable[[DataFrame, int], None]:
             index.build(read_ledger(spark, path).filter(F.col("disposition") == INSERTED))
         held: list[DataFrame] = []
 
+        def kept(rows: DataFrame, most: int) -> DataFrame:
+            held.append(gathered(rows, most, TASK_KEYS).persist(StorageLevel.MEMORY_AND_DISK))
+            return held[-1]
+
         def unseen(firsts: DataFrame) -> DataFrame:
-            rows = firsts.select(*POSITION, *hashed(*KEYS)).persist(StorageLevel.MEMORY_AND_DISK)
-            held.append(rows)
+            alerts = classified.filter(F.col("reject_reason").isNull()).count()
+            rows = kept(firsts.select(*POSITION, *hashed(*KEYS)), alerts)
             known = [index.known(rows.select("hi", "lo"), run, batch_id)]
             for other in index.unindexed(run, batch_id):
                 folder = _batch_folder(path, *other)
@@ -156,14 +165,12 @@ def commit_batch(path: str) -> Callable[[DataFrame, int], None]:
             for keys in known:
                 if keys is not None:
                     rows = rows.join(keys, ["hi", "lo"], "left_anti")
-            new = rows.select(*POSITION).persist(StorageLevel.MEMORY_AND_DISK)
-            held.append(new)
-            return new
+            return kept(rows.select(*POSITION), alerts)
 
         classified = classify(records).persist(StorageLevel.MEMORY_AND_DISK)
         held.append(classified)
         try:
-            store_batch(dispose(classified, unseen), path, run, batch_id, index)
+            store_batch(dispose(classified, unseen, kept), path, run, batch_id, index)
         finally:
             index.release()
             for df in held:
