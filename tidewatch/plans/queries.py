@@ -45,6 +45,8 @@ LINES_OF_FILE = 64
 AFTER = 321
 # Parts in which the streaming queries receive the records, and the running audit.
 PARTS, AUDIT_PARTS = 4, 8
+# Records of a file that the streaming queries receive, about, where there are many.
+FILE_RECORDS = 25_000
 
 
 def _text(*names: str) -> list:
@@ -260,6 +262,17 @@ def _part(rows: DataFrame, part: int, parts: int) -> DataFrame:
     return rows.filter(F.expr(f"offset div 4 % {parts}") == part)
 
 
+def _files_of_part(spark, sf_dir, parts: int) -> int:
+    """Files in which a part of the records is written, so that each holds as many of them."""
+    return -(-d.table(spark, sf_dir, "events").count() // (parts * FILE_RECORDS))
+
+
+def _even(rows: DataFrame, files: int) -> DataFrame:
+    """Rows of several files by hash: re-deliveries and junk are made in tasks of their own, and a stream
+    that packs their small files with large ones leaves most records to half of its tasks."""
+    return rows.repartition(files, "partition", "offset") if files > 1 else rows
+
+
 def _drain(spark, source: str, starter, target: str, state: str) -> None:
     stream = (
         spark.readStream.schema(spark.read.parquet(source).schema)
@@ -277,9 +290,9 @@ def _ledger_through_stream(spark, sf_dir, starter, again: bool = False, parts: i
     """
     configure(spark)
     source, target, state = (_scratch(spark, name) for name in ("records", "target", "state"))
-    records = d.records(spark, sf_dir)
+    records, files = d.records(spark, sf_dir), _files_of_part(spark, sf_dir, parts)
     for part in range(parts):
-        _part(records, part, parts).write.mode("append").parquet(source)
+        _even(_part(records, part, parts), files).write.mode("append").parquet(source)
         _drain(spark, source, starter, target, _scratch(spark, "state") if again and part == parts - 1 else state)
     if not again:
         _drain(spark, source, starter, target, state)
@@ -395,8 +408,9 @@ def stream_ingest_restarts(spark, sf_dir):
         if batch_id == 1 and calls.count(1) < 3:
             raise RuntimeError("the sink is down")
 
+    files = _files_of_part(spark, sf_dir, PARTS)
     for part in range(PARTS):
-        _part(records, part, PARTS).write.mode("append").parquet(source)
+        _even(_part(records, part, PARTS), files).write.mode("append").parquet(source)
         stream = spark.readStream.schema(spark.read.parquet(source).schema).option("maxFilesPerTrigger", 100_000)
         run_until_done(
             lambda s=stream: streams.start(s.parquet(source).writeStream.foreachBatch(write), state), pause=0.1
