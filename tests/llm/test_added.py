@@ -247,6 +247,17 @@ def test_variants_of_few_letters(spark):
     assert max(e[4] for e in plain_variants(counts)) > 8
 
 
+def test_keys_of_stored_words_are_not_broadcast(spark):
+    """Spark takes them for little more than the words' file, which is small however many keys a word has."""
+    counts = {prose(i, 1) + "xyx"[: i % 4]: 3 + i for i in range(60)}
+    words = spelling.stored(spark.createDataFrame([*counts.items()], "word string, n long").filter("length(word) >= 5"), "words")
+    found = [spelling.near_words(words), spelling.variants(words)]
+    for frame in found:
+        assert frame.collect()
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "isFinalPlan=true" in plan and "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_words_of_odd_documents(spark, odd_docs, no_docs):
     rows = [(r[0], r[1]) for r in odd_rows()]
     found = {r["word"]: r["n"] for r in spelling.word_counts(odd_docs, spoiled=97).collect()}

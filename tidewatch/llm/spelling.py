@@ -170,13 +170,16 @@ def _keys(words: DataFrame, order: dict[str, tuple[int, int]], index: bool) -> D
 def near_words(words: DataFrame) -> DataFrame:
     """word, n, near and near_n of all pairs of words one edit apart, in both directions.
 
-    words: different words of at least five code points, and n.
+    words: different words of at least five code points, and n. The keys are
+    merged: Spark takes them for little more than the words' compressed file,
+    although a word has five in the index and very many more to look up, and
+    would send them all through the driver.
     """
     order = gram_order(words)
     pivots, prefixes = (_keys(words, order, index) for index in (True, False))
     left = pivots.select("key", F.col("word").alias("a"), F.col("n").alias("a_n"), F.col("last").alias("a_last"))
     right = prefixes.select("key", F.col("word").alias("b"), F.col("n").alias("b_n"), F.col("last").alias("b_last"))
-    met = left.join(right, "key").filter(
+    met = left.join(right.hint("merge"), "key").filter(
         (F.col("a_last") <= F.col("b_last"))
         & (F.abs(F.length("a") - F.length("b")) <= 1)
         & (F.col("a") != F.col("b"))
@@ -199,7 +202,7 @@ def roots(forms: DataFrame) -> DataFrame:
     while True:
         onward = taken.select(F.col("word").alias("root"), F.col("root").alias("_next"))
         moved = stored(
-            taken.join(onward, "root", "left").select(
+            taken.join(onward.hint("merge"), "root", "left").select(
                 "word", F.coalesce("_next", "root").alias("root"), F.col("_next").isNotNull().alias("moved")
             ), "roots",
         )
@@ -222,7 +225,7 @@ def variants(words: DataFrame) -> DataFrame:
     best = near_words(words).groupBy("word").agg(
         F.count("*").alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("less"), "near")).alias("best")
     )
-    joined = words.join(best, "word", "left")
+    joined = words.join(best.hint("merge"), "word", "left")
     taken = -F.col("best.less") >= TIMES * F.col("n")
     found = stored(
         joined.select(
@@ -231,7 +234,7 @@ def variants(words: DataFrame) -> DataFrame:
         ), "forms",
     )
     ended = roots(found.filter(F.col("form").isNotNull()))
-    return found.join(ended, "word", "left").select(
+    return found.join(ended.hint("merge"), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n"
     )
 
