@@ -189,6 +189,16 @@ def test_lookup_join_agrees_on_both_paths(spark, monkeypatch, rows, how):
     assert sorted(map(str, shuffles.lookup_join(big, small, ["k"], how).collect())) == expected
 
 
+def test_a_side_that_is_copied_for_each_salt_is_not_broadcast(spark, tmp_path, monkeypatch):
+    """By its file's size Spark would take it for small, although it was measured to be too large."""
+    monkeypatch.setattr(shuffles, "BROADCAST_ROWS", 100)
+    spark.range(1000).selectExpr("id k", "id % 7 w").write.parquet(str(tmp_path / "lookup"))
+    found = shuffles.lookup_join(spark.range(2000).withColumnRenamed("id", "k"), spark.read.parquet(str(tmp_path / "lookup")), ["k"])
+    assert len(found.collect()) == 1000
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan and "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 @pytest.mark.parametrize("slice_rows", [10_000, 90])
 def test_running_totals_with_a_hot_group(spark, monkeypatch, slice_rows):
     monkeypatch.setattr(shuffles, "SLICE_ROWS", slice_rows)

@@ -76,7 +76,9 @@ def lookup_join(
 
     The lookup side is measured. A small one is broadcast, so the rows are not
     shuffled at all; a large one is joined on key and salt, so that a key that
-    holds a large share of the rows is spread over several tasks.
+    holds a large share of the rows is spread over several tasks. These are
+    merged: Spark takes a side that was copied for each salt for about as small
+    as before, and would broadcast it, however large it was measured.
     `how` is inner, left, left_semi or left_anti.
     """
     on = list(on)
@@ -90,7 +92,7 @@ def lookup_join(
     spread = lookup.withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     )
-    return null_safe_join(rows.withColumn("_salt", salt), spread, [*on, "_salt"], how).drop("_salt")
+    return null_safe_join(rows.withColumn("_salt", salt), spread.hint("merge"), [*on, "_salt"], how).drop("_salt")
 
 
 def first_copy(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
