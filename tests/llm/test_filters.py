@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidewatch.llm import decontamination, lm_scoring, quality_rules, toxicity, url_rules
 from tidewatch.llm.gated_model import GatedModel
 from tidewatch.llm import gated_model
+from tidewatch.operators import shuffles
 
 
 def held_out(doc_id, folds):
@@ -289,6 +290,29 @@ def test_few_texts_keep_all_terms_and_clean_examples(spark):
     assert found == {i: t for i, _, t in labels}
 
 
+def test_labels_too_many_to_be_broadcast(spark, toxic_rows, odd_docs, monkeypatch):
+    """They give the same texts; those without a label are left out before the others are shuffled."""
+    rows, labels = toxic_rows
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame(labels[::3] + labels[:5] + [(None, 1, 1), (5, 1, None)], "doc_id long, quality int, toxic int")
+
+    def found(docs):
+        return sorted(tuple(r) for r in toxicity.labelled_texts(docs, marks).collect())
+
+    expected, odd = found(docs), found(odd_docs)
+    ids = marks.select("doc_id").filter("doc_id is not null").distinct()
+    likely = {r["doc_id"] for r in toxicity.with_likely_ids(docs, ids).collect()}
+    assert {i for i, _ in rows} & {r["doc_id"] for r in ids.collect()} <= likely and len(likely) < 300
+    monkeypatch.setattr(shuffles, "BROADCAST_ROWS", 0)
+    assert found(docs) == expected and len(expected) > 150 and found(odd_docs) == odd
+    monkeypatch.setattr(toxicity, "BITMAPS", 1)
+    monkeypatch.setattr(toxicity, "ID_BITS", 2**40)
+    assert found(docs) == expected
+    frame = toxicity.labelled_texts(docs, marks)
+    frame.collect()
+    assert "SortMergeJoin" in frame._jdf.queryExecution().executedPlan().toString()
+
+
 # decontamination
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import crc_rest, python_ready, stored, texts_of
-from tidewatch.operators.shuffles import lookup_join
+from tidewatch.operators.shuffles import is_small, lookup_join
 
 #: Of five parts of the ids, the first is held out.
 FOLDS = 5
@@ -27,16 +27,35 @@ DIVIDING = 512
 #: Weight of the rate among all labelled texts, in units of a neighbour of similarity 1.
 PRIOR_WEIGHT = 0.5
 EVIDENCE = 3
+#: Bits that a labelled id has in the filter of ids, those of one of Spark's bitmaps, and the most bitmaps (64 MB).
+ID_BITS, BITMAP_BITS, BITMAPS = 16, 32768, 16384
 
 TERM = re.compile(r"[^\W\d_]+")
 
 
+def with_likely_ids(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose doc_id is among the ids, and a few others, found by a bitmap of the ids' hashes. Nothing is shuffled."""
+    maps = min(BITMAPS, max(1, -(-ids.count() * ID_BITS // BITMAP_BITS)))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(maps * BITMAP_BITS))
+    at = ids.select(F.floor(place / BITMAP_BITS).alias("_map"), (place % BITMAP_BITS).alias("_bit"))
+    bitmaps = at.groupBy("_map").agg(F.expr("bitmap_construct_agg(_bit)").alias("_bits"))
+    byte = F.expr("conv(hex(substring(_bits, int(_bit div 8) + 1, 1)), 16, 10)").cast("int")
+    placed = rows.withColumns({"_map": F.floor(place / BITMAP_BITS), "_bit": place % BITMAP_BITS})
+    met = placed.join(F.broadcast(bitmaps), "_map").filter(F.getbit(byte, (F.col("_bit") % 8).cast("int")) == 1)
+    return met.select(*rows.columns)
+
+
 def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, text, toxic of the rows to learn from, copies of a text counted once by their mean label."""
+    """doc_id, text, toxic of the rows to learn from, copies of a text counted once by their mean label.
+
+    Where the labels are too many to be broadcast, texts whose id can have none
+    are left out before the others are shuffled.
+    """
     marks = labels.filter((crc_rest("doc_id", FOLDS) != 0) & F.col("toxic").isNotNull()).groupBy("doc_id").agg(
         F.max("toxic").cast("double").alias("toxic")
     )
-    rows = lookup_join(texts_of(docs).filter(crc_rest("doc_id", FOLDS) != 0), marks, ["doc_id"])
+    texts = texts_of(docs).filter(crc_rest("doc_id", FOLDS) != 0)
+    rows = lookup_join(texts if is_small(marks) else with_likely_ids(texts, marks), marks, ["doc_id"])
     return rows.groupBy(F.xxhash64("text").alias("text_hash")).agg(
         F.min("doc_id").alias("doc_id"), F.first("text").alias("text"), F.avg("toxic").alias("toxic")
     ).withColumn("toxic", F.round("toxic").cast("int"))
@@ -108,19 +127,26 @@ class ExampleIndex:
     """Postings of the examples' vectors, in blocks whose greatest weights bound what a block can score."""
 
     def __init__(self, terms: list[tuple[str, int]], n_docs: int, examples: list[tuple[int, str, int]],
-                 scale: tuple[float, float], rate_without: float, leans: list[float] | None = None):
+                 scale: tuple[float, float], rate_without: float, leans: list[float] | np.ndarray | None = None):
         self.number = {t: i for i, (t, _) in enumerate(terms)}
         self.idf = np.array([np.log((n_docs + 1) / (n + 0.5)) for _, n in terms])
         self.idf *= 1.0 if leans is None else np.array(leans)
-        vectors = []
+        # vectors one after another in two buffers, so that the driver does not hold thousands of small arrays
+        terms_held, weights_held, vectors, end = bytearray(), bytearray(), [], 0
         for doc_id, text, toxic in examples:
             at, weight = self.vector(text)
             if len(at):
-                vectors.append((int(at[np.argmax(weight)]), doc_id, toxic, at, weight))
+                terms_held += at.tobytes()
+                weights_held += weight.tobytes()
+                vectors.append((int(at[np.argmax(weight)]), doc_id, toxic, end, len(at)))
+                end += len(at)
         vectors.sort(key=lambda v: v[:2])  # equal cosines go by this order
-        term = np.concatenate([v[3] for v in vectors]) if vectors else np.zeros(0, dtype=np.int64)
-        weight = np.concatenate([v[4] for v in vectors]) if vectors else np.zeros(0)
-        example = np.repeat(np.arange(len(vectors)), [len(v[3]) for v in vectors])
+        begin, length = (np.array([v[i] for v in vectors], dtype=np.int64) for i in (3, 4))
+        held, _ = ranges(begin, begin + length)
+        term = np.frombuffer(terms_held, dtype=np.int64)[held]
+        weight = np.frombuffer(weights_held, dtype=np.float64)[held]
+        del terms_held, weights_held, held
+        example = np.repeat(np.arange(len(vectors)), length)
         self.rank = self._in_blocks(term, example, weight, len(vectors))
         vectors = [vectors[i] for i in self.rank]
         place = np.empty_like(self.rank)
@@ -131,10 +157,16 @@ class ExampleIndex:
         self.vote = np.where(self.toxic == 1, scale[1], scale[0])
         self.rate_without = rate_without
         self.n_blocks = max(1, -(-len(vectors) // BLOCK))
-        order = np.lexsort((example, term))
-        self.example, self.weight, term = example[order], weight[order], term[order]
+        term *= max(1, len(vectors))
+        term += example  # an example has a term once, so that these numbers differ
+        del example
+        order = np.argsort(term)
+        self.weight, term = weight[order], term[order]
+        del weight, order
+        term, self.example = np.divmod(term, max(1, len(vectors)))
         # a cell is a term in a block; only cells with postings are held
         cell = term * self.n_blocks + self.example // BLOCK
+        del term
         heads = np.nonzero(np.diff(cell, prepend=-1))[0]
         self.starts = np.append(heads, len(cell))
         self.block = (cell[heads] % self.n_blocks).astype(np.int32)
@@ -225,14 +257,16 @@ def learn(docs: DataFrame, labels: DataFrame) -> ExampleIndex:
     totals = n_texts - n_toxic, n_toxic
     parts = [int(min(1.0, 0.9 * EXAMPLES / total) * 2**20) for total in totals]  # so that more than EXAMPLES do not occur
     own = rows.filter(place < F.when(F.col("toxic") == 1, parts[1]).otherwise(parts[0]))
-    examples = sorted((r["doc_id"], r["text"], r["toxic"]) for r in own.select("doc_id", "text", "toxic").collect())
+    # in columns, as rows of Python take several times the memory
+    examples = sorted(zip(*(c.to_pylist() for c in own.select("doc_id", "text", "toxic").toArrow().columns), strict=True))
     taken = Counter(toxic for *_, toxic in examples)
     scale = [total / max(1, taken[label]) for label, total in enumerate(totals)]
     mean = (scale[0] + scale[1]) / 2
-    terms = sorted(map(tuple, counted_terms(docs, rows, own, n_texts, n_toxic).collect()))
+    counts = counted_terms(docs, rows, own, n_texts, n_toxic).toArrow().sort_by("term")
+    terms, leans = list(zip(*(counts[c].to_pylist() for c in ("term", "n")), strict=True)), counts["lean"].to_numpy()
+    del counts
     return ExampleIndex(
-        [t[:2] for t in terms], docs.count(), examples, (scale[0] / mean, scale[1] / mean), n_toxic / n_texts,
-        [t[2] for t in terms],
+        terms, docs.count(), examples, (scale[0] / mean, scale[1] / mean), n_toxic / n_texts, leans,
     )
 
 
