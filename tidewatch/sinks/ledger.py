@@ -15,7 +15,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidewatch.operators.normalize import classify
-from tidewatch.operators.shuffles import BROADCAST_ROWS, first_copy, gathered, is_small, null_safe_join
+from tidewatch.operators.shuffles import BROADCAST_BYTES, BROADCAST_ROWS, first_copy, gathered, is_small, null_safe_join
 from tidewatch.schemas import FINDING, LEDGER
 from tidewatch.sinks.key_index import TASK_KEYS, KeyIndex, hashed
 
@@ -91,6 +91,42 @@ def new_rows(batch: DataFrame, history: DataFrame, keys: tuple[str, ...] = KEYS)
     return batch.join(known, list(keys), "left_anti")
 
 
+#: Offsets of one of Spark's bitmaps, as a power of two, and how many bitmaps are broadcast at most.
+BITMAP_BITS = 15
+BITMAPS = BROADCAST_BYTES // (1 << BITMAP_BITS - 3)
+
+
+def _placed(rows: DataFrame) -> DataFrame:
+    """The rows with _map, a bitmap among those of a partition, and _bit, the position in it; no offset is a bitmap of its own."""
+    offset = F.col("source_offset").cast("bigint")
+    bit = F.coalesce(offset.bitwiseAND(F.lit((1 << BITMAP_BITS) - 1)), F.lit(0))
+    return rows.withColumns({"_map": F.shiftright(offset, BITMAP_BITS), "_bit": bit})
+
+
+MAP = (*POSITION[:2], "_map")
+
+
+def position_bitmaps(positions: DataFrame) -> DataFrame | None:
+    """Different positions as MAP and _bits, a row for each 32,768 offsets of a partition.
+
+    None if these are too many for a broadcast, or if positions repeat, which a
+    bitmap cannot tell.
+    """
+    placed = _placed(positions.select(*POSITION))
+    maps, rows = placed.groupBy(*MAP).count().agg(F.count("*"), F.sum("count")).first()
+    if maps > BITMAPS or placed.select(*MAP, "_bit").distinct().count() != rows:
+        return None
+    return placed.repartition(*MAP).groupBy(*MAP).agg(F.expr("bitmap_construct_agg(_bit)").alias("_bits"))
+
+
+def with_marks(rows: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    """The rows with _marked, whether their position is in the bitmaps, which are broadcast."""
+    met = null_safe_join(_placed(rows), F.broadcast(bitmaps), MAP, "left")
+    byte = F.expr("conv(hex(substring(_bits, int(_bit div 8) + 1, 1)), 16, 10)").cast("int")
+    marked = F.getbit(byte, (F.col("_bit") % 8).cast("int")) == 1
+    return met.select(*rows.columns, F.coalesce(marked, F.lit(False)).alias("_marked"))
+
+
 def dispose(
     classified: DataFrame,
     unseen: Callable[[DataFrame], DataFrame] | None = None,
@@ -106,13 +142,14 @@ def dispose(
     each map task, compared with the stored keys, and joined back on the
     position, which is unique. A key with very many copies never collects its
     messages in one task. The documents of a batch stay where they are if the
-    winners, or else the other copies, were measured to fit a broadcast; else
-    they are shuffled once. Positions shrink so much in a shuffle that Spark
-    would take millions for a small side, so those of many winners are merged.
+    winners, or else the other copies, were measured to fit a broadcast, or the
+    winners' positions as bitmaps; else they are shuffled once. Positions shrink
+    so much in a shuffle that Spark would take millions for a small side, so
+    those of many winners are merged.
     """
     alerts = classified.filter(F.col("reject_reason").isNull()).select(*KEYS, *POSITION)
     winners = first_copy(alerts, KEYS, POSITION)
-    marks, marked, others = winners.hint("merge"), INSERTED, DUPLICATE
+    marks, marked, others, bitmaps = winners.hint("merge"), INSERTED, DUPLICATE, None
     if unseen is not None:
         winners = unseen(winners)
         marks = winners.hint("merge")
@@ -122,8 +159,13 @@ def dispose(
             copies = kept(null_safe_join(alerts.select(*POSITION), marks, POSITION, "left_anti").distinct(), BROADCAST_ROWS)
             if is_small(copies):
                 marks, marked, others = F.broadcast(copies), DUPLICATE, INSERTED
-    marks = marks.select(*POSITION, F.lit(True).alias("_marked"))
-    return null_safe_join(classified, marks, POSITION, "left").select(
+        else:
+            bitmaps = position_bitmaps(winners)
+    if bitmaps is None:
+        joined = null_safe_join(classified, marks.select(*POSITION, F.lit(True).alias("_marked")), POSITION, "left")
+    else:
+        joined = with_marks(classified, bitmaps)
+    return joined.select(
         *classified.columns,
         F.when(F.col("reject_reason").isNotNull(), REJECTED)
         .when(F.col("_marked"), marked)
@@ -167,7 +209,8 @@ def commit_batch(path: str) -> Callable[[DataFrame, int], None]:
                     rows = rows.join(keys, ["hi", "lo"], "left_anti")
             return kept(rows.select(*POSITION), alerts)
 
-        classified = classify(records).persist(StorageLevel.MEMORY_AND_DISK)
+        # documents are streamed from disk: a block that was put out of memory is read back in one piece, however large it is
+        classified = classify(records).persist(StorageLevel.DISK_ONLY)
         held.append(classified)
         try:
             store_batch(dispose(classified, unseen, kept), path, run, batch_id, index)
